@@ -92,3 +92,7 @@ def i3_live_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select("status", *[r6(c).alias(c) for c in (
         "accuracy_live", "precision_live", "recall_live", "f1_live", "roc_auc_live")],
         "scored_rows", "positives_true", "window")
+
+
+# Register the remaining queries (modules call ``register`` on import).
+from labelloop.plans import catalog_rows, catalog_stats  # noqa: E402,F401

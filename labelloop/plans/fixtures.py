@@ -91,11 +91,36 @@ def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("o_orderpriority").orderBy("o_orderkey")
     t = o.select(F.col("o_orderpriority").alias("study"), F.col("o_orderkey").alias("k"),
                  (F.col("o_totalprice") / F.lit(600000.0)).alias("v"),
-                 F.row_number().over(w).alias("n")).filter(F.col("n") <= TRIALS_PER_STUDY)
+                 F.row_number().over(w).cast("bigint").alias("n")).filter(F.col("n") <= TRIALS_PER_STUDY)
     return t.select("study", "n", F.when(F.col("k") % 10 == 0, F.lit(None).cast("double"))
                     .otherwise(F.col("v")).alias("value"))
 
 
+FEATURE_MAP = {"Date": "obs_date", "Location": "location", "Rainfall": "rainfall_txt",
+               "WindDir9am": "wind_dir", "WindSpeed9am": "wind_speed9am", "RainTomorrow": "rain_tomorrow"}
+
+
+def feature_rows(o: DataFrame) -> DataFrame:
+    """B12 + B2 + B13 + B17: observation rows → the 23-column feature row."""
+    from labelloop.functions.values import coerce_numeric, rain_today
+    from labelloop.operators.cleaning import conform, select_by_alias
+    from labelloop.sources.schemas import TARGET_SCHEMA
+    picked = coerce_numeric(select_by_alias(o, FEATURE_MAP))
+    return conform(picked.withColumn("RainToday", rain_today("Rainfall")), TARGET_SCHEMA)
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training history: feature rows observed up to the horizon."""
+    o = obs(spark, sf_dir)
+    return feature_rows(o.filter(F.col("obs_date") <= F.lit(HISTORY_HORIZON).cast("date")))
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature row of every observed (location, date): the last observation wins."""
+    o = last_per_key(obs(spark, sf_dir), ["location", "obs_date"], ["ts", "event_id"])
+    return feature_rows(o)
+
+
 # ---- oracle text: the FIXTURES.md views, inlined as CTEs -------------------
 FIXTURE_SQL = {
     "obs": """
@@ -134,8 +159,9 @@ WHERE n <= 30""",
 }
 
 
-def with_fixtures(body: str, **ctes: str) -> str:
+def with_fixtures(body: str, recursive: bool = False, **ctes: str) -> str:
     """Oracle SQL: fixture views + query-specific CTEs, then ``body``."""
     parts = [f"{name} AS ({sql.strip()})" for name, sql in FIXTURE_SQL.items()]
     parts += [f"{name} AS ({sql.strip()})" for name, sql in ctes.items()]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(parts) + "\n" + body.strip()

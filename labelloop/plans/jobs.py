@@ -49,3 +49,103 @@ def score_predictions(log: DataFrame, truth: DataFrame, window: int = LIVE_WINDO
     """(scored log, one-row live metrics document)."""
     scored = score_log(log, truth, **kw)
     return scored, live_metrics(live_eval_rows(scored, window), window)
+
+
+# ---------------------------------------------------------------- I4 – I8
+RETRAIN_REQUIRED = ("truth_available", "y_true", "feature_date", "location")
+
+
+def new_labelled_rows(scored: DataFrame, cutoff, id_col: str = "event_id") -> DataFrame:
+    """Rows a retrain may consume: labelled (B20), feature date backfilled
+    (B14), strictly after ``cutoff`` (C4; a one-row DataFrame or a Column,
+    NULL parts skipped), last prediction per (location, feature_date) (E2)."""
+    from labelloop.operators.joins import after_cutoff
+    s = labelled_rows(scored).dropna(subset=["location"])
+    if "target_date" in s.columns:
+        s = s.withColumn("feature_date", backfill_feature_date("feature_date", "target_date"))
+    s = s.dropna(subset=["feature_date"])
+    cut = list(cutoff) if isinstance(cutoff, (list, tuple)) else [cutoff]
+    s = after_cutoff(s, "feature_date", *cut)
+    order = [c for c in ("logged_at", id_col) if c in s.columns] or ["feature_date"]
+    return last_per_key(s, ["location", "feature_date"], order)
+
+
+def build_retrain_set(history: DataFrame, scored: DataFrame | None, observations: DataFrame,
+                      *, date_col: str = "Date", key_col: str = "Location",
+                      label_col: str = "RainTomorrow") -> tuple[DataFrame, DataFrame]:
+    """I4: history ∪ newly labelled rows whose features exist, plus the D11 meta row.
+
+    ``history`` and ``observations`` share the target schema (``observations``
+    holds the feature row of every (Location, Date) that was observed, one per
+    key).  A missing or non-conforming scored log (B10) leaves the history as is.
+    """
+    from labelloop.operators.cleaning import conform
+    from labelloop.operators.joins import exclude_known
+    from labelloop.operators.profile import row_accounting
+
+    tagged_hist = history.withColumn("__src", F.lit("history"))
+    if scored is None or not require_columns(scored, RETRAIN_REQUIRED, on_missing="empty"):
+        merged = tagged_hist
+    else:
+        horizon = history.select(F.max(F.col(date_col).cast("date")))
+        new = new_labelled_rows(scored, horizon)
+        new = exclude_known(new, history, ["feature_date", "location"], [date_col, key_col])
+        feats = observations.drop(label_col)
+        joined = new.select(F.col("location").alias("__loc"), F.col("feature_date").alias("__d"),
+                            F.when(F.col("y_true").cast("int") == 1, F.lit("Yes"))
+                            .otherwise(F.lit("No")).alias(label_col)) \
+            .join(feats, on=[F.col("__loc") == F.col(key_col), F.col("__d") == F.col(date_col)], how="inner")
+        added = conform(joined, history.schema).withColumn("__src", F.lit("added"))
+        merged = tagged_hist.unionByName(added)
+    meta = row_accounting(merged, tag="__src")
+    return merged.drop("__src"), meta
+
+
+def count_new_rows(history: DataFrame, scored: DataFrame, watermark: DataFrame | None = None,
+                   date_col: str = "Date") -> DataFrame:
+    """One row — new labelled rows beyond ``max(history horizon, watermark)`` and that cutoff."""
+    horizon = history.select(F.max(F.col(date_col).cast("date")))
+    cutoffs = [horizon] if watermark is None else [horizon, watermark.select(F.max("last_feature_date"))]
+    cutoff = F.greatest(*[c.scalar() for c in cutoffs]) if len(cutoffs) > 1 else cutoffs[0].scalar()
+    new = new_labelled_rows(scored, cutoff)
+    return new.agg(F.count(F.lit(1)).cast("bigint").alias("new_rows_for_retrain")) \
+        .select("new_rows_for_retrain", cutoff.alias("retrain_cutoff_date"))
+
+
+def advance_watermark(history: DataFrame, scored: DataFrame, previous: DataFrame | None = None,
+                      date_col: str = "Date") -> DataFrame:
+    """Last consumed feature date and rows consumed beyond the history horizon;
+    when nothing is new the previous watermark row is kept (NULLs if none)."""
+    horizon = history.select(F.max(F.col(date_col).cast("date"))).scalar()
+    new = new_labelled_rows(scored, horizon)
+    cur = new.agg(F.max("feature_date").alias("last_feature_date"),
+                  F.count(F.lit(1)).cast("bigint").alias("consumed_rows"))
+    if previous is None:
+        return cur.select(F.col("last_feature_date"),
+                          F.when(F.col("last_feature_date").isNotNull(), F.col("consumed_rows"))
+                          .alias("consumed_rows"))
+    prev_d = previous.select(F.max("last_feature_date")).scalar()
+    prev_n = previous.select(F.max("consumed_rows")).scalar()
+    moved = F.col("last_feature_date").isNotNull()
+    return cur.select(F.when(moved, F.col("last_feature_date")).otherwise(prev_d).alias("last_feature_date"),
+                      F.when(moved, F.col("consumed_rows")).otherwise(prev_n).alias("consumed_rows"))
+
+
+# ---- fixed values (retrain gate defaults) ----------------------------------
+RECALL_THRESHOLD = 0.59
+MIN_NEW_ROWS = 60
+# ---------------------------------------------------------------------------
+
+
+def retrain_decision(quality: DataFrame, recall_threshold: float = RECALL_THRESHOLD,
+                     min_new_rows: int = MIN_NEW_ROWS, recall_col: str = "recall_combined_cv") -> DataFrame:
+    """I8: one decision per quality row — status not ok → skip; too few new rows →
+    skip; recall below the threshold → trigger; otherwise skip.  A missing
+    recall counts as 1.0 and a missing row count as 0."""
+    recall = F.coalesce(F.col(recall_col).cast("double"), F.lit(1.0))
+    rows = F.coalesce(F.col("new_rows_for_retrain").cast("bigint"), F.lit(0))
+    decision = (F.when(F.coalesce(F.col("status"), F.lit("")) != "ok", F.lit("skip_optuna"))
+                .when(rows < min_new_rows, F.lit("skip_optuna"))
+                .when(recall < recall_threshold, F.lit("trigger_optuna"))
+                .otherwise(F.lit("skip_optuna")))
+    return quality.withColumn("decision", decision)
