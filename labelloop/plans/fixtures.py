@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloop.functions.dates import backfill_feature_date, target_from_feature
 from labelloop.functions.values import decide, safe_double
@@ -100,13 +101,15 @@ FEATURE_MAP = {"Date": "obs_date", "Location": "location", "Rainfall": "rainfall
                "WindDir9am": "wind_dir", "WindSpeed9am": "wind_speed9am", "RainTomorrow": "rain_tomorrow"}
 
 
-def feature_rows(o: DataFrame) -> DataFrame:
-    """B12 + B2 + B13 + B17: observation rows → the 23-column feature row."""
+def feature_rows(o: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """B12 + B2 + B13 + B17: observation rows → the 23-column feature row
+    (plus the ``keep`` columns, e.g. a row id)."""
     from labelloop.functions.values import coerce_numeric, rain_today
     from labelloop.operators.cleaning import conform, select_by_alias
     from labelloop.sources.schemas import TARGET_SCHEMA
-    picked = coerce_numeric(select_by_alias(o, FEATURE_MAP))
-    return conform(picked.withColumn("RainToday", rain_today("Rainfall")), TARGET_SCHEMA)
+    picked = coerce_numeric(select_by_alias(o, {**FEATURE_MAP, **{k: k for k in keep}}))
+    target = T.StructType(TARGET_SCHEMA.fields + [picked.schema[k] for k in keep])
+    return conform(picked.withColumn("RainToday", rain_today("Rainfall")), target)
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,3 +149,14 @@ def retrain_decision(quality: DataFrame, recall_threshold: float = RECALL_THRESH
                 .when(recall < recall_threshold, F.lit("trigger_optuna"))
                 .otherwise(F.lit("skip_optuna")))
     return quality.withColumn("decision", decision)
+
+
+def prepare_dataset(raw: DataFrame, label_col: str = "RainTomorrow", date_col: str = "Date") -> DataFrame:
+    """Drop unlabelled rows (B1), numeric coercion and outliers (B2, B3),
+    calendar features with the date dropped (B5), binary ``label`` (B6)."""
+    from labelloop.functions.dates import add_calendar_features
+    from labelloop.functions.values import binary_label, coerce_numeric, null_outliers
+    from labelloop.operators.cleaning import drop_unlabelled
+    x = null_outliers(coerce_numeric(drop_unlabelled(raw, label_col)))
+    x = add_calendar_features(x, date_col)
+    return x.withColumn("label", binary_label(label_col)).drop(label_col)
