@@ -95,4 +95,4 @@ def i3_live_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Register the remaining queries (modules call ``register`` on import).
-from labelloop.plans import catalog_rows, catalog_stats, catalog_jobs, catalog_io, catalog_features, catalog_models  # noqa: E402,F401
+from labelloop.plans import catalog_rows, catalog_stats, catalog_jobs, catalog_io, catalog_features, catalog_models, catalog_streaming  # noqa: E402,F401
