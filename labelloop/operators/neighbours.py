@@ -79,8 +79,12 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     def with_pivots(df):
         return df.withColumn("pd", F.array(*[F.sqrt(sq_dist("vec", p)) for p in plits]))
 
-    tg = with_pivots(tg)
-    qv = with_pivots(qv)
+    # Both tables feed several jobs (count, quantiles, two join passes): write
+    # them once to the shared checkpoint directory instead of recomputing the
+    # compaction (and everything upstream) for each.
+    from labelloop.session import cut_lineage
+    tg = cut_lineage(with_pivots(tg))
+    qv = cut_lineage(with_pivots(qv))
     n_cells = max(1, int(tg.count() // cell_rows))
     bounds = []
     if n_cells > 1:
@@ -88,10 +92,15 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
         bounds = sorted(set(tg.select(F.get("pd", 0).alias("p0")).approxQuantile("p0", probs, 0.001)))
     tg = tg.withColumn("cell", _cell_of(F.get("pd", 0), bounds))
     qv = qv.withColumn("cell", _cell_of(F.get("pd", 0), bounds))
-    t = tg.select("gid", "ids", F.col("vec").alias("tvec"), F.col("pd").alias("tpd"), F.col("cell").alias("tcell"))
+    # Both sides of the cell joins are hash-partitioned with an explicit count:
+    # the join output is far larger than its inputs, and AQE would otherwise
+    # coalesce the (small) inputs into a few tasks that then do all the work.
+    n_part = max(int(qv.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(n_cells, 4096))
+    t = tg.select("gid", "ids", F.col("vec").alias("tvec"), F.col("pd").alias("tpd"), F.col("cell").alias("tcell")) \
+        .repartition(n_part, "tcell")
 
     # pass A: own and adjacent cells → radius holding kk points
-    near = qv.withColumn("jc", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1)))
+    near = qv.withColumn("jc", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1))).repartition(n_part, "jc")
     a = near.join(t, F.col("jc") == F.col("tcell")).select(
         "qgid", F.size("ids").alias("m"), sq_dist("vec", "tvec").alias("d2"), "gid")
     wa = Window.partitionBy("qgid").orderBy("d2", "gid").rowsBetween(Window.unboundedPreceding, 0)
@@ -104,7 +113,7 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     hi = _cell_of(F.get("pd", 0) + F.col("r"), bounds)
     qb = qb.withColumn("jc", F.explode(F.when(F.col("r").isNull(), F.sequence(F.lit(0), F.lit(len(bounds))))
                                        .otherwise(F.sequence(lo, hi))))
-    b = qb.join(t, F.col("jc") == F.col("tcell"))
+    b = qb.repartition(n_part, "jc").join(t, F.col("jc") == F.col("tcell"))
     bound_ok = F.aggregate(F.zip_with("pd", "tpd", lambda x, y: F.abs(x - y)), F.lit(0.0),
                            lambda acc, x: F.greatest(acc, x)) <= F.col("r") + F.lit(1e-9)
     b = b.filter(F.col("r").isNull() | bound_ok).withColumn("d2", sq_dist("vec", "tvec"))
