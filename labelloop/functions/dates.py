@@ -35,7 +35,11 @@ def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
 def add_calendar_features(df: DataFrame, date_col: str = "Date", drop: bool = True,
                           doy_col: str = "Dayofyear", month_col: str = "Month") -> DataFrame:
     """Day-of-year and month; rows whose date fails to parse are dropped."""
-    parsed = df.withColumn("__d", parse_date(date_col)).filter(F.col("__d").isNotNull())
+    from pyspark.sql import types as T
+    dtype = df.schema[date_col].dataType
+    as_date = F.to_date(F.col(date_col)) if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) \
+        else parse_date(date_col)          # typed dates need no text parsing
+    parsed = df.withColumn("__d", as_date).filter(F.col("__d").isNotNull())
     out = parsed.withColumns({doy_col: F.dayofyear("__d"), month_col: F.month("__d")})
     out = out.drop("__d")
     return out.drop(date_col) if drop else out

@@ -51,9 +51,10 @@ def _compact(df: DataFrame, id_col: str, vec_col: str, keep: int | None) -> Data
 
 
 def _cell_of(value: Column, bounds: list[float]) -> Column:
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
+    # a single +inf bound when there is one cell keeps the key a column
+    # expression, so the cell join stays an equi-join (a literal key would be
+    # folded into a nested-loop join)
+    arr = F.array(*[F.lit(float(b)) for b in (bounds or [float("inf")])])
     return F.size(F.filter(arr, lambda b: b <= value))
 
 

@@ -61,6 +61,14 @@ def i2(spark, sf_dir):
     return evaluate(held, y="label", pred="predicted", score="score")
 
 
+@register("c5_split_evaluation_rows")
+def c5(spark, sf_dir):
+    """Scoring keeps key, label and prediction in one row (no positional alignment)."""
+    data = stratified_split(prepared(spark, sf_dir), "label", "event_id")
+    model = M.fit_model(data.filter(F.col("split") == "train"), SPEC)
+    return _scored_out(M.score(model, data.filter(F.col("split") == "test")))
+
+
 @register("h10_cross_validate")
 def h10(spark, sf_dir):
     return M.cross_validate(_with_folds(spark, sf_dir), replace(SPEC, kind="lr", params=TINY["lr"]))
@@ -197,11 +205,13 @@ def i7(spark, sf_dir):
 
 
 def _one_row_merge(*docs: DataFrame) -> DataFrame:
-    """Merge one-row documents side by side (equi-join on a constant key)."""
-    out = docs[0].withColumn("__doc", F.lit(0))
-    for d in docs[1:]:
-        out = out.join(d.withColumn("__doc", F.lit(0)), "__doc")
-    return out.drop("__doc")
+    """Merge one-row documents side by side: each further document becomes one
+    struct-valued scalar subquery (evaluated once), so no join is planned."""
+    out = docs[0]
+    for i, d in enumerate(docs[1:]):
+        out = out.withColumn(f"__doc{i}", d.select(F.struct(*d.columns)).scalar()).select("*", f"__doc{i}.*") \
+            .drop(f"__doc{i}")
+    return out
 
 
 @register("i9_tune_retrain_watermark")

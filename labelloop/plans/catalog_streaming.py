@@ -51,6 +51,24 @@ def j2(spark, sf_dir):
     return matched.select("event_id", "location", "target_date", r6("observed_rainfall_mm").alias("observed_rainfall_mm"))
 
 
+@register("j2_open_predictions", W("""
+SELECT p.event_id, p.location, p.target_date FROM (SELECT q.*, ROW_NUMBER() OVER (PARTITION BY location, target_date
+  ORDER BY logged_at DESC, event_id DESC) AS rn FROM pred_log q) p
+WHERE p.rn = 1 AND NOT EXISTS (SELECT 1 FROM truth t WHERE t.location = p.location AND t.obs_date = p.target_date)"""))
+def j2_open(spark, sf_dir):
+    """J2 read side: predictions whose truth has not arrived (batch left_anti
+    against the stream-join output)."""
+    preds = last_per_key(fx.pred_log(spark, sf_dir), ["location", "target_date"], ["logged_at", "event_id"])
+    truth = fx.truth(spark, sf_dir)
+    pl, tl = scratch_path(spark, "j2o-preds"), scratch_path(spark, "j2o-truth")
+    preds.write.parquet(pl)
+    truth.write.parquet(tl)
+    out, ckpt = scratch_path(spark, "j2o-out"), scratch_path(spark, "j2o-ckpt")
+    S.delayed_label_join(spark, pl, preds.schema, tl, truth.schema, out, ckpt)
+    return S.open_predictions(spark.read.parquet(pl), spark.read.parquet(out)) \
+        .select("event_id", "location", "target_date")
+
+
 def j3(spark, sf_dir):
     """Live metrics refreshed per micro-batch; the last document equals I3."""
     landing, schema = _land_log(spark, sf_dir, 4)
