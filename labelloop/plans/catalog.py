@@ -8,6 +8,7 @@ the same alias in the Spark plan and in the SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +23,23 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _pinned(fn: Query) -> Query:
+    """Run a query under the settings its semantics rely on: UTC session time
+    (log timestamps mix offsets) and a checkpoint directory (set only if the
+    cluster has none, as in local tests)."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from labelloop.session import ensure_checkpoint_dir
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = _pinned(fn)
         if oracle is not None:
             ORACLE[name] = oracle
         return fn
