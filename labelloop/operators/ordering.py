@@ -14,8 +14,9 @@ rank here is computed the way a distributed sort does it:
 4. join it back: ``rank = before + (position − first) + 1``.
 
 The tiny table has at most ``partitions + groups`` rows, so it is small
-whenever the number of groups is; the order keys must be unique so that a
-recomputed partition (after executor loss) yields the same ranks.
+whenever the number of groups is.  The placed rows are checkpointed (written
+once to the shared checkpoint directory) before both branches read them, so
+positions and offsets always come from the same placement.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelloop.session import cut_lineage
+
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | row
 
 
@@ -52,6 +55,10 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
               .withColumn("__mid", F.monotonically_increasing_id())
               .withColumn("__pid", F.shiftright("__mid", _ROW_BITS))
               .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
+    # Positions are read by two branches (the offsets table and the rows);
+    # a reliable checkpoint makes both see one placement, also after a lost
+    # executor or if the planner does not reuse the range exchange.
+    placed = cut_lineage(placed)
     per_part = placed.groupBy("__pid", *group_cols).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first"))
     earlier = Window.partitionBy(*group_cols).orderBy("__pid") \
@@ -76,7 +83,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
     keys = group_cols + order_cols
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id())
+    placed = cut_lineage(df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id()))
     inside = Window.partitionBy("__pid", *group_cols).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumns({f"__in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0))

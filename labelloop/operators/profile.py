@@ -49,38 +49,93 @@ def class_share(df: DataFrame, label: str) -> DataFrame:
 
 
 STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float] = QUARTILES,
+                    groups: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (position p·(n−1)), distributed.
+
+    Values are counted per distinct value (hot values collapse map-side),
+    distributed prefix sums give every distinct value its position range, and
+    one conditional aggregate picks the values around each target position —
+    no per-task buffer of all values, no single-task sort.
+    """
+    from labelloop.operators.ordering import prefix_sums
+    groups = list(groups)
+    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
+    x = df.select(*groups, F.col(column).cast("double").alias("__v"))
+    x = x.filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    d = x.groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    d = prefix_sums(d, ["__v"], ["__c"], groups, suffix="_before")
+    if groups:
+        totals = d.groupBy(*groups).agg(F.sum("__c").alias("__n"))
+        d = d.join(totals, on=groups, how="inner")
+        n = F.col("__n")
+    else:
+        d = d.withColumn("__n", x.select(F.count(F.lit(1))).scalar())
+        n = F.col("__n")
+    start, end = F.col("__c_before"), F.col("__c_before") + F.col("__c")
+    exprs = []
+    for p, name in zip(probs, names):
+        pos = (n - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        exprs += [F.max(F.when((start <= lo) & (lo < end), F.col("__v"))).alias(f"{name}__lo"),
+                  F.max(F.when((start <= hi) & (hi < end), F.col("__v"))).alias(f"{name}__hi"),
+                  F.max(pos - lo).alias(f"{name}__f")]
+    agg = d.groupBy(*groups).agg(*exprs)
+    return agg.select(*groups, *[(F.col(f"{m}__lo") + F.col(f"{m}__f") * (F.col(f"{m}__hi") - F.col(f"{m}__lo")))
+                                 .alias(m) for m in names])
 
 
 def _stat_exprs(c: str, i: int, exact: bool, accuracy: int) -> list[Column]:
+    """Single-pass statistics with approximate quartiles (the cluster-scale switch)."""
     x = F.col(c).cast("double")
-    if exact:
-        q = [F.percentile(x, p) for p in (0.25, 0.5, 0.75)]
-    else:
-        q = [F.percentile_approx(x, p, accuracy).cast("double") for p in (0.25, 0.5, 0.75)]
+    q = [F.percentile_approx(x, p, accuracy).cast("double") for p in QUARTILES]
     return [F.count(x).cast("bigint").alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"),
             F.stddev_samp(x).alias(f"std__{i}"), F.min(x).alias(f"min__{i}"),
             q[0].alias(f"p25__{i}"), q[1].alias(f"p50__{i}"), q[2].alias(f"p75__{i}"),
             F.max(x).alias(f"max__{i}")]
 
 
+def _moments(c: str, i: int) -> list[Column]:
+    x = F.col(c).cast("double")
+    return [F.count(x).cast("bigint").alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"),
+            F.stddev_samp(x).alias(f"std__{i}"), F.min(x).alias(f"min__{i}"), F.max(x).alias(f"max__{i}")]
+
+
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
              accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max.
 
-    ``exact=False`` swaps the exact percentiles (whose buffers grow with the
-    number of distinct values) for ``percentile_approx`` at cluster scale.
+    Exact quartiles come from :func:`exact_quantiles` (distributed, one small
+    row per column, attached as a scalar subquery); ``exact=False`` uses
+    ``percentile_approx`` inside the single aggregation pass instead.
     """
     cols = list(columns)
-    exprs = [e for i, c in enumerate(cols) for e in _stat_exprs(c, i, exact, accuracy)]
-    return _unpivot(df.agg(*exprs), cols, STATS)
+    if not exact:
+        exprs = [e for i, c in enumerate(cols) for e in _stat_exprs(c, i, False, accuracy)]
+        return _unpivot(df.agg(*exprs), cols, STATS)
+    wide = df.agg(*[e for i, c in enumerate(cols) for e in _moments(c, i)])
+    for i, c in enumerate(cols):
+        q = exact_quantiles(df, c)
+        wide = wide.withColumn(f"__q{i}", q.select(F.struct("p25", "p50", "p75")).scalar())
+        wide = wide.withColumns({f"{m}__{i}": F.col(f"__q{i}.{m}") for m in ("p25", "p50", "p75")}) \
+            .drop(f"__q{i}")
+    return _unpivot(wide, cols, STATS)
 
 
 def grouped_describe(df: DataFrame, by: str, column: str, exact: bool = True,
                      accuracy: int = 10000) -> DataFrame:
-    """Describe of one column per group."""
-    exprs = _stat_exprs(column, 0, exact, accuracy)
-    out = df.groupBy(by).agg(*exprs)
-    return out.select(by, *[F.col(f"{s}__0").alias(s) for s in STATS])
+    """Describe of one column per group (quartiles per group, distributed)."""
+    if not exact:
+        out = df.groupBy(by).agg(*_stat_exprs(column, 0, False, accuracy))
+        return out.select(by, *[F.col(f"{s}__0").alias(s) for s in STATS])
+    m = df.groupBy(by).agg(*_moments(column, 0))
+    q = exact_quantiles(df, column, groups=[by])
+    out = m.join(q, on=by, how="left")
+    return out.select(by, *[F.col(f"{s}__0").alias(s) if s not in ("p25", "p50", "p75") else F.col(s)
+                            for s in STATS])
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,

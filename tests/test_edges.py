@@ -216,3 +216,18 @@ def test_watermark_older_equal_newer(spark):
     for d, expect in ((dt.date(2024, 1, 1), 2), (dt.date(2024, 1, 3), 1), (dt.date(2024, 1, 9), 0)):
         w = spark.createDataFrame([(d, 1)], "last_feature_date date, consumed_rows long")
         assert count_new_rows(hist, scored, w).first()["new_rows_for_retrain"] == expect
+
+
+def test_exact_quantiles_match_numpy_linear(spark):
+    import numpy as np
+    from labelloop.operators.profile import exact_quantiles
+    vals = [5.0] * 40 + [float(i) for i in range(37)] + [None, float("nan")]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(vals)], "g int, x double")
+    clean = np.array([v for v in vals if v is not None and v == v])
+    row = exact_quantiles(df, "x", (0.1, 0.25, 0.5, 0.9)).first()
+    for name, p in (("p10", 0.1), ("p25", 0.25), ("p50", 0.5), ("p90", 0.9)):
+        assert abs(row[name] - np.quantile(clean, p)) < 1e-12
+    per = {r["g"]: r for r in exact_quantiles(df, "x", (0.5,), groups=["g"]).collect()}
+    for g in (0, 1):
+        sub = np.array([v for i, v in enumerate(vals) if i % 2 == g and v is not None and v == v])
+        assert abs(per[g]["p50"] - np.quantile(sub, 0.5)) < 1e-12
