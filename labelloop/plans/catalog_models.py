@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from labelloop.operators import models as M
 from labelloop.operators.dedup import last_per_key
 from labelloop.operators.features import balanced_weights
-from labelloop.operators.metrics import evaluate, fold_means
+from labelloop.operators.metrics import evaluate
 from labelloop.operators.search import retrain_with_best, run_search, trial_table
 from labelloop.operators.split import stratified_folds, stratified_split
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
-from labelloop.plans.jobs import advance_watermark, build_retrain_set, count_new_rows, prepare_dataset
+from labelloop.plans.jobs import prepare_dataset, retrain_quality, tune_retrain_advance
 from labelloop.session import scratch_path
 from labelloop.sources.stations import lookup_dimension
 
@@ -179,51 +179,18 @@ def d18(spark, sf_dir):
     return evaluate(M.score(M.fit_model(data, SPEC), data), y="label", pred="predicted", score="score")
 
 
-def _retrain_inputs(spark, sf_dir):
-    hist, scored = fx.history(spark, sf_dir), fx.scored(spark, sf_dir)
-    rows, meta = build_retrain_set(hist, scored, fx.observations(spark, sf_dir))
-    return hist, scored, rows, meta
-
-
 @register("i7_retrain_quality")
 def i7(spark, sf_dir):
     """Retrain set → 5-fold CV → one quality row (+ dataset meta, new rows, cutoff)."""
-    hist, scored, rows, meta = _retrain_inputs(spark, sf_dir)
-    data = prepare_dataset(rows.withColumn("event_id", F.xxhash64("Date", "Location", "RainTomorrow", "Rainfall",
-                                                                      "WindSpeed9am", "WindDir9am")))
-    classes = data.agg(F.count_distinct("label")).first()[0]
-    new = count_new_rows(hist, scored)
-    if classes < 2:
-        q = data.agg(F.count(F.lit(1)).cast("bigint").alias("rows_used")).withColumn("status", F.lit("not_enough_classes"))
-    else:
-        folds = stratified_folds(data, "label", "event_id", k=5)
-        per_fold = M.cross_validate(folds, replace(SPEC, kind="lr", params=TINY["lr"]))
-        q = fold_means(per_fold).withColumn("status", F.lit("ok")) \
-            .withColumn("rows_used", F.lit(data.count()).cast("bigint"))
-    q = q.withColumn("cv_splits", F.lit(5))
-    return _one_row_merge(q, meta, new)
-
-
-def _one_row_merge(*docs: DataFrame) -> DataFrame:
-    """Merge one-row documents side by side: each further document becomes one
-    struct-valued scalar subquery (evaluated once), so no join is planned."""
-    out = docs[0]
-    for i, d in enumerate(docs[1:]):
-        out = out.withColumn(f"__doc{i}", d.select(F.struct(*d.columns)).scalar()).select("*", f"__doc{i}.*") \
-            .drop(f"__doc{i}")
-    return out
+    q = retrain_quality(fx.history(spark, sf_dir), fx.scored(spark, sf_dir), fx.observations(spark, sf_dir),
+                        replace(SPEC, kind="lr", params=TINY["lr"]), k=5)
+    return q.select(*[r6(c).alias(c) if c.endswith("_cv") else c for c in q.columns])
 
 
 @register("i9_tune_retrain_watermark")
 def i9(spark, sf_dir):
-    """Tune on the retrain set → best trial → retrain on all → advance the
-    watermark, all over one snapshot of the scored log."""
-    hist, scored, rows, _ = _retrain_inputs(spark, sf_dir)
-    data = prepare_dataset(rows.withColumn("event_id", F.xxhash64("Date", "Location", "RainTomorrow", "Rainfall",
-                                                                      "WindSpeed9am", "WindDir9am")))
-    data = stratified_folds(data, "label", "event_id", k=3)
+    """Tune → best trial → retrain on all → advance the watermark, over one snapshot."""
     trials = trial_table(spark, n_trials=2, space=FIXTURE_SPACE, known_best=None)
-    _, best = run_search(data, SPEC, trials, study="gbt_recall_retrain", wave=2)
-    _, meta = retrain_with_best(data, SPEC, best, model_path=scratch_path(spark, "i9-model"))
-    wm = advance_watermark(hist, scored)
-    return _one_row_merge(meta.select("rows_used", "best_study_name", r6("best_value").alias("best_value")), wm)
+    out = tune_retrain_advance(fx.history(spark, sf_dir), fx.scored(spark, sf_dir), fx.observations(spark, sf_dir),
+                               SPEC, trials, k=3, model_path=scratch_path(spark, "i9-model"))
+    return out.withColumn("best_value", r6("best_value"))

@@ -160,3 +160,55 @@ def prepare_dataset(raw: DataFrame, label_col: str = "RainTomorrow", date_col: s
     x = null_outliers(coerce_numeric(drop_unlabelled(raw, label_col)))
     x = add_calendar_features(x, date_col)
     return x.withColumn("label", binary_label(label_col)).drop(label_col)
+
+
+def _merge_docs(*docs: DataFrame) -> DataFrame:
+    """Merge one-row documents side by side: each further document becomes one
+    struct-valued scalar subquery (evaluated once), so no join is planned."""
+    out = docs[0]
+    for i, d in enumerate(docs[1:]):
+        out = out.withColumn(f"__doc{i}", d.select(F.struct(*d.columns)).scalar()).select("*", f"__doc{i}.*") \
+            .drop(f"__doc{i}")
+    return out
+
+
+def _retrain_rows(history: DataFrame, scored: DataFrame | None, observations: DataFrame,
+                  key_cols=("Date", "Location", "RainTomorrow", "Rainfall", "WindSpeed9am", "WindDir9am")):
+    rows, meta = build_retrain_set(history, scored, observations)
+    data = prepare_dataset(rows.withColumn("event_id", F.xxhash64(*[c for c in key_cols if c in rows.columns])))
+    return data, meta
+
+
+def retrain_quality(history: DataFrame, scored: DataFrame | None, observations: DataFrame, spec,
+                    k: int = 5, watermark: DataFrame | None = None) -> DataFrame:
+    """Retrain set → stratified k-fold CV → one quality row with the
+    dataset meta, the new-row count and its cutoff.  A single class gives
+    status ``not_enough_classes`` and no metrics."""
+    from labelloop.operators.metrics import fold_means
+    from labelloop.operators.models import cross_validate
+    from labelloop.operators.split import stratified_folds
+    data, meta = _retrain_rows(history, scored, observations)
+    new = count_new_rows(history, scored, watermark) if scored is not None else \
+        history.sparkSession.createDataFrame([(0, None)], "new_rows_for_retrain BIGINT, retrain_cutoff_date DATE")
+    classes = data.agg(F.count_distinct("label")).first()[0]
+    rows_used = data.agg(F.count(F.lit(1)).cast("bigint").alias("rows_used"))
+    if classes < 2:
+        q = rows_used.withColumn("status", F.lit("not_enough_classes"))
+    else:
+        per_fold = cross_validate(stratified_folds(data, "label", "event_id", k=k), spec)
+        q = _merge_docs(fold_means(per_fold).withColumn("status", F.lit("ok")), rows_used)
+    return _merge_docs(q.withColumn("cv_splits", F.lit(k)), meta, new)
+
+
+def tune_retrain_advance(history: DataFrame, scored: DataFrame, observations: DataFrame, spec, trials: DataFrame,
+                         *, k: int = 3, study: str = "gbt_recall_retrain", model_path: str | None = None) -> DataFrame:
+    """Tune on the retrain set (H20, E7, E8) → retrain on all rows with the
+    best trial (H21) → advance the watermark (I6); one snapshot of the scored
+    log feeds both the training set and the watermark."""
+    from labelloop.operators.search import retrain_with_best, run_search
+    from labelloop.operators.split import stratified_folds
+    data, _ = _retrain_rows(history, scored, observations)
+    data = stratified_folds(data, "label", "event_id", k=k)
+    _, best = run_search(data, spec, trials, study=study, wave=2)
+    _, meta = retrain_with_best(data, spec, best, model_path=model_path)
+    return _merge_docs(meta.select("rows_used", "best_study_name", "best_value"), advance_watermark(history, scored))

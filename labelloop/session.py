@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of unreferenced DataFrames are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

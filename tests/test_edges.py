@@ -231,3 +231,41 @@ def test_exact_quantiles_match_numpy_linear(spark):
     for g in (0, 1):
         sub = np.array([v for i, v in enumerate(vals) if i % 2 == g and v is not None and v == v])
         assert abs(per[g]["p50"] - np.quantile(sub, 0.5)) < 1e-12
+
+
+def test_retrain_without_scored_log_and_nothing_new(spark):
+    hist, scored, obs = _hist_and_scored(spark)
+    _, meta = build_retrain_set(hist, None, obs)
+    assert meta.first()["added_rows"] == 0 and meta.first()["total_rows"] == 2
+    old = scored.filter("feature_date <= DATE'2024-01-02'")
+    _, meta2 = build_retrain_set(hist, old, obs)
+    assert meta2.first()["added_rows"] == 0
+
+
+def test_corrupt_watermark_falls_back_to_history_horizon(spark):
+    hist, scored, _ = _hist_and_scored(spark)
+    corrupt = spark.createDataFrame([(None, None)], "last_feature_date date, consumed_rows long")
+    r = count_new_rows(hist, scored, corrupt).first()
+    assert r["new_rows_for_retrain"] == 2 and r["retrain_cutoff_date"] == dt.date(2024, 1, 2)
+
+
+def test_single_class_retrain_quality(spark):
+    from labelloop.operators.models import ModelSpec
+    from labelloop.plans.jobs import retrain_quality
+    hist = spark.createDataFrame([(dt.date(2024, 1, d), "A", 1.0, 2.0, "N", "No", "No") for d in range(1, 6)],
+                                 "Date date, Location string, Rainfall double, WindSpeed9am double, "
+                                 "WindDir9am string, RainToday string, RainTomorrow string")
+    spec = ModelSpec(categorical=["Location"], numeric=["Rainfall"], kind="lr")
+    q = retrain_quality(hist, None, hist, spec).first()
+    assert q["status"] == "not_enough_classes" and q["rows_used"] == 5 and q["new_rows_for_retrain"] == 0
+
+
+def test_small_class_folds_constant_and_null_columns(spark):
+    from labelloop.operators.features import fill, fit_means, fit_scale
+    from labelloop.operators.split import stratified_folds
+    df = spark.createDataFrame([(i, int(i < 3), 7.0, None) for i in range(20)], "id long, y int, c double, z double")
+    f = stratified_folds(df, "y", "id", k=5)
+    assert sorted(r["fold"] for r in f.filter("y = 1").collect()) == [0, 1, 2]    # class smaller than k
+    assert fit_scale(df, ["c"]) == {"c": 1.0}                                       # constant column passes
+    means = fit_means(df, ["z"])
+    assert means["z"] is None and fill(df, means).filter("z IS NULL").count() == 20  # all-NULL stays NULL
