@@ -144,7 +144,7 @@ def b10(spark, sf_dir):
     """The retrain builder's contract — a scored log lacking ``y_true``
     takes the fallback branch, so the output is the history alone."""
     from labelloop.plans.jobs import build_retrain_set
-    hist = fx.obs(spark, sf_dir).filter(F.col("obs_date") <= F.lit(H).cast("date"))
+    hist = fx.obs(spark, sf_dir, until=H)
     broken = fx.scored(spark, sf_dir).drop("y_true")
     _, meta = build_retrain_set(hist, broken, fx.obs(spark, sf_dir))
     return meta.select("total_rows", "added_rows")
@@ -285,7 +285,7 @@ WHERE s.truth_available AND s.y_true IS NOT NULL AND NOT EXISTS (
   SELECT 1 FROM obs h WHERE h.obs_date <= DATE '{H}' AND h.obs_date = s.feature_date AND h.location = s.location)"""))
 def c2(spark, sf_dir):
     s = C.labelled_rows(fx.scored(spark, sf_dir))
-    hist = fx.obs(spark, sf_dir).filter(F.col("obs_date") <= F.lit(H).cast("date"))
+    hist = fx.obs(spark, sf_dir, until=H)
     return J.exclude_known(s, hist, ["feature_date", "location"], ["obs_date", "location"]) \
         .select("event_id", "feature_date", "location")
 
@@ -311,7 +311,7 @@ WHERE truth_available AND y_true IS NOT NULL
   AND feature_date > (SELECT max(obs_date) FROM obs WHERE obs_date <= DATE '{H}')"""))
 def c4(spark, sf_dir):
     s = C.labelled_rows(fx.scored(spark, sf_dir))
-    hist = fx.obs(spark, sf_dir).filter(F.col("obs_date") <= F.lit(H).cast("date"))
+    hist = fx.obs(spark, sf_dir, until=H)
     return J.after_cutoff(s, "feature_date", hist.select(F.max("obs_date"))).select("event_id", "feature_date")
 
 
@@ -411,7 +411,7 @@ UNION ALL
 SELECT s.feature_date AS Date, s.location AS Location, CAST(NULL AS DOUBLE) AS WindSpeed9am, 'added' AS source
 FROM scored s WHERE s.truth_available AND s.y_true IS NOT NULL AND s.feature_date > DATE '{H}'"""))
 def f1(spark, sf_dir):
-    hist = fx.obs(spark, sf_dir).filter(F.col("obs_date") <= F.lit(H).cast("date")).select(
+    hist = fx.obs(spark, sf_dir, until=H).select(
         F.col("obs_date").alias("Date"), F.col("location").alias("Location"),
         r6("wind_speed9am").alias("WindSpeed9am"), F.lit("history").alias("source"))
     added = C.labelled_rows(fx.scored(spark, sf_dir)).filter(F.col("feature_date") > F.lit(H).cast("date")) \

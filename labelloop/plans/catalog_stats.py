@@ -110,7 +110,7 @@ def d9(spark, sf_dir):
 
 @register("d10_history_horizon", W(f"SELECT MAX(obs_date) AS max_date FROM obs WHERE obs_date <= DATE '{H}'"))
 def d10(spark, sf_dir):
-    hist = fx.obs(spark, sf_dir).filter(F.col("obs_date") <= F.lit(H).cast("date"))
+    hist = fx.obs(spark, sf_dir, until=H)
     return P.max_value(hist, "obs_date", "max_date")
 
 

@@ -33,8 +33,17 @@ def _station(user_id) -> F.Column:
     return F.concat(F.lit("S"), (F.col(user_id) % STATION_MODULUS).cast("string"))
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _day_after(d: str) -> F.Column:
+    return F.date_add(F.lit(d).cast("date"), 1).cast("timestamp_ntz")
+
+
+def obs(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Observation rows; ``until`` keeps days <= that date.  The bound is put on
+    the raw ``ts`` (``ts < until + 1 day``, same rows as ``obs_date <= until``)
+    so it reaches the parquet scan as a pushed filter."""
     e = table(spark, sf_dir, "events")
+    if until is not None:
+        e = e.filter(F.col("ts") < _day_after(until))
     return e.select(
         "event_id", "ts",
         F.to_date("ts").alias("obs_date"),
@@ -114,8 +123,7 @@ def feature_rows(o: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training history: feature rows observed up to the horizon."""
-    o = obs(spark, sf_dir)
-    return feature_rows(o.filter(F.col("obs_date") <= F.lit(HISTORY_HORIZON).cast("date")))
+    return feature_rows(obs(spark, sf_dir, until=HISTORY_HORIZON))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
