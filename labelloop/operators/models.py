@@ -9,6 +9,7 @@ rows that are scored for evaluation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,7 +17,9 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import SQLTransformer, StandardScaler
+from pyspark.ml.feature import ElementwiseProduct, SQLTransformer
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +100,7 @@ def fit_model(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     data = prep.transform(train)
     feat = "features"
     if spec.scale:
-        scaler = StandardScaler(inputCol="features", outputCol="features_scaled", withMean=False, withStd=True).fit(data)
+        scaler = population_scaler(data, "features", "features_scaled")
         stages.append(scaler)
         data = scaler.transform(data)
         feat = "features_scaled"
@@ -113,6 +116,18 @@ def fit_model(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     return PipelineModel(stages=stages)
 
 
+def population_scaler(data: DataFrame, input_col: str, output_col: str) -> ElementwiseProduct:
+    """H7 inside a pipeline: divide every feature by its population standard
+    deviation, no centring (keeps one-hot vectors sparse); a zero deviation
+    scales by 1, so constant features pass through.  Fitted with one
+    ``Summarizer`` pass; the scale vector has one entry per feature."""
+    row = data.select(Summarizer.metrics("std", "count").summary(F.col(input_col)).alias("s")).first()
+    n = float(row["s"]["count"])
+    corr = math.sqrt((n - 1.0) / n) if n > 1 else 1.0
+    scale = [1.0 / (sd * corr) if sd and sd * corr > 0 else 1.0 for sd in row["s"]["std"].toArray()]
+    return ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol=input_col, outputCol=output_col)
+
+
 def _sql_str(v) -> str:
     if v is None:
         return "CAST(NULL AS STRING)"

@@ -82,3 +82,14 @@ def test_model_scores_unknown_category_and_round_trip(spark, tmp_path):
     path = M.save_model(model, str(tmp_path / "m"))
     again = M.score(M.load_model(path), test).collect()
     assert [r["score"] for r in again] == [r["score"] for r in out]
+
+
+def test_population_scaler_matches_population_std(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "a double, c double")
+    v = VectorAssembler(inputCols=["a", "c"], outputCol="f").transform(df)
+    out = M.population_scaler(v, "f", "g").transform(v).select(vector_to_array("g").alias("g")).collect()
+    std_a = np.std([1.0, 2.0, 4.0])                      # population std, as the reference's scaler
+    assert np.allclose([r["g"][0] for r in out], np.array([1.0, 2.0, 4.0]) / std_a)
+    assert [r["g"][1] for r in out] == [5.0, 5.0, 5.0]   # constant column passes through
