@@ -101,15 +101,37 @@ def h5(spark, sf_dir):
                                                                "Month_sin", "Month_cos")])
 
 
-@register("h6_assembled_features")
+_H6_SQL = W("""
+SELECT event_id,
+  CASE WHEN wd = c0 THEN 1e0 ELSE 0e0 END AS f0, CASE WHEN wd = c1 THEN 1e0 ELSE 0e0 END AS f1,
+  CASE WHEN wd = c2 THEN 1e0 ELSE 0e0 END AS f2, CASE WHEN wd = c3 THEN 1e0 ELSE 0e0 END AS f3,
+  CASE WHEN wd = c4 THEN 1e0 ELSE 0e0 END AS f4,
+  ROUND(COALESCE(rainfall, (SELECT AVG(rainfall) FROM num WHERE is_train)), 6) AS f5,
+  ROUND(COALESCE(wind_speed9am, (SELECT AVG(wind_speed9am) FROM num WHERE is_train)), 6) AS f6,
+  ROUND(sin(dayofyear(obs_date) / 365e0 * 2 * pi()), 6) AS f7, ROUND(cos(dayofyear(obs_date) / 365e0 * 2 * pi()), 6) AS f8,
+  ROUND(sin(month(obs_date) / 12e0 * 2 * pi()), 6) AS f9, ROUND(cos(month(obs_date) / 12e0 * 2 * pi()), 6) AS f10
+FROM (SELECT n.*, COALESCE(n.wind_dir, (SELECT wind_dir FROM num WHERE is_train AND wind_dir IS NOT NULL
+        GROUP BY wind_dir ORDER BY COUNT(*) DESC, wind_dir ASC LIMIT 1)) AS wd FROM num n) x,
+     (SELECT MAX(CASE WHEN r = 1 THEN c END) AS c0, MAX(CASE WHEN r = 2 THEN c END) AS c1,
+             MAX(CASE WHEN r = 3 THEN c END) AS c2, MAX(CASE WHEN r = 4 THEN c END) AS c3,
+             MAX(CASE WHEN r = 5 THEN c END) AS c4
+      FROM (SELECT c, ROW_NUMBER() OVER (ORDER BY c) AS r FROM (SELECT DISTINCT COALESCE(wind_dir,
+            (SELECT wind_dir FROM num WHERE is_train AND wind_dir IS NOT NULL GROUP BY wind_dir
+             ORDER BY COUNT(*) DESC, wind_dir ASC LIMIT 1)) AS c FROM num WHERE is_train) d) k) levels""", num=_NUM)
+
+
+@register("h6_assembled_features", _H6_SQL)
 def h6(spark, sf_dir):
-    """H6 (P check): modes filled, then impute + one-hot + cyclic + assemble;
-    exported densely with vector_to_array."""
+    """H6: modes filled, then mean imputation + one-hot (5 wind-direction
+    levels) + cyclic calendar terms assembled into one vector, fitted on the
+    history rows; exported densely as f0..f10 with vector_to_array."""
     x = _num(spark, sf_dir).withColumns({"Dayofyear": F.dayofyear("obs_date"), "Month": F.month("obs_date")})
     train = x.filter("is_train")
-    x = FE.fill(x, FE.fit_modes(train, ["wind_dir"]))
-    model = FE.preprocessing_pipeline(["wind_dir"], ["rainfall", "wind_speed9am"]).fit(FE.fill(train, FE.fit_modes(train, ["wind_dir"])))
-    return model.transform(x).select("event_id", vector_to_array("features").alias("features"))
+    modes = FE.fit_modes(train, ["wind_dir"])
+    model = FE.preprocessing_pipeline(["wind_dir"], ["rainfall", "wind_speed9am"]).fit(FE.fill(train, modes))
+    arr = vector_to_array("features")
+    out = model.transform(FE.fill(x, modes)).select("event_id", arr.alias("__f"))
+    return out.select("event_id", *[r6(F.get("__f", i)).alias(f"f{i}") for i in range(11)])
 
 
 @register("h7_scale_by_std", W("""
