@@ -28,6 +28,30 @@ BASE_CONF = {
 }
 
 
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                     max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized from the input volume for a cluster run.
+
+    The initial shuffle width gives ~``target_partition_bytes`` per task for a
+    shuffle as large as the input (AQE then coalesces small stages down to the
+    advisory size), scans split files at the same size, and skew-join
+    splitting kicks in for partitions 5× the median (a key holding a third of
+    a table is split across many tasks).  Broadcasts stay size-checked by the
+    threshold.  100 TB → 200 000 initial partitions (capped), ~256 MB each.
+    """
+    parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "labelloop",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
