@@ -37,7 +37,8 @@ def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
     advisory size), scans split files at the same size, and skew-join
     splitting kicks in for partitions 5× the median (a key holding a third of
     a table is split across many tasks).  Broadcasts stay size-checked by the
-    threshold.  100 TB → 200 000 initial partitions (capped), ~256 MB each.
+    threshold.  100 TB would need ~410 000 partitions of 256 MB; the cap keeps it
+    at 200 000 (~512 MB per task before AQE re-plans).
     """
     parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
     size = str(target_partition_bytes)
