@@ -42,21 +42,40 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
             T.DecimalType)
 
 
+_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def feature_roles(df: DataFrame, exclude: Iterable[str] = (),
                   calendar: Iterable[str] = ("Dayofyear", "Month")) -> DataFrame:
-    """(column, role) table from the schema: strings are categorical,
-    numbers numeric, calendar and excluded columns left out."""
+    """(column, role) inferred as a CSV reader would: numbers are
+    ``numeric``, dates ``temporal``, and a text column is ``numeric`` when
+    every non-missing value parses as a number, else ``categorical``.
+    One aggregation pass compares non-NULL and parseable counts per text
+    column; calendar and excluded columns are left out."""
+    from labelloop.functions.values import na_to_null
     skip = set(exclude) | set(calendar)
+    fields = [f for f in df.schema.fields if f.name not in skip]
+    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+    checks = []
+    for i, c in enumerate(texts):
+        v = na_to_null(F.col(c))
+        checks += [F.count(v).alias(f"__n{i}"), F.count(F.trim(v).try_cast("double")).alias(f"__p{i}")]
+    row = df.agg(*checks).first() if checks else None
     rows = []
-    for i, f in enumerate(df.schema.fields):
+    for pos, f in enumerate(df.schema.fields):
         if f.name in skip:
             continue
         if isinstance(f.dataType, T.StringType):
-            rows.append((i, f.name, "categorical"))
+            i = texts.index(f.name)
+            role = "numeric" if row[f"__n{i}"] == row[f"__p{i}"] else "categorical"
         elif isinstance(f.dataType, _NUMERIC):
-            rows.append((i, f.name, "numeric"))
-    schema = "position INT, column_name STRING, role STRING"
-    return df.sparkSession.createDataFrame(rows, schema)
+            role = "numeric"
+        elif isinstance(f.dataType, _TEMPORAL):
+            role = "temporal"
+        else:
+            continue
+        rows.append((pos, f.name, role))
+    return df.sparkSession.createDataFrame(rows, "position INT, column_name STRING, role STRING")
 
 
 def role_lists(df: DataFrame, exclude: Iterable[str] = (),

@@ -108,11 +108,23 @@ def b6(spark, sf_dir):
     return o.select("event_id", V.binary_label("rain_tomorrow").alias("label"))
 
 
-@register("b7_feature_roles", """
-SELECT column_name, CASE WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS role
-FROM (DESCRIBE events) WHERE column_type IN ('VARCHAR', 'BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT')""")
+def _b7_sql() -> str:
+    na = ", ".join("'" + t.replace("'", "''") + "'" for t in V.NA_TOKENS)
+
+    def text(c):
+        v = f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {c} END"
+        return (f"SELECT '{c}' AS column_name, CASE WHEN COUNT({v}) = COUNT(TRY_CAST(TRIM({v}) AS DOUBLE)) "
+                f"THEN 'numeric' ELSE 'categorical' END AS role FROM obs")
+    typed = {"event_id": "numeric", "ts": "temporal", "obs_date": "temporal", "wind_speed9am": "numeric"}
+    parts = [f"SELECT '{c}' AS column_name, '{r}' AS role" for c, r in typed.items()]
+    parts += [text(c) for c in ("location", "rainfall_txt", "wind_dir", "rain_tomorrow")]
+    return W("\nUNION ALL\n".join(parts))
+
+
+@register("b7_feature_roles", _b7_sql())
 def b7(spark, sf_dir):
-    return C.feature_roles(fx.table(spark, sf_dir, "events")).select("column_name", "role")
+    """B7 over the observation rows: roles inferred from the values."""
+    return C.feature_roles(fx.obs(spark, sf_dir)).select("column_name", "role")
 
 
 _B8_TEXT = """CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN ' ' || CAST(value AS STRING) || ' '
