@@ -55,12 +55,17 @@ def score_predictions(log: DataFrame, truth: DataFrame, window: int = LIVE_WINDO
 RETRAIN_REQUIRED = ("truth_available", "y_true", "feature_date", "location")
 
 
-def new_labelled_rows(scored: DataFrame, cutoff, id_col: str = "event_id") -> DataFrame:
+def new_labelled_rows(scored: DataFrame, cutoff, id_col: str = "event_id",
+                      drop_null_location: bool = True) -> DataFrame:
     """Rows a retrain may consume: labelled (B20), feature date backfilled
     (B14), strictly after ``cutoff`` (C4; a one-row DataFrame or a Column,
-    NULL parts skipped), last prediction per (location, feature_date) (E2)."""
+    NULL parts skipped), last prediction per (location, feature_date) (E2).
+    The retrain builder drops rows without a location; the counter and the
+    watermark keep them (a missing location is then one dedupe group)."""
     from labelloop.operators.joins import after_cutoff
-    s = labelled_rows(scored).dropna(subset=["location"])
+    s = labelled_rows(scored)
+    if drop_null_location:
+        s = s.dropna(subset=["location"])
     if "target_date" in s.columns:
         s = s.withColumn("feature_date", backfill_feature_date("feature_date", "target_date"))
     s = s.dropna(subset=["feature_date"])
@@ -107,7 +112,7 @@ def count_new_rows(history: DataFrame, scored: DataFrame, watermark: DataFrame |
     horizon = history.select(F.max(F.col(date_col).cast("date")))
     cutoffs = [horizon] if watermark is None else [horizon, watermark.select(F.max("last_feature_date"))]
     cutoff = F.greatest(*[c.scalar() for c in cutoffs]) if len(cutoffs) > 1 else cutoffs[0].scalar()
-    new = new_labelled_rows(scored, cutoff)
+    new = new_labelled_rows(scored, cutoff, drop_null_location=False)
     return new.agg(F.count(F.lit(1)).cast("bigint").alias("new_rows_for_retrain")) \
         .select("new_rows_for_retrain", cutoff.alias("retrain_cutoff_date"))
 
@@ -117,7 +122,7 @@ def advance_watermark(history: DataFrame, scored: DataFrame, previous: DataFrame
     """Last consumed feature date and rows consumed beyond the history horizon;
     when nothing is new the previous watermark row is kept (NULLs if none)."""
     horizon = history.select(F.max(F.col(date_col).cast("date"))).scalar()
-    new = new_labelled_rows(scored, horizon)
+    new = new_labelled_rows(scored, horizon, drop_null_location=False)
     cur = new.agg(F.max("feature_date").alias("last_feature_date"),
                   F.count(F.lit(1)).cast("bigint").alias("consumed_rows"))
     if previous is None:

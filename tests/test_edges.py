@@ -269,3 +269,13 @@ def test_small_class_folds_constant_and_null_columns(spark):
     assert fit_scale(df, ["c"]) == {"c": 1.0}                                       # constant column passes
     means = fit_means(df, ["z"])
     assert means["z"] is None and fill(df, means).filter("z IS NULL").count() == 20  # all-NULL stays NULL
+
+
+def test_counter_keeps_rows_without_location(spark):
+    hist, scored, _ = _hist_and_scored(spark)
+    extra = spark.createDataFrame([(9, dt.datetime(2024, 1, 3), dt.date(2024, 1, 6), dt.date(2024, 1, 7), None, True, 1)],
+                                  scored.schema)
+    both = scored.unionByName(extra)
+    assert count_new_rows(hist, both).first()["new_rows_for_retrain"] == 3
+    _, meta = build_retrain_set(hist, both, _hist_and_scored(spark)[2])
+    assert meta.first()["added_rows"] == 2
