@@ -59,7 +59,10 @@ def evaluate(df: DataFrame, y: str = "y_true", pred: str | None = "prediction",
     """
     groups = list(groups)
     table = _score_table(df, y, pred, score, groups)
-    table = prefix_sums(table, ["__s"], ["__neg"], groups, suffix="_below")
+    if score:
+        table = prefix_sums(table, ["__s"], ["__neg"], groups, suffix="_below")
+    else:  # no ranking needed: AUC is NULL, counts come from the same aggregate
+        table = table.withColumn("__neg_below", F.lit(0).cast("bigint"))
     tp, fp, fn, tn = (F.sum(f"__{c}") for c in ("tp", "fp", "fn", "tn"))
     agg = table.groupBy(*groups).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n"),
