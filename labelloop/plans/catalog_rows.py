@@ -16,7 +16,6 @@ from labelloop.operators.trials import best_trial, patience_stop
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import HISTORY_HORIZON, with_fixtures as W
-from labelloop.sources.schemas import TARGET_SCHEMA
 from labelloop.sources.stations import lookup_dimension
 
 H = HISTORY_HORIZON

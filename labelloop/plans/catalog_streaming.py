@@ -6,7 +6,6 @@ directory and drives the stream to completion with ``availableNow``.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from labelloop.operators.dedup import last_per_key
 from labelloop.plans import catalog_io, catalog_rows  # noqa: F401  (oracles reused below)

@@ -22,11 +22,18 @@ LOG_REQUIRED = ("logged_at", "target_date", "location", "predicted_rain")
 
 
 def score_log(log: DataFrame, truth: DataFrame, *, truth_keys=("location", "obs_date"),
-              measure: str = "rainfall", id_col: str = "event_id") -> DataFrame:
+              measure: str = "rainfall", id_col: str = "event_id",
+              truth_order: tuple[str, ...] | None = None) -> DataFrame:
     """I3 part 1 — the scored log: keys complete (B15), last prediction per
     (location, target_date) wins (E1), feature date backfilled (B14), truth
-    attached with a three-valued label (C1, B16)."""
+    attached with a three-valued label (C1, B16).
+
+    ``truth`` must hold one row per key; pass ``truth_order`` to hand in raw
+    observations instead (the last one per key by that order wins, E4), so
+    the join never multiplies predictions."""
     require_columns(log, LOG_REQUIRED)
+    if truth_order:
+        truth = last_per_key(truth, list(truth_keys), list(truth_order))
     order = ["logged_at", id_col] if id_col in log.columns else ["logged_at"]
     p = log.dropna(subset=["logged_at", "target_date", "location"])
     p = last_per_key(p, keys=["location", "target_date"], order_cols=order)

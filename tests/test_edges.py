@@ -279,3 +279,15 @@ def test_counter_keeps_rows_without_location(spark):
     assert count_new_rows(hist, both).first()["new_rows_for_retrain"] == 3
     _, meta = build_retrain_set(hist, both, _hist_and_scored(spark)[2])
     assert meta.first()["added_rows"] == 2
+
+
+def test_score_log_takes_last_observation_of_a_date(spark):
+    from labelloop.plans.jobs import score_log
+    log = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), dt.date(2024, 1, 1), dt.date(2024, 1, 2), "A", 0.7, 1)],
+                                "event_id long, logged_at timestamp, feature_date date, target_date date, "
+                                "location string, rain_probability double, predicted_rain int")
+    obs = spark.createDataFrame([("A", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 9), 3.0),
+                                 ("A", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 15), 0.0)],
+                                "location string, obs_date date, ts timestamp, rainfall double")
+    rows = score_log(log, obs, truth_order=("ts",)).collect()
+    assert len(rows) == 1 and rows[0]["observed_rainfall_mm"] == 0.0 and rows[0]["y_true"] == 0

@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloop.operators.cleaning import parse_payload
