@@ -1,6 +1,8 @@
 """User-level jobs (I1–I9), composed from the operators.
 
-Each job is a lazy DataFrame plan; the caller decides where it is written.
+Jobs return DataFrames and leave writing to the caller.  Plans stay lazy
+except where a job needs a value first (one-row statistics, model fits) or
+materialises an intermediate table in the checkpoint directory (ranks).
 """
 
 from __future__ import annotations
