@@ -93,3 +93,27 @@ def test_population_scaler_matches_population_std(spark):
     std_a = np.std([1.0, 2.0, 4.0])                      # population std, as the reference's scaler
     assert np.allclose([r["g"][0] for r in out], np.array([1.0, 2.0, 4.0]) / std_a)
     assert [r["g"][1] for r in out] == [5.0, 5.0, 5.0]   # constant column passes through
+
+
+def test_minimal_payload_is_scorable(spark):
+    """The reference's API contract: a payload with only Date and Location
+    (every measurement missing) still gets a probability and a class."""
+    from pyspark.sql import types as T
+    from labelloop.operators.cleaning import parse_payload
+    from labelloop.plans.jobs import prepare_dataset
+    rows = [(f"2024-01-{1 + i % 28:02d}", "AB"[i % 2], float(i % 9), float(i % 5), "NS"[i % 2], "YN"[i % 3 == 0],
+             "Yes" if i % 4 == 0 else "No") for i in range(80)]
+    train = spark.createDataFrame(rows, "Date string, Location string, Rainfall double, WindSpeed9am double, "
+                                        "WindDir9am string, RainToday string, RainTomorrow string")
+    data = prepare_dataset(train.withColumn("row_id", F.monotonically_increasing_id()))
+    spec = M.ModelSpec(categorical=["Location", "WindDir9am", "RainToday"], numeric=["Rainfall", "WindSpeed9am"],
+                       kind="gbt", params={"maxIter": 3, "maxDepth": 2})
+    model = M.fit_model(data, spec)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("Date", "Location", "WindDir9am", "RainToday")]
+                          + [T.StructField(c, T.DoubleType()) for c in ("Rainfall", "WindSpeed9am")])
+    payload = spark.createDataFrame([('{"Date": "2024-02-01", "Location": "Sydney"}',)], "p string")
+    ok, rejected = parse_payload(payload, "p", schema, ["Date", "Location"])
+    assert rejected.count() == 0
+    feats = ok.withColumns({"Dayofyear": F.dayofyear(F.to_date("Date")), "Month": F.month(F.to_date("Date"))})
+    r = M.score(model, feats).first()
+    assert 0.0 <= r["score"] <= 1.0 and r["predicted"] == int(r["score"] >= 0.5)
