@@ -108,21 +108,23 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
              accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max.
 
-    Exact quartiles come from :func:`exact_quantiles` (distributed, one small
-    row per column, attached as a scalar subquery); ``exact=False`` uses
-    ``percentile_approx`` inside the single aggregation pass instead.
+    Exact quartiles come from :func:`exact_quantiles` over the unpivoted
+    (column, value) rows, one distributed pipeline for all columns;
+    ``exact=False`` uses ``percentile_approx`` inside the single aggregation
+    pass instead.
     """
     cols = list(columns)
     if not exact:
         exprs = [e for i, c in enumerate(cols) for e in _stat_exprs(c, i, False, accuracy)]
         return _unpivot(df.agg(*exprs), cols, STATS)
-    wide = df.agg(*[e for i, c in enumerate(cols) for e in _moments(c, i)])
-    for i, c in enumerate(cols):
-        q = exact_quantiles(df, c)
-        wide = wide.withColumn(f"__q{i}", q.select(F.struct("p25", "p50", "p75")).scalar())
-        wide = wide.withColumns({f"{m}__{i}": F.col(f"__q{i}.{m}") for m in ("p25", "p50", "p75")}) \
-            .drop(f"__q{i}")
-    return _unpivot(wide, cols, STATS)
+    moments = _unpivot(df.agg(*[e for i, c in enumerate(cols) for e in _moments(c, i)]), cols,
+                       ("count", "mean", "std", "min", "max"))
+    # all columns' quartiles in one pipeline: (column_name, value) rows grouped by column
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                 F.col(c).cast("double").alias("value")) for c in cols])))
+    q = exact_quantiles(long, "value", groups=["column_name"])
+    out = moments.join(q, on="column_name", how="left")
+    return out.select("column_name", *STATS)
 
 
 def grouped_describe(df: DataFrame, by: str, column: str, exact: bool = True,
