@@ -1,9 +1,10 @@
 """Structured Streaming forms of the feedback loop.
 
-* J1 — the prediction log is a file-stream source; every micro-batch lands
-  in its own ``batch_id=N`` directory (overwrite of that directory only, so a
-  replayed batch after a failure is idempotent) and the checkpoint makes a
-  second run consume nothing.  Last-wins (E1) is applied when the table is
+* J1 — the prediction log is a file-stream source; every micro-batch is
+  deduplicated last-wins inside ``foreachBatch`` and lands in its own
+  ``batch_id=N`` directory (overwrite of that directory only, so a replayed
+  batch after a failure is idempotent); the checkpoint makes a second run
+  consume nothing.  Last-wins across batches is applied when the table is
   read, because an append stream cannot replace an earlier row.
 * J2 — predictions and truth as two streams, inner-joined on
   (location, date) with event-time watermarks on both sides, so join state is
@@ -36,15 +37,19 @@ def _run(writer) -> None:
 
 
 def ingest_log(spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str,
-               max_files_per_trigger: int | None = None) -> None:
-    """Consume new log files once; each micro-batch → ``table/batch_id=N``."""
+               max_files_per_trigger: int | None = None, keys=("location", "target_date"),
+               order=("logged_at", "event_id")) -> None:
+    """Consume new log files once; each micro-batch is deduplicated
+    last-wins (E1) within itself and lands in ``table/batch_id=N``, so a batch
+    directory holds at most one row per key."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(table, f"batch_id={batch_id}"))
+        last_per_key(batch, list(keys), list(order)).write.mode("overwrite") \
+            .parquet(os.path.join(table, f"batch_id={batch_id}"))
 
     _run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
