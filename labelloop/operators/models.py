@@ -145,7 +145,7 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = DEFAULT_THRESH
     return out.withColumn("score", margin).withColumn("predicted", (margin > 0).cast("int"))
 
 
-def cross_validate(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 2,
+def cross_validate(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4,
                    threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """One fit per fold on the other folds; out-of-fold scores unioned and
     evaluated per fold (D13 + D14).  Fits run as concurrent Spark jobs."""
@@ -156,7 +156,7 @@ def cross_validate(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", paral
         held = score(model, df.filter(F.col(fold_col) == f), threshold)
         return held.select(F.lit(f).alias(fold_col), F.col(spec.label).cast("int").alias("y"), "predicted", "score")
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
         parts = list(pool.map(one, folds))
     oof = parts[0]
     for p in parts[1:]:

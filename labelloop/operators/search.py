@@ -11,6 +11,7 @@ schedules jobs — it never holds data beyond one wave of parameter rows.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,12 +76,18 @@ def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: st
     spark = data.sparkSession
     params = [r.asDict() for r in trials.orderBy("n").collect()]   # the trial plan: tens of rows
     done: list[tuple] = []
+
+    def evaluate_trial(p: dict) -> tuple:
+        p = dict(p)
+        n = int(p.pop("n"))
+        m = cross_validate(data, replace(spec, params=to_params(p)), fold_col)
+        value = m.agg(F.avg(objective)).first()[0]
+        return study, n, None if value is None else float(value), p
+
     for start in range(0, len(params), wave):
-        for p in params[start:start + wave]:
-            n = int(p.pop("n"))
-            m = cross_validate(data, replace(spec, params=to_params(p)), fold_col)
-            value = m.agg(F.avg(objective)).first()[0]
-            done.append((study, n, None if value is None else float(value), p))
+        # the trials of one wave are independent: their CV jobs run concurrently
+        with ThreadPoolExecutor(max_workers=wave) as pool:
+            done += list(pool.map(evaluate_trial, params[start:start + wave]))
         table = spark.createDataFrame([(s, n, v) for s, n, v, _ in done], "study STRING, n BIGINT, value DOUBLE")
         if patience_stop(table, min_delta=min_delta, patience=patience).first()["stopped_at"] is not None:
             break
@@ -101,7 +108,6 @@ def retrain_with_best(data: DataFrame, spec: ModelSpec, best: DataFrame, to_para
     model = fit_model(data, replace(spec, params=params))
     if model_path:
         save_model(model, model_path)
-    spark = data.sparkSession
     meta = data.agg(F.count(F.lit(1)).cast("bigint").alias("rows_used")).select(
         F.current_timestamp().alias("trained_at_utc"), F.lit(model_path).alias("model_path"), "rows_used",
         F.lit(row["study_name"] if row else None).alias("best_study_name"),
