@@ -103,12 +103,26 @@ def i5(spark, sf_dir):
 
 
 @register("i6_advance_watermark", W("""
-SELECT max(feature_date) AS last_feature_date, CAST(COUNT(*) AS BIGINT) AS consumed_rows FROM newl""",
+SELECT max(feature_date) AS last_feature_date, CAST(COUNT(*) AS BIGINT) AS consumed_rows,
+       CAST(COUNT(*) AS BIGINT) AS rows_beyond_previous FROM newl""",
                                     hist=_I4_CTES["hist"], newl=_newl("SELECT max(Date) FROM hist")))
 def i6(spark, sf_dir):
     return advance_watermark(fx.history(spark, sf_dir), fx.scored(spark, sf_dir))
 
 
+@register("i6_watermark_delta", W("""
+SELECT max(feature_date) AS last_feature_date, CAST(COUNT(*) AS BIGINT) AS consumed_rows,
+       CAST(SUM(CASE WHEN feature_date > (SELECT max(feature_date) FROM wm_rows) THEN 1 ELSE 0 END) AS BIGINT)
+         AS rows_beyond_previous FROM newl""", hist=_I4_CTES["hist"], newl=_newl("SELECT max(Date) FROM hist"),
+                                  wm_rows=_newl("SELECT max(Date) FROM hist", _SNAPSHOT)))
+def i6_delta(spark, sf_dir):
+    """I6 twice: advanced on the log as of 2024-01-25, then on the whole log;
+    the second row reports how many consumed rows lie beyond the first."""
+    hist, scored = fx.history(spark, sf_dir), fx.scored(spark, sf_dir)
+    earlier = scored.filter(F.col("logged_at") < F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
+    return advance_watermark(hist, scored, previous=advance_watermark(hist, earlier))
+
+
 @register("i8_retrain_decision", W(f"""
 SELECT scope, status, ROUND(recall_combined_cv, 6) AS recall_combined_cv, new_rows_for_retrain,
   CASE WHEN status <> 'ok' THEN 'skip_optuna' WHEN new_rows_for_retrain < 60 THEN 'skip_optuna'

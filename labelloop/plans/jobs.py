@@ -128,21 +128,25 @@ def count_new_rows(history: DataFrame, scored: DataFrame, watermark: DataFrame |
 
 def advance_watermark(history: DataFrame, scored: DataFrame, previous: DataFrame | None = None,
                       date_col: str = "Date") -> DataFrame:
-    """Last consumed feature date and rows consumed beyond the history horizon;
-    when nothing is new the previous watermark row is kept (NULLs if none)."""
+    """Last consumed feature date and rows consumed beyond the history
+    horizon (the reference counts from the horizon, not from the previous
+    watermark); ``rows_beyond_previous`` reports the delta since ``previous``.
+    When nothing is new the previous watermark row is kept (NULLs if none)."""
     horizon = history.select(F.max(F.col(date_col).cast("date"))).scalar()
     new = new_labelled_rows(scored, horizon, drop_null_location=False)
+    prev_d = previous.select(F.max("last_feature_date")).scalar() if previous is not None \
+        else F.lit(None).cast("date")
     cur = new.agg(F.max("feature_date").alias("last_feature_date"),
-                  F.count(F.lit(1)).cast("bigint").alias("consumed_rows"))
-    if previous is None:
-        return cur.select(F.col("last_feature_date"),
-                          F.when(F.col("last_feature_date").isNotNull(), F.col("consumed_rows"))
-                          .alias("consumed_rows"))
-    prev_d = previous.select(F.max("last_feature_date")).scalar()
-    prev_n = previous.select(F.max("consumed_rows")).scalar()
+                  F.count(F.lit(1)).cast("bigint").alias("consumed_rows"),
+                  F.count(F.when(prev_d.isNull() | (F.col("feature_date") > prev_d), 1)).cast("bigint")
+                  .alias("rows_beyond_previous"))
     moved = F.col("last_feature_date").isNotNull()
+    prev_n = previous.select(F.max("consumed_rows")).scalar() if previous is not None \
+        else F.lit(None).cast("bigint")
     return cur.select(F.when(moved, F.col("last_feature_date")).otherwise(prev_d).alias("last_feature_date"),
-                      F.when(moved, F.col("consumed_rows")).otherwise(prev_n).alias("consumed_rows"))
+                      F.when(moved, F.col("consumed_rows")).otherwise(prev_n).alias("consumed_rows"),
+                      F.when(moved, F.col("rows_beyond_previous")).otherwise(F.lit(0).cast("bigint"))
+                      .alias("rows_beyond_previous"))
 
 
 # ---- fixed values (retrain gate defaults) ----------------------------------
@@ -221,6 +225,10 @@ def tune_retrain_advance(history: DataFrame, scored: DataFrame, observations: Da
     log feeds both the training set and the watermark."""
     from labelloop.operators.search import retrain_with_best, run_search
     from labelloop.operators.split import stratified_folds
+    from labelloop.session import cut_lineage
+    # one snapshot of the scored log feeds the training set and the watermark
+    # (rows logged while tuning runs are not marked as consumed)
+    scored = cut_lineage(scored)
     data, _ = _retrain_rows(history, scored, observations)
     data = stratified_folds(data, "label", "event_id", k=k)
     _, best = run_search(data, spec, trials, study=study, wave=2)
