@@ -41,15 +41,22 @@ def _join_on_part(big: DataFrame, small: DataFrame, group_cols: Sequence[str]) -
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-                rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
+                rank_col: str = "rank", num_partitions: int | None = None,
+                bucket=None) -> DataFrame:
     """Add ``rank_col`` = 1-based position within ``group_cols`` by ``order_cols``.
 
-    ``group_cols + order_cols`` must identify a row uniquely.
+    ``group_cols + order_cols`` must identify a row uniquely.  ``bucket`` is an
+    optional integer Column, non-decreasing in the order and evenly spread
+    (e.g. leading digits of a hash key): rows are then hash-partitioned on
+    (group, bucket) with no range sampling and no checkpoint, because the
+    placement is a pure function of each row.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucket is not None:
+        return _bucket_rank(df.withColumn("__b", bucket), order_cols, group_cols, rank_col, n)
     placed = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("__mid", F.monotonically_increasing_id())
@@ -70,6 +77,26 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
     ).drop("__mid", "__pid", "__pos", "__first", "__before")
 
 
+def _bucket_rank(df: DataFrame, order_cols: list[str], group_cols: list[str], rank_col: str,
+                 n: int) -> DataFrame:
+    """Rank by (group, bucket, order): every (group, bucket) lives in one hash
+    partition, contiguous after the sort; offsets are sums over earlier buckets
+    of the group, from a table of groups × buckets rows."""
+    placed = (df.repartition(n, *group_cols, "__b")
+              .sortWithinPartitions(*group_cols, "__b", *order_cols)
+              .withColumn("__mid", F.monotonically_increasing_id())
+              .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
+    per = placed.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first"))
+    earlier = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    ren = per.select(*[F.col(c).alias(f"__g_{c}") for c in group_cols], F.col("__b").alias("__b2"),
+                     "__first", "__before")
+    cond = [F.col("__b") == F.col("__b2")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in group_cols]
+    ranked = placed.join(ren, on=cond, how="inner")
+    return ranked.withColumn(rank_col, F.col("__before") + F.col("__pos") - F.col("__first") + F.lit(1)) \
+        .drop("__b", "__b2", "__mid", "__pos", "__first", "__before", *[f"__g_{c}" for c in group_cols])
+
+
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), suffix: str = "_before",
                 num_partitions: int | None = None) -> DataFrame:

@@ -2,8 +2,10 @@
 
 Rows are ordered inside their class by ``md5(seed ‖ key)`` (then the key),
 which is a reproducible shuffle that any engine can recompute.  Positions
-come from :func:`labelloop.operators.ordering.global_rank`, so a class with
-billions of rows is ranked by many tasks, not by one window partition.
+come from :func:`labelloop.operators.ordering.global_rank` in its bucket
+mode: the leading hash digits give evenly filled, order-preserving buckets,
+so a class with billions of rows is ranked by many tasks, with no sampling
+pass and no materialised copy.
 
 ``exact=False`` skips ranking: a row goes to the test side when its hash,
 read as a fraction, is below the test share — no shuffle at all, class
@@ -28,6 +30,19 @@ def shuffle_key(key: str, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
 
 
+def _hash_bucket(key: str, seed: int, buckets: int) -> Column:
+    """Bucket from the first 15 hex digits of the shuffle key: non-decreasing
+    in the key's order and evenly spread, so ranks need no range sampling."""
+    h = F.conv(F.substring(shuffle_key(key, seed), 1, 15), 16, 10).cast("decimal(20,0)")
+    return F.floor(h * F.lit(buckets) / F.lit(16 ** 15)).cast("int")
+
+
+def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return global_rank(df.withColumn("__h", shuffle_key(key, seed)), ["__h", key], [label], "__r",
+                       bucket=_hash_bucket(key, seed, n))
+
+
 def _hash_fraction(key: str, seed: int) -> Column:
     # first 8 hex digits of the md5 as an integer in [0, 2^32), scaled to [0, 1)
     h = F.conv(F.substring(shuffle_key(key, seed), 1, 8), 16, 10).cast("double")
@@ -40,7 +55,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TE
     if not exact:
         return df.withColumn(split_col, F.when(_hash_fraction(key, seed) < test_share, "test")
                              .otherwise("train"))
-    ranked = global_rank(df.withColumn("__h", shuffle_key(key, seed)), ["__h", key], [label], "__r")
+    ranked = _ranked(df, label, key, seed)
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     out = ranked.join(sizes.withColumnRenamed(label, "__lab"),
                       on=F.col(label).eqNullSafe(F.col("__lab")), how="inner")
@@ -56,5 +71,5 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = FOLDS, seed:
     if not exact:
         h = F.conv(F.substring(shuffle_key(key, seed), 1, 8), 16, 10).cast("bigint")
         return df.withColumn(fold_col, (h % k).cast("int"))
-    ranked = global_rank(df.withColumn("__h", shuffle_key(key, seed)), ["__h", key], [label], "__r")
+    ranked = _ranked(df, label, key, seed)
     return ranked.withColumn(fold_col, ((F.col("__r") - 1) % k).cast("int")).drop("__h", "__r")

@@ -291,3 +291,13 @@ def test_score_log_takes_last_observation_of_a_date(spark):
                                 "location string, obs_date date, ts timestamp, rainfall double")
     rows = score_log(log, obs, truth_order=("ts",)).collect()
     assert len(rows) == 1 and rows[0]["observed_rainfall_mm"] == 0.0 and rows[0]["y_true"] == 0
+
+
+def test_bucket_rank_equals_row_number(spark):
+    from pyspark.sql import Window
+    from labelloop.operators.split import _hash_bucket, shuffle_key
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("g")).withColumn("h", shuffle_key("id"))
+    got = global_rank(df, ["h", "id"], ["g"], "r", num_partitions=11, bucket=_hash_bucket("id", 42, 11))
+    want = df.withColumn("w", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")))
+    assert got.count() == 5000
+    assert got.join(want, ["g", "h", "id"]).filter("r <> w").count() == 0
