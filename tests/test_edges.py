@@ -301,3 +301,13 @@ def test_bucket_rank_equals_row_number(spark):
     want = df.withColumn("w", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")))
     assert got.count() == 5000
     assert got.join(want, ["g", "h", "id"]).filter("r <> w").count() == 0
+
+
+def test_auc_equals_spark_ml_exact_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    df = spark.range(3000).select((F.col("id") % 3 == 0).cast("double").alias("y"),
+                                  (F.round(F.rand(7), 2) + (F.col("id") % 3 == 0).cast("double") * 0.1)
+                                  .alias("s"))                       # many ties (2-digit scores)
+    ours = evaluate(df, y="y", pred=None, score="s").first()["roc_auc"]
+    ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", metricName="areaUnderROC", numBins=0)
+    assert abs(ours - ev.evaluate(df)) < 1e-9
