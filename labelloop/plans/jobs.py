@@ -7,7 +7,7 @@ materialises an intermediate table in the checkpoint directory (ranks).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloop.functions.dates import backfill_feature_date
@@ -64,6 +64,16 @@ def score_predictions(log: DataFrame, truth: DataFrame, window: int = LIVE_WINDO
 RETRAIN_REQUIRED = ("truth_available", "y_true", "feature_date", "location")
 
 
+def _latest_date(df: DataFrame, col: str):
+    """A one-row aggregate read once on the driver (a date or None); used as a
+    literal bound, so it is not re-planned per use and can prune scans."""
+    return df.agg(F.max(F.col(col).cast("date"))).first()[0]
+
+
+def _date_lit(d) -> Column:
+    return F.lit(d).cast("date")
+
+
 def new_labelled_rows(scored: DataFrame, cutoff, id_col: str = "event_id",
                       drop_null_location: bool = True) -> DataFrame:
     """Rows a retrain may consume: labelled (B20), feature date backfilled
@@ -101,7 +111,7 @@ def build_retrain_set(history: DataFrame, scored: DataFrame | None, observations
     if scored is None or not require_columns(scored, RETRAIN_REQUIRED, on_missing="empty"):
         merged = tagged_hist
     else:
-        horizon = history.select(F.max(F.col(date_col).cast("date")))
+        horizon = _date_lit(_latest_date(history, date_col))
         new = new_labelled_rows(scored, horizon)
         new = exclude_known(new, history, ["feature_date", "location"], [date_col, key_col])
         feats = observations.drop(label_col)
@@ -117,10 +127,13 @@ def build_retrain_set(history: DataFrame, scored: DataFrame | None, observations
 
 def count_new_rows(history: DataFrame, scored: DataFrame, watermark: DataFrame | None = None,
                    date_col: str = "Date") -> DataFrame:
-    """One row — new labelled rows beyond ``max(history horizon, watermark)`` and that cutoff."""
-    horizon = history.select(F.max(F.col(date_col).cast("date")))
-    cutoffs = [horizon] if watermark is None else [horizon, watermark.select(F.max("last_feature_date"))]
-    cutoff = F.greatest(*[c.scalar() for c in cutoffs]) if len(cutoffs) > 1 else cutoffs[0].scalar()
+    """One row — new labelled rows beyond ``max(history horizon, watermark)`` and that cutoff
+    (a missing or unreadable watermark date is skipped)."""
+    dates = [_latest_date(history, date_col)]
+    if watermark is not None:
+        dates.append(_latest_date(watermark, "last_feature_date"))
+    present = [d for d in dates if d is not None]
+    cutoff = _date_lit(max(present) if present else None)
     new = new_labelled_rows(scored, cutoff, drop_null_location=False)
     return new.agg(F.count(F.lit(1)).cast("bigint").alias("new_rows_for_retrain")) \
         .select("new_rows_for_retrain", cutoff.alias("retrain_cutoff_date"))
@@ -132,17 +145,18 @@ def advance_watermark(history: DataFrame, scored: DataFrame, previous: DataFrame
     horizon (the reference counts from the horizon, not from the previous
     watermark); ``rows_beyond_previous`` reports the delta since ``previous``.
     When nothing is new the previous watermark row is kept (NULLs if none)."""
-    horizon = history.select(F.max(F.col(date_col).cast("date"))).scalar()
+    horizon = _date_lit(_latest_date(history, date_col))
     new = new_labelled_rows(scored, horizon, drop_null_location=False)
-    prev_d = previous.select(F.max("last_feature_date")).scalar() if previous is not None \
-        else F.lit(None).cast("date")
+    # the previous watermark is a one-row document: read it once, use literals
+    row = previous.agg(F.max("last_feature_date").alias("d"), F.max("consumed_rows").alias("n")).first() \
+        if previous is not None else None
+    prev_d = F.lit(row["d"] if row else None).cast("date")
+    prev_n = F.lit(row["n"] if row else None).cast("bigint")
     cur = new.agg(F.max("feature_date").alias("last_feature_date"),
                   F.count(F.lit(1)).cast("bigint").alias("consumed_rows"),
                   F.count(F.when(prev_d.isNull() | (F.col("feature_date") > prev_d), 1)).cast("bigint")
                   .alias("rows_beyond_previous"))
     moved = F.col("last_feature_date").isNotNull()
-    prev_n = previous.select(F.max("consumed_rows")).scalar() if previous is not None \
-        else F.lit(None).cast("bigint")
     return cur.select(F.when(moved, F.col("last_feature_date")).otherwise(prev_d).alias("last_feature_date"),
                       F.when(moved, F.col("consumed_rows")).otherwise(prev_n).alias("consumed_rows"),
                       F.when(moved, F.col("rows_beyond_previous")).otherwise(F.lit(0).cast("bigint"))
