@@ -88,6 +88,21 @@ def evaluate(df: DataFrame, y: str = "y_true", pred: str | None = "prediction",
     return out
 
 
+def rollup_counts(per_group: DataFrame, groups: Sequence[str] = (), suffix: str = "") -> DataFrame:
+    """Counter-based metrics (accuracy, precision, recall, F1) of a coarser
+    grouping, summed from the counters of a finer one — no second pass over
+    the rows.  AUC is not additive and is left NULL."""
+    s = per_group.groupBy(*groups).agg(*[F.sum(c).cast("bigint").alias(c)
+                                         for c in ("n", "positives", "tp", "fp", "fn", "tn")])
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return s.select(*groups, "n", "positives", "tp", "fp", "fn", "tn",
+                    _ratio(tp + tn, F.col("n")).alias(f"accuracy{suffix}"),
+                    _ratio(tp, tp + fp).alias(f"precision{suffix}"),
+                    _ratio(tp, tp + fn).alias(f"recall{suffix}"),
+                    _ratio(tp * 2, tp * 2 + fp + fn).alias(f"f1{suffix}"),
+                    F.lit(None).cast("double").alias(f"roc_auc{suffix}"))
+
+
 def roc_auc(df: DataFrame, y: str, score: str, groups: Sequence[str] = ()) -> DataFrame:
     """D14 alone: exact ROC AUC per group."""
     return evaluate(df, y=y, pred=None, score=score, groups=groups).select(*groups, "roc_auc")

@@ -141,14 +141,16 @@ FROM (SELECT q.scope, CASE WHEN q.pos > 0 AND q.pos < q.n THEN 'ok' ELSE 'not_en
   UNION ALL SELECT 'ALL', COUNT(*) FROM newl"""))
 def i8(spark, sf_dir):
     """I8 over per-station quality rows plus one overall row."""
+    from labelloop.operators.metrics import rollup_counts
+    from labelloop.plans.jobs import _date_lit, _latest_date
     scored = fx.scored(spark, sf_dir)
     lab = labelled_rows(scored)
     per = evaluate(lab, y="y_true", pred="predicted_rain", groups=["location"]).withColumnRenamed("location", "scope")
-    overall = evaluate(lab, y="y_true", pred="predicted_rain").withColumn("scope", F.lit("ALL"))
+    overall = rollup_counts(per).withColumn("scope", F.lit("ALL"))     # summed counters, no second pass
     q = per.unionByName(overall).select(
         "scope", F.when((F.col("positives") > 0) & (F.col("positives") < F.col("n")), "ok")
         .otherwise("not_enough_classes").alias("status"), F.col("recall").alias("recall_combined_cv"))
-    horizon = fx.history(spark, sf_dir).select(F.max("Date"))
+    horizon = _date_lit(_latest_date(fx.history(spark, sf_dir), "Date"))
     new = new_labelled_rows(scored, horizon)
     c = new.groupBy(F.col("location").alias("scope")).agg(F.count(F.lit(1)).alias("cnt")) \
         .unionByName(new.agg(F.count(F.lit(1)).alias("cnt")).withColumn("scope", F.lit("ALL")))
