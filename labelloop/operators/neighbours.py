@@ -158,6 +158,7 @@ def smote(df: DataFrame, label_col: str, *, id_col: str = "id", vec_col: str = "
     synthetic rows only: (base_id, copy, neighbour_id, gap, vec, label).
     """
     from labelloop.operators.ordering import global_rank
+    df = df.filter(F.col(label_col).isNotNull())
     counts = df.groupBy(F.col(label_col) == F.lit(minority)).count().collect()   # two rows
     n_min = sum(r["count"] for r in counts if r[0])
     n_maj = sum(r["count"] for r in counts if not r[0])
