@@ -144,22 +144,25 @@ def h22(spark, sf_dir):
 
 @register("h23_score_every_station")
 def h23(spark, sf_dir):
-    """A10 + E4 + H22: latest observation of every station; a station outside
-    the dimension gets an error string instead of failing the batch."""
+    """A10 + E4 + H22 for every station of the dimension or the observations:
+    latest observation scored; an unknown station or a station without an
+    observation gets an error string instead of failing the batch."""
     data = prepared(spark, sf_dir)
     model = M.fit_model(data, SPEC)
-    stations = fx.truth(spark, sf_dir).select(F.col("location").alias("station")).distinct() \
-        .withColumn("code", F.col("station"))
+    dim = fx.truth(spark, sf_dir).select("location").distinct().withColumn("code", F.col("location"))
     latest = last_per_key(fx.obs(spark, sf_dir), ["location"], ["obs_date", "ts", "event_id"])
-    known = lookup_dimension(latest, stations.withColumnRenamed("station", "location"), "location", "code")
-    rows = fx.feature_rows(known, keep=("event_id", "is_known"))
-    rows = rows.withColumns({"Dayofyear": F.dayofyear("Date"), "Month": F.month("Date")})
-    s = M.score(model, rows)
-    ok = F.col("is_known")
-    return s.select(F.col("Location").alias("location"), "event_id",
-                    F.when(ok, r6("score")).alias("rain_probability"),
-                    F.when(ok, F.col("predicted")).alias("rain_tomorrow"),
-                    F.when(~ok, F.lit("unknown station")).alias("error"))
+    stations = dim.select("location").unionByName(latest.select("location")).distinct()
+    rows = lookup_dimension(stations, dim, "location", "code").join(latest, "location", "left")
+    feats = fx.feature_rows(rows, keep=("event_id", "is_known"))
+    feats = feats.withColumns({"Dayofyear": F.dayofyear("Date"), "Month": F.month("Date")})
+    error = (F.when(~F.col("is_known"), F.lit("unknown station"))
+             .when(F.col("event_id").isNull(), F.lit("no observation")))
+    ok = error.isNull()
+    s = M.score(model, feats.filter(F.col("event_id").isNotNull())).select("Location", "score", "predicted")
+    out = feats.select("Location", "event_id", "is_known").join(s, "Location", "left")
+    return out.select(F.col("Location").alias("location"), "event_id",
+                      F.when(ok, r6("score")).alias("rain_probability"),
+                      F.when(ok, F.col("predicted")).alias("rain_tomorrow"), error.alias("error"))
 
 
 @register("h24_model_round_trip")
