@@ -311,3 +311,21 @@ def test_auc_equals_spark_ml_exact_evaluator(spark):
     ours = evaluate(df, y="y", pred=None, score="s").first()["roc_auc"]
     ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", metricName="areaUnderROC", numBins=0)
     assert abs(ours - ev.evaluate(df)) < 1e-9
+
+
+def test_approximate_switches_stay_close(spark):
+    from labelloop.operators.profile import describe, distinct_counts
+    from labelloop.operators.split import stratified_folds, stratified_split
+    df = spark.range(20000).select("id", (F.col("id") % 1000).cast("double").alias("x"),
+                                   (F.col("id") % 4 == 0).cast("int").alias("y"))
+    ex = {r["column_name"]: r for r in describe(df, ["x"]).collect()}["x"]
+    ap = {r["column_name"]: r for r in describe(df, ["x"], exact=False).collect()}["x"]
+    assert ap["count"] == ex["count"] and abs(ap["p50"] - ex["p50"]) <= 2.0
+    dc = {r["column_name"]: r["n_unique"] for r in distinct_counts(df, ["x"], exact=False).collect()}
+    assert abs(dc["x"] - 1000) <= 50
+    s = stratified_split(df, "y", "id", 0.2, exact=False)
+    share = s.filter("split = 'test'").count() / 20000
+    assert 0.18 < share < 0.22
+    f = stratified_folds(df, "y", "id", k=5, exact=False)
+    sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 3600
