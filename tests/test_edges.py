@@ -330,3 +330,29 @@ def test_approximate_switches_stay_close(spark):
     f = stratified_folds(df, "y", "id", k=5, exact=False)
     sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
     assert len(sizes) == 5 and min(sizes) > 3600
+
+
+def test_metrics_report_first_present_name(spark):
+    from labelloop.operators.metrics import metrics_report
+    live = spark.createDataFrame([(0.12345, None)], "accuracy_live double, recall_live double")
+    cv = spark.createDataFrame([(0.5, 0.6666)], "accuracy_combined_cv double, recall double")
+    rows = {r["source"]: r for r in metrics_report({"live": live, "combined_cv": cv}).collect()}
+    assert rows["live"]["accuracy"] == 0.123 and rows["live"]["recall"] is None and rows["live"]["f1"] is None
+    assert rows["combined_cv"]["accuracy"] == 0.5 and rows["combined_cv"]["recall"] == 0.667
+
+
+def test_conform_and_alias_pick(spark):
+    from pyspark.sql import types as T
+    from labelloop.functions.headers import normalise_header, pick
+    from labelloop.operators.cleaning import conform
+    df = spark.createDataFrame([("3", "x", "extra")], "b string, a string, z string")
+    target = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.DoubleType()),
+                           T.StructField("c", T.DateType())])
+    out = conform(df, target)
+    assert out.columns == ["a", "b", "c"] and out.first()["b"] == 3.0 and out.first()["c"] is None
+    hdr = spark.createDataFrame([(["", "Date", "Minimum temperature (Ã‚Â°C)", "Rainfall (mm)"],)], "h array<string>")
+    m = hdr.select(F.map_from_arrays(F.transform("h", lambda x: normalise_header(x)),
+                                     F.sequence(F.lit(0), F.lit(3))).alias("m"))
+    r = m.select(pick(F.col("m"), ("Minimum temperature (°C)", "Minimum temperature (Ã‚Â°C)")).alias("min_t"),
+                 pick(F.col("m"), ("Evaporation (mm)",)).alias("evap")).first()
+    assert r["min_t"] == 2 and r["evap"] is None
