@@ -48,8 +48,10 @@ def ingest_log(spark: SparkSession, landing: str, schema: T.StructType, table: s
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing)
 
+    present = [c for c in order if c in schema.fieldNames()]   # e.g. logs without an event id
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        last_per_key(batch, list(keys), list(order)).write.mode("overwrite") \
+        last_per_key(batch, list(keys), present).write.mode("overwrite") \
             .parquet(os.path.join(table, f"batch_id={batch_id}"))
 
     _run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
@@ -66,7 +68,8 @@ def read_log_table(spark: SparkSession, table: str, schema: T.StructType) -> Dat
 def current_predictions(spark: SparkSession, table: str, schema: T.StructType,
                         keys=("location", "target_date"), order=("logged_at", "event_id")) -> DataFrame:
     """J1 read side: last-wins per key over everything ingested."""
-    return last_per_key(read_log_table(spark, table, schema), list(keys), list(order))
+    present = [c for c in order if c in schema.fieldNames()]
+    return last_per_key(read_log_table(spark, table, schema), list(keys), present)
 
 
 def delayed_label_join(spark: SparkSession, preds_landing: str, pred_schema: T.StructType,
