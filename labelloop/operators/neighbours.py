@@ -32,6 +32,11 @@ SMOTE_NEIGHBOURS = 5       # neighbours considered per minority row
 KNN_VOTERS = 7             # k of the k-NN vote
 # ---------------------------------------------------------------------------
 
+# Cell granularity (not a candidate limit: pass B still visits every cell
+# within the radius).  Bounding the cell count bounds the boundary array each
+# row is placed against; with more data the cells simply hold more rows.
+MAX_CELLS = 2048
+
 
 def sq_dist(a, b) -> Column:
     a = F.col(a) if isinstance(a, str) else a
@@ -86,7 +91,7 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     from labelloop.session import cut_lineage
     tg = cut_lineage(with_pivots(tg))
     qv = cut_lineage(with_pivots(qv))
-    n_cells = max(1, int(tg.count() // cell_rows))
+    n_cells = min(MAX_CELLS, max(1, int(tg.count() // cell_rows)))
     bounds = []
     if n_cells > 1:
         probs = [i / n_cells for i in range(1, n_cells)]
