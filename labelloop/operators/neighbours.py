@@ -36,6 +36,7 @@ KNN_VOTERS = 7             # k of the k-NN vote
 # within the radius).  Bounding the cell count bounds the boundary array each
 # row is placed against; with more data the cells simply hold more rows.
 MAX_CELLS = 2048
+COPY_CHUNK = 100_000       # synthetic copies generated per task unit in SMOTE
 
 
 def sq_dist(a, b) -> Column:
@@ -179,7 +180,14 @@ def smote(df: DataFrame, label_col: str, *, id_col: str = "id", vec_col: str = "
                          ["__h", "id"], rank_col="__r")
     per, extra = divmod(n_new, n_min)
     copies = ranked.select("id", "vec", (F.lit(per) + F.when(F.col("__r") <= extra, 1).otherwise(0)).alias("c"))
-    gen = copies.filter(F.col("c") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("c"))))
+    # a base row may own millions of copies (tiny minority): cut its copy range
+    # into chunks, spread the chunks over tasks, then explode each chunk
+    chunks = copies.filter(F.col("c") > 0).withColumn(
+        "__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / F.lit(COPY_CHUNK)).cast("int"))))
+    n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gen = chunks.repartition(n_part, "id", "__chunk").withColumn("copy", F.explode(F.sequence(
+        F.col("__chunk") * COPY_CHUNK + 1, F.least((F.col("__chunk") + 1) * COPY_CHUNK, F.col("c"))))) \
+        .drop("__chunk")
     key = F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"), F.col("copy").cast("string"))
     gen = gen.withColumn("pick", (_u32(key) % kk + 1).cast("int")) \
         .withColumn("gap", _u32(F.concat(key, F.lit("|u"))).cast("double") / F.lit(float(2 ** 32)))
