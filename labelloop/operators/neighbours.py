@@ -110,6 +110,10 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     near = qv.withColumn("jc", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1))).repartition(n_part, "jc")
     a = near.join(t, F.col("jc") == F.col("tcell")).select(
         "qgid", F.size("ids").alias("m"), sq_dist("vec", "tvec").alias("d2"), "gid")
+    # the kk-th point lies within the first kk candidates (each carries >= 1 id):
+    # a per-query top-kk (partial limit before the shuffle) bounds the window
+    first = Window.partitionBy("qgid").orderBy("d2", "gid")
+    a = a.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= kk).drop("__rn")
     wa = Window.partitionBy("qgid").orderBy("d2", "gid").rowsBetween(Window.unboundedPreceding, 0)
     a = a.withColumn("cum", F.sum("m").over(wa))
     radius = a.filter(F.col("cum") >= kk).groupBy("qgid").agg(F.min("d2").alias("r2"))
