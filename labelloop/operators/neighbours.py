@@ -66,7 +66,7 @@ def _cell_of(value: Column, bounds: list[float]) -> Column:
 
 def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col: str = "id",
                        vec_col: str = "vec", exclude_self: bool = False, n_pivots: int = 4,
-                       cell_rows: int = 64) -> DataFrame:
+                       cell_rows: int = 64, query_salt: int | None = None) -> DataFrame:
     """(query_id, neighbour_id, sq_distance, rank) — the k nearest train points
     of every query, ties broken by neighbour id.  ``exclude_self`` drops a
     query's own id (for a self-join such as SMOTE)."""
@@ -124,7 +124,18 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     hi = _cell_of(F.get("pd", 0) + F.col("r"), bounds)
     qb = qb.withColumn("jc", F.explode(F.when(F.col("r").isNull(), F.sequence(F.lit(0), F.lit(len(bounds))))
                                        .otherwise(F.sequence(lo, hi))))
-    b = qb.repartition(n_part, "jc").join(t, F.col("jc") == F.col("tcell"))
+    # query-side salting: a cell visited by many queries is split over `salt`
+    # tasks (its train rows are replicated per salt); adaptive, 1 = no salting
+    if query_salt is None:
+        query_salt = max(1, min(64, qv.count() // (n_cells * 1024)))
+    if query_salt > 1:
+        qs = qb.withColumn("__qs", F.pmod(F.xxhash64("qgid"), F.lit(query_salt)).cast("int"))
+        ts = t.withColumn("__ts", F.explode(F.sequence(F.lit(0), F.lit(query_salt - 1))))
+        b = qs.repartition(n_part, "jc", "__qs").join(
+            ts.repartition(n_part, "tcell", "__ts"),
+            (F.col("jc") == F.col("tcell")) & (F.col("__qs") == F.col("__ts"))).drop("__qs", "__ts")
+    else:
+        b = qb.repartition(n_part, "jc").join(t, F.col("jc") == F.col("tcell"))
     bound_ok = F.aggregate(F.zip_with("pd", "tpd", lambda x, y: F.abs(x - y)), F.lit(0.0),
                            lambda acc, x: F.greatest(acc, x)) <= F.col("r") + F.lit(1e-9)
     b = b.filter(F.col("r").isNull() | bound_ok).withColumn("d2", sq_dist("vec", "tvec"))

@@ -117,3 +117,15 @@ def test_minimal_payload_is_scorable(spark):
     feats = ok.withColumns({"Dayofyear": F.dayofyear(F.to_date("Date")), "Month": F.month(F.to_date("Date"))})
     r = M.score(model, feats).first()
     assert 0.0 <= r["score"] <= 1.0 and r["predicted"] == int(r["score"] >= 0.5)
+
+
+def test_knn_with_query_salting_matches_bruteforce(spark, points):
+    df, pts = points
+    got = nearest_neighbours(df, df, 5, cell_rows=8, query_salt=3).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r["query_id"], []).append((r["rank"], r["neighbour_id"]))
+    for q in range(len(pts)):
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        want = [int(i) for i in sorted(range(len(pts)), key=lambda i: (d[i], i))[:5]]
+        assert [n for _, n in sorted(by_q[q])] == want
