@@ -129,7 +129,8 @@ def confusion_matrix(df: DataFrame, y: str, pred: str, groups: Sequence[str] = (
 
 def live_metrics(eval_rows: DataFrame, window: int, y: str = "y_true",
                  pred: str = "predicted_rain", score: str = "rain_probability") -> DataFrame:
-    """One-row live-metrics document.
+    """One-row live-metrics document over ``eval_rows``, which must be
+    the E3 window (at most ``window`` rows, e.g. from ``live_eval_rows``).
 
     With no evaluable row: status ``no_ground_truth_available``, recall 1.0
     and every other metric NULL (that is the contract a scheduler reads).
