@@ -118,3 +118,30 @@ def test_live_metrics_stream_each_batch_equals_full_recompute(spark):
             assert d[c] == w[c]
         for c in ("accuracy_live", "precision_live", "recall_live", "f1_live", "roc_auc_live"):
             assert (d[c] is None and w[c] is None) or abs(d[c] - w[c]) < 1e-12
+
+
+def test_cluster_settings_scale_with_input():
+    from labelloop.session import cluster_settings
+    small, big = cluster_settings(10 << 30), cluster_settings(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_observation_files_each_start_with_their_header(spark):
+    import glob
+    from pyspark.sql import functions as F
+    from labelloop.sources.observation_files import write_observation_files
+    rows = [(i, "A" if i % 3 else "B", dt.datetime(2024, 1, 1 + i % 28), float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id long, location string, ts timestamp, v double") \
+        .withColumn("month", F.date_format("ts", "yyyyMM")).withColumn("shard", (F.col("event_id") % 4).cast("int"))
+    root = scratch_path(spark, "obsw")
+    header = F.concat(F.lit("Preamble "), F.col("location"), F.lit("\n,Date,Id"))
+    line = F.concat_ws(",", F.lit(""), F.to_date("ts").cast("string"), F.col("event_id").cast("string"))
+    write_observation_files(df, root, "location", "month", "shard", header, line, ["ts", "event_id"])
+    files = [f for f in glob.glob(root.replace("file:", "") + "/**/part-*", recursive=True)]
+    assert len(files) == 8                       # 2 stations × 1 month × 4 shards
+    for f in files:
+        lines = open(f).read().splitlines()
+        assert lines[0].startswith("Preamble") and lines[1] == ",Date,Id"
+        assert all(not l.startswith("Preamble") for l in lines[2:])
