@@ -356,3 +356,19 @@ def test_conform_and_alias_pick(spark):
     r = m.select(pick(F.col("m"), ("Minimum temperature (°C)", "Minimum temperature (Ã‚Â°C)")).alias("min_t"),
                  pick(F.col("m"), ("Evaporation (mm)",)).alias("evap")).first()
     assert r["min_t"] == 2 and r["evap"] is None
+
+
+def test_read_delimited_names_from_header_and_na_tokens(spark):
+    path = _write_text(spark, "csv-hdr", "Date,Location,Rainfall\n2024-01-01,A,NA\n2024-01-02, B ,#N/A\n2024-01-03,,1.5\n")
+    df = DL.read_delimited(spark, path)
+    assert df.columns == ["Date", "Location", "Rainfall"]
+    rows = df.orderBy("Date").collect()
+    assert [r["Rainfall"] for r in rows] == [None, None, "1.5"]
+    assert rows[1]["Location"] == " B " and rows[2]["Location"] is None
+
+
+def test_top_k_puts_null_metrics_last(spark):
+    from labelloop.operators.dedup import top_k
+    df = spark.createDataFrame([("a", 0.5), ("b", None), ("c", 0.9), ("d", 0.5)], "m string, auc double")
+    assert [r["m"] for r in top_k(df, "auc", 3, ["m"]).collect()] == ["c", "a", "d"]
+    assert [r["m"] for r in top_k(df, "auc", None, ["m"]).collect()][-1] == "b"
