@@ -145,3 +145,36 @@ def test_observation_files_each_start_with_their_header(spark):
         lines = open(f).read().splitlines()
         assert lines[0].startswith("Preamble") and lines[1] == ",Date,Id"
         assert all(not l.startswith("Preamble") for l in lines[2:])
+
+
+def test_end_to_end_from_raw_files_equals_flagship(spark, sf_dir):
+    """The reference's real inputs — a CSV prediction log and station-month
+    observation files — through the readers give the flagship's document."""
+    from pyspark.sql import functions as F
+    from labelloop.functions.dates import parse_date
+    from labelloop.functions.values import safe_double
+    from labelloop.plans import catalog_io, fixtures as fx
+    from labelloop.plans.catalog import QUERIES
+    from labelloop.plans.jobs import score_predictions
+    from labelloop.sources.delimited import read_prediction_log, type_log
+    from labelloop.sources.observation_files import DEFAULT_ALIASES, read_observation_files
+    log_dir, obs_dir = scratch_path(spark, "e2e-log"), scratch_path(spark, "e2e-obs")
+    p = fx.pred_log(spark, sf_dir)
+    line = F.concat_ws(",", F.date_format("logged_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                       F.coalesce(F.col("feature_date").cast("string"), F.lit("")), F.col("target_date").cast("string"),
+                       "location", F.lit("False"), F.concat(F.lit('"St '), F.col("event_id").cast("string"),
+                                                            F.lit(', Inc"')),
+                       F.col("rain_probability").cast("string"), F.col("predicted_rain").cast("string"))
+    (p.select(line.alias(catalog_io._LOG_HEADER)).write.option("header", True).option("sep", "\u0001")
+     .option("quote", "\u0000").option("escapeQuotes", False).csv(log_dir))
+    catalog_io._obs_files_fixture(spark, sf_dir, obs_dir)
+    log = type_log(read_prediction_log(spark, log_dir)) \
+        .withColumn("event_id", F.regexp_extract("station_name", r"St (\d+)", 1).cast("bigint"))
+    obs = read_observation_files(spark, obs_dir, dict(DEFAULT_ALIASES, Id=("Id",)))
+    truth = obs.select(F.col("location").cast("string").alias("location"), parse_date("Date").alias("obs_date"),
+                       F.col("Id").cast("bigint").alias("event_id"), safe_double("Rainfall").alias("rainfall")) \
+        .filter(~F.col("location").isin(*fx.UNOBSERVED_STATIONS))
+    _, doc = score_predictions(log, truth, window=200, truth_order=("event_id",))
+    got, want = doc.first().asDict(), QUERIES["i3_live_metrics"](spark, sf_dir).first().asDict()
+    for k, v in want.items():
+        assert (got[k] == v) if not isinstance(v, float) else abs(got[k] - v) < 1e-6, k
