@@ -70,3 +70,17 @@ def write_observation_files(df: DataFrame, root: str, station: str, month: str,
     keys = ["location", "month", "shard"]
     (allrows.repartition(*keys).sortWithinPartitions(*keys, "__kind", *order)
      .select(*keys, "value").write.mode("overwrite").partitionBy(*keys).text(root))
+
+
+def daily_truth(obs: DataFrame, measure: str = "Rainfall", measure_as: str = "rainfall",
+                station: str = "location") -> DataFrame:
+    """C1's truth side from landed files: one row per (station, date) with the
+    measurement of the date's last line (file order), as the reference reads
+    a month file's last row for a date.  Unparsable dates are dropped."""
+    from labelloop.functions.dates import parse_date
+    from labelloop.functions.values import safe_double
+    from labelloop.operators.dedup import last_per_key
+    rows = obs.select(F.col(station).cast("string").alias("location"), parse_date("Date").alias("obs_date"),
+                      "file_path", "line_no", safe_double(measure).alias(measure_as))
+    rows = rows.filter(F.col("obs_date").isNotNull())
+    return last_per_key(rows, ["location", "obs_date"], ["file_path", "line_no"]).drop("file_path", "line_no")

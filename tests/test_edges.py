@@ -372,3 +372,15 @@ def test_top_k_puts_null_metrics_last(spark):
     df = spark.createDataFrame([("a", 0.5), ("b", None), ("c", 0.9), ("d", 0.5)], "m string, auc double")
     assert [r["m"] for r in top_k(df, "auc", 3, ["m"]).collect()] == ["c", "a", "d"]
     assert [r["m"] for r in top_k(df, "auc", None, ["m"]).collect()][-1] == "b"
+
+
+def test_daily_truth_takes_last_line_of_a_date(spark):
+    from labelloop.sources.observation_files import daily_truth
+    root = scratch_path(spark, "dtruth").replace("file:", "")
+    d = os.path.join(root, "location=A")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "f.csv"), "w", encoding="utf-8") as f:
+        f.write("Obs for A\n,Date,Rainfall (mm)\n,2024-01-01,3.0\n,2024-01-01,0\n,2024-01-02,NA\n,bad,1\n")
+    rows = {(r["location"], r["obs_date"]): r["rainfall"]
+            for r in daily_truth(read_observation_files(spark, root)).collect()}
+    assert rows == {("A", dt.date(2024, 1, 1)): 0.0, ("A", dt.date(2024, 1, 2)): None}
