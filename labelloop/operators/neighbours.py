@@ -199,8 +199,10 @@ def smote(df: DataFrame, label_col: str, *, id_col: str = "id", vec_col: str = "
     # into chunks, spread the chunks over tasks, then explode each chunk
     chunks = copies.filter(F.col("c") > 0).withColumn(
         "__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / F.lit(COPY_CHUNK)).cast("int"))))
-    n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    gen = chunks.repartition(n_part, "id", "__chunk").withColumn("copy", F.explode(F.sequence(
+    if per + 1 > COPY_CHUNK:    # some base row owns several chunks: spread them first
+        n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = chunks.repartition(n_part, "id", "__chunk")
+    gen = chunks.withColumn("copy", F.explode(F.sequence(
         F.col("__chunk") * COPY_CHUNK + 1, F.least((F.col("__chunk") + 1) * COPY_CHUNK, F.col("c"))))) \
         .drop("__chunk")
     key = F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"), F.col("copy").cast("string"))

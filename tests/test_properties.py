@@ -129,3 +129,12 @@ def test_knn_with_query_salting_matches_bruteforce(spark, points):
         d = ((pts - pts[q]) ** 2).sum(axis=1)
         want = [int(i) for i in sorted(range(len(pts)), key=lambda i: (d[i], i))[:5]]
         assert [n for _, n in sorted(by_q[q])] == want
+
+
+def test_smote_chunked_copy_generation(spark, points, monkeypatch):
+    import labelloop.operators.neighbours as N
+    df, _ = points
+    plain = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in smote(df, "y", k=5).collect()}
+    monkeypatch.setattr(N, "COPY_CHUNK", 1)          # every copy its own chunk → spread path
+    chunked = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in N.smote(df, "y", k=5).collect()}
+    assert chunked == plain and len(plain) == df.filter("y = 0").count() - df.filter("y = 1").count()
