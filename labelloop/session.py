@@ -71,16 +71,31 @@ def get_spark(master: str | None = None, app: str = "labelloop",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a private one only if unset."""
+    """The shared checkpoint directory; a private one is made only in local mode and only if unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="labelloop-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For sessions started from another folder; a cluster's workers need the
+    package at the same path, or installed.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
