@@ -198,7 +198,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.999, small: int = 32, levels: int = 5,
                        slack: float = 0.15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, m, class_id, n_links) of every row; ``m`` keys the text.
+    """(doc_id, m, label, class_id, n_links) of every row; ``m`` keys the text, ``label`` the class.
 
     ``small`` is the largest bucket compared pair by pair, ``levels`` how deep
     larger ones are split, ``slack`` how far below the threshold the min-hashes of
@@ -247,15 +247,14 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
         (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"))
     classes = stored(classes, "classes")
     heads = classes.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    return members.join(classes.join(heads, "label"), "m").select("doc_id", "m", "class_id", "n_links")
+    return members.join(classes.join(heads, "label"), "m").select("doc_id", "m", "label", "class_id", "n_links")
 
 
 def one_of_each(df: DataFrame, threshold: float = 0.8, **options) -> DataFrame:
     """The rows of ``df``, all columns unchanged, of one document per class: that of the smallest id."""
     classes = similarity_classes(df, threshold, **options)
-    # One text of the class has the smallest id; its repeated rows are one document.
-    best = classes.groupBy(F.col("class_id").alias("__c")).agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("m"))).alias("__m"))
+    best = classes.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "m")).alias("b")).select(
+        F.col("b.doc_id").alias("__id"), F.col("b.m").alias("__m"))
     keyed = df.withColumn("__m", text_key(F.col("text")))
-    kept = keyed.join(best, (keyed["__m"] == best["__m"]) & keyed["doc_id"].eqNullSafe(best["__c"])).drop(best["__m"])
-    return kept.dropDuplicates(["doc_id", "__m"]).select(*df.columns)
+    kept = keyed.join(best, (keyed["__m"] == best["__m"]) & keyed["doc_id"].eqNullSafe(best["__id"])).drop(best["__m"])
+    return kept.dropDuplicates(["doc_id", "__m"]).select(*df.columns)  # repeated rows are one document

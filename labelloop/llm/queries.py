@@ -20,7 +20,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similarity_classes(table(spark, sf_dir, "documents")).drop("m")
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ def subwords(words: list[str], buckets: int, shortest: int = 3, longest: int = 5
     whole = np.add.reduceat(mixed * (2 * place + 1).astype(np.uint64) ** 3, np.cumsum(lengths) - lengths) if len(words) else h
     found.append((whole ^ (whole >> np.uint64(31))) * MULTIPLIER)
     of.append(np.arange(len(words)))
-    for n in range(1, longest + 1):
+    for n in range(1, min(longest, len(codes)) + 1):
         h[:len(codes) - n + 1] = h[:len(codes) - n + 1] * np.uint64(0x100000001B3) + mixed[n - 1:]
         if n >= shortest:
             fits = np.flatnonzero(room >= n)
@@ -118,7 +118,7 @@ class Subwords:
         return 1 / (1 + np.exp(-np.clip(self.logits(texts), -500, 500)))
 
 
-def fit(texts: list[str], y: np.ndarray, buckets: int = 1 << 18, dim: int = 8, span: int = 32, epochs: int = 6,
+def fit(texts: list[str], y: np.ndarray, buckets: int = 1 << 18, dim: int = 8, span: int = 32, epochs: int = 8,
         rate: float = 0.3, batch: int = 64, scale: float = 32.0, decay: float = 1e-4, seed: int = 7) -> Subwords:
     """Embeddings and softmax trained jointly.
 
