@@ -32,7 +32,9 @@ def _ratio(num: Column, den: Column) -> Column:
 def _score_table(df: DataFrame, y: str, pred: str | None, score: str | None,
                  groups: Sequence[str]) -> DataFrame:
     yv = F.col(y).cast("int")
-    s = F.col(score).cast("double") if score else F.lit(None).cast("double")
+    s = F.lit(None).cast("double")
+    if score:  # a NaN score is no score: it would rank above all others
+        s = F.nanvl(F.col(score).cast("double"), s)
     base = df.select(*groups, yv.alias("__y"),
                      (F.col(pred).cast("int") if pred else F.lit(None).cast("int")).alias("__p"),
                      s.alias("__s"))
@@ -54,8 +56,8 @@ def evaluate(df: DataFrame, y: str = "y_true", pred: str | None = "prediction",
              bounded: bool = False) -> DataFrame:
     """D13 + D14 in one pass: counts, accuracy/precision/recall/F1, exact ROC AUC.
 
-    Rows need a non-NULL label; a NULL score only leaves the row out of the
-    AUC.  AUC is NULL when the scored rows hold a single class or none.
+    Rows need a non-NULL label; a NULL or NaN score only leaves the row out
+    of the AUC.  AUC is NULL when the scored rows hold a single class or none.
     Without ``groups`` the result is exactly one row, also for empty input.
     ``bounded=True`` is for inputs with a small row bound known by
     construction (the live window): the running sum over its few distinct

@@ -89,7 +89,9 @@ def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: st
         with ThreadPoolExecutor(max_workers=wave) as pool:
             done += list(pool.map(evaluate_trial, params[start:start + wave]))
         table = spark.createDataFrame([(s, n, v) for s, n, v, _ in done], "study STRING, n BIGINT, value DOUBLE")
-        if patience_stop(table, min_delta=min_delta, patience=patience).first()["stopped_at"] is not None:
+        stop = patience_stop(table, min_delta=min_delta, patience=patience).first()["stopped_at"]
+        if stop is not None:  # later trials of the wave do not count: the result must not depend on its size
+            done = [t for t in done if t[1] <= stop]
             break
     table = spark.createDataFrame([(s, n, v, {k: float(x) for k, x in p.items()}) for s, n, v, p in done],
                                   "study STRING, n BIGINT, value DOUBLE, params MAP<STRING, DOUBLE>")

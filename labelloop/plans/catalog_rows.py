@@ -73,20 +73,22 @@ def b3(spark, sf_dir):
     return out.select("event_id", r6("Rainfall").alias("Rainfall"), r6("WindSpeed9am").alias("WindSpeed9am"))
 
 
-_B4_TEXT = """CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-  WHEN 1 THEN strftime(ts, '%d/%m/%Y') WHEN 2 THEN strftime(ts, '%Y-%m-%d') ELSE 'not a date' END"""
+# Texts with one reading and with two: the latter are month-first.
+_B4_TEXT = """CASE event_id % 7 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%d/%m/%Y')
+  WHEN 2 THEN strftime(ts, '%Y-%m-%d') WHEN 3 THEN strftime(ts, '%m/%d/%Y') WHEN 4 THEN strftime(ts, '%B %d, %Y')
+  WHEN 5 THEN strftime(ts, '%d %b %Y') ELSE 'not a date' END"""
+_B4_DATE = "COALESCE(TRY_CAST(raw_text AS TIMESTAMP), " + ", ".join(
+    f"TRY_STRPTIME(raw_text, '{f}')" for f in ("%m/%d/%Y", "%d/%m/%Y", "%B %d, %Y", "%d %b %Y")) + ")"
 
 
 @register("b4_parse_dates", W(f"""
-SELECT event_id, raw_text, CAST(COALESCE(TRY_CAST(raw_text AS TIMESTAMP), TRY_STRPTIME(raw_text, '%d/%m/%Y')) AS DATE) AS parsed_date
-FROM (SELECT event_id, {_B4_TEXT} AS raw_text FROM events) t
-WHERE COALESCE(TRY_CAST(raw_text AS TIMESTAMP), TRY_STRPTIME(raw_text, '%d/%m/%Y')) IS NOT NULL"""))
+SELECT event_id, raw_text, CAST({_B4_DATE} AS DATE) AS parsed_date
+FROM (SELECT event_id, {_B4_TEXT} AS raw_text FROM events) t WHERE {_B4_DATE} IS NOT NULL"""))
 def b4(spark, sf_dir):
     e = fx.table(spark, sf_dir, "events")
-    k = F.col("event_id") % 4
-    raw = (F.when(k == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-           .when(k == 1, F.date_format("ts", "dd/MM/yyyy"))
-           .when(k == 2, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.lit("not a date")))
+    raw = F.lit("not a date")
+    for k, form in enumerate(("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy", "yyyy-MM-dd", "MM/dd/yyyy", "MMMM dd, yyyy", "dd MMM yyyy")):
+        raw = F.when(F.col("event_id") % 7 == k, F.date_format("ts", form)).otherwise(raw)
     t = e.select("event_id", raw.alias("raw_text")).withColumn("parsed_date", D.parse_date("raw_text"))
     return t.dropna(subset=["parsed_date"])
 

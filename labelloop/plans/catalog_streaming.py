@@ -7,12 +7,16 @@ directory and drives the stream to completion with ``availableNow``.
 from __future__ import annotations
 
 
+import os
+
+from pyspark.sql import functions as F
+
 from labelloop.operators.dedup import last_per_key
 from labelloop.plans import catalog_io, catalog_rows  # noqa: F401  (oracles reused below)
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import ORACLE, r6, register
 from labelloop.plans.fixtures import with_fixtures as W
-from labelloop.session import scratch_path
+from labelloop.session import cut_lineage, scratch_path
 from labelloop.streaming import feedback as S
 
 
@@ -33,20 +37,35 @@ def j1(spark, sf_dir):
     return out.withColumn("rain_probability", r6("rain_probability"))
 
 
+def _join_in_two_runs(spark, sf_dir):
+    """Two runs of several micro-batches.  Before the first run: the predictions of one half
+    of the dates, and a preliminary truth (one millimetre too much) of every second date.
+    Before the second: all other predictions, the truth that was late, and corrections of
+    the preliminary one."""
+    preds = last_per_key(fx.pred_log(spark, sf_dir), ["location", "target_date"], ["logged_at", "event_id"])
+    truth = cut_lineage(fx.truth(spark, sf_dir))
+    pl, tl, out, ckpt = (scratch_path(spark, n) for n in ("j2-preds", "j2-truth", "j2-out", "j2-ckpt"))
+    early = F.dayofyear("target_date") % 2 == 0
+    seen = F.dayofyear("obs_date") % 4 < 2
+
+    def land(p, t):
+        p.coalesce(2).write.mode("append").parquet(pl)
+        t.coalesce(2).write.mode("append").parquet(tl)
+        S.delayed_label_join(spark, pl, preds.schema, tl, truth.schema, out, ckpt, max_files_per_trigger=1)
+
+    land(preds.filter(early), truth.filter(seen).withColumn("rainfall", F.coalesce(F.col("rainfall"), F.lit(0.0)) + 1))
+    land(preds.filter(~early), truth)
+    return (S.live(spark, os.path.join(out, "predictions"), preds.schema),
+            S.matched_predictions(spark, out, preds.schema, truth.schema))
+
+
 @register("j2_delayed_label_join", W("""
 SELECT p.event_id, p.location, p.target_date, ROUND(t.rainfall, 6) AS observed_rainfall_mm
 FROM (SELECT q.*, ROW_NUMBER() OVER (PARTITION BY location, target_date ORDER BY logged_at DESC, event_id DESC) AS rn
       FROM pred_log q) p JOIN truth t ON p.location = t.location AND p.target_date = t.obs_date
 WHERE p.rn = 1"""))
 def j2(spark, sf_dir):
-    preds = last_per_key(fx.pred_log(spark, sf_dir), ["location", "target_date"], ["logged_at", "event_id"])
-    truth = fx.truth(spark, sf_dir)
-    pl, tl = scratch_path(spark, "j2-preds"), scratch_path(spark, "j2-truth")
-    preds.write.parquet(pl)
-    truth.write.parquet(tl)
-    out, ckpt = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-ckpt")
-    S.delayed_label_join(spark, pl, preds.schema, tl, truth.schema, out, ckpt)
-    matched = spark.read.parquet(out)
+    _, matched = _join_in_two_runs(spark, sf_dir)
     return matched.select("event_id", "location", "target_date", r6("observed_rainfall_mm").alias("observed_rainfall_mm"))
 
 
@@ -55,17 +74,9 @@ SELECT p.event_id, p.location, p.target_date FROM (SELECT q.*, ROW_NUMBER() OVER
   ORDER BY logged_at DESC, event_id DESC) AS rn FROM pred_log q) p
 WHERE p.rn = 1 AND NOT EXISTS (SELECT 1 FROM truth t WHERE t.location = p.location AND t.obs_date = p.target_date)"""))
 def j2_open(spark, sf_dir):
-    """J2 read side: predictions whose truth has not arrived (batch left_anti
-    against the stream-join output)."""
-    preds = last_per_key(fx.pred_log(spark, sf_dir), ["location", "target_date"], ["logged_at", "event_id"])
-    truth = fx.truth(spark, sf_dir)
-    pl, tl = scratch_path(spark, "j2o-preds"), scratch_path(spark, "j2o-truth")
-    preds.write.parquet(pl)
-    truth.write.parquet(tl)
-    out, ckpt = scratch_path(spark, "j2o-out"), scratch_path(spark, "j2o-ckpt")
-    S.delayed_label_join(spark, pl, preds.schema, tl, truth.schema, out, ckpt)
-    return S.open_predictions(spark.read.parquet(pl), spark.read.parquet(out)) \
-        .select("event_id", "location", "target_date")
+    """J2 read side: predictions whose truth has not arrived."""
+    preds, matched = _join_in_two_runs(spark, sf_dir)
+    return S.open_predictions(preds, matched).select("event_id", "location", "target_date")
 
 
 def j3(spark, sf_dir):

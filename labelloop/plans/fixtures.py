@@ -21,7 +21,7 @@ from labelloop.operators.joins import attach_truth
 STATION_MODULUS = 49          # user_id % 49 → station code S0..S48
 UNOBSERVED_STATIONS = ("S0", "S7")
 HISTORY_HORIZON = "2024-01-20"  # obs_date <= horizon is history, later is new
-TRIALS_PER_STUDY = 30
+ORDERS_PER_STUDY = 200         # consecutive order keys of one priority form a study (about 40 trials)
 # ---------------------------------------------------------------------------
 
 
@@ -95,14 +95,15 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First 30 orders per priority as ordered trials (row_number ≤ k plans a
-    WindowGroupLimit, i.e. a partial top-k before the shuffle)."""
+    """Every order as a trial: the orders of one priority among ``ORDERS_PER_STUDY``
+    consecutive keys are one study, numbered in key order, so studies stay
+    small and their number grows with the table."""
     o = table(spark, sf_dir, "orders")
-    w = Window.partitionBy("o_orderpriority").orderBy("o_orderkey")
-    t = o.select(F.col("o_orderpriority").alias("study"), F.col("o_orderkey").alias("k"),
-                 (F.col("o_totalprice") / F.lit(600000.0)).alias("v"),
-                 F.row_number().over(w).cast("bigint").alias("n")).filter(F.col("n") <= TRIALS_PER_STUDY)
-    return t.select("study", "n", F.when(F.col("k") % 10 == 0, F.lit(None).cast("double"))
+    part = F.floor(F.col("o_orderkey") / F.lit(float(ORDERS_PER_STUDY))).cast("bigint")
+    t = o.select(F.concat(F.col("o_orderpriority"), F.lit("/"), part.cast("string")).alias("study"),
+                 F.col("o_orderkey").alias("k"), (F.col("o_totalprice") / F.lit(600000.0)).alias("v"))
+    n = F.row_number().over(Window.partitionBy("study").orderBy("k")).cast("bigint")
+    return t.select("study", n.alias("n"), F.when(F.col("k") % 10 == 0, F.lit(None).cast("double"))
                     .otherwise(F.col("v")).alias("value"))
 
 
@@ -163,10 +164,9 @@ FROM (SELECT q.*, ROW_NUMBER() OVER (PARTITION BY location, target_date ORDER BY
 LEFT JOIN truth t ON p.location = t.location AND p.target_date = t.obs_date
 WHERE p.rn = 1""",
     "trials": """
-SELECT study, n, CASE WHEN k % 10 = 0 THEN NULL ELSE v END AS value
-FROM (SELECT o_orderpriority AS study, o_orderkey AS k, o_totalprice / 600000e0 AS v,
-             ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS n FROM orders) t
-WHERE n <= 30""",
+SELECT study, ROW_NUMBER() OVER (PARTITION BY study ORDER BY k) AS n, CASE WHEN k % 10 = 0 THEN NULL ELSE v END AS value
+FROM (SELECT CONCAT(o_orderpriority, '/', CAST(CAST(FLOOR(o_orderkey / 200e0) AS BIGINT) AS STRING)) AS study,
+             o_orderkey AS k, o_totalprice / 600000e0 AS v FROM orders) t""",
 }
 
 

@@ -1,33 +1,29 @@
 """Structured Streaming forms of the feedback loop.
 
-* J1 — the prediction log is a file-stream source; every micro-batch is
-  deduplicated last-wins inside ``foreachBatch`` and lands in its own
-  ``batch_id=N`` directory (overwrite of that directory only, so a replayed
-  batch after a failure is idempotent); the checkpoint makes a second run
-  consume nothing.  Last-wins across batches is applied when the table is
-  read, because an append stream cannot replace an earlier row.
-* J2 — predictions and truth as two streams, inner-joined on
-  (location, date) with event-time watermarks on both sides, so join state is
-  evicted once a date is older than the allowed truth delay.  Predictions that
-  are still open are a batch ``left_anti`` at read time (a left-outer stream
-  join would hold them back until the watermark passes).
+* J1 — the prediction log is a file-stream source; every micro-batch is merged
+  into a keyed table (:mod:`labelloop.streaming.upsert`), where the last row per
+  key stays; the checkpoint makes a second run consume nothing.
+* J2 — predictions and truth are two file streams, each merged into a keyed
+  table of its own.  Every micro-batch joins the keys it touched with the other
+  side and replaces their matched rows, so late truth is joined whenever it
+  comes, and a corrected truth or prediction replaces the earlier match.  There
+  is no time limit unless the caller sets one.
 * J3 — ``foreachBatch`` appends the batch and refreshes the live metrics (I3),
   one document per batch; an exact lower bound on log time keeps each
   refresh to the recent part of the log.
-
-Stream timestamps must be ``timestamp`` (``withWatermark`` rejects
-``timestamp_ntz``), so event-time columns are cast on the way in.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloop.operators.dedup import last_per_key
+from labelloop.streaming.upsert import live, next_version, upsert
 
 
 def _run(writer) -> None:
@@ -37,57 +33,87 @@ def _run(writer) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def ingest_log(spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str,
-               max_files_per_trigger: int | None = None, keys=("location", "target_date"),
-               order=("logged_at", "event_id")) -> None:
-    """Consume new log files once; each micro-batch is deduplicated
-    last-wins (E1) within itself and lands in ``table/batch_id=N``, so a batch
-    directory holds at most one row per key."""
+def _stream(spark: SparkSession, landing: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(landing)
+    return reader.parquet(landing)
+
 
+def ingest_log(spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str,
+               max_files_per_trigger: int | None = None, keys=("location", "target_date"),
+               order=("logged_at", "event_id")) -> None:
+    """Consume new log files once; each micro-batch is merged last-wins (E1) into the keyed table."""
     present = [c for c in order if c in schema.fieldNames()]   # e.g. logs without an event id
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        last_per_key(batch, list(keys), present).write.mode("overwrite") \
-            .parquet(os.path.join(table, f"batch_id={batch_id}"))
+        upsert(last_per_key(batch, list(keys), present), table, schema, keys, batch_id, present)
 
-    _run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
+    _run(_stream(spark, landing, schema, max_files_per_trigger).writeStream.foreachBatch(sink)
+         .option("checkpointLocation", checkpoint))
 
 
 def read_log_table(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    """All ingested rows (the batch directories), without the batch column."""
+    """All rows of an append-only batch table (J3), without the batch column; empty before the first batch."""
     try:
         return spark.read.schema(schema).parquet(table).select(*schema.fieldNames())
-    except Exception:  # nothing ingested yet
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
-def current_predictions(spark: SparkSession, table: str, schema: T.StructType,
-                        keys=("location", "target_date"), order=("logged_at", "event_id")) -> DataFrame:
-    """J1 read side: last-wins per key over everything ingested."""
-    present = [c for c in order if c in schema.fieldNames()]
-    return last_per_key(read_log_table(spark, table, schema), list(keys), present)
+def current_predictions(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """J1 read side: the live row per key (E1 over everything ingested)."""
+    return live(spark, table, schema)
+
+
+def _matched_schema(pred_schema: T.StructType, truth_schema: T.StructType) -> T.StructType:
+    return T.StructType([*pred_schema.fields, T.StructField("observed_rainfall_mm", truth_schema["rainfall"].dataType)])
 
 
 def delayed_label_join(spark: SparkSession, preds_landing: str, pred_schema: T.StructType,
                        truth_landing: str, truth_schema: T.StructType, out: str, checkpoint: str,
-                       delay: str = "3 days") -> None:
-    """Stream-stream inner join of (deduplicated) predictions with truth on
-    (location, date); both sides watermarked by their date."""
-    p = (spark.readStream.schema(pred_schema).parquet(preds_landing)
-         .withColumn("p_time", F.col("target_date").cast("timestamp"))
-         .withWatermark("p_time", delay))
-    t = (spark.readStream.schema(truth_schema).parquet(truth_landing)
-         .select(F.col("location").alias("t_location"), F.col("obs_date").cast("timestamp").alias("t_time"),
-                 F.col("rainfall").alias("observed_rainfall_mm"))
-         .withWatermark("t_time", delay))
-    joined = p.join(t, (F.col("location") == F.col("t_location")) & (F.col("p_time") == F.col("t_time")), "inner")
-    joined = joined.drop("t_location", "t_time", "p_time")
-    _run(joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
+                       max_files_per_trigger: int | None = None, pred_order=("logged_at", "event_id"),
+                       truth_order=(), max_delay_days: int | None = None) -> None:
+    """Join predictions with truth on (location, date) as either of them arrives.
+
+    ``out`` holds the keyed tables ``predictions``, ``truth`` and ``matched``.  Of
+    several truths for a key the one that arrived last counts (inside one batch:
+    the last by ``truth_order``).  With ``max_delay_days`` only dates at most that
+    far before the newest prediction are joined."""
+    keys, truth_keys = ["location", "target_date"], ["location", "obs_date"]
+    p_table, t_table, m_table = (os.path.join(out, n) for n in ("predictions", "truth", "matched"))
+    matched_schema = _matched_schema(pred_schema, truth_schema)
+    p_order = [c for c in pred_order if c in pred_schema.fieldNames()]
+
+    def match(touched: DataFrame) -> None:
+        p, t = live(spark, p_table, pred_schema), live(spark, t_table, truth_schema)
+        if max_delay_days is not None:
+            p = p.filter(F.col("target_date") >= F.date_sub(F.lit(p.agg(F.max("target_date")).first()[0]), max_delay_days))
+        t = t.select(F.col("location").alias("t_location"), F.col("obs_date").alias("t_date"),
+                     F.col("rainfall").alias("observed_rainfall_mm"))
+        new = (p.join(touched.distinct(), keys, "left_semi")
+               .join(t, (F.col("location") == F.col("t_location")) & (F.col("target_date") == F.col("t_date"))))
+        upsert(new, m_table, matched_schema, keys, next_version(spark, m_table, matched_schema))
+
+    def on_predictions(batch: DataFrame, batch_id: int) -> None:
+        upsert(last_per_key(batch, keys, p_order), p_table, pred_schema, keys, batch_id, p_order)
+        match(batch.select(*keys))
+
+    def on_truth(batch: DataFrame, batch_id: int) -> None:
+        one = last_per_key(batch, truth_keys, list(truth_order)) if truth_order else batch.dropDuplicates(truth_keys)
+        upsert(one, t_table, truth_schema, truth_keys, batch_id)
+        match(batch.select("location", F.col("obs_date").alias("target_date")))
+
+    for landing, schema, sink in ((preds_landing, pred_schema, on_predictions), (truth_landing, truth_schema, on_truth)):
+        _run(_stream(spark, landing, schema, max_files_per_trigger).writeStream.foreachBatch(sink)
+             .option("checkpointLocation", os.path.join(checkpoint, sink.__name__)))
+
+
+def matched_predictions(spark: SparkSession, out: str, pred_schema: T.StructType, truth_schema: T.StructType) -> DataFrame:
+    """J2 read side: predictions with their truth, one row per key."""
+    return live(spark, os.path.join(out, "matched"), _matched_schema(pred_schema, truth_schema))
 
 
 def open_predictions(preds: DataFrame, matched: DataFrame, keys=("location", "target_date")) -> DataFrame:
@@ -118,7 +144,7 @@ def live_metrics_stream(spark: SparkSession, landing: str, schema: T.StructType,
 
     def window_rows(since):
         log = read_log_table(spark, table, schema)
-        if since is not None:
+        if since is not None and window > 0:
             log = log.filter(F.col("logged_at") >= F.lit(since))
         return live_eval_rows(score_log(log, truth), window)
 
@@ -129,7 +155,7 @@ def live_metrics_stream(spark: SparkSession, landing: str, schema: T.StructType,
         if state["start"] is not None and stats["n"] < window:     # bound too tight: exact fallback
             rows = window_rows(None)
             stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("logged_at").alias("start")).first()
-        state["start"] = stats["start"] if stats["n"] >= window else None
+        state["start"] = stats["start"] if 0 < window <= stats["n"] else None  # a window of all rows has no bound
         live_metrics(rows, window).withColumn("batch_id", F.lit(batch_id).cast("bigint")).coalesce(1) \
             .write.mode("overwrite").json(os.path.join(metrics, f"batch_id={batch_id}"))
 

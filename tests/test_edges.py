@@ -92,7 +92,18 @@ def test_three_valued_label_and_threshold(spark):
 def test_mixed_timestamp_parse(spark):
     df = spark.createDataFrame([("2024-01-01T10:00:00",), ("2024-01-01T10:00:00+02:00",), ("01/02/2024",), ("x",)], "s string")
     out = [r[0] for r in df.select(parse_timestamp("s")).collect()]
-    assert out[0].hour == 10 and out[1].hour == 8 and out[2].month == 2 and out[3] is None
+    assert out[0].hour == 10 and out[1].hour == 8 and (out[2].month, out[2].day) == (1, 2) and out[3] is None
+
+
+def test_numeric_dates_are_month_first_and_textual_dates_are_read(spark):
+    from labelloop.functions.dates import DAY_FIRST, parse_date
+    cases = {"03/04/2024": (3, 4), "13/04/2024": (4, 13), "3/4/2024": (3, 4), "03-04-2024": (3, 4), "2024/3/4": (3, 4), "20240304": (3, 4),
+             "Jan 5, 2024": (1, 5), "5 January 2024": (1, 5), "january 5, 2024": (1, 5), "5-Jan-2024": (1, 5), "Friday, January 5, 2024": (1, 5),
+             "05/06/2024 7:08": (5, 6), "3/4/24": (3, 4), "2024-13-40": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r["s"]: r["d"] and (r["d"].month, r["d"].day) for r in df.select("s", parse_date("s").alias("d")).collect()}
+    assert got == cases
+    assert df.filter("s = '03/04/2024'").select(parse_date("s", DAY_FIRST)).first()[0] == dt.date(2024, 4, 3)
 
 
 # ------------------------------------------------------------------ E dedupe / top-N

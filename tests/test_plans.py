@@ -23,7 +23,9 @@ def test_dedupe_is_a_partial_aggregate_not_a_window(spark, sf_dir):
 
 
 def test_per_group_top_k_limits_before_shuffle(spark, sf_dir):
-    assert "WindowGroupLimit" in _plan(fx.trials(spark, sf_dir))
+    from labelloop.operators.neighbours import _compact
+    points = fx.table(spark, sf_dir, "embeddings")
+    assert "WindowGroupLimit" in _plan(_compact(points, "vec_id", "embedding", 3))
 
 
 def test_cutoff_is_a_scalar_subquery(spark, sf_dir):

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import types as T
 
 from labelloop.operators.cleaning import parse_payload
@@ -18,33 +19,67 @@ TRUTH = T.StructType([T.StructField("location", T.StringType()), T.StructField("
                       T.StructField("rainfall", T.DoubleType())])
 
 
-def test_truth_arriving_in_a_later_run_is_joined(spark):
+def test_late_and_corrected_truth_and_predictions(spark):
     d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
-    preds = spark.createDataFrame([(i, "A", x, dt.datetime(2024, 1, 1)) for i, x in enumerate(d)], PRED)
     pl, tl, out, ck = (scratch_path(spark, n) for n in ("sp", "st", "so", "sc"))
-    preds.write.parquet(pl)
-    spark.createDataFrame([("A", d[0], 1.0)], TRUTH).write.parquet(tl)
-    S.delayed_label_join(spark, pl, PRED, tl, TRUTH, out, ck, delay="5 days")
-    assert spark.read.parquet(out).count() == 1
-    open_now = S.open_predictions(preds, spark.read.parquet(out))
+
+    def land(preds, truth):
+        if preds:
+            spark.createDataFrame(preds, PRED).write.mode("append").parquet(pl)
+        spark.createDataFrame(truth, TRUTH).write.mode("append").parquet(tl)
+        S.delayed_label_join(spark, pl, PRED, tl, TRUTH, out, ck, max_files_per_trigger=1)
+        return {(r["target_date"], r["event_id"]): r["observed_rainfall_mm"]
+                for r in S.matched_predictions(spark, out, PRED, TRUTH).collect()}
+
+    preds = [(i, "A", x, dt.datetime(2024, 1, 1)) for i, x in enumerate(d)]
+    assert land(preds, [("A", d[0], 1.0)]) == {(d[0], 0): 1.0}
+    open_now = S.open_predictions(spark.createDataFrame(preds, PRED), S.matched_predictions(spark, out, PRED, TRUTH))
     assert sorted(r["event_id"] for r in open_now.collect()) == [1, 2]
-    # truth for the second date lands later; the next run joins it from state
-    spark.createDataFrame([("A", d[1], 0.0)], TRUTH).write.mode("append").parquet(tl)
-    S.delayed_label_join(spark, pl, PRED, tl, TRUTH, out, ck, delay="5 days")
-    assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [0, 1]
+    # a correction, and truth that is older than any bound on lateness would allow
+    old = dt.date(2020, 2, 2)
+    assert land([(9, "A", dt.date(2024, 6, 1), dt.datetime(2024, 6, 1))], [("A", d[0], 2.5), ("A", old, 4.0)]) == {(d[0], 0): 2.5}
+    assert land([(7, "A", old, dt.datetime(2024, 6, 2)), (8, "A", d[0], dt.datetime(2024, 6, 2))], [("A", d[1], None)]) == {
+        (d[0], 8): 2.5, (d[1], 1): None, (old, 7): 4.0}
 
 
-def test_ingest_consumes_each_file_once(spark):
+def test_ingest_consumes_each_file_once_and_keeps_the_last_row(spark):
     landing, table, ck = (scratch_path(spark, n) for n in ("il", "it", "ic"))
     rows = [(i, "A", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, i)) for i in range(4)]
     spark.createDataFrame(rows, PRED).repartition(2).write.parquet(landing)
-    S.ingest_log(spark, landing, PRED, table, ck, max_files_per_trigger=1)
-    first = S.read_log_table(spark, table, PRED).count()
-    assert 1 <= first <= 2                     # one row per key per batch (two files → ≤ two batches)
-    S.ingest_log(spark, landing, PRED, table, ck, max_files_per_trigger=1)
-    assert S.read_log_table(spark, table, PRED).count() == first      # second run consumes nothing
-    last = S.current_predictions(spark, table, PRED).collect()
-    assert len(last) == 1 and last[0]["event_id"] == 3
+    for _ in range(2):                         # the second run consumes nothing
+        S.ingest_log(spark, landing, PRED, table, ck, max_files_per_trigger=1)
+        last = S.current_predictions(spark, table, PRED).collect()
+        assert len(last) == 1 and last[0]["event_id"] == 3
+    late = [(9, "A", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 2)), (10, "B", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1))]
+    spark.createDataFrame(late, PRED).write.mode("append").parquet(landing)
+    S.ingest_log(spark, landing, PRED, table, ck)
+    assert sorted(r["event_id"] for r in S.current_predictions(spark, table, PRED).collect()) == [3, 10]
+
+
+def test_an_empty_table_is_read_and_a_broken_one_is_not_taken_for_empty(spark):
+    assert S.current_predictions(spark, scratch_path(spark, "none"), PRED).count() == 0
+    assert S.read_log_table(spark, scratch_path(spark, "none"), PRED).count() == 0
+    path = scratch_path(spark, "broken")
+    local = path.replace("file:", "")
+    os.makedirs(local)
+    with open(os.path.join(local, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        S.read_log_table(spark, path, PRED).count()
+
+
+def test_live_metrics_stream_over_all_rows(spark):
+    """A window of zero means all rows, also when older rows land later."""
+    log = T.StructType([*PRED.fields, T.StructField("rain_probability", T.DoubleType()), T.StructField("predicted_rain", T.IntegerType())])
+    day = dt.date(2024, 1, 1)
+    rows = [(i, "A", day + dt.timedelta(days=i), dt.datetime(2024, 3, 1) - dt.timedelta(days=i), 0.5, 1) for i in range(40)]
+    truth = spark.createDataFrame([("A", r[2], float(i % 2)) for i, r in enumerate(rows)], TRUTH)
+    landing, table, metrics, ck = (scratch_path(spark, n) for n in ("ml", "mt", "mm", "mc"))
+    for part in (rows[:20], rows[20:]):
+        spark.createDataFrame(part, log).coalesce(1).write.mode("append").parquet(landing)
+        S.live_metrics_stream(spark, landing, log, truth, table, metrics, ck, window=0)
+    doc = S.latest_metrics(spark, metrics, T.StructType([T.StructField("scored_rows", T.LongType())])).first()
+    assert doc["scored_rows"] == 40
 
 
 def test_tolerant_document_reader(spark):
