@@ -41,22 +41,29 @@ def words_of(text: str) -> list[str]:
     return [w for w in [c.strip(MARKS) for c in text.lower().split()] if w]
 
 
-def subwords(words: list[str], buckets: int, shortest: int = 3, longest: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words: list[str], buckets: int, shortest: int = 3, longest: int = 5, at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """Hash buckets of every word's subwords: the n-grams of the word between its
     end marks, and the marked word as a whole.  Returns (buckets, owner): owner is
-    the word's place in ``words``, ascending.
+    the word's place in ``words``, ascending.  ``at_once`` words are worked on
+    together, which bounds the memory used besides the result.
     """
+    parts = [_subwords(words[a:a + at_once], buckets, shortest, longest) for a in range(0, len(words), at_once)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] + i * at_once for i, p in enumerate(parts)])
+
+
+def _subwords(words: list[str], buckets: int, shortest: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{w}>" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
-    owner = np.repeat(np.arange(len(words)), lengths)
-    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    room = np.repeat(ends, lengths) - np.arange(len(codes))
+    place = np.arange(len(codes)) - np.repeat(ends - lengths, lengths)
     mixed = (codes + np.uint64(1)) * MULTIPLIER
-    found, of, h = [], [], np.zeros(len(codes), np.uint64)
-    place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    whole = np.add.reduceat(mixed * (2 * place + 1).astype(np.uint64) ** 3, np.cumsum(lengths) - lengths) if len(words) else h
-    found.append((whole ^ (whole >> np.uint64(31))) * MULTIPLIER)
-    of.append(np.arange(len(words)))
+    whole = np.add.reduceat(mixed * (2 * place + 1).astype(np.uint64) ** 3, ends - lengths)
+    found, of, h = [(whole ^ (whole >> np.uint64(31))) * MULTIPLIER], [np.arange(len(words), dtype=np.int32)], np.zeros_like(codes)
     for n in range(1, min(longest, len(codes)) + 1):
         h[:len(codes) - n + 1] = h[:len(codes) - n + 1] * np.uint64(0x100000001B3) + mixed[n - 1:]
         if n >= shortest:
@@ -93,7 +100,8 @@ def span_words(texts: list[str], span: int):
     get = vocabulary.__getitem__
     flat = np.fromiter((i for d in docs for i in map(get, d)), np.int64, int(lengths.sum()))
     key = np.unique(np.repeat(np.arange(len(lengths)), lengths) * max(len(vocabulary), 1) + flat)
-    return list(vocabulary), key % max(len(vocabulary), 1), key // max(len(vocabulary), 1), lengths, np.array(per, np.int64)
+    at, of = (key % max(len(vocabulary), 1)).astype(np.int32), (key // max(len(vocabulary), 1)).astype(np.int32)
+    return list(vocabulary), at, of, lengths, np.array(per, np.int64)
 
 
 @dataclass
@@ -148,7 +156,7 @@ def fit(texts: list[str], y: np.ndarray, buckets: int = 1 << 18, dim: int = 8, s
         return np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[which], which
 
     for epoch in range(epochs):
-        gain = e @ (w[:, 1] - w[:, 0])
+        gain = (e @ (w[:, 1] - w[:, 0])).astype(np.float32)
         mean = np.bincount(owner, gain[index], len(words)) / np.maximum(np.diff(first), 1)
         level = np.bincount(of, mean[at], len(lengths)) / long + rng.random(len(lengths)) * 1e-9
         best = np.lexsort((-level, np.repeat(np.arange(len(per)), per)))[doc_first[:-1]]
@@ -180,7 +188,7 @@ def fit(texts: list[str], y: np.ndarray, buckets: int = 1 << 18, dim: int = 8, s
     return Subwords((scale * (e @ (w[:, 1] - w[:, 0]))).astype(np.float32), float(c[1] - c[0]), span)
 
 
-def training_sample(df: DataFrame, labels: DataFrame, label_col: str, per_class: int, words: int) -> pd.DataFrame:
+def training_sample(df: DataFrame, labels: DataFrame, label_col: str, per_class: int, words: int) -> DataFrame:
     """(y, text) of at most ``per_class`` documents of each class that are not held out.
 
     Chosen by a hash of the id; of a longer document ``words`` words in a row, from
@@ -193,14 +201,21 @@ def training_sample(df: DataFrame, labels: DataFrame, label_col: str, per_class:
     picked = known.where(draw < most).limit(4 * per_class)
     parts = F.split(F.coalesce(F.col("text"), F.lit("")), r"\s+")
     first = (F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.lit(1), F.size("parts") - words)) + 1).cast("int")
-    rows = (df.join(F.broadcast(picked), "doc_id").select("doc_id", "y", parts.alias("parts"))  # at most 4 * per_class ids
+    return (df.join(F.broadcast(picked), "doc_id").select("doc_id", "y", parts.alias("parts"))  # at most 4 * per_class ids
             .select("doc_id", "y", F.array_join(F.slice("parts", first, F.lit(words)), " ").alias("text")))
-    return rows.toPandas().sort_values(["doc_id", "text"]).reset_index(drop=True)
 
 
-def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 3000, words: int = 1500) -> Subwords:
-    rows = training_sample(df.select("doc_id", "text"), labels, label_col, per_class, words)
-    return fit(rows["text"].tolist(), (rows["y"].to_numpy() > 0).astype(float))
+def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 3000, words: int = 1000) -> Subwords:
+    """The model, fitted in one task on the bounded sample; only its numbers come to the driver."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["doc_id", "text"])
+        model = fit(rows["text"].tolist(), (rows["y"].to_numpy() > 0).astype(float))
+        return pd.DataFrame({"gain": [model.gain.tobytes()], "bias": [model.bias], "span": [model.span]})
+
+    sample = training_sample(df.select("doc_id", "text"), labels, label_col, per_class, words)
+    row = sample.groupBy(F.lit(1)).applyInPandas(run, "gain binary, bias double, span int").first()
+    return Subwords(np.frombuffer(row["gain"], np.float32), row["bias"], row["span"]) if row else fit([], np.zeros(0))
 
 
 def scorer(model: Subwords):
