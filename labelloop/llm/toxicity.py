@@ -214,7 +214,7 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
         return pd.DataFrame({"gain": [model.gain.tobytes()], "bias": [model.bias], "span": [model.span]})
 
     sample = training_sample(df.select("doc_id", "text"), labels, label_col, per_class, words)
-    row = sample.groupBy(F.lit(1)).applyInPandas(run, "gain binary, bias double, span int").first()
+    row = sample.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(run, "gain binary, bias double, span int").first()
     return Subwords(np.frombuffer(row["gain"], np.float32), row["bias"], row["span"]) if row else fit([], np.zeros(0))
 
 
