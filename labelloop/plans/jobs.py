@@ -15,6 +15,7 @@ from labelloop.operators.cleaning import labelled_rows, require_columns
 from labelloop.operators.dedup import last_n, last_per_key
 from labelloop.operators.joins import attach_truth
 from labelloop.operators.metrics import live_metrics
+from labelloop.sources.delimited import LOG_POSITION, require_rows
 
 # ---- fixed values ----------------------------------------------------------
 LIVE_WINDOW = 200     # live metrics look at the latest 200 labelled predictions
@@ -23,20 +24,29 @@ LIVE_WINDOW = 200     # live metrics look at the latest 200 labelled predictions
 LOG_REQUIRED = ("logged_at", "target_date", "location", "predicted_rain")
 
 
+def log_order(log: DataFrame, id_col: str = "event_id") -> list[str]:
+    """Columns that say which of two predictions is the later: log time, then the id
+    or, for a log read from files, the place in them."""
+    return ["logged_at", *[c for c in (id_col, *LOG_POSITION) if c in log.columns]]
+
+
 def score_log(log: DataFrame, truth: DataFrame, *, truth_keys=("location", "obs_date"),
               measure: str = "rainfall", id_col: str = "event_id",
-              truth_order: tuple[str, ...] | None = None) -> DataFrame:
+              truth_order: tuple[str, ...] | None = None, must_have_rows: bool = False) -> DataFrame:
     """I3 part 1 — the scored log: keys complete (B15), last prediction per
     (location, target_date) wins (E1), feature date backfilled (B14), truth
     attached with a three-valued label (C1, B16).
 
     ``truth`` must hold one row per key; pass ``truth_order`` to hand in raw
     observations instead (the last one per key by that order wins, E4), so
-    the join never multiplies predictions."""
+    the join never multiplies predictions.  ``must_have_rows`` raises for a log
+    without a usable row (one small job)."""
     require_columns(log, LOG_REQUIRED)
+    if must_have_rows:
+        require_rows(log)
     if truth_order:
         truth = last_per_key(truth, list(truth_keys), list(truth_order))
-    order = ["logged_at", id_col] if id_col in log.columns else ["logged_at"]
+    order = log_order(log, id_col)
     p = log.dropna(subset=["logged_at", "target_date", "location"])
     p = last_per_key(p, keys=["location", "target_date"], order_cols=order)
     if "feature_date" in p.columns:
@@ -49,8 +59,7 @@ def score_log(log: DataFrame, truth: DataFrame, *, truth_keys=("location", "obs_
 def live_eval_rows(scored: DataFrame, window: int = LIVE_WINDOW, id_col: str = "event_id") -> DataFrame:
     """I3 part 2 — labelled rows (B20) with a prediction, latest ``window``."""
     rows = labelled_rows(scored).filter(F.col("predicted_rain").isNotNull())
-    order = ["logged_at", id_col] if id_col in scored.columns else ["logged_at"]
-    return last_n(rows, window, order)
+    return last_n(rows, window, log_order(scored, id_col))
 
 
 def score_predictions(log: DataFrame, truth: DataFrame, window: int = LIVE_WINDOW,
@@ -90,7 +99,7 @@ def new_labelled_rows(scored: DataFrame, cutoff, id_col: str = "event_id",
     s = s.dropna(subset=["feature_date"])
     cut = list(cutoff) if isinstance(cutoff, (list, tuple)) else [cutoff]
     s = after_cutoff(s, "feature_date", *cut)
-    order = [c for c in ("logged_at", id_col) if c in s.columns] or ["feature_date"]
+    order = [c for c in log_order(s, id_col) if c in s.columns] or ["feature_date"]
     return last_per_key(s, ["location", "feature_date"], order)
 
 

@@ -43,21 +43,10 @@ def scan_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 _FIELD_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw log lines, one string column ``line``: the first line of every file
-    (its header) and blank lines are dropped by the CSV source itself."""
-    return (spark.read.option("header", "true").option("sep", "\u0001").option("quote", "\u0000")
-            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-            .schema("line STRING").csv(path))
-
-
-def parse_log_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def parse_log_fields(rows: DataFrame, fields_col: str = "fields", keep: Sequence[str] = ()) -> DataFrame:
     """A3: 7 fields → v1 (no feature_date), ≥ 8 fields → v2 (first 8 used),
     any other arity is dropped.  Values stay strings (typed by :func:`type_log`)."""
-    raw = F.split(F.col(line_col), _FIELD_SPLIT, -1)
-    fields = F.transform(raw, lambda x: F.regexp_replace(
-        F.regexp_replace(x, '^"(.*)"$', "$1"), '""', '"'))
-    t = lines.select(fields.alias("__f")).withColumn("__n", F.size("__f")).filter(F.col("__n") >= 7)
+    t = rows.select(F.col(fields_col).alias("__f"), *keep).withColumn("__n", F.size("__f")).filter(F.col("__n") >= 7)
     v2 = F.col("__n") >= 8
 
     def at(i):
@@ -71,12 +60,31 @@ def parse_log_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
         else:
             value = F.when(v2, at(i2))
         cols.append(F.when(value != "", value).alias(name))  # empty field → NULL
-    return t.select(*cols)
+    return t.select(*cols, *keep)
+
+
+#: Where a log row stands: file, and a number that grows with its place in the file.
+LOG_POSITION = ("source_file", "source_row")
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
-    """A3 on files: lines → fields (strings)."""
-    return parse_log_lines(log_lines(spark, path))
+    """A3 on files: records → fields (strings), with ``LOG_POSITION``.
+
+    The CSV source finds the records (quoted fields may hold commas and line
+    breaks; header and blank lines are skipped).  It hands over records of other
+    than eight fields whole, and those are split here.  A record may span lines, so
+    a file is read by one task: land a growing log as many files.
+    """
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in PREDICTION_LOG_V2), T.StructField("_raw", T.StringType())])
+    read = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").option("enforceSchema", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    split = F.transform(F.split("_raw", _FIELD_SPLIT, -1), lambda x: F.regexp_replace(
+        F.regexp_replace(x, '(?s)^"(.*)"$', "$1"), '""', '"'))
+    fields = F.when(F.col("_raw").isNull(), F.array(*[F.coalesce(c, F.lit("")) for c in PREDICTION_LOG_V2])).otherwise(split)
+    rows = read.select(fields.alias("fields"), F.col("_metadata.file_path").alias("source_file"),
+                       F.monotonically_increasing_id().alias("source_row"))
+    return parse_log_fields(rows, "fields", LOG_POSITION)
 
 
 def type_log(raw: DataFrame) -> DataFrame:
@@ -91,6 +99,7 @@ def type_log(raw: DataFrame) -> DataFrame:
         "location", "use_latest", "station_name",
         safe_double("rain_probability").alias("rain_probability"),
         safe_double("predicted_rain").cast("int").alias("predicted_rain"),
+        *[c for c in LOG_POSITION if c in raw.columns],
     )
 
 

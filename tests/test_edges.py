@@ -47,6 +47,23 @@ def test_ragged_log_arity_quotes_blank_lines(spark):
     assert bad["logged_at"] is None and bad["predicted_rain"] is None
 
 
+def test_log_records_with_line_breaks_and_their_places(spark):
+    text = ("logged_at_utc,feature_date,target_date,location,use_latest,station_name,rain_probability,predicted_rain\n"
+            "2024-01-01T00:00:00,2024-01-01,2024-01-02,A,True,\"two\nlines, \"\"quoted\"\"\",0.8,1\n"      # v2
+            "2024-01-01T00:00:00,2024-01-02,A,True,\"v1\nalso\",0.2,0\n"                                    # v1
+            "2024-01-01T00:00:00,2024-01-01,2024-01-02,B,True,\"x\ny\",0.2,0,more\n"                        # 9 fields
+            "2024-01-01T00:00:00,2024-01-01,2024-01-02,C,True,,,\n")                                          # empty fields
+    raw = DL.read_prediction_log(spark, _write_text(spark, "breaks", text))
+    rows = sorted(DL.type_log(raw).collect(), key=lambda r: r["source_row"])
+    assert [r["station_name"] for r in rows] == ['two\nlines, "quoted"', "v1\nalso", "x\ny", None]
+    assert [r["location"] for r in rows] == ["A", "A", "B", "C"] and rows[3]["predicted_rain"] is None
+    # equal log times: the later row of the file wins
+    from labelloop.plans.jobs import score_log
+    truth = spark.createDataFrame([("A", dt.date(2024, 1, 2), 1.0)], "location string, obs_date date, rainfall double")
+    won = {r["location"]: r["predicted_rain"] for r in score_log(DL.type_log(raw), truth).collect()}
+    assert won["A"] == 0
+
+
 def test_header_only_log_is_empty(spark):
     path = _write_text(spark, "empty-log", "logged_at_utc,target_date\n")
     assert DL.read_prediction_log(spark, path).count() == 0
