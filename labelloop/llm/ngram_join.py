@@ -84,7 +84,7 @@ def signatures(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = batch["m"].tolist()
-            for first, part in text_groups(batch["text"].tolist()):
+            for first, part in text_groups(batch["text"].tolist(), 2 << 20):
                 found, counts = shingles(part)
                 sig = min_hashes(found, counts)
                 at = np.flatnonzero(counts)
@@ -159,12 +159,15 @@ def verified(pairs: DataFrame, rows: DataFrame, threshold: float, block: int = 2
     wanted = stored(blocks.select("a", "part", F.col("b").alias("m")).unionByName(
         blocks.select("a", "part", F.col("a").alias("m")).distinct()), "join-blocks")
     needed = wanted.select("m").distinct()
-    texts = rows.join(needed, "m", "left_semi").groupBy("m").agg(F.first("text").alias("text"))
+    # What is needed grows with the table, so it is never broadcast: the texts are shuffled once, at every size.
+    texts = rows.join(needed.hint("merge"), "m", "left_semi").groupBy("m").agg(F.first("text").alias("text"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         lead, keys, texts = group["a"].iloc[0], group["m"].tolist(), group["text"].tolist()
-        found, counts = shingles(texts)
-        sets = [np.unique(x) for x in np.split(found, np.cumsum(counts)[:-1])]
+        sets = []
+        for _, part in text_groups(texts, 1 << 20):
+            found, counts = shingles(part)
+            sets += [np.unique(x) for x in np.split(found, np.cumsum(counts)[:-1])]
         own = sets[keys.index(lead)]
         good = [k for k, s in zip(keys, sets, strict=True) if k != lead and
                 (c := len(np.intersect1d(own, s, assume_unique=True))) >= threshold * (len(own) + len(s) - c) - 1e-9]
