@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +29,22 @@ def fit_means(train: DataFrame, columns: Sequence[str]) -> dict[str, float | Non
     return {c: row[c] for c in columns}
 
 
+def _modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by…, column, mode): the most frequent value of each column, ties → smallest.
+
+    Values are counted by (by…, column, value) first, combined before the
+    shuffle, so no task holds all values of a column."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    counts = df.select(*by, pairs.alias("p")).select(*by, "p.column", "p.value").dropna(subset=["value"]) \
+        .groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(*by, "column").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+
+
 def fit_modes(train: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """H2 fit: most frequent value per column, ties → smallest (one pass)."""
-    row = train.agg(*[F.mode(F.col(c), True).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    """H2 fit: most frequent value per column, ties → smallest; None where all are missing."""
+    columns = list(columns)
+    found = {r["column"]: r["mode"] for r in _modes(train, columns).collect()} if columns else {}   # a row per column
+    return {c: found.get(c) for c in columns}
 
 
 def fill(df: DataFrame, values: dict) -> DataFrame:
@@ -60,8 +72,13 @@ def impute_per_split(df: DataFrame, split: str, numeric: Sequence[str] = (),
     exploration variant).  Statistics come from one grouped aggregate whose
     size is the number of splits, joined back on the split key."""
     stats = df.groupBy(split).agg(
-        *[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"__m_{c}") for c in numeric],
-        *[F.mode(F.col(c), True).alias(f"__m_{c}") for c in categorical])
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"__m_{c}") for c in numeric])
+    if categorical:
+        modes = _modes(df, list(categorical), [split]).groupBy(F.col(split).alias("__s")).agg(
+            *[F.max(F.when(F.col("column") == c, F.col("mode"))).alias(f"__m_{c}") for c in categorical])
+        stats = stats.join(modes, F.col(split).eqNullSafe(F.col("__s")), "left").drop("__s")
+    stats = stats.drop("__rows")
     out = df.join(stats.withColumnRenamed(split, "__split"),
                   on=F.col(split).eqNullSafe(F.col("__split")), how="left").drop("__split")
     out = out.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
@@ -141,7 +158,3 @@ def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> D
     return df.join(counts.select(F.col(label).alias("__lab"), "__w"),
                    on=F.col(label).eqNullSafe(F.col("__lab")), how="left") \
         .withColumn(weight_col, F.col("__w").cast("double")).drop("__lab", "__w")
-
-
-def fit_pipeline(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(train)

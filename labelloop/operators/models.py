@@ -10,9 +10,10 @@ rows that are scored for evaluation.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloop.functions.values import DEFAULT_THRESHOLD
-from labelloop.operators.features import fit_modes, preprocessing_pipeline
+from labelloop.operators.features import CYCLIC_PERIODS, fit_modes, preprocessing_pipeline
 from labelloop.operators.metrics import evaluate
+from labelloop.operators.neighbours import smote
+from labelloop.session import cut_lineage
 
 # ---- fixed values ----------------------------------------------------------
 # Boosted-tree settings of the reference's production model, mapped onto
@@ -81,39 +84,68 @@ class ModelSpec:
     weight: str | None = None     # H14 class weights
 
 
-def fit_model(train: DataFrame, spec: ModelSpec) -> PipelineModel:
-    """Fit preprocessing (+ scaler) on ``train``, optionally oversample the
-    assembled training vectors, fit the classifier; return one PipelineModel."""
-    stages = []
-    cats = list(spec.categorical)
+@dataclass
+class Prepared:
+    """Training rows as vectors: fitted preprocessing ``stages``, the stored rows
+    (``vector``, ``label``; balanced if asked for) and the columns that had no value to fit on."""
+    stages: list
+    rows: DataFrame
+    vector: str
+    dropped: tuple[str, ...] = ()
+
+
+def prepare(train: DataFrame, spec: ModelSpec) -> Prepared:
+    """Fit preprocessing (+ scaler) on ``train`` and store the vectors it gives, with SMOTE rows if asked for.
+
+    The training rows are stored once before they are passed over (modes, means,
+    levels, deviations, vectors).  A column without any value in them cannot be
+    imputed and is left out."""
+    train = cut_lineage(train.select(*dict.fromkeys([*spec.categorical, *spec.numeric, *CYCLIC_PERIODS, spec.label,
+                                                     *([spec.id_col] if spec.oversample else []),
+                                                     *([spec.weight] if spec.weight else [])])))
+    present = train.agg(*[F.count(F.col(c)).alias(c) for c in spec.categorical],
+                        *[F.count(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in spec.numeric]).first().asDict() \
+        if [*spec.categorical, *spec.numeric] else {}
+    dropped = tuple(c for c in (*spec.categorical, *spec.numeric) if not present[c])
+    cats = [c for c in spec.categorical if c not in dropped]
+    stages, data = [], train
     if cats:
         # H2 fill as a persisted stage: the training modes travel with the model
         modes = fit_modes(train, cats)
         fills = ", ".join(
             f"coalesce(`{c}`, {_sql_str(modes[c])}) AS `{c}_filled`" for c in cats)
-        fill_stage = SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__")
-        stages.append(fill_stage)
-        train = fill_stage.transform(train)
-        cats = [f"{c}_filled" for c in cats]
-    prep = preprocessing_pipeline(cats, list(spec.numeric)).fit(train)
+        stages.append(SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"))
+        data = stages[-1].transform(data)
+    prep = preprocessing_pipeline([f"{c}_filled" for c in cats], [c for c in spec.numeric if c not in dropped]).fit(data)
     stages += list(prep.stages)
-    data = prep.transform(train)
-    feat = "features"
+    data = prep.transform(data)
+    vector = "features"
     if spec.scale:
         scaler = population_scaler(data, "features", "features_scaled")
         stages.append(scaler)
         data = scaler.transform(data)
-        feat = "features_scaled"
+        vector = "features_scaled"
+    keep = [F.col(vector), F.col(spec.label).cast("double").alias(spec.label), *([F.col(spec.weight)] if spec.weight else [])]
+    rows = data.select(*keep)
     if spec.oversample:
-        from labelloop.operators.neighbours import smote
-        base = data.select(F.col(spec.id_col).cast("bigint").alias("id"), vector_to_array(feat).alias("vec"),
-                           F.col(spec.label).cast("int").alias("y"))
+        base = cut_lineage(data.select(F.col(spec.id_col).cast("bigint").alias("id"), vector_to_array(vector).alias("vec"),
+                                       F.col(spec.label).cast("int").alias("y")))
         synth = smote(base, "y", id_col="id", vec_col="vec")
-        extra = synth.select(array_to_vector("vec").alias(feat), F.col("label").cast("double").alias(spec.label))
-        data = data.select(feat, F.col(spec.label).cast("double").alias(spec.label)).unionByName(extra)
-    clf = make_classifier(spec.kind, label=spec.label, features=feat, weight=spec.weight, **spec.params)
-    stages.append(clf.fit(data))
-    return PipelineModel(stages=stages)
+        rows = base.select(array_to_vector("vec").alias(vector), F.col("y").cast("double").alias(spec.label)).unionByName(
+            synth.select(array_to_vector("vec").alias(vector), F.col("label").cast("double").alias(spec.label)))
+    return Prepared(stages, cut_lineage(rows), vector, dropped)
+
+
+def fit_prepared(prepared: Prepared, spec: ModelSpec) -> PipelineModel:
+    """Fit the classifier of ``spec`` on prepared rows; the model includes the preprocessing."""
+    clf = make_classifier(spec.kind, label=spec.label, features=prepared.vector, weight=spec.weight, **spec.params)
+    return PipelineModel(stages=[*prepared.stages, clf.fit(prepared.rows)])
+
+
+def fit_model(train: DataFrame, spec: ModelSpec) -> PipelineModel:
+    """Fit preprocessing (+ scaler) on ``train``, optionally oversample the
+    assembled training vectors, fit the classifier; return one PipelineModel."""
+    return fit_prepared(prepare(train, spec), spec)
 
 
 def population_scaler(data: DataFrame, input_col: str, output_col: str) -> ElementwiseProduct:
@@ -137,7 +169,7 @@ def _sql_str(v) -> str:
 def score(model: PipelineModel, df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Probability of the positive class and the class at ``p >= threshold``
     (a linear SVC, which has no probability, is scored on its raw margin > 0)."""
-    out = model.transform(df)
+    out = model.transform(df)   # a whole pipeline, or a classifier on prepared vectors
     if "probability" in out.columns:
         p = F.get(vector_to_array("probability"), 1)
         return out.withColumn("score", p).withColumn("predicted", (p >= threshold).cast("int"))
@@ -145,39 +177,59 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = DEFAULT_THRESH
     return out.withColumn("score", margin).withColumn("predicted", (margin > 0).cast("int"))
 
 
-def cross_validate(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4,
-                   threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """One fit per fold on the other folds; out-of-fold scores unioned and
-    evaluated per fold (D13 + D14).  Fits run as concurrent Spark jobs."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())   # k small values
+@dataclass
+class Fold:
+    """One fold, ready for any number of classifiers: prepared training rows and stored held-out vectors."""
+    name: object
+    train: Prepared
+    held: DataFrame
+
+
+def prepare_folds(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4) -> list[Fold]:
+    """Store the rows once, then fit preprocessing (and SMOTE) once per fold on the other folds."""
+    df = cut_lineage(df)
+    names = sorted(r[0] for r in df.select(fold_col).distinct().collect())   # k small values
 
     def one(f):
-        model = fit_model(df.filter(F.col(fold_col) != f), spec)
-        held = score(model, df.filter(F.col(fold_col) == f), threshold)
-        return held.select(F.lit(f).alias(fold_col), F.col(spec.label).cast("int").alias("y"), "predicted", "score")
+        train = prepare(df.filter(F.col(fold_col) != f), spec)
+        held = PipelineModel(stages=train.stages).transform(df.filter(F.col(fold_col) == f))
+        return Fold(f, train, cut_lineage(held.select(train.vector, F.col(spec.label).cast("int").alias("y"))))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
+        return list(pool.map(one, names))
+
+
+def evaluate_folds(folds: Sequence[Fold], spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4,
+                   threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """H10 on prepared folds: one classifier per fold; out-of-fold scores evaluated per fold (D13 + D14)."""
+    def one(fold: Fold) -> DataFrame:
+        clf = make_classifier(spec.kind, label=spec.label, features=fold.train.vector, weight=spec.weight, **spec.params)
+        held = score(clf.fit(fold.train.rows), fold.held, threshold)
+        return held.select(F.lit(fold.name).alias(fold_col), "y", "predicted", "score")
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
         parts = list(pool.map(one, folds))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    return evaluate(oof, y="y", pred="predicted", score="score", groups=[fold_col])
+    return evaluate(reduce(DataFrame.unionByName, parts), y="y", pred="predicted", score="score", groups=[fold_col])
+
+
+def cross_validate(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4,
+                   threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """One fit per fold on the other folds; out-of-fold scores unioned and
+    evaluated per fold (D13 + D14).  At most ``parallelism`` fits run at a time."""
+    return evaluate_folds(prepare_folds(df, spec, fold_col, parallelism), spec, fold_col, parallelism, threshold)
 
 
 def benchmark(df: DataFrame, base: ModelSpec, kinds: Sequence[str] = MODEL_KINDS,
               params: dict[str, dict] | None = None, fold_col: str = "fold") -> DataFrame:
     """The same folds for several classifiers → one row per model with the
     mean of each fold metric, ranked by ROC AUC (E6)."""
-    from dataclasses import replace
-    rows = []
+    folds, rows = prepare_folds(df, base, fold_col), []
     for kind in kinds:
         spec = replace(base, kind=kind, params=(params or {}).get(kind, {}))
-        m = cross_validate(df, spec, fold_col)
-        rows.append(m.agg(*[F.avg(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+        m = evaluate_folds(folds, spec, fold_col)
+        rows.append(m.agg(F.count(F.lit(1)).alias("folds"), *[F.avg(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
                     .withColumn("model", F.lit(kind)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    out = reduce(DataFrame.unionByName, rows)
     return out.orderBy(F.col("roc_auc").desc_nulls_last(), "model")
 
 
@@ -190,5 +242,3 @@ def save_model(model: PipelineModel, path: str) -> str:
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
-
-Builder = Callable[[DataFrame], PipelineModel]

@@ -34,8 +34,11 @@ KNN_VOTERS = 7             # k of the k-NN vote
 
 # Cell granularity (not a candidate limit: pass B still visits every cell
 # within the radius).  Bounding the cell count bounds the boundary array each
-# row is placed against; with more data the cells simply hold more rows.
+# row is placed against; with more data the cells hold more rows and are split
+# over more tasks (``QUERY_BLOCK`` × ``TRAIN_BLOCK`` rows a task).  All are
+# parameters of the operators below.
 MAX_CELLS = 2048
+QUERY_BLOCK, TRAIN_BLOCK = 1024, 4096
 COPY_CHUNK = 100_000       # synthetic copies generated per task unit in SMOTE
 
 
@@ -64,12 +67,62 @@ def _cell_of(value: Column, bounds: list[float]) -> Column:
     return F.size(F.filter(arr, lambda b: b <= value))
 
 
+def _cell_join(queries: DataFrame, train: DataFrame, n_part: int, query_block: int, train_block: int) -> DataFrame:
+    """Join on query cell ``jc`` = train cell ``tcell``.
+
+    Rows are counted per cell first (one row per cell comes back, so at most
+    ``max_cells``): a cell with many queries or many train rows is cut into blocks
+    of both, each pair of blocks being one join key, so no cell is one task.
+    """
+    def blocks(df: DataFrame, cell: str, size: int) -> dict[int, int]:
+        return {r[0]: -(-r[1] // size) for r in df.groupBy(cell).count().collect()}
+
+    q_blocks, t_blocks = blocks(queries, "jc", query_block), blocks(train, "tcell", train_block)
+    n = max([0, *q_blocks, *t_blocks]) + 1
+    of = lambda b, cell: F.get(F.array(*[F.lit(b.get(i, 1)) for i in range(n)]), cell)
+    everything = lambda b, cell: F.explode(F.sequence(F.lit(0), of(b, cell) - 1))
+    q = queries.filter(F.col("jc").between(0, n - 1)).withColumn("__qb", F.pmod(F.xxhash64("qgid"), of(q_blocks, F.col("jc"))).cast("int")) \
+        .withColumn("__tb", everything(t_blocks, F.col("jc")))
+    t = train.withColumn("__tt", F.pmod(F.xxhash64("gid"), of(t_blocks, F.col("tcell"))).cast("int")) \
+        .withColumn("__tq", everything(q_blocks, F.col("tcell")))
+    return q.repartition(n_part, "jc", "__qb", "__tb").join(
+        t.repartition(n_part, "tcell", "__tq", "__tt"),
+        (F.col("jc") == F.col("tcell")) & (F.col("__qb") == F.col("__tq")) & (F.col("__tb") == F.col("__tt"))) \
+        .drop("__qb", "__tb", "__tq", "__tt")
+
+
+def approximate_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "vec",
+                           exclude_self: bool = False, tables: int = 8, bucket_length: float = 1.0) -> DataFrame:
+    """(query_id, neighbour_id, sq_distance, rank) among the train points that share a random-projection
+    bucket with the query in one of ``tables`` tables: faster, and may miss neighbours
+    (a query with no shared bucket has none).  More tables or longer buckets miss less."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    as_vec = lambda df, i: df.select(F.col(id_col).alias(i), F.col(vec_col).cast("array<double>").alias(f"{i}_vec"),
+                                     array_to_vector(F.col(vec_col).cast("array<double>")).alias("__v"))
+    t, q = as_vec(train, "neighbour_id"), as_vec(queries, "query_id")
+    lsh = BucketedRandomProjectionLSH(inputCol="__v", outputCol="__h", numHashTables=tables, bucketLength=bucket_length,
+                                      seed=SEED).fit(t)
+    placed = lambda df: lsh.transform(df).drop("__v").select(
+        *[c for c in df.columns if c != "__v"], F.posexplode("__h").alias("__t", "__b")) \
+        .withColumn("__b", F.get(vector_to_array("__b"), 0))
+    met = placed(q).join(placed(t), ["__t", "__b"]).dropDuplicates(["query_id", "neighbour_id"])
+    if exclude_self:
+        met = met.filter(F.col("query_id") != F.col("neighbour_id"))
+    met = met.withColumn("sq_distance", sq_dist("query_id_vec", "neighbour_id_vec"))
+    best = Window.partitionBy("query_id").orderBy("sq_distance", "neighbour_id")
+    return met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
+        .select("query_id", "neighbour_id", "sq_distance", "rank")
+
+
 def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col: str = "id",
                        vec_col: str = "vec", exclude_self: bool = False, n_pivots: int = 4,
-                       cell_rows: int = 64, query_salt: int | None = None) -> DataFrame:
+                       cell_rows: int = 64, max_cells: int = MAX_CELLS, query_block: int = QUERY_BLOCK,
+                       train_block: int = TRAIN_BLOCK) -> DataFrame:
     """(query_id, neighbour_id, sq_distance, rank) — the k nearest train points
     of every query, ties broken by neighbour id.  ``exclude_self`` drops a
-    query's own id (for a self-join such as SMOTE)."""
+    query's own id (for a self-join such as SMOTE).  Exact; see
+    :func:`approximate_neighbours` for the approximate search."""
     kk = k + 1 if exclude_self else k
     tg = _compact(train, id_col, vec_col, kk)
     qg = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("vec"))
@@ -92,7 +145,7 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     from labelloop.session import cut_lineage
     tg = cut_lineage(with_pivots(tg))
     qv = cut_lineage(with_pivots(qv))
-    n_cells = min(MAX_CELLS, max(1, int(tg.count() // cell_rows)))
+    n_cells = min(max_cells, max(1, int(tg.count() // cell_rows)))
     bounds = []
     if n_cells > 1:
         probs = [i / n_cells for i in range(1, n_cells)]
@@ -102,13 +155,12 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     # Both sides of the cell joins are hash-partitioned with an explicit count:
     # the join output is far larger than its inputs, and AQE would otherwise
     # coalesce the (small) inputs into a few tasks that then do all the work.
-    n_part = max(int(qv.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(n_cells, 4096))
-    t = tg.select("gid", "ids", F.col("vec").alias("tvec"), F.col("pd").alias("tpd"), F.col("cell").alias("tcell")) \
-        .repartition(n_part, "tcell")
+    n_part = max(int(qv.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_cells)
+    t = tg.select("gid", "ids", F.col("vec").alias("tvec"), F.col("pd").alias("tpd"), F.col("cell").alias("tcell"))
 
     # pass A: own and adjacent cells → radius holding kk points
-    near = qv.withColumn("jc", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1))).repartition(n_part, "jc")
-    a = near.join(t, F.col("jc") == F.col("tcell")).select(
+    near = qv.withColumn("jc", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1)))
+    a = _cell_join(near, t, n_part, query_block, train_block).select(
         "qgid", F.size("ids").alias("m"), sq_dist("vec", "tvec").alias("d2"), "gid")
     # the kk-th point lies within the first kk candidates (each carries >= 1 id):
     # a per-query top-kk (partial limit before the shuffle) bounds the window
@@ -124,18 +176,7 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col:
     hi = _cell_of(F.get("pd", 0) + F.col("r"), bounds)
     qb = qb.withColumn("jc", F.explode(F.when(F.col("r").isNull(), F.sequence(F.lit(0), F.lit(len(bounds))))
                                        .otherwise(F.sequence(lo, hi))))
-    # query-side salting: a cell visited by many queries is split over `salt`
-    # tasks (its train rows are replicated per salt); adaptive, 1 = no salting
-    if query_salt is None:
-        query_salt = max(1, min(64, qv.count() // (n_cells * 1024)))
-    if query_salt > 1:
-        qs = qb.withColumn("__qs", F.pmod(F.xxhash64("qgid"), F.lit(query_salt)).cast("int"))
-        ts = t.withColumn("__ts", F.explode(F.sequence(F.lit(0), F.lit(query_salt - 1))))
-        b = qs.repartition(n_part, "jc", "__qs").join(
-            ts.repartition(n_part, "tcell", "__ts"),
-            (F.col("jc") == F.col("tcell")) & (F.col("__qs") == F.col("__ts"))).drop("__qs", "__ts")
-    else:
-        b = qb.repartition(n_part, "jc").join(t, F.col("jc") == F.col("tcell"))
+    b = _cell_join(qb, t, n_part, query_block, train_block)
     bound_ok = F.aggregate(F.zip_with("pd", "tpd", lambda x, y: F.abs(x - y)), F.lit(0.0),
                            lambda acc, x: F.greatest(acc, x)) <= F.col("r") + F.lit(1e-9)
     b = b.filter(F.col("r").isNull() | bound_ok).withColumn("d2", sq_dist("vec", "tvec"))
@@ -168,29 +209,50 @@ def _u32(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
 
 
+def _all_ranks(points: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Ranks 1 to k of every point: those found, over and over; the point itself where none was."""
+    n = found.groupBy("query_id").agg(F.max("rank").alias("__n"))
+    slots = points.select(F.col("id").alias("query_id"), F.explode(F.sequence(F.lit(1), F.lit(k))).alias("__slot")) \
+        .join(n, "query_id", "left").withColumn("rank", (F.col("__slot") - 1) % F.col("__n") + 1)
+    return slots.join(found, ["query_id", "rank"], "left").select(
+        "query_id", F.coalesce("neighbour_id", "query_id").alias("neighbour_id"), F.col("__slot").alias("rank"))
+
+
 def smote(df: DataFrame, label_col: str, *, id_col: str = "id", vec_col: str = "vec",
-          k: int = SMOTE_NEIGHBOURS, seed: int = SEED, minority=1) -> DataFrame:
+          k: int = SMOTE_NEIGHBOURS, seed: int = SEED, minority: int | None = None, approximate: dict | None = None,
+          copy_chunk: int = COPY_CHUNK) -> DataFrame:
     """Synthetic minority rows until both classes are equal in size.
 
-    The n_new = n_major − n_minor synthetic rows are spread evenly over the
-    minority rows (in seeded-hash order); synthetic row c of base x takes
-    neighbour ``md5(seed‖x‖c) mod k`` among x's k nearest minority rows and
-    gap u from another md5 draw: ``x + u · (nn − x)``.  Returns the
-    synthetic rows only: (base_id, copy, neighbour_id, gap, vec, label).
+    The minority is the smaller class unless it is given.  The n_new = n_major −
+    n_minor synthetic rows are spread evenly over the minority rows (in
+    seeded-hash order); synthetic row c of base x takes neighbour
+    ``md5(seed‖x‖c) mod k`` among x's k nearest minority rows and gap u from
+    another md5 draw: ``x + u · (nn − x)``.  Returns the synthetic rows only:
+    (base_id, copy, neighbour_id, gap, vec, label).
+
+    Raises if the minority has no more than ``k`` rows or if an id of it occurs
+    twice.  ``approximate`` (options of :func:`approximate_neighbours`) replaces
+    the exact neighbour search.
     """
     from labelloop.operators.ordering import global_rank
     df = df.filter(F.col(label_col).isNotNull())
-    counts = df.groupBy(F.col(label_col) == F.lit(minority)).count().collect()   # two rows
-    n_min = sum(r["count"] for r in counts if r[0])
-    n_maj = sum(r["count"] for r in counts if not r[0])
-    n_new = n_maj - n_min
-    mins = df.filter(F.col(label_col) == F.lit(minority)).select(F.col(id_col).alias("id"),
-                                                                  F.col(vec_col).alias("vec"))
-    if n_new <= 0 or n_min < 2:
+    counts = {int(r[0]): r[1] for r in df.groupBy(F.col(label_col).cast("int")).count().collect()}   # a row per class
+    if minority is None:
+        minority = min(counts, key=lambda c: (counts[c], -c)) if counts else 1
+    n_min = counts.get(minority, 0)
+    n_new = sum(counts.values()) - 2 * n_min
+    mins = df.filter(F.col(label_col).cast("int") == F.lit(minority)).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
+    if n_new <= 0:
         return df.sparkSession.createDataFrame(
             [], "base_id BIGINT, copy INT, neighbour_id BIGINT, gap DOUBLE, vec ARRAY<DOUBLE>, label INT")
-    kk = min(k, n_min - 1)
-    nn = nearest_neighbours(mins, mins, kk, exclude_self=True)
+    if n_min <= k:
+        raise ValueError(f"SMOTE takes {k} neighbours, but class {minority} has only {n_min} rows; lower k or add rows")
+    n_ids = mins.agg(F.count_distinct("id")).first()[0]
+    if n_ids != n_min:
+        raise ValueError(f"SMOTE needs one id per row, but {n_min} rows of class {minority} have {n_ids} ids")
+    kk = k
+    nn = nearest_neighbours(mins, mins, kk, exclude_self=True) if approximate is None else \
+        _all_ranks(mins, approximate_neighbours(mins, mins, kk, exclude_self=True, **approximate), kk)
     ranked = global_rank(mins.withColumn("__h", F.md5(F.concat(F.lit(str(seed)), F.col("id").cast("string")))),
                          ["__h", "id"], rank_col="__r")
     per, extra = divmod(n_new, n_min)
@@ -198,12 +260,12 @@ def smote(df: DataFrame, label_col: str, *, id_col: str = "id", vec_col: str = "
     # a base row may own millions of copies (tiny minority): cut its copy range
     # into chunks, spread the chunks over tasks, then explode each chunk
     chunks = copies.filter(F.col("c") > 0).withColumn(
-        "__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / F.lit(COPY_CHUNK)).cast("int"))))
-    if per + 1 > COPY_CHUNK:    # some base row owns several chunks: spread them first
+        "__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / F.lit(copy_chunk)).cast("int"))))
+    if per + 1 > copy_chunk:    # some base row owns several chunks: spread them first
         n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         chunks = chunks.repartition(n_part, "id", "__chunk")
     gen = chunks.withColumn("copy", F.explode(F.sequence(
-        F.col("__chunk") * COPY_CHUNK + 1, F.least((F.col("__chunk") + 1) * COPY_CHUNK, F.col("c"))))) \
+        F.col("__chunk") * copy_chunk + 1, F.least((F.col("__chunk") + 1) * copy_chunk, F.col("c"))))) \
         .drop("__chunk")
     key = F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"), F.col("copy").cast("string"))
     gen = gen.withColumn("pick", (_u32(key) % kk + 1).cast("int")) \

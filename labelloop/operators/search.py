@@ -11,14 +11,17 @@ schedules jobs — it never holds data beyond one wave of parameter rows.
 from __future__ import annotations
 
 import math
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloop.operators.models import ModelSpec, cross_validate, fit_model
+from labelloop.operators.metrics import evaluate, fold_means
+from labelloop.operators.models import ModelSpec, evaluate_folds, fit_prepared, prepare, prepare_folds, save_model, score
 from labelloop.operators.trials import MIN_DELTA, PATIENCE, best_trial, patience_stop
+from labelloop.session import cut_lineage
 
 # ---- fixed values ----------------------------------------------------------
 # Search space (narrow, around the known best), as (low, high, kind) with
@@ -31,6 +34,16 @@ SEARCH_SPACE = {
     "colsample_bytree": (0.7, 1.0, "float"),
     "min_child_weight": (1, 6, "int"),
 }
+# The wider space of the search for ROC AUC.
+WIDE_SPACE = {
+    "n_estimators": (100, 600, "int"),
+    "max_depth": (3, 8, "int"),
+    "learning_rate": (0.01, 0.3, "log"),
+    "subsample": (0.6, 1.0, "float"),
+    "colsample_bytree": (0.6, 1.0, "float"),
+    "min_child_weight": (1, 10, "int"),
+}
+WIDE_BUDGET_S = 1800
 # Known-best trial, enqueued first.
 KNOWN_BEST = {"n_estimators": 598, "max_depth": 8, "learning_rate": 0.06023585382561457,
               "subsample": 0.8218142946598608, "colsample_bytree": 0.9462874097203866,
@@ -69,22 +82,27 @@ def trial_table(spark: SparkSession, n_trials: int = N_TRIALS, space: dict = SEA
 
 def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: str = "gbt_recall",
                objective: str = "recall", wave: int = 4, fold_col: str = "fold",
-               min_delta: float = MIN_DELTA, patience: int = PATIENCE,
-               to_params=to_gbt_params) -> tuple[DataFrame, DataFrame]:
-    """Evaluate trials wave by wave; stop when E7 says so.
+               min_delta: float = MIN_DELTA, patience: int = PATIENCE, budget_s: float | None = None,
+               to_params=to_gbt_params, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Evaluate trials wave by wave; stop when E7 says so, or before a wave once
+    ``budget_s`` seconds are over.  The folds are prepared once for all trials; a
+    wave runs at most ``parallelism`` fits at a time.
     Returns (trials with objective values, best trial row)."""
     spark = data.sparkSession
+    folds, began = prepare_folds(data, spec, fold_col, parallelism), time.monotonic()
     params = [r.asDict() for r in trials.orderBy("n").collect()]   # the trial plan: tens of rows
     done: list[tuple] = []
 
     def evaluate_trial(p: dict) -> tuple:
         p = dict(p)
         n = int(p.pop("n"))
-        m = cross_validate(data, replace(spec, params=to_params(p)), fold_col)
+        m = evaluate_folds(folds, replace(spec, params=to_params(p)), fold_col, max(1, parallelism // wave))
         value = m.agg(F.avg(objective)).first()[0]
         return study, n, None if value is None else float(value), p
 
     for start in range(0, len(params), wave):
+        if done and budget_s is not None and time.monotonic() - began > budget_s:
+            break
         # the trials of one wave are independent: their CV jobs run concurrently
         with ThreadPoolExecutor(max_workers=wave) as pool:
             done += list(pool.map(evaluate_trial, params[start:start + wave]))
@@ -101,18 +119,29 @@ def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: st
 
 
 def retrain_with_best(data: DataFrame, spec: ModelSpec, best: DataFrame, to_params=to_gbt_params,
-                      model_path: str | None = None):
-    """Fit on all rows with the best parameters, save (H24), and describe
-    the run in a one-row metadata DataFrame."""
-    from labelloop.operators.models import save_model
+                      model_path: str | None = None, fold_col: str = "fold"):
+    """With the best parameters, cross-validate over the folds of ``data``, fit on
+    all rows, save (H24).  Returns the model and a one-row description of the run:
+    the fold means (``…_cv``), the metrics on the fit set (``…_fit``), rows and parameters."""
     row = best.first()
     params = to_params(dict(row["params"])) if row is not None else {}
-    model = fit_model(data, replace(spec, params=params))
+    spec = replace(spec, params=params)
+    data = cut_lineage(data)
+    cv = fold_means(evaluate_folds(prepare_folds(data, spec, fold_col), spec, fold_col)) if fold_col in data.columns else None
+    ready = prepare(data, spec)
+    model = fit_prepared(ready, spec)
     if model_path:
         save_model(model, model_path)
+    fit = evaluate(score(model, data), y=spec.label, pred="predicted", score="score").first()
     meta = data.agg(F.count(F.lit(1)).cast("bigint").alias("rows_used")).select(
-        F.current_timestamp().alias("trained_at_utc"), F.lit(model_path).alias("model_path"), "rows_used",
+        F.current_timestamp().alias("trained_at_utc"), F.lit(model_path).cast("string").alias("model_path"), "rows_used",
         F.lit(row["study_name"] if row else None).alias("best_study_name"),
         F.lit(row["best_value"] if row else None).cast("double").alias("best_value"),
-        F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]).alias("best_params"))
+        (F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]) if params
+         else F.lit(None).cast("map<string,string>")).alias("best_params"),
+        F.lit(list(ready.dropped)).cast("array<string>").alias("columns_without_values"),
+        *[F.lit(fit[c]).cast("double").alias(f"{c}_fit") for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+    if cv is not None:
+        found = cv.first().asDict()
+        meta = meta.withColumns({c: F.lit(v) for c, v in found.items()})
     return model, meta

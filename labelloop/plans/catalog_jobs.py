@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloop.functions.dates import add_calendar_features
@@ -12,7 +15,8 @@ from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import HISTORY_HORIZON as H, with_fixtures as W
 from labelloop.plans.jobs import (advance_watermark, build_retrain_set, count_new_rows, new_labelled_rows,
-                                  retrain_decision)
+                                  read_watermark, retrain_decision, write_watermark)
+from labelloop.session import scratch_path
 
 _NULL_D = ("MinTemp", "MaxTemp", "Evaporation", "Sunshine", "WindGustSpeed", "WindSpeed3pm", "Humidity9am",
            "Humidity3pm", "Pressure9am", "Pressure3pm", "Cloud9am", "Cloud3pm", "Temp9am", "Temp3pm")
@@ -104,10 +108,14 @@ def i5(spark, sf_dir):
 
 @register("i6_advance_watermark", W("""
 SELECT max(feature_date) AS last_feature_date, CAST(COUNT(*) AS BIGINT) AS consumed_rows,
-       CAST(COUNT(*) AS BIGINT) AS rows_beyond_previous FROM newl""",
+       CAST(COUNT(*) AS BIGINT) AS rows_beyond_previous, TRUE AS has_time, 'run-1' AS run_id FROM newl""",
                                     hist=_I4_CTES["hist"], newl=_newl("SELECT max(Date) FROM hist")))
 def i6(spark, sf_dir):
-    return advance_watermark(fx.history(spark, sf_dir), fx.scored(spark, sf_dir))
+    """I6, written as a document and read back."""
+    path = write_watermark(advance_watermark(fx.history(spark, sf_dir), fx.scored(spark, sf_dir), run_id="run-1"),
+                           scratch_path(spark, "watermark"))
+    back = read_watermark(spark, path)
+    return back.withColumn("has_time", F.col("updated_at_utc").isNotNull()).drop("updated_at_utc")
 
 
 @register("i6_watermark_delta", W("""
@@ -120,7 +128,24 @@ def i6_delta(spark, sf_dir):
     the second row reports how many consumed rows lie beyond the first."""
     hist, scored = fx.history(spark, sf_dir), fx.scored(spark, sf_dir)
     earlier = scored.filter(F.col("logged_at") < F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
-    return advance_watermark(hist, scored, previous=advance_watermark(hist, earlier))
+    return advance_watermark(hist, scored, previous=advance_watermark(hist, earlier)).drop("updated_at_utc", "run_id")
+
+
+@register("i5_fallbacks", W("""
+SELECT 'no history' AS given, CAST(0 AS BIGINT) AS new_rows_for_retrain, CAST(NULL AS DATE) AS retrain_cutoff_date
+UNION ALL SELECT 'no log', 0, NULL
+UNION ALL SELECT 'missing column', 0, max(Date) FROM hist
+UNION ALL SELECT 'corrupt watermark', (SELECT COUNT(*) FROM newl), max(Date) FROM hist""",
+                          hist=_I4_CTES["hist"], newl=_newl("SELECT max(Date) FROM hist")))
+def i5_fallbacks(spark, sf_dir):
+    """I5 where something it counts from is missing or broken."""
+    hist, scored = fx.history(spark, sf_dir), fx.scored(spark, sf_dir)
+    path = scratch_path(spark, "corrupt-watermark")
+    spark.range(1).select(F.lit("{broken").alias("value")).write.text(path)
+    cases = {"no history": count_new_rows(hist.filter(F.col("Date").isNull()), scored), "no log": count_new_rows(hist, None),
+             "missing column": count_new_rows(hist, scored.drop("y_true")),
+             "corrupt watermark": count_new_rows(hist, scored, read_watermark(spark, path))}
+    return reduce(DataFrame.unionByName, [d.withColumn("given", F.lit(name)) for name, d in cases.items()])
 
 
 @register("i8_retrain_decision", W(f"""

@@ -7,8 +7,9 @@ materialises an intermediate table in the checkpoint directory (ranks).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloop.functions.dates import backfill_feature_date
 from labelloop.operators.cleaning import labelled_rows, require_columns
@@ -134,42 +135,72 @@ def build_retrain_set(history: DataFrame, scored: DataFrame | None, observations
     return merged.drop("__src"), meta
 
 
-def count_new_rows(history: DataFrame, scored: DataFrame, watermark: DataFrame | None = None,
+COUNT_REQUIRED = ("truth_available", "feature_date", "y_true")
+
+
+def count_new_rows(history: DataFrame | None, scored: DataFrame | None, watermark: DataFrame | None = None,
                    date_col: str = "Date") -> DataFrame:
     """One row — new labelled rows beyond ``max(history horizon, watermark)`` and that cutoff
-    (a missing or unreadable watermark date is skipped)."""
-    dates = [_latest_date(history, date_col)]
-    if watermark is not None:
-        dates.append(_latest_date(watermark, "last_feature_date"))
-    present = [d for d in dates if d is not None]
-    cutoff = _date_lit(max(present) if present else None)
+    (a missing or unreadable watermark date is skipped).
+
+    Without a scored log or a dated history there is nothing to count from: 0 rows
+    and no cutoff.  A log that lacks a needed column (B10) gives 0 rows beyond the cutoff."""
+    horizon = _latest_date(history, date_col) if history is not None and date_col in history.columns else None
+    if scored is None or horizon is None:
+        spark = (history if history is not None else scored).sparkSession if (history is not None or scored is not None) \
+            else SparkSession.getActiveSession()
+        return spark.createDataFrame([(0, None)], "new_rows_for_retrain BIGINT, retrain_cutoff_date DATE")
+    mark = _latest_date(watermark, "last_feature_date") if watermark is not None and "last_feature_date" in watermark.columns else None
+    cutoff = _date_lit(max(d for d in (horizon, mark) if d is not None))
+    if not require_columns(scored, COUNT_REQUIRED, on_missing="empty"):
+        return history.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("new_rows_for_retrain"),
+                                                    cutoff.alias("retrain_cutoff_date"))
     new = new_labelled_rows(scored, cutoff, drop_null_location=False)
     return new.agg(F.count(F.lit(1)).cast("bigint").alias("new_rows_for_retrain")) \
         .select("new_rows_for_retrain", cutoff.alias("retrain_cutoff_date"))
 
 
+WATERMARK = T.StructType([T.StructField("last_feature_date", T.DateType()), T.StructField("consumed_rows", T.LongType()),
+                          T.StructField("rows_beyond_previous", T.LongType()), T.StructField("updated_at_utc", T.TimestampType()),
+                          T.StructField("run_id", T.StringType())])
+
+
 def advance_watermark(history: DataFrame, scored: DataFrame, previous: DataFrame | None = None,
-                      date_col: str = "Date") -> DataFrame:
-    """Last consumed feature date and rows consumed beyond the history
-    horizon (the reference counts from the horizon, not from the previous
+                      date_col: str = "Date", run_id: str | None = None) -> DataFrame:
+    """One ``WATERMARK`` row — last consumed feature date and rows consumed beyond the
+    history horizon (the reference counts from the horizon, not from the previous
     watermark); ``rows_beyond_previous`` reports the delta since ``previous``.
-    When nothing is new the previous watermark row is kept (NULLs if none)."""
-    horizon = _date_lit(_latest_date(history, date_col))
-    new = new_labelled_rows(scored, horizon, drop_null_location=False)
+    When nothing is new, the history has no date or the log lacks a needed column,
+    the previous watermark is kept as it is (NULLs if there is none)."""
+    spark = scored.sparkSession
     # the previous watermark is a one-row document: read it once, use literals
-    row = previous.agg(F.max("last_feature_date").alias("d"), F.max("consumed_rows").alias("n")).first() \
-        if previous is not None else None
-    prev_d = F.lit(row["d"] if row else None).cast("date")
-    prev_n = F.lit(row["n"] if row else None).cast("bigint")
-    cur = new.agg(F.max("feature_date").alias("last_feature_date"),
-                  F.count(F.lit(1)).cast("bigint").alias("consumed_rows"),
-                  F.count(F.when(prev_d.isNull() | (F.col("feature_date") > prev_d), 1)).cast("bigint")
-                  .alias("rows_beyond_previous"))
+    row = previous.first() if previous is not None else None
+    old = row.asDict() if row else {}
+    kept = {f.name: F.lit(old.get(f.name)).cast(f.dataType) for f in WATERMARK.fields}
+    kept["rows_beyond_previous"] = F.lit(0).cast("bigint")
+    horizon = _latest_date(history, date_col)
+    if horizon is None or not require_columns(scored, COUNT_REQUIRED, on_missing="empty"):
+        return spark.range(1).select(*[c.alias(n) for n, c in kept.items()])
+    new = new_labelled_rows(scored, _date_lit(horizon), drop_null_location=False)
+    prev_d = kept["last_feature_date"]
+    now = {"last_feature_date": F.max("feature_date"), "consumed_rows": F.count(F.lit(1)).cast("bigint"),
+           "rows_beyond_previous": F.count(F.when(prev_d.isNull() | (F.col("feature_date") > prev_d), 1)).cast("bigint")}
+    cur = new.agg(*[c.alias(n) for n, c in now.items()]).withColumns(
+        {"updated_at_utc": F.current_timestamp(), "run_id": F.lit(run_id).cast("string")})
     moved = F.col("last_feature_date").isNotNull()
-    return cur.select(F.when(moved, F.col("last_feature_date")).otherwise(prev_d).alias("last_feature_date"),
-                      F.when(moved, F.col("consumed_rows")).otherwise(prev_n).alias("consumed_rows"),
-                      F.when(moved, F.col("rows_beyond_previous")).otherwise(F.lit(0).cast("bigint"))
-                      .alias("rows_beyond_previous"))
+    return cur.select(*[F.when(moved, F.col(n)).otherwise(kept[n]).alias(n) for n in WATERMARK.fieldNames()])
+
+
+def write_watermark(watermark: DataFrame, path: str) -> str:
+    """A7 for the watermark: the one-row document as JSON."""
+    from labelloop.sources.sinks import write_document
+    return write_document(watermark, path)
+
+
+def read_watermark(spark: SparkSession, path: str) -> DataFrame:
+    """The watermark document; a missing or corrupt one reads as NULLs."""
+    from labelloop.sources.sinks import read_document
+    return read_document(spark, path, WATERMARK)
 
 
 # ---- fixed values (retrain gate defaults) ----------------------------------
@@ -213,24 +244,34 @@ def _merge_docs(*docs: DataFrame) -> DataFrame:
     return out
 
 
-def _retrain_rows(history: DataFrame, scored: DataFrame | None, observations: DataFrame,
-                  key_cols=("Date", "Location", "RainTomorrow", "Rainfall", "WindSpeed9am", "WindDir9am")):
+def with_row_key(rows: DataFrame, key: str) -> DataFrame:
+    """Rows with a key of their own: the hash of all columns and, among equal rows, a number.
+
+    Equal rows are counted before they are shuffled and written out again from
+    their count, so no task holds a group of them."""
+    every = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return every.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))) \
+        .withColumn(key, F.xxhash64(*rows.columns, "__i")).drop("__n", "__i")
+
+
+def _retrain_rows(history: DataFrame, scored: DataFrame | None, observations: DataFrame):
+    """The retrain set ready for models, with a unique key, stored once (it is passed over many times); and its meta."""
+    from labelloop.session import cut_lineage
     rows, meta = build_retrain_set(history, scored, observations)
-    data = prepare_dataset(rows.withColumn("event_id", F.xxhash64(*[c for c in key_cols if c in rows.columns])))
-    return data, meta
+    return cut_lineage(prepare_dataset(with_row_key(rows, "event_id"))), meta
 
 
 def retrain_quality(history: DataFrame, scored: DataFrame | None, observations: DataFrame, spec,
                     k: int = 5, watermark: DataFrame | None = None) -> DataFrame:
-    """Retrain set → stratified k-fold CV → one quality row with the
-    dataset meta, the new-row count and its cutoff.  A single class gives
-    status ``not_enough_classes`` and no metrics."""
+    """Retrain set → stratified k-fold CV of the pipeline in ``spec`` → one quality row
+    with the dataset meta (a struct), the new-row count and its cutoff.  A single
+    class gives status ``not_enough_classes`` and no metrics."""
     from labelloop.operators.metrics import fold_means
     from labelloop.operators.models import cross_validate
     from labelloop.operators.split import stratified_folds
     data, meta = _retrain_rows(history, scored, observations)
-    new = count_new_rows(history, scored, watermark) if scored is not None else \
-        history.sparkSession.createDataFrame([(0, None)], "new_rows_for_retrain BIGINT, retrain_cutoff_date DATE")
+    meta = meta.select(F.struct(*meta.columns).alias("retrain_dataset_meta"))
+    new = count_new_rows(history, scored, watermark)
     classes = data.agg(F.count_distinct("label")).first()[0]
     rows_used = data.agg(F.count(F.lit(1)).cast("bigint").alias("rows_used"))
     if classes < 2:
@@ -242,7 +283,8 @@ def retrain_quality(history: DataFrame, scored: DataFrame | None, observations:
 
 
 def tune_retrain_advance(history: DataFrame, scored: DataFrame, observations: DataFrame, spec, trials: DataFrame,
-                         *, k: int = 3, study: str = "gbt_recall_retrain", model_path: str | None = None) -> DataFrame:
+                         *, k: int = 5, study: str = "gbt_recall_retrain", model_path: str | None = None,
+                         wave: int = 4, run_id: str | None = None, **search) -> DataFrame:
     """Tune on the retrain set (H20, E7, E8) → retrain on all rows with the
     best trial (H21) → advance the watermark (I6); one snapshot of the scored
     log feeds both the training set and the watermark."""
@@ -254,6 +296,6 @@ def tune_retrain_advance(history: DataFrame, scored: DataFrame, observations: Da
     scored = cut_lineage(scored)
     data, _ = _retrain_rows(history, scored, observations)
     data = stratified_folds(data, "label", "event_id", k=k)
-    _, best = run_search(data, spec, trials, study=study, wave=2)
+    _, best = run_search(data, spec, trials, study=study, wave=wave, **search)
     _, meta = retrain_with_best(data, spec, best, model_path=model_path)
-    return _merge_docs(meta.select("rows_used", "best_study_name", "best_value"), advance_watermark(history, scored))
+    return _merge_docs(meta.drop("trained_at_utc", "model_path"), advance_watermark(history, scored, run_id=run_id))

@@ -52,10 +52,48 @@ def test_smote_balances_and_interpolates(spark, points):
         assert 0 <= u < 1 and np.allclose(v, b + u * (n - b))
 
 
-def test_smote_tiny_minority(spark):
-    df = spark.createDataFrame([(i, [float(i), 0.0], int(i < 3)) for i in range(10)], "id long, vec array<double>, y int")
-    s = smote(df, "y", k=5)       # only 3 minority rows: 2 neighbours each
-    assert s.count() == 4
+def test_smote_chooses_the_smaller_class_and_refuses_what_it_cannot_do(spark):
+    make = lambda rows: spark.createDataFrame(rows, "id long, vec array<double>, y int")
+    few = make([(i, [float(i), 0.0], int(i < 3)) for i in range(10)])
+    with pytest.raises(ValueError, match="only 3 rows"):
+        smote(few, "y", k=5)
+    assert smote(few, "y", k=2).count() == 4
+    mostly_positive = make([(i, [float(i % 7), float(i)], int(i >= 8)) for i in range(33)])
+    made = smote(mostly_positive, "y", k=5)
+    assert made.count() == 25 - 8 and {r["label"] for r in made.collect()} == {0}
+    with pytest.raises(ValueError, match="ids"):
+        smote(make([(i // 2, [float(i), 0.0], int(i < 12)) for i in range(40)]), "y", k=5)
+    assert smote(make([]), "y").count() == 0
+
+
+def test_binary_vectors_do_not_fill_one_task(spark):
+    """Few distinct pivot distances: cells hold hundreds of rows, and are still exact."""
+    import labelloop.operators.neighbours as N
+    rng = np.random.default_rng(1)
+    pts = np.unique(rng.integers(0, 2, size=(400, 12)), axis=0).astype(float)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id long, vec array<double>")
+    got = nearest_neighbours(df, df, 4, cell_rows=8, query_block=16, train_block=32).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r["query_id"], []).append((r["rank"], r["neighbour_id"]))
+    for q in range(len(pts)):
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        assert [n for _, n in sorted(by_q[q])] == sorted(range(len(pts)), key=lambda i: (d[i], i))[:4]
+    queries = df.select(F.col("id").alias("qgid"), F.lit(0).alias("jc"))
+    train = df.select(F.col("id").alias("gid"), F.lit(0).alias("tcell"))
+    joined = N._cell_join(queries, train, 64, 16, 32)
+    assert joined.count() == len(pts) ** 2
+    largest = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < len(pts) ** 2 / 4
+
+
+def test_approximate_neighbours_find_most(spark, points):
+    from labelloop.operators.neighbours import approximate_neighbours
+    df, _ = points
+    exact_nn = {(r["query_id"], r["rank"]): r["sq_distance"] for r in nearest_neighbours(df, df, 3).collect()}
+    near = approximate_neighbours(df, df, 3, tables=12, bucket_length=2.0).collect()
+    assert sum(abs(r["sq_distance"] - exact_nn[(r["query_id"], r["rank"])]) < 1e-9 for r in near) > 0.9 * len(exact_nn)
+    assert smote(df, "y", approximate={"tables": 2, "bucket_length": 0.1}).count() == smote(df, "y").count()
 
 
 def test_folds_partition_and_balance(spark):
@@ -121,7 +159,7 @@ def test_minimal_payload_is_scorable(spark):
 
 def test_knn_with_query_salting_matches_bruteforce(spark, points):
     df, pts = points
-    got = nearest_neighbours(df, df, 5, cell_rows=8, query_salt=3).collect()
+    got = nearest_neighbours(df, df, 5, cell_rows=8, query_block=3, train_block=5).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r["query_id"], []).append((r["rank"], r["neighbour_id"]))
@@ -131,10 +169,9 @@ def test_knn_with_query_salting_matches_bruteforce(spark, points):
         assert [n for _, n in sorted(by_q[q])] == want
 
 
-def test_smote_chunked_copy_generation(spark, points, monkeypatch):
+def test_smote_chunked_copy_generation(spark, points):
     import labelloop.operators.neighbours as N
     df, _ = points
     plain = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in smote(df, "y", k=5).collect()}
-    monkeypatch.setattr(N, "COPY_CHUNK", 1)          # every copy its own chunk → spread path
-    chunked = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in N.smote(df, "y", k=5).collect()}
+    chunked = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in N.smote(df, "y", k=5, copy_chunk=1).collect()}  # spread path
     assert chunked == plain and len(plain) == df.filter("y = 0").count() - df.filter("y = 1").count()
