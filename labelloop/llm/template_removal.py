@@ -265,8 +265,9 @@ def main_text(pages: DataFrame, least_pages: int = 10, share: float = 0.1, id_co
     """(page_id, url, text, n_chars) of every page."""
     parsed = stored(parse_pages(pages, id_col, url_col, html_col), "page-blocks")
     template = recurring(parsed, least_pages, share)
-    hit = (parsed.select("uid", "host", F.explode("subtrees.h").alias("h")).join(template, ["host", "h"])
-           .groupBy("uid").agg(F.collect_set("h").alias("gone")))  # at most a page's own subtrees
+    # Stored, so that its size is known when the join is planned: few pages hit are sent to the texts, not the texts to them.
+    hit = stored(parsed.select("uid", "host", F.explode("subtrees.h").alias("h")).join(template, ["host", "h"])
+           .groupBy("uid").agg(F.collect_set("h").alias("gone")), "pages-hit")  # at most a page's own subtrees
     kept = parsed.drop("subtrees", "host").join(hit, "uid", "left")
     stays = F.filter(F.arrays_zip(F.col("texts").alias("t"), F.col("paths").alias("p")),
                      lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["p"], F.col("gone")))
