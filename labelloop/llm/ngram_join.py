@@ -11,11 +11,10 @@ a pair at the threshold is missed with less than ``1 - recall``.  Whatever
 meets is checked on its min-hashes and then on the exact shingle sets.
 
 Equal texts are one set from the start.  Large groups of near copies never
-produce all pairs: their buckets stay large, give one pair per set with the
-leader of each run, and connect through them; a bucket that is connected that
-way by its min-hashes is not split any more.  Sets of a bucket that stayed
-large and that the exact check left apart are compared with all sets of the
-bucket outside their class.
+produce all pairs: their buckets stay large, give one pair per set with each of
+many leaders, and connect through them.  Sets of a bucket that is still large at
+the last level and that its leaders did not connect are compared with all sets
+of the bucket outside their class.
 
 Classes are the connected components of the verified links.  ``n_links`` counts
 the documents that a document was verified against, or equals; inside groups
@@ -31,7 +30,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -141,12 +139,12 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def promising(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    """Distinct (a, b, alike), a < b, whose min-hashes agree in a share ``alike`` of at least ``least``."""
+    """Distinct (a, b), a < b, whose min-hashes agree in a share of ``least``."""
     narrow = sigs.select("m", "narrow")
     return (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(narrow.select(F.col("m").alias("a"), F.col("narrow").alias("na")), "a")
             .join(narrow.select(F.col("m").alias("b"), F.col("narrow").alias("nb")), "b")
-            .select("a", "b", _agreement("na", "nb").alias("alike")).where(F.col("alike") >= F.lit(least)))
+            .where(_agreement("na", "nb") >= F.lit(least)).select("a", "b"))
 
 
 def verified(pairs: DataFrame, rows: DataFrame, threshold: float, block: int = 256) -> DataFrame:
@@ -201,7 +199,7 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.999, small: int = 32, levels: int = 5,
+def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.999, small: int = 32, levels: int = 4,
                        slack: float = 0.15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, m, label, class_id, n_links) of every row; ``m`` keys the text, ``label`` the class.
 
@@ -214,7 +212,7 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     members = stored(rows.select("doc_id", "m"), "join-members")
     sigs = stored(signatures(rows.select("m", "text")), "signatures")
     nodes = stored(first_paths(sigs, runs_for(threshold, recall, levels)), "paths")
-    pairs, deep = [], []
+    pairs, deep = None, None
     for level in range(1, levels + 1):
         counts = nodes.groupBy("path").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("path", "m"), F.col("m").alias("lead"))).alias("first")
@@ -223,30 +221,21 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
         few, many = found.where(F.col("n") <= small), found.where(F.col("n") > small)
         got = few.select("path", F.col("m").alias("a")).join(few.select("path", F.col("m").alias("b")), "path").where("a < b") \
             .select("a", "b").unionByName(many.where("m != lead").select(F.col("lead").alias("a"), F.col("m").alias("b")))
-        pairs.append(stored(promising(got, sigs, threshold - slack), "met"))
-        if many.isEmpty():
-            break
-        # A bucket that its leaders seem to connect is not split: see below for what they do not.
-        labels = components(pairs[-1].where(F.col("alike") >= threshold).select("a", "b"))
-        many = many.join(labels, "m", "left").select("path", "m", F.coalesce("label", "m").alias("label"))
-        mixed_ones = many.groupBy("path").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).select(
-            "path", (F.col("l0") != F.col("l1")).alias("apart"))
-        many = stored(many.join(mixed_ones, "path").select("path", "m", "apart"), "large")
-        deep.append(many.where(~F.col("apart") | F.lit(level == levels)).select("path", "m"))
+        got = stored(got.distinct(), "met")
+        pairs = got if pairs is None else pairs.unionByName(got)
+        deep = many.select("path", "m")
         if level < levels:
-            nodes = stored(longer_paths(many.where("apart").select("path", "m"), sigs, level), "paths")
+            nodes = stored(longer_paths(deep, sigs, level), "paths")
             if nodes.isEmpty():
                 break
-    pairs = reduce(DataFrame.unionByName, pairs).select("a", "b").distinct()
-    links = stored(verified(pairs, rows, threshold), "verified")
+    links = stored(verified(promising(pairs, sigs, threshold - slack), rows, threshold), "verified")
     labels = components(links)
     # Buckets that stayed large: what is not in the class of most is compared with the other classes.
-    deep = reduce(DataFrame.unionByName, deep) if deep else nodes.limit(0)
     placed = deep.join(labels, "m", "left").select("path", "m", F.coalesce("label", "m").alias("label"))
     main = placed.groupBy("path", "label").count().groupBy("path").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     odd = placed.join(main, "path").where("label != main").select("path", F.col("m").alias("a"), F.col("label").alias("la"))
     across = odd.join(placed.select("path", F.col("m").alias("b"), F.col("label").alias("lb")), "path").where("la != lb")
-    across = promising(across.select("a", "b"), sigs, threshold - slack).select("a", "b").join(
+    across = promising(across.select("a", "b"), sigs, threshold - slack).join(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     across = stored(across, "across")
     if not across.isEmpty():
