@@ -56,7 +56,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TE
         return df.withColumn(split_col, F.when(_hash_fraction(key, seed) < test_share, "test")
                              .otherwise("train"))
     ranked = _ranked(df, label, key, seed)
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    # a class's size is its last rank: no second pass over the source
+    sizes = ranked.groupBy(label).agg(F.max("__r").alias("__n"))
     out = ranked.join(sizes.withColumnRenamed(label, "__lab"),
                       on=F.col(label).eqNullSafe(F.col("__lab")), how="inner")
     n_test = F.round(F.col("__n") * F.lit(float(test_share)), 0)

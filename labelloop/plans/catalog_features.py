@@ -143,9 +143,9 @@ def h7(spark, sf_dir):
     train = x.filter("is_train")
     s = FE.fit_scale(train, ["wind_speed9am"])
     m = FE.fit_means(train, ["wind_speed9am"])
-    a = FE.scale(x.select("event_id", "wind_speed9am"), s).withColumnRenamed("wind_speed9am", "scaled")
-    b = FE.scale(x.select("event_id", "wind_speed9am"), s, m).withColumnRenamed("wind_speed9am", "centred")
-    return a.join(b, "event_id").select("event_id", r6("scaled").alias("scaled"), r6("centred").alias("centred"))
+    both = x.select("event_id", F.col("wind_speed9am").alias("scaled"), F.col("wind_speed9am").alias("centred"))
+    out = FE.scale(FE.scale(both, {"scaled": s["wind_speed9am"]}), {"centred": s["wind_speed9am"]}, {"centred": m["wind_speed9am"]})
+    return out.select("event_id", r6("scaled").alias("scaled"), r6("centred").alias("centred"))
 
 
 @register("h14_balanced_weights", W("""

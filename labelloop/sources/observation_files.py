@@ -1,11 +1,11 @@
 """Monthly observation files (A4): a preamble, then a header line whose first
 cell is blank, then one line per observation.
 
-Files land in ``<root>/location=<code>/month=<yyyyMM>/…``.  Every file is read
-whole (``wholetext``; a station-month file is small by construction), its own
-header becomes a ``normalised name → position`` map, and the data lines are
-exploded and picked by alias — so files with different header spellings (or
-missing columns) are read in the same job.
+Files land in ``<root>/location=<code>/month=<yyyyMM>/…`` and are read by lines,
+so a file of any size is split over tasks.  One small aggregate finds the header
+line of every file; its names are resolved to positions once per file, and the
+positions are joined to the data lines — so files with different header
+spellings (or missing columns) are read in the same job.
 """
 
 from __future__ import annotations
@@ -20,34 +20,42 @@ from labelloop.functions.headers import DATE_ALIASES, FEATURE_ALIASES, normalise
 DEFAULT_ALIASES = {"Date": DATE_ALIASES, **FEATURE_ALIASES}
 
 
+_CELLS = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'   # a comma with an even number of quotes after it parts cells
+
+#: Where a line stands in its file: start of the file's block, then a growing number.
+PLACE = ("block_start", "line_no")
+
+
+def cells(line) -> F.Column:
+    """The cells of a line: quoted cells may hold commas, doubled quotes stand for one."""
+    return F.transform(F.split(line, _CELLS, -1), lambda c: F.regexp_replace(
+        F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"), '""', '"'))
+
+
 def read_observation_files(spark: SparkSession, root: str,
                            aliases: Mapping[str, Sequence[str]] = DEFAULT_ALIASES) -> DataFrame:
     """One string column per target in ``aliases`` (NULL when the file lacks
-    it), plus the partition columns found under ``root`` and the file path."""
-    # wholetext must be the keyword: an .option("wholetext") is overridden by the method default
-    raw = spark.read.text(root, wholetext=True) \
-        .withColumn("file_path", F.col("_metadata.file_path"))
-    lines = F.split(F.col("value"), r"\r?\n")
-    first_blank = F.transform(lines, lambda l: F.trim(F.get(F.split(l, ","), 0)) == "")
+    it), plus the partition columns found under ``root``, the file path and ``PLACE``."""
+    raw = spark.read.text(root).select(
+        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_no"))
+    keep = [c for c in raw.columns if c != "value"]
+    at = F.struct(*PLACE)
     # header = first line whose first cell is blank; a blank preamble line also
     # matches, and blank lines are skipped after it, as a CSV reader would do
-    start = F.array_position(first_blank, True)
-    tail = F.filter(F.slice(lines, F.greatest(start, F.lit(1)), 1_000_000_000), lambda l: F.trim(l) != "")
-    staged = raw.withColumn("__tail", F.when(start > 0, tail))
-    staged = staged.withColumn("__header", F.get(F.col("__tail"), 0)) \
-        .withColumn("__data", F.slice("__tail", 2, 1_000_000_000))
-    names = F.transform(F.split(F.col("__header"), ","), lambda h: normalise_header(h))
+    blank = F.trim("value") == ""
+    starts = raw.filter(F.trim(F.substring_index("value", ",", 1)) == "").groupBy("file_path").agg(F.min(at).alias("__start"))
+    heads = raw.filter(~blank).join(starts, "file_path").filter(at >= F.col("__start")).groupBy("file_path").agg(
+        F.min(F.struct(at.alias("at"), F.col("value"))).alias("h"))
+    names = F.transform(cells(F.col("h.value")), lambda h: normalise_header(h))
     entries = F.filter(F.arrays_zip(names.alias("k"), F.sequence(F.lit(1), F.size(names)).alias("v")),
                        lambda e: e["k"] != "")
-    staged = staged.withColumn("__map", F.map_from_entries(entries))
-    keep = [c for c in raw.columns if c not in ("value",)]
-    rows = staged.select(*keep, "__map", F.posexplode("__data").alias("line_no", "__line"))
-    values = F.split(F.col("__line"), ",", -1)
-    out = rows.select(*keep, "line_no", *[
-        F.when(F.try_element_at(values, pick(F.col("__map"), al)) != "",
-               F.try_element_at(values, pick(F.col("__map"), al))).alias(target)
-        for target, al in aliases.items()])
-    return out
+    heads = heads.select("file_path", F.col("h.at").alias("__head"), F.map_from_entries(entries).alias("__map"))
+    heads = heads.select("file_path", "__head", *[pick(F.col("__map"), al).alias(f"__at_{t}") for t, al in aliases.items()])
+    rows = raw.filter(~blank).join(heads, "file_path").filter(at > F.col("__head")).withColumn("__cells", cells(F.col("value")))
+    return rows.select(*keep, *[
+        F.when(F.try_element_at("__cells", F.col(f"__at_{t}")) != "", F.try_element_at("__cells", F.col(f"__at_{t}"))).alias(t)
+        for t in aliases])
 
 
 def write_observation_files(df: DataFrame, root: str, station: str, month: str, shard: str,
@@ -81,6 +89,6 @@ def daily_truth(obs: DataFrame, measure: str = "Rainfall", measure_as: str = "ra
     from labelloop.functions.values import safe_double
     from labelloop.operators.dedup import last_per_key
     rows = obs.select(F.col(station).cast("string").alias("location"), parse_date("Date").alias("obs_date"),
-                      "file_path", "line_no", safe_double(measure).alias(measure_as))
+                      "file_path", *PLACE, safe_double(measure).alias(measure_as))
     rows = rows.filter(F.col("obs_date").isNotNull())
-    return last_per_key(rows, ["location", "obs_date"], ["file_path", "line_no"]).drop("file_path", "line_no")
+    return last_per_key(rows, ["location", "obs_date"], ["file_path", *PLACE]).drop("file_path", *PLACE)

@@ -48,9 +48,14 @@ def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
 
 
-def write_ranked_csv(df: DataFrame, path: str, order: Sequence, header: bool = True) -> str:
-    """Ranked report as one header CSV (ranking first; the report is small)."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", header).csv(path)
+def write_ranked_csv(df: DataFrame, path: str, order: Sequence, header: bool = True, one_file_rows: int = 100_000) -> str:
+    """Ranked report as header CSV, ranking first.
+
+    A report of up to ``one_file_rows`` rows is one file.  A larger one is written by
+    all tasks as files whose names sort in rank order, never through one task."""
+    ranked = df.orderBy(*order)
+    small = df.limit(one_file_rows + 1).count() <= one_file_rows
+    (ranked.coalesce(1) if small else ranked).write.mode("overwrite").option("header", header).csv(path)
     return path
 
 

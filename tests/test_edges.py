@@ -412,3 +412,91 @@ def test_daily_truth_takes_last_line_of_a_date(spark):
     rows = {(r["location"], r["obs_date"]): r["rainfall"]
             for r in daily_truth(read_observation_files(spark, root)).collect()}
     assert rows == {("A", dt.date(2024, 1, 1)): 0.0, ("A", dt.date(2024, 1, 2)): None}
+
+
+# ------------------------------------------------------------------ rows that used to get lost or doubled
+def test_quoted_cells_and_files_of_several_splits(spark):
+    root = scratch_path(spark, "big-obs")
+    lines = ["Preamble", "", ",Date,Rainfall (mm),Evaporation (mm)"] + [
+        f',2024-01-{i % 28 + 1:02d},"{i}","1,5 about ""x"""' for i in range(3000)]
+    local = os.path.join(root.replace("file:", ""), "location=A", "month=202401")
+    os.makedirs(local)
+    with open(os.path.join(local, "f.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        rows = read_observation_files(spark, root)
+        assert rows.select("block_start").distinct().count() > 2     # one file, several splits
+        got = rows.orderBy("file_path", "block_start", "line_no").select("Rainfall", "Evaporation").collect()
+        from labelloop.sources.observation_files import daily_truth
+        last = {r["obs_date"].day: r["rainfall"] for r in daily_truth(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [int(r["Rainfall"]) for r in got] == list(range(3000)) and {r["Evaporation"] for r in got} == {'1,5 about "x"'}
+    assert last == {d: max(i for i in range(3000) if i % 28 + 1 == d) for d in range(1, 29)}
+
+
+def test_nan_scores_are_no_scores(spark):
+    from labelloop.operators.metrics import evaluate
+    df = spark.createDataFrame([(1, 1, 0.9), (0, 0, 0.1), (1, 1, float("nan")), (0, 1, None)], "y_true int, prediction int, s double")
+    assert evaluate(df, score="s").first()["roc_auc"] == 1.0
+
+
+def test_columns_without_values_are_left_out_of_a_fit(spark):
+    from labelloop.operators.models import ModelSpec, fit_model, prepare, score
+    rows = [(i, "a" if i % 3 else "b", None, None, float(i % 5), 1 + i % 300, 1 + i % 12, i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "event_id long, c string, none string, x double, z double, Dayofyear int, Month int, label int")
+    spec = ModelSpec(categorical=["c", "none"], numeric=["x", "z"], kind="lr", id_col="event_id", oversample=True)
+    assert prepare(df, spec).dropped == ("none", "x")
+    assert score(fit_model(df, spec), df).filter("score is null").count() == 0
+
+
+def test_modes_count_values_and_break_ties_low(spark):
+    from labelloop.operators.features import fit_modes, impute_per_split
+    df = spark.createDataFrame([("p", "b", None), ("p", "a", None), ("q", "c", None), ("q", None, None), (None, "z", None), (None, None, None)],
+                               "s string, c string, n string")
+    assert fit_modes(df, ["c", "n"]) == {"c": "a", "n": None}
+    got = {(r["s"], r["c"]) for r in impute_per_split(df, "s", categorical=["c", "n"]).collect()}
+    assert got == {("p", "a"), ("p", "b"), ("q", "c"), (None, "z")}
+
+
+def test_equal_rows_get_keys_of_their_own(spark):
+    from labelloop.plans.jobs import with_row_key
+    df = spark.createDataFrame([("a", 1.0)] * 50 + [("b", None)] * 3, "x string, y double")
+    out = with_row_key(df, "k")
+    assert out.count() == 53 and out.select("k").distinct().count() == 53 and out.columns == ["x", "y", "k"]
+
+
+def test_counting_without_history_log_or_columns(spark):
+    hist, scored, _ = _hist_and_scored(spark)
+    none = {"new_rows_for_retrain": 0, "retrain_cutoff_date": None}
+    assert count_new_rows(hist.limit(0), scored).first().asDict() == none
+    assert count_new_rows(hist, None).first().asDict() == none
+    assert count_new_rows(hist, scored.drop("feature_date")).first()["new_rows_for_retrain"] == 0
+    before = advance_watermark(hist, scored, run_id="r1")
+    after = advance_watermark(hist.limit(0), scored, previous=before, run_id="r2").first()
+    assert (after["last_feature_date"], after["consumed_rows"], after["run_id"]) == (dt.date(2024, 1, 4), 2, "r1")
+    assert advance_watermark(hist, scored.drop("y_true")).first()["last_feature_date"] is None
+
+
+def test_search_result_does_not_depend_on_the_wave(spark, monkeypatch):
+    import labelloop.operators.search as S
+    values = [0.5, 0.6, 0.6, 0.6, 0.9, 0.1]
+    monkeypatch.setattr(S, "prepare_folds", lambda *a: [])
+    monkeypatch.setattr(S, "evaluate_folds", lambda folds, spec, *a: spark.createDataFrame(
+        [(values[spec.params["i"]],)], "recall double"))
+    trials = spark.createDataFrame([(i, float(i)) for i in range(6)], "n long, i double")
+    from labelloop.operators.models import ModelSpec
+    for wave in (1, 2, 5, 6):
+        table, best = S.run_search(spark.range(1), ModelSpec([], []), trials, wave=wave, patience=2, to_params=lambda p: {"i": int(p["i"])})
+        assert table.count() == 4 and best.first()["best_trial"] == 1
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from labelloop.session import ensure_checkpoint_dir
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf={}))
