@@ -16,7 +16,7 @@ from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import HISTORY_HORIZON as H, with_fixtures as W
 from labelloop.plans.jobs import (advance_watermark, build_retrain_set, count_new_rows, new_labelled_rows,
                                   read_watermark, retrain_decision, write_watermark)
-from labelloop.session import scratch_path
+from labelloop.session import cut_lineage, scratch_path
 
 _NULL_D = ("MinTemp", "MaxTemp", "Evaporation", "Sunshine", "WindGustSpeed", "WindSpeed3pm", "Humidity9am",
            "Humidity3pm", "Pressure9am", "Pressure3pm", "Cloud9am", "Cloud3pm", "Temp9am", "Temp3pm")
@@ -168,7 +168,7 @@ def i8(spark, sf_dir):
     """I8 over per-station quality rows plus one overall row."""
     from labelloop.operators.metrics import rollup_counts
     from labelloop.plans.jobs import _date_lit, _latest_date
-    scored = fx.scored(spark, sf_dir)
+    scored = cut_lineage(fx.scored(spark, sf_dir))   # read by the quality and by the new-row branch
     lab = labelled_rows(scored)
     per = evaluate(lab, y="y_true", pred="predicted_rain", groups=["location"]).withColumnRenamed("location", "scope")
     overall = rollup_counts(per).withColumn("scope", F.lit("ALL"))     # summed counters, no second pass
