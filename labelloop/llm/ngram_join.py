@@ -16,9 +16,12 @@ many leaders, and connect through them.  Sets of a bucket that is still large at
 the last level and that its leaders did not connect are compared with all sets
 of the bucket outside their class.
 
-Classes are the connected components of the verified links.  ``n_links`` counts
-the documents that a document was verified against, or equals; inside groups
-larger than ``small`` that is its leaders, not the whole group.
+Classes are the connected components of the verified links.  The links of
+``similarity_classes`` are those that made the classes: inside groups larger than
+``small`` a document's leaders, not the whole group.  ``similarity_links`` counts
+all of them: every pair of different texts of a class is compared exactly, tile
+by tile (a block of sets with a block of sets), and a tile returns one count per
+set, never pairs.
 
 Defined cases: a text of fewer than five words is one shingle; texts without
 words join only equal texts; null texts are empty texts; a null id is carried
@@ -253,6 +256,88 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     return members.join(classes.join(heads, "label"), "m").select("doc_id", "m", "label", "class_id", "n_links")
 
 
+def shared_shingles(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """(left x right) numbers of common shingles; each set is an array of distinct hashes."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    every, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    # Only shingles that both sides have count; they are taken in slices of a fixed width.
+    split = sum(map(len, left))
+    both = np.zeros((2, len(every)), bool)
+    both[0, place[:split]], both[1, place[split:]] = True, True
+    common = both.all(0)
+    column = np.cumsum(common) - 1
+    use = common[place]
+    row, column = row[use], column[place[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(common.sum()), columns):
+        a, b = np.searchsorted(column, (first, first + columns))
+        has = np.zeros((len(left) + len(right), columns), np.float32)
+        has[row[a:b], column[a:b] - first] = 1
+        out += (has[:len(left)] @ has[len(left):].T).astype(np.int64)  # whole numbers up to ``columns``: exact
+    return out
+
+
+def links_in_classes(classes: DataFrame, rows: DataFrame, threshold: float, block: int = 256, block_bytes: int = 16 << 20) -> DataFrame:
+    """(m, others): how many documents of other texts each set is linked with, from (m, label, copies, size) and (m, text).
+
+    A class of k sets is dealt to blocks of about ``block`` sets or ``block_bytes`` of
+    text, and each pair of blocks is one task; classes of one block share tasks.
+    """
+    of = classes.groupBy("label").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("bytes")).where("k > 1").select(
+        "label", "k", F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("n"))
+    of = stored(of, "class-sizes")
+    alone = of.where("n = 1").agg(F.sum("k")).first()[0] or 0
+    packs = max(1, math.ceil(alone / block))
+    part = F.when(F.col("n") == 1, F.pmod(F.xxhash64("label", F.lit("pack")), F.lit(packs))).otherwise(F.xxhash64("label"))
+    dealt = classes.join(of, "label").select(
+        "m", "label", "copies", part.alias("part"), F.pmod(F.xxhash64("m", F.lit("block")), F.col("n")).cast("int").alias("i"), "n")
+    tiles = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+        "m", "label", "copies", "part", "i", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+    tiles = stored(tiles, "tiles")
+    needed = tiles.select("m").distinct()
+    texts = rows.join(needed.hint("merge"), "m", "left_semi").groupBy("m").agg(F.first("text").alias("text"))
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        lo, hi, out = int(group["lo"].iloc[0]), int(group["hi"].iloc[0]), []
+        for _, own in group.groupby("label"):
+            sets, at = [], own["i"].to_numpy()
+            for _, some in text_groups(own["text"].tolist(), 1 << 20):
+                found, counts = shingles(some)
+                sets += [np.unique(x) for x in np.split(found, np.cumsum(counts)[:-1])]
+            keys, copies, sizes = own["m"].to_numpy(), own["copies"].to_numpy(), np.array([len(s) for s in sets])
+            left, right = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
+            if not len(left) or not len(right):
+                continue
+            c = shared_shingles([sets[x] for x in left], [sets[x] for x in right])
+            link = c >= threshold * (sizes[left][:, None] + sizes[right][None, :] - c) - 1e-9
+            if lo == hi:
+                np.fill_diagonal(link, False)
+            else:
+                out.append(pd.DataFrame({"m": keys[right], "others": link.T @ copies[left]}))
+            out.append(pd.DataFrame({"m": keys[left], "others": link @ copies[right]}))
+        return pd.concat(out) if out else pd.DataFrame({"m": [], "others": []})
+
+    counted = tiles.join(texts, "m").groupBy("part", "lo", "hi").applyInPandas(count, "m binary, others long")
+    return counted.groupBy("m").agg(F.sum("others").alias("others"))
+
+
+def similarity_links(df: DataFrame, threshold: float = 0.8, block: int = 256, id_col: str = "doc_id", text_col: str = "text",
+                     **options) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row; ``n_links`` counts all documents of its class it is linked with or equals."""
+    found = similarity_classes(df, threshold, id_col=id_col, text_col=text_col, **options).select("doc_id", "m", "label", "class_id")
+    found = stored(found, "joined")
+    rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_key(F.col(text_col)).alias("m"))
+    sets = found.groupBy("m", "label").agg(F.count(F.lit(1)).alias("copies")).join(
+        rows.groupBy("m").agg(F.max(F.octet_length("text")).cast("long").alias("size")), "m")
+    sets = stored(sets, "class-sets")
+    others = links_in_classes(sets, rows, threshold, block)
+    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links")
+    counted = sets.select("m", "copies").join(others, "m", "left").select("m", n_links)
+    return found.join(counted, "m").select("doc_id", "class_id", "n_links")
+
+
 def one_of_each(df: DataFrame, threshold: float = 0.8, **options) -> DataFrame:
     """The rows of ``df``, all columns unchanged, of one document per class: that of the smallest id."""
     classes = similarity_classes(df, threshold, **options)

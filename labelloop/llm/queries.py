@@ -20,8 +20,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similarity_classes(table(spark, sf_dir, "documents")).select(
-        "doc_id", "class_id", "n_links")
+    return ngram_join.similarity_links(table(spark, sf_dir, "documents"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,27 @@ def test_large_groups_of_near_copies_connect_without_all_pairs(make_docs):
     assert sum(r.n_links for r in rows) < 400 * 399
 
 
+def test_large_groups_have_all_their_links(spark, make_docs, tmp_path):
+    rng = random.Random(9)
+    base, docs = words(rng, 120), []
+    for i in range(400):  # two edits of one text: some pairs are links, some are not
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(len(w))] = f"edit{i}"
+        docs += [(i, " ".join(w))] * (1 + (i % 7 == 0))
+    docs += [(1000, None), (1001, ""), (1002, "one two"), (1003, "one two")]
+    make_docs(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.QUERIES["op2_ngram_join"](spark, str(tmp_path)).collect()
+    _, links, names, texts = brute_classes(docs)
+    count = {t: len(d) - 1 for t, d in texts.items()}
+    for i, j in links:
+        count[names[i]] += len(texts[names[j]])
+        count[names[j]] += len(texts[names[i]])
+    want = sorted((d, count[t or ""]) for d, t in docs)
+    assert sorted((r.doc_id, r.n_links) for r in rows) == want
+    assert max(count.values()) > 100
+
+
 def test_chain_at_the_edge_of_a_large_group_is_not_lost(make_docs):
     rng = random.Random(11)
     base, docs = words(rng, 200), []
