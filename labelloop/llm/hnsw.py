@@ -212,12 +212,13 @@ def nodes_of(rows: DataFrame, kept: int) -> DataFrame:
     return first.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
-def nearest(df: DataFrame, count: int = 20, every: int = 20, shards: int = 8, shard_rows: int = 131_072, block_rows: int = 4096,
+def nearest(df: DataFrame, count: int = 20, every: int = 20, shards: int = 8, shard_rows: int = 8192, block_rows: int = 4096,
             links: int = 16, width: int = 64, search_width: int = 128, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``count`` largest inner products of every row whose id is divisible by ``every``.
 
-    There are ``shards`` graphs, or as many as keep them at ``shard_rows`` nodes;
-    ``block_rows`` queries walk a graph together.
+    There are ``shards`` graphs, or as many as keep them at ``shard_rows`` nodes: a
+    walk of ``search_width`` finds less in a larger graph.  ``block_rows`` queries
+    walk a graph together.
     """
     rows = stored(usable(df, id_col, vector_col), "vectors")
     nodes = stored(nodes_of(rows, count + 1), "vector-nodes")

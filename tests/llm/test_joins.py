@@ -245,6 +245,17 @@ def test_copies_ties_lengths_and_unusable_vectors(spark):
     check_nearest(hnsw.nearest(single, shards=3, block_rows=7).collect(), single, least=0.99)
 
 
+def test_recall_holds_in_shards_filled_to_the_limit(spark):
+    v = np.random.default_rng(5).normal(size=(16_384, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in hnsw.nearest(df, shards=1, every=100).collect():
+        got[r.query_id].add(r.vec_id)
+    want = dict(hnsw.exact(df, every=100))
+    assert sum(len({i for _, i in w} & got[q]) for q, w in want.items()) >= 0.92 * 20 * len(want)
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in hnsw.nearest(df).orderBy("query_id", "rank").collect()] == [
