@@ -5,8 +5,9 @@ hash of its whole subtree (names, marks, text); Spark counts, per host, in how
 many different surroundings a subtree recurs, and subtrees recurring across
 many pages of their host are deleted.  An article that is served under several
 urls recurs together with its surroundings and so counts once.  Where a page
-marks its article, paragraphs and headings in it are not counted: a passage
-quoted in many articles is text, not template.  Besides, elements whose name, role or class says that they are no
+marks its article, a paragraph or heading in it may be a passage quoted in many
+articles: it is template only with a neighbour, where both recur side by side at
+the same place of the tree, counted from the nearer end of their parent.  Besides, elements whose name, role or class says that they are no
 main text (navigation, notices, adverts, forms, scripts, comments) are deleted
 on any page, because a page alone on its host has nothing to recur with.
 
@@ -172,6 +173,27 @@ def _number(digest: bytes) -> int:
     return int.from_bytes(digest, "big", signed=True)
 
 
+def _runs(node: Element) -> tuple[dict[int, list[int]], list[int]]:
+    """Of neighbouring blocks in ``node``, the hashes of (path, place, both) by child and all of them."""
+    near, every = {}, []
+    inside = [c for c in node.children if isinstance(c, Element) and c.name in BLOCK and c.children and not is_chrome(c)]
+    names, up = [], node
+    while up is not None:
+        names.append(up.name)
+        up = up.parent
+    path = "/".join(names)
+    for i, (a, b) in enumerate(zip(inside, inside[1:])):
+        j = len(inside) - 2 - i
+        if a.name not in LEAVES and b.name not in LEAVES:
+            continue  # both are counted by themselves
+        for place in ([f"+{i}"] if i <= j else []) + ([f"-{j}"] if j <= i else []):
+            key = _number(hashlib.blake2b(f"{path} {place} ".encode("utf-8", "replace") + a.digest + b.digest, digest_size=8).digest())
+            every.append(key)
+            for c in (a, b):
+                near.setdefault(id(c), []).append(key)
+    return near, every
+
+
 def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]]]:
     """Blocks of text that no rule of ``is_chrome`` deletes, each with the subtrees it lies in;
     and all (subtree, surroundings) of the page that may be template."""
@@ -192,8 +214,13 @@ def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]
                 out.append((joined, list(path)))
 
         stack: list = [(top, 0, [])]
+        runs: dict[int, list[int]] = {}
         while stack:
             node, i, path = stack.pop()
+            if i == 0 and not plain:
+                near, every = _runs(node)
+                runs |= near
+                found += [(key, _number(node.digest)) for key in every]
             if i == len(node.children):
                 if node.name in BLOCK:
                     flush(path)
@@ -211,6 +238,8 @@ def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]
                 if (plain or c.name not in LEAVES) and c.name not in KEEPS and c.children:
                     found.append((_number(c.digest), _number(node.digest)))
                     inner = [*path, _number(c.digest)]
+                if id(c) in runs:
+                    inner = [*inner, *runs[id(c)]]
                 stack.append((c, 0, inner))
         flush([])
     return out, found

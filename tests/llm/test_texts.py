@@ -126,6 +126,19 @@ def test_an_article_keeps_what_recurs_in_it(spark):
     assert {r.text for r in template_removal.main_text(pages).collect()} == {f"t{i}\n\nquoted passage" for i in range(50)}
 
 
+def test_notices_side_by_side_in_an_article_go(spark):
+    def page(i):
+        own = [f"<p>own {i} {k}</p>" for k in range(3 + i % 7)]
+        own[i % 3:i % 3] = ["<p>quote one</p>", "<p>quote two</p>"] if i % 2 else ["<p>quoted alone</p>"]
+        return f"<article><h1>t{i}</h1>{''.join(own)}<p>Read on with us</p><p>Write to us</p></article>"
+    pages = spark.createDataFrame([(i, f"http://a.org/{i}", page(i)) for i in range(24)], "page_id long, url string, html string")
+    for r in template_removal.main_text(pages).collect():
+        i, lines = r.page_id, r.text.split("\n\n")
+        assert lines[0] == f"t{i}" and {f"own {i} {k}" for k in range(3 + i % 7)} <= set(lines)
+        assert ("quote two" in lines and "quote one" in lines) if i % 2 else "quoted alone" in lines
+        assert "Read on with us" not in lines and "Write to us" not in lines
+
+
 def test_main_text_of_the_table(spark, sf_dir, read):
     rows = queries.QUERIES["op3_main_text"](spark, sf_dir).collect()
     assert sorted(r.page_id for r in rows) == sorted(r.page_id for r in read("pages").collect())
