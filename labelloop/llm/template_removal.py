@@ -281,12 +281,13 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return rows.mapInPandas(run, PARSED)
 
 
-def recurring(parsed: DataFrame, least_pages: int = 10, share: float = 0.1) -> DataFrame:
-    """(host, h) of subtrees found in different surroundings on ``least_pages`` pages and ``share`` of the pages of their host."""
+def recurring(parsed: DataFrame, least_pages: int = 10, share: float = 0.1, enough: int = 50) -> DataFrame:
+    """(host, h) of subtrees found in different surroundings on ``least_pages`` pages and ``share`` of the pages
+    of their host; ``enough`` pages are enough on a host of any size."""
     seen = parsed.select("host", F.explode("subtrees").alias("s")).select("host", "s.h", "s.around").distinct()
     counts = seen.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
     pages = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return counts.join(pages, "host").where(F.col("n") >= F.col("pages") * share).select("host", "h")
+    return counts.join(pages, "host").where(F.col("n") >= F.least(F.col("pages") * share, F.lit(enough))).select("host", "h")
 
 
 def main_text(pages: DataFrame, least_pages: int = 10, share: float = 0.1, id_col: str = "page_id", url_col: str = "url",

@@ -120,6 +120,13 @@ def test_recurring_subtrees_of_a_host_go(spark):
     assert got[(99, None)] == [""] and got[(98, "x")] == [""]
 
 
+def test_a_template_of_one_section_of_a_large_host_goes(spark):
+    rows = [(i, f"http://a.org/{i}", f"<body><div>{'<div>section menu</div>' if i < 60 else ''}<p>own {i}</p></div></body>")
+            for i in range(1000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in template_removal.main_text(pages).collect()} == {i: f"own {i}" for i in range(1000)}
+
+
 def test_an_article_keeps_what_recurs_in_it(spark):
     rows = [(i, f"http://a.org/{i % 50}", f"<div>menu</div><article><h1>t{i % 50}</h1><p>quoted passage</p></article>") for i in range(100)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
