@@ -2,7 +2,8 @@
 
 Rules judge the urls they fit; for all others the host decides.  Links between
 hosts are counted from the pages.  Trust starts at hosts in proportion to the
-share of their pages that a rule allows and flows along links (personalised
+share of their pages that a rule allows (of the links to them, where a host has
+no page in the table) and flows along links (personalised
 PageRank: a host hands its trust on in proportion to its links); distrust
 starts in proportion to the share that a rule blocks and flows against them (a
 host takes over the mean distrust of what it links to).  A host whose distrust
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from labelloop.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
+LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+[^?#"'\s>]*)"""
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -58,14 +59,23 @@ def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str, str
     return rule, verdict
 
 
-def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """(src, dst, w): w links from pages of src to dst; ``pages`` has a column host."""
+def host_links(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = (), html_col: str = "html") -> DataFrame:
+    """(src, dst, w, allowed, blocked): w links from pages of src to dst, and how many of their targets the rules
+    allow and block; ``pages`` has a column host."""
     found = F.explode(F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(LINK), F.lit(1)))
-    links = pages.where("host != ''").select(F.col("host").alias("src"), found.alias("dst"))
+    links = pages.where("host != ''").select(F.col("host").alias("src"), found.alias("to"))
     # The port and what stands before an @ are no part of the host's name.
-    name = lower_host(F.regexp_replace(F.regexp_replace("dst", r"^.*@", ""), r":\d*$", ""))
-    return (links.select("src", name.alias("dst")).where("src != dst and dst != ''")
-            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
+    name = lower_host(F.regexp_replace(F.regexp_replace(F.regexp_extract("to", r"^[^/]*", 0), r"^.*@", ""), r":\d*$", ""))
+    links = links.select("src", name.alias("dst"), F.regexp_extract("to", r"/.*$", 0).alias("path")).where("src != dst and dst != ''")
+    _, verdict = rule_columns(F.col("dst"), F.col("path"), rules)
+    return (links.select("src", "dst", verdict.alias("ruled")).groupBy("src", "dst").agg(
+        F.count(F.lit(1)).alias("w"), F.count(F.when(F.col("ruled") == "allow", 1)).alias("allowed"),
+        F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked")))
+
+
+def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """(src, dst, w): w links from pages of src to dst; ``pages`` has a column host."""
+    return host_links(pages, (), html_col).select("src", "dst", "w")
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps: int = 12, tolerance: float = 1e-4) -> DataFrame:
@@ -107,8 +117,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     ruled = seen.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"))
     share = lambda what: F.avg(F.when(F.col("ruled") == what, 1.0).otherwise(0.0))
-    seeds = ruled.where("host != ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked"))
-    scores = propagate(seeds, host_edges(seen), damping, steps)
+    own = ruled.where("host != ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked"))
+    links = stored(host_links(seen, rules), "host-links")
+    # A host without pages in the table is judged by the urls that links to it name.
+    named = links.groupBy(F.col("dst").alias("host")).agg(
+        (F.sum("allowed") / F.sum("w")).alias("allowed"), (F.sum("blocked") / F.sum("w")).alias("blocked"))
+    seeds = own.unionByName(named.join(own.select("host"), "host", "left_anti"))
+    scores = propagate(seeds, links.select("src", "dst", "w"), damping, steps)
     bad = F.coalesce(F.col("distrust") - F.col("trust") >= threshold, F.lit(False))
     return ruled.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule",

@@ -197,6 +197,17 @@ def test_links_decide_where_no_rule_does(spark):
     assert link_trust.judge_urls(pages.limit(0)).collect() == []
 
 
+def test_hosts_without_pages_are_judged_by_the_links_to_them(spark):
+    link = "<a href='{}'>s</a>".format
+    rows = [(1, "http://farm.io/", link("http://spam.net/") + link("//u@a.Spam.net:80/x?y")),
+            (2, "http://half.io/", link("http://example.com/de/1") + link("http://example.com/en/1")),
+            (3, "http://good.io/", link("http://b.org/fr/1")), (4, "http://plain.io/", link("http://example.com.au/de/1"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.verdict, r.trust, r.distrust) for r in link_trust.judge_urls(pages).collect()}
+    assert got[1] == ("block", 0.0, pytest.approx(0.85)) and got[2] == ("allow", 0.0, pytest.approx(0.425))
+    assert got[3][0] == got[4][0] == "allow" and got[3][2] == got[4][2] == 0.0
+
+
 def test_urls_of_the_table(spark, sf_dir, read):
     rows = queries.QUERIES["op1_link_trust"](spark, sf_dir).collect()
     assert sorted(r.page_id for r in rows) == sorted(r.page_id for r in read("pages").collect())
