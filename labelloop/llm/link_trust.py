@@ -78,10 +78,11 @@ def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return host_links(pages, (), html_col).select("src", "dst", "w")
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps: int = 12, tolerance: float = 1e-4) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps: int = 200, tolerance: float = 1e-4) -> DataFrame:
     """(host, trust, distrust) of every host in ``seeds`` (host, allowed, blocked) or ``edges``.
 
-    Ends after ``steps`` steps or when no score moves by more than ``tolerance``.
+    Ends when no score moves by more than ``tolerance`` (some 60 steps where links form
+    rings), and raises an error if that takes more than ``steps`` steps.
     """
     out_of = edges.groupBy("src").agg(F.sum("w").alias("all"))
     shares = stored(edges.join(out_of, "src").select("src", "dst", (F.col("w") / F.col("all")).alias("share")), "host-edges")
@@ -105,12 +106,12 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps:
         moved = step.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("t0")), F.abs(F.col("distrust") - F.col("d0"))))).first()[0]
         now = step.select("host", "trust", "distrust")
         if (moved or 0.0) <= tolerance:
-            break
-    return now
+            return now
+    raise RuntimeError(f"trust still moves by {moved} after {steps} steps")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = 0.5, damping: float = 0.85,
-               steps: int = 12, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+               steps: int = 200, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: host, path, the rule that fits or null, the verdict, and the host's trust and distrust."""
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     seen = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))

@@ -187,6 +187,18 @@ def test_trust_and_distrust_flow(spark):
         assert got[h] == pytest.approx((t[h], d[h]), abs=1e-6)
 
 
+def test_distrust_runs_to_its_end_in_rings_and_chains(spark):
+    edges = [(f"r{i}", f"r{(i + 1) % 3}", 1) for i in range(3)] + [(f"c{i}", f"c{i + 1}", 2) for i in range(20)]
+    seeds = [(f"r{i}", 0.0, 0.08) for i in range(3)] + [("c20", 0.0, 1.0)]
+    args = spark.createDataFrame(seeds, "host string, allowed double, blocked double"), spark.createDataFrame(
+        edges, "src string, dst string, w long")
+    got = {r.host: r.distrust for r in link_trust.propagate(*args).collect()}
+    assert [got[f"r{i}"] for i in range(3)] == pytest.approx([0.08 / 0.15] * 3, abs=1e-3)
+    assert [got[f"c{i}"] for i in range(21)] == pytest.approx([0.85 ** (20 - i) for i in range(21)], abs=1e-3)
+    with pytest.raises(RuntimeError):
+        link_trust.propagate(*args, steps=2)
+
+
 def test_links_decide_where_no_rule_does(spark):
     link = '<p><a class=x href="http://spam.net/a">s</a> <A HREF=//user@Spam.net:80?x>s</A> <a href="/own">o</a></p>'
     rows = [(1, "http://farm.io/", link), (2, "http://clean.io/", "<a href='https://news.example.net/en/'>n</a>"),
