@@ -173,8 +173,12 @@ def _number(digest: bytes) -> int:
     return int.from_bytes(digest, "big", signed=True)
 
 
-def _runs(node: Element) -> tuple[dict[int, list[int]], list[int]]:
-    """Of neighbouring blocks in ``node``, the hashes of (path, place, both) by child and all of them."""
+def _runs(node: Element) -> tuple[dict[int, list[int]], list[tuple[int, int]]]:
+    """Of neighbouring blocks in ``node``, the hashes of (path, place, both) by child, and all of them with their surroundings.
+
+    The surroundings are the first block, or the last where the run has the first, so that near copies
+    of an article count once; an article's title is never part of a run.
+    """
     near, every = {}, []
     inside = [c for c in node.children if isinstance(c, Element) and c.name in BLOCK and c.children and not is_chrome(c)]
     names, up = [], node
@@ -184,11 +188,12 @@ def _runs(node: Element) -> tuple[dict[int, list[int]], list[int]]:
     path = "/".join(names)
     for i, (a, b) in enumerate(zip(inside, inside[1:])):
         j = len(inside) - 2 - i
-        if a.name not in LEAVES and b.name not in LEAVES:
-            continue  # both are counted by themselves
+        if a.name not in LEAVES and b.name not in LEAVES or "h1" in (a.name, b.name):
+            continue  # both are counted by themselves, or one is a title
+        around = _number((inside[0] if i else inside[-1]).digest)
         for place in ([f"+{i}"] if i <= j else []) + ([f"-{j}"] if j <= i else []):
             key = _number(hashlib.blake2b(f"{path} {place} ".encode("utf-8", "replace") + a.digest + b.digest, digest_size=8).digest())
-            every.append(key)
+            every.append((key, around))
             for c in (a, b):
                 near.setdefault(id(c), []).append(key)
     return near, every
@@ -220,7 +225,7 @@ def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]
             if i == 0 and not plain:
                 near, every = _runs(node)
                 runs |= near
-                found += [(key, _number(node.digest)) for key in every]
+                found += every
             if i == len(node.children):
                 if node.name in BLOCK:
                     flush(path)

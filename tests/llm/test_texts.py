@@ -146,6 +146,13 @@ def test_notices_side_by_side_in_an_article_go(spark):
         assert "Read on with us" not in lines and "Write to us" not in lines
 
 
+def test_near_copies_of_an_article_keep_its_text(spark):
+    rows = [(i, f"http://a.org/{i}", f"<article><h1>t</h1><p>one</p><p>two</p><p>three</p><p>edit {i}</p></article>") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in template_removal.main_text(pages).collect()} == {
+        i: f"t\n\none\n\ntwo\n\nthree\n\nedit {i}" for i in range(20)}
+
+
 def test_main_text_of_the_table(spark, sf_dir, read):
     rows = queries.QUERIES["op3_main_text"](spark, sf_dir).collect()
     assert sorted(r.page_id for r in rows) == sorted(r.page_id for r in read("pages").collect())
