@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloop.llm import (curriculum, hnsw, link_trust, ngram_join, packing, quality_trees, span_fingerprints, splitter_sharding,
+from labelloop.llm import (curriculum, digest_index, hard_negatives, hnsw, link_trust, ngram_join, packing, quality_trees, span_fingerprints, splitter_sharding,
                            template_removal, toxicity)
 from labelloop.llm.common import table
 
@@ -58,9 +58,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_index.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_link_trust": op1, "op2_ngram_join": op2, "op3_main_text": op3, "op4_span_fingerprints": op4, "op5_splitter_sharding": op5,
     "op6_nearest_vectors": op6, "op7_curriculum_mix": op7, "op8_toxicity": op8, "op9_packing": op9, "op10_quality": op10,
+    "op12_digest_index": op12, "op13_hard_negatives": op13,
 }
 
 _HOST = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -98,5 +107,33 @@ p AS (
 SELECT p.doc_id, p.size, g.source_size, g.target,
        CAST(greatest(0, least(p.size, g.words - p.start)) + greatest(0, least(p.size, g.words - p.start - g.source_size)) AS BIGINT) AS taken
 FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
+""",
+    "op12_digest_index": r"""
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM d
+""",
+    "op13_hard_negatives": r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
 """,
 }
