@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloop.llm import (curriculum, digest_index, hard_negatives, hnsw, link_trust, ngram_join, packing, quality_trees, span_fingerprints, splitter_sharding,
+from labelloop.llm import (block_search, curriculum, digest_index, hard_negatives, hnsw, link_trust, ngram_join, packing, quality_trees, span_fingerprints, splitter_sharding,
                            template_removal, toxicity)
 from labelloop.llm.common import table
 
@@ -58,6 +58,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.duplicates(table(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_link_trust": op1, "op2_ngram_join": op2, "op3_main_text": op3, "op4_span_fingerprints": op4, "op5_splitter_sharding": op5,
     "op6_nearest_vectors": op6, "op7_curriculum_mix": op7, "op8_toxicity": op8, "op9_packing": op9, "op10_quality": op10,
-    "op12_digest_index": op12, "op13_hard_negatives": op13,
+    "op11_block_search": op11, "op12_digest_index": op12, "op13_hard_negatives": op13,
 }
 
 _HOST = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -107,6 +111,33 @@ p AS (
 SELECT p.doc_id, p.size, g.source_size, g.target,
        CAST(greatest(0, least(p.size, g.words - p.start)) + greatest(0, least(p.size, g.words - p.start - g.source_size)) AS BIGINT) AS taken
 FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
+""",
+    "op11_block_search": r"""
+WITH w AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+d AS (SELECT place, doc_id, CAST(len(ts) AS BIGINT) AS n, ts FROM w WHERE len(ts) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+p AS (
+  SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(ts) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY place, term),
+t AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM p, s GROUP BY term, docs),
+r AS (
+  SELECT item_id, d.place, d.doc_id,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN t USING (term) JOIN d ON d.place = p.place, s
+  GROUP BY item_id, d.place, d.doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0
+QUALIFY rank <= 10
 """,
     "op12_digest_index": r"""
 WITH d AS (
