@@ -14,14 +14,16 @@ first term it is, and a part of it (never more) for the others.
   documents with the k largest contributions of each of its terms.
 * The whole list of a term has a summary, its largest contribution.  A list is only
   needed where the sum of the summaries from its term on reaches an item's limit.
-* Needed lists are dealt by ranges of (term, min-hash of the coordinates), so that
-  similar documents lie together and no term, however frequent, is one task.  Each
-  run of a list is clustered around sampled documents into blocks of at most
-  ``block`` documents, stored with the largest value of every coordinate.
+* Documents are put in order of a min-hash of their terms, so that similar ones lie
+  together, and dealt by ranges, which no frequent term or group of copies can fill.
+  Each run of documents makes the part of every needed list that lies in it: the
+  list's documents are clustered around leaders into blocks of at most ``block``
+  documents, stored with the largest value of every coordinate.
 * Each task first visits the block with the best bound for each item, which raises
   the limits.  Then all blocks are passed once more, and a block is left out for an
   item only if the sum of its maxima over the item's coordinates is below the item's
-  limit.  Bounds and limits are exact whole numbers, so the result is exact.
+  limit.  The documents of visited blocks are scored from their own terms.  Bounds and
+  limits are exact whole numbers, so the result is exact.
 
 Defined cases: a null or empty text has no term and counts for nothing; rows of one
 item id are one item with all their terms; an item without terms, or whose terms are
@@ -41,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloop.llm.common import mixed, stored
+from labelloop.llm.common import stored, word_hashes
 
 #: The bytes of a UTF-8 text with A to Z lower-cased and what parts terms made blank; bytes from 128 on belong to terms.
 FOLD = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -64,22 +66,25 @@ def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def counted(docs: DataFrame, vocabulary: list[DataFrame]) -> DataFrame:
-    """(place, doc_id, n, ts, tfs): number of terms, and the asked ones with their frequencies, of every text with a term."""
+    """(place, doc_id, n, sig, ts, tfs): number of terms, and the asked ones with their frequencies and a min-hash of
+    them, of every text with a term."""
     rows = docs.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text")
-    schema = f"place long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, ts array<long>, tfs array<long>"
+    schema = f"place long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, sig long, ts array<long>, tfs array<long>"
 
     def one(known: dict[bytes, int]) -> DataFrame:
+        shuffled = dict(zip(known, (word_hashes([t.decode() for t in known]) >> np.uint64(1)).tolist(), strict=True))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                n, ts, tfs = [], [], []
+                n, sig, ts, tfs = [], [], [], []
                 for text in batch["text"]:
                     all_ = terms(text)
                     got = Counter(filter(known.__contains__, all_))
                     n.append(len(all_))
                     ts.append([known[t] for t in got])
+                    sig.append(min((shuffled[t] for t in got), default=0))
                     tfs.append(list(got.values()))
-                out = pd.DataFrame({"place": batch["place"], "doc_id": batch["doc_id"], "n": n, "ts": ts, "tfs": tfs})
+                out = pd.DataFrame({"place": batch["place"], "doc_id": batch["doc_id"], "n": n, "sig": sig, "ts": ts, "tfs": tfs})
                 yield out[out["n"] > 0]
 
         return rows.mapInPandas(run, schema)
@@ -91,7 +96,8 @@ def counted(docs: DataFrame, vocabulary: list[DataFrame]) -> DataFrame:
     for part in parts[1:]:
         every = every.unionByName(part)
     return every.groupBy("place").agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"),
-                                      F.flatten(F.collect_list("ts")).alias("ts"), F.flatten(F.collect_list("tfs")).alias("tfs"))
+                                      F.min("sig").alias("sig"), F.flatten(F.collect_list("ts")).alias("ts"),
+                                      F.flatten(F.collect_list("tfs")).alias("tfs"))
 
 
 def slices(df: DataFrame, key: str, entries: int, most: int) -> list[DataFrame]:
@@ -114,28 +120,30 @@ class Lists:
         self.weights = np.array([weights[t] for t in self.names.tolist()], np.int64)
         self.items = needed["q"].to_numpy(np.int64)
         self.limits = needed["floor"].to_numpy(np.int64)
-        m = len(self.names)
         own = np.searchsorted(self.names, needed["t"].to_numpy(np.int64))
         self.columns = [np.searchsorted(self.names, np.asarray(t, np.int64)) for t in needed["tail"]]
         self.of: dict[int, list[int]] = {}
         for i, t in enumerate(own.tolist()):
             self.of.setdefault(t, []).append(i)
-        self.needed = np.zeros(m, bool)
-        self.needed[own] = True
-        self.pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(t * m + c for t, c in zip(own, self.columns, strict=True))]))
-        self.seen = np.zeros(1 << 22, bool)  # a quick first look before the exact one
-        self.seen[self.place(self.pairs)] = True
-
-    @staticmethod
-    def place(codes: np.ndarray) -> np.ndarray:
-        return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)).astype(np.int64)
-
-    def together(self, codes: np.ndarray) -> np.ndarray:
-        good = self.seen[self.place(codes)]
-        at = np.flatnonzero(good)
-        found = np.searchsorted(self.pairs, codes[at])
-        good[at] = self.pairs[np.minimum(found, len(self.pairs) - 1)] == codes[at]
-        return good
+        #: The coordinates of each needed list: those at or after its term in some item.
+        self.coordinates = {t: np.unique(np.concatenate([self.columns[i] for i in of])) for t, of in self.of.items()}
+
+    def values(self, part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, column, value) of the texts' terms that are known here."""
+        lengths = part["ts"].map(len).to_numpy(np.int64)
+        ts, tfs = (np.concatenate([np.zeros(0, np.int64), *part[c]]).astype(np.int64) for c in ("ts", "tfs"))
+        row = np.repeat(np.arange(len(part)), lengths)
+        column = np.minimum(np.searchsorted(self.names, ts), len(self.names) - 1)
+        use = self.names[column] == ts
+        row, column, tfs = row[use], column[use], tfs[use]
+        n = part["n"].to_numpy(np.int64)[row]
+        return row, column, self.weights[column] * (1000000000 * tfs // (1000 * tfs + 8 * (10 + 90 * n * self.docs // self.words)))
+
+    def runs(self, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Consecutive rows, so many that their dense values stay small."""
+        step = int(min(2048, max(64, 8_000_000 // len(self.names))))
+        for first in range(0, len(batch), step):
+            yield batch.iloc[first:first + step]
 
     def tops(self, columns: np.ndarray, maxima: np.ndarray, of: list[int]) -> np.ndarray:
         """Sum of the block's maxima over the coordinates of each of the items ``of``."""
@@ -147,142 +155,108 @@ class Lists:
         return np.add.reduceat(sums, heads)
 
 
-def postings(counts: DataFrame, lists: Lists) -> DataFrame:
-    """(t, sig, place, doc_id, cols, vals): each document in each needed list it is in, with its coordinates there."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = np.int64(len(lists.names))
-        for batch in batches:
-            for first in range(0, len(batch), 500):
-                part = batch.iloc[first:first + 500]
-                lengths = part["ts"].map(len).to_numpy(np.int64)
-                if not lengths.sum():
-                    continue
-                ts, tfs = np.concatenate(part["ts"].to_numpy()), np.concatenate(part["tfs"].to_numpy())
-                row = np.repeat(np.arange(len(part)), lengths)
-                local = np.minimum(np.searchsorted(lists.names, ts), m - 1)
-                use = lists.names[local] == ts
-                row, local, tfs = row[use], local[use], tfs[use].astype(np.int64)
-                n = part["n"].to_numpy(np.int64)[row]
-                value = lists.weights[local] * (1000000000 * tfs // (1000 * tfs + 8 * (10 + 90 * n * lists.docs // lists.words)))
-                have = np.bincount(row, minlength=len(part))
-                heads = np.cumsum(have) - have
-                own = np.flatnonzero(lists.needed[local])
-                if not len(own):
-                    continue
-                wide = have[row[own]]
-                source = np.repeat(np.arange(len(own)), wide)
-                partner = np.repeat(heads[row[own]] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
-                mine = local[own][source]
-                good = lists.together(mine * m + local[partner])
-                source, partner, mine = source[good], partner[good], mine[good]
-                order = np.lexsort((local[partner], source))
-                source, partner, mine = source[order], partner[order], mine[order]
-                column, val = local[partner].astype(np.int32), value[partner]
-                sizes = np.bincount(source, minlength=len(own))  # a term is always in its own list, so none is empty
-                ends = np.cumsum(sizes)
-                sig = np.where(column == mine, np.uint64(1 << 62), mixed(column.astype(np.uint64) + np.uint64(7)) >> np.uint64(2))
-                sig = np.minimum.reduceat(sig, ends - sizes).astype(np.int64)
-                cols, vals = column.tobytes(), val.tobytes()
-                spans = list(zip((ends - sizes).tolist(), ends.tolist(), strict=True))
-                yield pd.DataFrame({
-                    "t": local[own], "sig": sig, "place": part["place"].to_numpy()[row[own]], "doc_id": part["doc_id"].to_numpy()[row[own]],
-                    "cols": [cols[4 * a:4 * b] for a, b in spans], "vals": [vals[8 * a:8 * b] for a, b in spans]})
-
-    kind = counts.schema["doc_id"].dataType.simpleString()
-    return counts.mapInPandas(run, f"t int, sig long, place long, doc_id {kind}, cols binary, vals binary")
-
-
-def clusters(row: np.ndarray, column: np.ndarray, val: np.ndarray, m: int, block: int) -> list[np.ndarray]:
-    """Rows 0 to ``m`` - 1 of a sparse matrix, in similarity order already, as blocks of at most ``block`` similar rows."""
-    if m <= 8:
+def clusters(x: np.ndarray, block: int) -> list[np.ndarray]:
+    """The rows of ``x``, in similarity order already, as blocks of at most ``block`` similar rows."""
+    m = len(x)
+    if m <= 4:
         return [np.arange(m)]
-    names, at = np.unique(column, return_inverse=True)
-    x = np.zeros((m, len(names)), np.float32)
-    x[row, at] = val
-    x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
-    leaders = np.unique(np.linspace(0, m - 1, max(1, math.ceil(m / (block // 2)))).astype(np.int64))
-    group = np.concatenate([(x[a:a + 2048] @ x[leaders].T).argmax(1) for a in range(0, m, 2048)])
+    y = x.astype(np.float32)
+    y /= np.linalg.norm(y, axis=1, keepdims=True) + 1e-9
+    leaders = np.unique(np.linspace(0, m - 1, max(2, math.ceil(2 * m / block))).astype(np.int64))
+    group = (y @ y[leaders].T).argmax(1)
     order = np.argsort(group, kind="stable")
     cuts = np.flatnonzero(np.diff(group[order])) + 1
     return [run[a:a + block] for run in np.split(order, cuts) for a in range(0, len(run), block)]
 
 
-def blocks(rows: DataFrame, parts: int, block: int) -> DataFrame:
-    """(t, cols, tops, sizes, places, ids, cells, vals): similar documents of one list, with the largest value of each coordinate."""
+def blocks(counts: DataFrame, lists: Lists, block: int) -> DataFrame:
+    """(t, cols, tops, places): similar documents of one list, with the largest value of each coordinate."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place_of = np.full(len(lists.names), -1, np.int64)
         for batch in batches:
-            t = batch["t"].to_numpy(np.int64)
-            cols, vals = batch["cols"].tolist(), batch["vals"].tolist()
-            places, ids = batch["place"].to_numpy(np.int64), batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None).tolist()
             out = []
-            for own in np.split(np.arange(len(t)), np.flatnonzero(np.diff(t)) + 1):
-                lengths = np.array([len(cols[i]) // 4 for i in own], np.int64)
-                column = np.frombuffer(b"".join([cols[i] for i in own]), np.int32)
-                val = np.frombuffer(b"".join([vals[i] for i in own]), np.int64)
-                ends = np.cumsum(lengths)
-                for members in clusters(np.repeat(np.arange(len(own)), lengths), column, val, len(own), block):
-                    cells = np.concatenate([np.arange(ends[k] - lengths[k], ends[k]) for k in members])
-                    order = np.argsort(column[cells], kind="stable")
-                    names, heads = np.unique(column[cells][order], return_index=True)
-                    out.append((int(t[own[0]]), names.tobytes(), np.maximum.reduceat(val[cells][order], heads).tobytes(),
-                                lengths[members].astype(np.int32).tobytes(), places[own[members]].tobytes(), [ids[i] for i in own[members]],
-                                column[cells].tobytes(), val[cells].tobytes()))
-            yield pd.DataFrame(out, columns=["t", "cols", "tops", "sizes", "places", "ids", "cells", "vals"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    ordered = rows.repartitionByRange(parts, "t", "sig", "place").sortWithinPartitions("t", "sig", "place")
-    return ordered.mapInPandas(run, f"t int, cols binary, tops binary, sizes binary, places binary, ids array<{kind}>, cells binary, vals binary")
-
-
-def visit(built: DataFrame, lists: Lists, k: int, best_only: bool) -> DataFrame:
-    """(q, place, doc_id, score, visited, left): found documents that reach their item's limit.
+            for part in lists.runs(batch):
+                row, column, value = lists.values(part)
+                names, at = np.unique(column, return_inverse=True)
+                x = np.zeros((len(part), len(names)), np.int64)
+                x[row, at] = value
+                place_of[:] = -1
+                place_of[names] = np.arange(len(names))
+                places = part["place"].to_numpy(np.int64)
+                order = np.argsort(at, kind="stable")
+                ends = np.cumsum(np.bincount(at, minlength=len(names)))
+                for j, t in enumerate(names.tolist()):
+                    if t not in lists.of:
+                        continue
+                    rows = row[order[ends[j - 1] if j else 0:ends[j]]]
+                    cols = place_of[lists.coordinates[t]]
+                    cols = cols[cols >= 0]
+                    own = x[rows[:, None], cols]
+                    for members in clusters(own, block):
+                        tops = own[members].max(0)
+                        some = np.flatnonzero(tops)
+                        out.append((t, names[cols[some]].astype(np.int32).tobytes(), tops[some].tobytes(), places[rows[members]].tobytes()))
+            yield pd.DataFrame(out, columns=["t", "cols", "tops", "places"])
+
+    return counts.mapInPandas(run, "t int, cols binary, tops binary, places binary")
+
+
+def visit(built: DataFrame, lists: Lists, best_only: bool) -> DataFrame:
+    """(i, place, visited, left): documents of visited blocks for the ``i``-th needed (item, list).
 
     With ``best_only`` each batch visits the block of the best bound of each item, else all
-    blocks whose bound reaches the limit.  One row per batch, without ``q``, has how many
+    blocks whose bound reaches the limit.  One row per batch, without ``i``, has how many
     (block, item) pairs were visited and left out.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bounds, visited, left = [], 0, 0
+            bounds, left = [], 0
             for b, (t, cols, tops) in enumerate(zip(batch["t"], batch["cols"], batch["tops"], strict=True)):
                 of = lists.of[t]
                 most = lists.tops(np.frombuffer(cols, np.int32), np.frombuffer(tops, np.int64), of)
-                reach = most >= np.maximum(lists.limits[of], 1)
-                left += int((~reach).sum())
-                bounds += [(int(x), b, of[i]) for i, x in enumerate(most) if reach[i]]
+                reach = np.flatnonzero(most >= np.maximum(lists.limits[of], 1))
+                left += len(of) - len(reach)
+                bounds += [(int(most[x]), b, of[x]) for x in reach]
             if best_only:
                 first: dict[int, tuple[int, int, int]] = {}
                 for x in bounds:
                     q = lists.items[x[2]]
                     first[q] = max(first.get(q, x), x)
                 bounds = list(first.values())
-            by_block: dict[int, list[int]] = {}
-            for _, b, i in bounds:
-                by_block.setdefault(b, []).append(i)
-            out = []
-            for b, of in by_block.items():
-                visited += len(of)
-                names, sizes, cells, vals, places = (np.frombuffer(batch[c].iloc[b], kind) for c, kind in (
-                    ("cols", np.int32), ("sizes", np.int32), ("cells", np.int32), ("vals", np.int64), ("places", np.int64)))
-                x = np.zeros((len(sizes), len(names)), np.int64)
-                x[np.repeat(np.arange(len(sizes)), sizes), np.searchsorted(names, cells)] = vals
-                asked = np.zeros((len(names), len(of)), np.int64)
-                for j, i in enumerate(of):
-                    asked[:, j] = np.isin(names, lists.columns[i])
-                scores, ids = x @ asked, batch["ids"].iloc[b]
-                for j, i in enumerate(of):
-                    good = np.flatnonzero(scores[:, j] >= max(1, int(lists.limits[i])))
-                    if best_only:
-                        good = good[np.argsort(-scores[good, j], kind="stable")[:k]]
-                    out += [(int(lists.items[i]), int(places[d]), ids[d], int(scores[d, j]), None, None) for d in good]
-            out.append((None, None, None, None, visited, left))
-            yield pd.DataFrame(out, columns=["q", "place", "doc_id", "score", "visited", "left"], dtype=object)
-
-    kind = built.schema["ids"].dataType.elementType.simpleString()
-    return built.mapInPandas(run, f"q long, place long, doc_id {kind}, score long, visited long, left long")
+            found = [np.frombuffer(batch["places"].iloc[b], np.int64) for _, b, _ in bounds]
+            yield pd.DataFrame({"i": np.repeat([x[2] for x in bounds], [len(f) for f in found]).astype(np.int64),
+                                "place": np.concatenate([np.zeros(0, np.int64), *found])}).assign(visited=None, left=None)
+            yield pd.DataFrame({"i": [None], "place": [None], "visited": [len(bounds)], "left": [left]}, dtype=object)
+
+    return built.mapInPandas(run, "i int, place long, visited long, left long")
+
+
+def scores(found: DataFrame, counts: DataFrame, lists: Lists) -> DataFrame:
+    """(q, place, doc_id, score): what visited documents have of their items, where it reaches the limit."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part in lists.runs(batch):
+                row, column, value = lists.values(part)
+                x = np.zeros((len(part), len(lists.names)), np.int64)
+                x[row, column] = value
+                who = np.repeat(np.arange(len(part)), part["of"].map(len))
+                every = np.concatenate(part["of"].to_numpy())
+                for first in range(0, len(every), 50_000):
+                    of, at = every[first:first + 50_000], who[first:first + 50_000]
+                    asked = [lists.columns[i] for i in of]
+                    lengths = np.array([len(a) for a in asked], np.int64)
+                    score = np.add.reduceat(x[np.repeat(at, lengths), np.concatenate(asked)], np.cumsum(lengths) - lengths)
+                    good = np.flatnonzero(score >= np.maximum(lists.limits[of], 1))
+                    yield pd.DataFrame({"q": lists.items[of[good]], "place": part["place"].to_numpy()[at[good]],
+                                        "doc_id": part["doc_id"].to_numpy()[at[good]], "score": score[good]})
+
+    kind = counts.schema["doc_id"].dataType.simpleString()
+    asked = found.where("i is not null").groupBy("place").agg(F.collect_list("i").alias("of"))   # at most the items' terms
+    rows = counts.join(asked.hint("merge"), "place").select("place", "doc_id", "n", "ts", "tfs", "of")
+    return rows.mapInPandas(run, f"q long, place long, doc_id {kind}, score long")
 
 
 def kth_best(scored: DataFrame, k: int) -> DataFrame:
@@ -292,7 +266,11 @@ def kth_best(scored: DataFrame, k: int) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("q", F.col("score").alias("floor"))
 
 
-def top_documents(docs: DataFrame, items: DataFrame, k: int = 10, block: int = 64, vocabulary: int = 250_000, entries: int = 2_000_000,
+def width(spark, rows: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / 50_000))
+
+
+def top_documents(docs: DataFrame, items: DataFrame, k: int = 10, block: int = 32, vocabulary: int = 100_000, entries: int = 2_000_000,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                   report: dict | None = None) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` best documents of each item.
@@ -331,25 +309,25 @@ def top_documents(docs: DataFrame, items: DataFrame, k: int = 10, block: int = 6
     needed = asked.join(floors, "q", "left").withColumns({"tail": F.collect_list("t").over(after), "reach": F.sum("most").over(after)})
     needed = needed.where((F.col("reach") > 0) & (F.col("reach") >= F.coalesce("floor", F.lit(1))))
     needed = stored(needed.select("q", "t", "df", F.coalesce("floor", F.lit(1)).alias("floor"), "tail"), "needed-lists")
-    size, lines = needed.agg(F.sum(F.size("tail")), F.sum("df")).first()
-    schema = f"q long, place long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, score long, visited long, left long"
-    answers = spark.createDataFrame([], schema)
+    size = needed.agg(F.sum(F.size("tail"))).first()[0]
+    answers = spark.createDataFrame([], f"q long, place long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, score long")
+    ordered = counts.repartitionByRange(width(spark, n_docs), "sig", "place").sortWithinPartitions("sig", "place")
     for part in slices(needed, "t", size or 0, entries) if size else []:
         rows = part.toPandas()  # at most about ``entries`` numbers
         if not len(rows):
             continue
-        names_here = spark.createDataFrame([(int(t),) for t in np.unique(np.concatenate(rows["tail"].to_numpy()))], "t long")
-        weights = {r.t: r.w for r in of.join(names_here, "t").select("t", "w").toLocalIterator()}
+        known = spark.createDataFrame([(int(t),) for t in np.unique(np.concatenate(rows["tail"].to_numpy()))], "t long")
+        weights = {r.t: r.w for r in of.join(known, "t").select("t", "w").toLocalIterator()}
         lists = Lists(rows, weights, n_docs, n_words)
-        listed = stored(postings(counts, lists), "postings")
-        width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((lines or 0) / 500_000))
-        built = stored(blocks(listed, width, block), "blocks")
-        better = {r.q: r.floor for r in kth_best(visit(built, lists, k, True).where("q is not null"), k).toLocalIterator()}
+        built = stored(blocks(ordered, lists, block), "blocks")
+        better = {r.q: r.floor for r in kth_best(scores(visit(built, lists, True), counts, lists), k).toLocalIterator()}
         lists.limits = np.maximum(lists.limits, np.array([better.get(q, 0) for q in lists.items.tolist()], np.int64))
-        answers = answers.unionByName(stored(visit(built, lists, k, False), "visited"))
-    if report is not None:
-        report["visited"], report["left"] = (x or 0 for x in answers.agg(F.sum("visited"), F.sum("left")).first())
-    whole = answers.where("q is not null").groupBy("q", "place").agg(F.max("score").alias("score"), F.first("doc_id").alias("doc_id"))
+        found = stored(visit(built, lists, False), "visited")
+        if report is not None:
+            for name in ("visited", "left"):
+                report[name] = report.get(name, 0) + (found.agg(F.sum(name)).first()[0] or 0)
+        answers = answers.unionByName(stored(scores(found, counts, lists), "scored"))
+    whole = answers.groupBy("q", "place").agg(F.max("score").alias("score"), F.first("doc_id").alias("doc_id"))
     order = Window.partitionBy("q").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     ranked = whole.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.join(numbers, "q").select("item_id", "rank", "doc_id", "score")

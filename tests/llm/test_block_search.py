@@ -96,13 +96,10 @@ def test_terms_are_the_matches_of_the_pattern():
 
 def test_blocks_hold_every_row_once_and_similar_rows_together():
     rng = np.random.default_rng(0)
-    rows, cols, vals = [], [], []
+    x = np.zeros((300, 30), np.int64)
     for i in range(300):
-        for c in range(10):
-            rows.append(i)
-            cols.append((i // 100) * 10 + c)
-            vals.append(int(rng.integers(50, 100)))
-    made = block_search.clusters(np.array(rows), np.array(cols), np.array(vals), 300, 64)
+        x[i, (i // 100) * 10:(i // 100) * 10 + 10] = rng.integers(50, 100, 10)
+    made = block_search.clusters(x, 64)
     assert sorted(np.concatenate(made)) == list(range(300)) and max(map(len, made)) <= 64
     assert all(len({int(i) // 100 for i in b}) == 1 for b in made)
 
