@@ -1,43 +1,52 @@
 """Exact k-nearest neighbours (H18) and SMOTE oversampling.
 
-Exact search without an all-pairs join — a range join on pivot distances:
+Exact search without an all-pairs join, by cells around pivots:
 
 * identical vectors are compacted first (each distinct vector keeps at most
   k ids, via a partial top-k), so a vector copied a million times costs one
   row, not a million;
-* every point gets its distance to a few pivot points; by the triangle
-  inequality ``d(q, x) ≥ max_i |d(q, p_i) − d(x, p_i)|``;
-* equal-frequency cells are cut on the first pivot distance;
-* pass A joins each query with its own and the two adjacent cells and takes
-  the distance at which k points are reached — an upper bound ``r_q`` on the
-  k-th neighbour distance (no bound if the cells hold fewer than k points);
-* pass B joins each query with exactly the cells that can hold points within
-  ``r_q`` (all cells if unbounded), filters by the pivot lower bound, and
-  ranks candidates by (distance, id).  Every true neighbour is within
-  ``r_q``, so the answer is exact; nothing is capped.
-
-Distances are squared Euclidean (same order as Euclidean), computed with
-``zip_with`` + ``aggregate`` inside the JVM.
+* pivots are spread over a bounded sample (each the farthest from those before),
+  every vector lies in the cell of its nearest pivot, and a large cell is cut
+  into rings by the distance from its pivot;
+* pass A compares a query with the ring that it falls into (more rings while
+  they hold fewer than k points): the k-th distance there bounds the radius;
+* pass B compares a query only with rings that its radius can reach.  A point x
+  of the cell of pivot p is at least ``|d(q, p) − d(x, p)|`` away, and at least as
+  far as the plane between p and the query's own pivot;
+* neighbouring rings share a block of at most ``TRAIN_BLOCK`` rows and a query is
+  sent once to a block, with the rings it needs there, so that at worst (no
+  structure in the data) queries travel as often as there are blocks;
+* the distances of a block of queries and a block of points are one matrix
+  product; the few pairs that can be among the nearest are computed again, term
+  by term, and ranked by (distance, id).  Every true neighbour is within the
+  radius, so the answer is exact; nothing is capped.
+
+Distances are squared Euclidean (same order as Euclidean).
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloop.operators.split import SEED
+from labelloop.session import cut_lineage, share_code
 
 # ---- fixed values ----------------------------------------------------------
 SMOTE_NEIGHBOURS = 5       # neighbours considered per minority row
 KNN_VOTERS = 7             # k of the k-NN vote
 # ---------------------------------------------------------------------------
 
-# Cell granularity (not a candidate limit: pass B still visits every cell
-# within the radius).  Bounding the cell count bounds the boundary array each
-# row is placed against; with more data the cells hold more rows and are split
-# over more tasks (``QUERY_BLOCK`` × ``TRAIN_BLOCK`` rows a task).  All are
-# parameters of the operators below.
-MAX_CELLS = 2048
+# Granularity (not a candidate limit: pass B visits every ring within the
+# radius).  Bounding cells and rings bounds what the driver holds and sends to
+# tasks (the pivots and three numbers a ring); with more data the rings hold more
+# rows and are split over more tasks (``QUERY_BLOCK`` × ``TRAIN_BLOCK`` rows a task).
+MAX_CELLS, MAX_RINGS = 1024, 64
 QUERY_BLOCK, TRAIN_BLOCK = 1024, 4096
 COPY_CHUNK = 100_000       # synthetic copies generated per task unit in SMOTE
 
@@ -59,36 +68,241 @@ def _compact(df: DataFrame, id_col: str, vec_col: str, keep: int | None) -> Data
     return g.withColumn("gid", F.get(F.col("ids"), 0))
 
 
-def _cell_of(value: Column, bounds: list[float]) -> Column:
-    # a single +inf bound when there is one cell keeps the key a column
-    # expression, so the cell join stays an equi-join (a literal key would be
-    # folded into a nested-loop join)
-    arr = F.array(*[F.lit(float(b)) for b in (bounds or [float("inf")])])
-    return F.size(F.filter(arr, lambda b: b <= value))
-
-
-def _cell_join(queries: DataFrame, train: DataFrame, n_part: int, query_block: int, train_block: int) -> DataFrame:
-    """Join on query cell ``jc`` = train cell ``tcell``.
-
-    Rows are counted per cell first (one row per cell comes back, so at most
-    ``max_cells``): a cell with many queries or many train rows is cut into blocks
-    of both, each pair of blocks being one join key, so no cell is one task.
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack([np.asarray(v, np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
+
+
+def _products(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances by one matrix product, and how far they may be off."""
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    slack = 1e-12 * (xx.max(initial=0.0) + yy.max(initial=0.0)) + 1e-300
+    return np.maximum(xx[:, None] + yy[None, :] - 2.0 * (x @ y.T), 0.0), slack
+
+
+def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of row pairs, summed from the first coordinate to the last."""
+    total = np.zeros(len(x))
+    for j in range(x.shape[1] if len(x) else 0):
+        total += (x[:, j] - y[:, j]) ** 2
+    return total
+
+
+def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
+    """``count`` rows of ``sample``: the first, then always the one farthest from those taken."""
+    taken = [0]
+    near, _ = _products(sample, sample[:1])
+    near = near[:, 0]
+    while len(taken) < min(count, len(sample)):
+        far = int(near.argmax())
+        if near[far] <= 0:
+            break
+        taken.append(far)
+        near = np.minimum(near, _products(sample, sample[far:far + 1])[0][:, 0])
+    return sample[taken]
+
+
+class Rings:
+    """The pivots and the rings around them: where vectors lie, and which rings a query can need."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.between = np.sqrt(_products(pivots, pivots)[0])
+        self.cuts: list[np.ndarray] = [np.zeros(0)] * len(pivots)
+
+    def cut(self, stats: list[tuple], train_block: int, max_rings: int) -> None:
+        """From (cell, rows, smallest distance, largest distance, quantiles of the distance) of each cell that has rows."""
+        low, high, cell = [], [], []
+        of = {s[0]: s for s in stats}
+        self.first = np.zeros(len(self.pivots), np.int64)
+        for c in range(len(self.pivots)):
+            self.first[c] = len(cell)
+            if c not in of:
+                low, high, cell = [*low, np.inf], [*high, -np.inf], [*cell, c]
+                continue
+            _, n, least, most, quantiles = of[c]
+            rings = min(max_rings, -(-n // train_block))
+            at = [len(quantiles) * i // rings for i in range(1, rings)]
+            self.cuts[c] = np.unique(np.array([quantiles[i] for i in at if least < quantiles[i] <= most]))
+            edges = [least, *self.cuts[c], most]
+            low, high, cell = [*low, *edges[:-1]], [*high, *edges[1:]], [*cell, *[c] * (len(edges) - 1)]
+        self.low, self.high, self.cell = np.array(low), np.array(high), np.array(cell, np.int64)
+
+    def fill(self, counts: dict[int, int], train_block: int) -> None:
+        """Rows of each ring; blocks of rings around neighbouring pivots; the parts that a ring of very many rows is dealt to."""
+        self.rows = np.zeros(len(self.cell), np.int64)
+        for ring, n in counts.items():
+            self.rows[ring] = n
+        left, chain = set(range(len(self.pivots))), [0]
+        left.discard(0)
+        while left:   # from pivot to the nearest pivot that is left
+            some = np.fromiter(left, np.int64)
+            chain.append(int(some[self.between[chain[-1], some].argmin()]))
+            left.discard(chain[-1])
+        self.block = np.zeros(len(self.cell), np.int64)
+        block, filled = 0, 0
+        for c in chain:
+            for ring in np.flatnonzero(self.cell == c):
+                if filled and filled + self.rows[ring] > train_block:
+                    block, filled = block + 1, 0
+                self.block[ring] = block
+                filled += self.rows[ring]
+        self.parts = np.ones(block + 1, np.int64)   # a block of several rings has one part
+        np.maximum.at(self.parts, self.block, -(-self.rows // train_block))
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell of each row and its distance from the cell's pivot."""
+        d2, _ = _products(x, self.pivots)
+        cell = d2.argmin(1)
+        return cell, np.sqrt(_exact(x, self.pivots[cell]))
+
+    def ring(self, cell: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        return np.array([self.first[c] + np.searchsorted(self.cuts[c], r, side="right") for c, r in zip(cell, radius, strict=True)], np.int64)
+
+    def bounds(self, x: np.ndarray) -> np.ndarray:
+        """(rows x rings) smallest possible distance to a point of each ring."""
+        d2, _ = _products(x, self.pivots)
+        d = np.sqrt(d2)
+        own = d2.argmin(1)
+        gap = self.between[own]
+        plane = np.where(gap > 0, (d2 - d2[np.arange(len(x)), own][:, None]) / np.where(gap > 0, 2 * gap, 1), 0.0)
+        at = d[:, self.cell]
+        return np.maximum.reduce([at - self.high, self.low - at, plane[:, self.cell], np.zeros_like(at)])
+
+
+def _placed(df: DataFrame, rings: Rings, id_col: str) -> DataFrame:
+    """``df`` with ``cell``, ``radius``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                batch["cell"], batch["radius"] = rings.place(_matrix(batch["vec"]))
+                yield batch
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInPandas(run, f"{fields}, cell int, radius double")
+
+
+def _sent(queries: DataFrame, rings: Rings, kk: int, radius: bool, counts_only: bool = False) -> DataFrame:
+    """(qgid, vec, r2, block, part, rings) for each part of a block that a query is sent to, with the rings it needs there.
+
+    Without a radius yet, these are the ring it falls into and, while they hold fewer
+    than ``kk`` points, the next ones by their bound; with one (``r2``), every ring that it can reach.
     """
-    def blocks(df: DataFrame, cell: str, size: int) -> dict[int, int]:
-        return {r[0]: -(-r[1] // size) for r in df.groupBy(cell).count().collect()}
-
-    q_blocks, t_blocks = blocks(queries, "jc", query_block), blocks(train, "tcell", train_block)
-    n = max([0, *q_blocks, *t_blocks]) + 1
-    of = lambda b, cell: F.get(F.array(*[F.lit(b.get(i, 1)) for i in range(n)]), cell)
-    everything = lambda b, cell: F.explode(F.sequence(F.lit(0), of(b, cell) - 1))
-    q = queries.filter(F.col("jc").between(0, n - 1)).withColumn("__qb", F.pmod(F.xxhash64("qgid"), of(q_blocks, F.col("jc"))).cast("int")) \
-        .withColumn("__tb", everything(t_blocks, F.col("jc")))
-    t = train.withColumn("__tt", F.pmod(F.xxhash64("gid"), of(t_blocks, F.col("tcell"))).cast("int")) \
-        .withColumn("__tq", everything(q_blocks, F.col("tcell")))
-    return q.repartition(n_part, "jc", "__qb", "__tb").join(
-        t.repartition(n_part, "tcell", "__tq", "__tt"),
-        (F.col("jc") == F.col("tcell")) & (F.col("__qb") == F.col("__tq")) & (F.col("__tb") == F.col("__tt"))) \
-        .drop("__qb", "__tb", "__tq", "__tt")
+
+    def wanted(x: np.ndarray, r2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row, ring = [], []
+        for first in range(0, len(x), step := max(1, 4_000_000 // len(rings.cell))):
+            bound = rings.bounds(x[first:first + step])
+            bound[:, rings.rows == 0] = np.inf
+            if radius:
+                reach = np.sqrt(r2[first:first + step])
+                at, which = np.nonzero(bound <= (reach * (1 + 1e-9) + 1e-9)[:, None])
+                good = rings.rows[which] > 0
+                at, which = at[good], which[good]
+            else:
+                cell, distance = rings.place(x[first:first + step])
+                home = rings.ring(cell, distance)
+                enough = rings.rows[home] >= kk
+                at, which = np.flatnonzero(enough), home[enough]
+                for i in np.flatnonzero(~enough):
+                    order = np.argsort(bound[i], kind="stable")
+                    need = order[:np.searchsorted(np.cumsum(rings.rows[order]), kk) + 1]
+                    at, which = np.append(at, np.full(len(need), i)), np.append(which, need)
+            row.append(at + first)
+            ring.append(which)
+        return np.concatenate(row).astype(np.int64), np.concatenate(ring).astype(np.int64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            row, ring = wanted(_matrix(batch["vec"]), batch["r2"].to_numpy(np.float64))
+            order = np.lexsort((ring, rings.block[ring], row))
+            row, ring = row[order], ring[order]
+            block = rings.block[ring]
+            heads = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(block) != 0)])
+            sets = np.split(ring, heads[1:])
+            row, pairs = row[heads], np.add.reduceat(rings.rows[ring], heads)
+            block, copies = block[heads], rings.parts[block[heads]]
+            # in the first pass one part of a ring will do if it surely has enough rows; parts are dealt by hash
+            single = (not radius) & (rings.rows[[s[0] for s in sets]] // copies >= 4 * kk)
+            pairs = np.where(single, pairs // copies, pairs)
+            if counts_only:
+                at = np.repeat(np.arange(len(row)), np.where(single, 1, copies))
+                part = np.arange(len(at)) - np.searchsorted(at, at)
+                part = np.where(single[at], row[at] % copies[at], part)
+                whole = np.where(single, pairs, pairs // copies)[at]
+                yield pd.DataFrame({"block": block[at], "part": part, "pairs": whole}).groupby(["block", "part"])["pairs"].agg(
+                    n="size", pairs="sum").reset_index()
+                continue
+            for first in range(0, len(row), 5_000):
+                s = slice(first, first + 5_000)
+                at = np.repeat(np.arange(first, min(first + 5_000, len(row))), np.where(single, 1, copies)[s])
+                part = np.arange(len(at)) - np.searchsorted(at, at)
+                part = np.where(single[at], row[at] % copies[at], part)
+                yield batch[["qgid", "vec", "r2"]].iloc[row[at]].assign(block=block[at], part=part, rings=[sets[i] for i in at])
+
+    if counts_only:
+        found = queries.mapInPandas(run, "block int, part int, n long, pairs long")
+        return found.groupBy("block", "part").agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs"))
+    kind = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
+    return queries.mapInPandas(run, f"qgid {kind['qgid']}, vec {kind['vec']}, r2 double, block int, part int, rings array<int>")
+
+
+def _compared(queries: DataFrame, train: DataFrame, rings: Rings, kk: int, radius: bool, query_block: int,
+              report: dict | None) -> DataFrame:
+    """(qgid, nid, d2): the ``kk`` nearest ids that each query meets in the rings it is sent to."""
+    counts = _sent(queries, rings, kk, radius, counts_only=True)
+    if report is not None:
+        report["compared"] = report.get("compared", 0) + int(counts.agg(F.sum("pairs")).first()[0] or 0)
+    share = counts.select("block", "part", F.ceil(F.col("n") / query_block).cast("int").alias("nq"))   # a row for each part of a block
+    sent = _sent(queries, rings, kk, radius).join(share, ["block", "part"]).withColumn(
+        "share", F.pmod(F.xxhash64("qgid"), F.col("nq")).cast("int")).drop("nq")
+    shown = train.join(share, ["block", "part"]).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).drop("nq")
+
+    def nearest(x: np.ndarray, y: np.ndarray, r2: np.ndarray, gid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of x, row of y, d2): at least the ``kk`` nearest of each row of x, with ties."""
+        near, slack = _products(x, y)
+        limit = np.partition(near, kk - 1, axis=1)[:, kk - 1] + 2 * slack if len(y) > kk else np.full(len(x), np.inf)
+        if radius:
+            limit = np.minimum(limit, r2 * (1 + 1e-9) + 2 * slack)
+        row, col = np.nonzero(near <= limit[:, None])
+        return row, col, _exact(x[row], y[col])
+
+    def best(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(q) and len(t):
+            y, gid, ids = _matrix(t["vec"]), t["gid"].to_numpy(), t["ids"].to_numpy()
+            of = {r: np.flatnonzero(t["ring"].to_numpy() == r) for r in t["ring"].unique()}
+            for first in range(0, len(q), query_block):
+                part = q.iloc[first:first + query_block]
+                x, r2 = _matrix(part["vec"]), part["r2"].to_numpy(np.float64)
+                who = np.repeat(np.arange(len(part)), part["rings"].map(len))
+                which = np.concatenate(part["rings"].to_numpy())
+                found = []
+                for ring in np.unique(which):
+                    mine, theirs = who[which == ring], of.get(ring)
+                    if theirs is not None:
+                        row, col, d2 = nearest(x[mine], y[theirs], r2[mine], gid[theirs])
+                        found.append((mine[row], theirs[col], d2))
+                if not found:
+                    continue
+                row, col, d2 = (np.concatenate(c) for c in zip(*found, strict=True))
+                many = np.array([len(ids[c]) for c in col], np.int64)
+                nid = np.concatenate([ids[c] for c in col]) if len(col) else np.zeros(0, gid.dtype)
+                row, d2 = np.repeat(row, many), np.repeat(d2, many)
+                order = np.lexsort((nid, d2, row))
+                row, nid, d2 = row[order], nid[order], d2[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < kk
+                out.append(pd.DataFrame({"qgid": part["qgid"].to_numpy()[row[keep]], "nid": nid[keep], "d2": d2[keep]}))
+        return pd.concat(out) if out else pd.DataFrame({"qgid": [], "nid": [], "d2": []})
+
+    kind = train.schema["gid"].dataType.simpleString()
+    of = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
+    found = sent.groupBy("block", "part", "share").cogroup(shown.groupBy("block", "part", "share")).applyInPandas(
+        best, f"qgid {of['qgid']}, nid {kind}, d2 double")
+    first = Window.partitionBy("qgid").orderBy("d2", "nid")
+    return found.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= kk)
 
 
 def approximate_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "vec",
@@ -116,74 +330,53 @@ def approximate_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_c
 
 
 def nearest_neighbours(train: DataFrame, queries: DataFrame, k: int, *, id_col: str = "id",
-                       vec_col: str = "vec", exclude_self: bool = False, n_pivots: int = 4,
-                       cell_rows: int = 64, max_cells: int = MAX_CELLS, query_block: int = QUERY_BLOCK,
-                       train_block: int = TRAIN_BLOCK) -> DataFrame:
+                       vec_col: str = "vec", exclude_self: bool = False, cell_rows: int | None = None,
+                       max_cells: int = MAX_CELLS, max_rings: int = MAX_RINGS, query_block: int = QUERY_BLOCK,
+                       train_block: int = TRAIN_BLOCK, report: dict | None = None) -> DataFrame:
     """(query_id, neighbour_id, sq_distance, rank) — the k nearest train points
     of every query, ties broken by neighbour id.  ``exclude_self`` drops a
     query's own id (for a self-join such as SMOTE).  Exact; see
-    :func:`approximate_neighbours` for the approximate search."""
+    :func:`approximate_neighbours` for the approximate search.
+
+    ``report`` gets the numbers of distinct vectors on both sides and of the pairs compared."""
+    share_code(train.sparkSession)
     kk = k + 1 if exclude_self else k
-    tg = _compact(train, id_col, vec_col, kk)
+    # Both tables feed several jobs (count, cells, two passes): each is written
+    # once to the shared checkpoint directory instead of being computed again.
+    tg = cut_lineage(_compact(train, id_col, vec_col, kk))
     qg = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("vec"))
-    qv = qg.groupBy("vec").agg(F.min("qid").alias("qgid"))
-
-    # pivots: a handful of distinct train vectors picked by a seeded hash
-    pivots = [r["vec"] for r in tg.orderBy(F.md5(F.concat(F.lit(str(SEED)), F.col("gid").cast("string"))))
-              .limit(n_pivots).select("vec").collect()]
-    if not pivots:
-        return queries.sparkSession.createDataFrame(
-            [], "query_id BIGINT, neighbour_id BIGINT, sq_distance DOUBLE, rank INT")
-    plits = [F.array(*[F.lit(float(x)) for x in p]) for p in pivots]
-
-    def with_pivots(df):
-        return df.withColumn("pd", F.array(*[F.sqrt(sq_dist("vec", p)) for p in plits]))
-
-    # Both tables feed several jobs (count, quantiles, two join passes): write
-    # them once to the shared checkpoint directory instead of recomputing the
-    # compaction (and everything upstream) for each.
-    from labelloop.session import cut_lineage
-    tg = cut_lineage(with_pivots(tg))
-    qv = cut_lineage(with_pivots(qv))
-    n_cells = min(max_cells, max(1, int(tg.count() // cell_rows)))
-    bounds = []
-    if n_cells > 1:
-        probs = [i / n_cells for i in range(1, n_cells)]
-        bounds = sorted(set(tg.select(F.get("pd", 0).alias("p0")).approxQuantile("p0", probs, 0.001)))
-    tg = tg.withColumn("cell", _cell_of(F.get("pd", 0), bounds))
-    qv = qv.withColumn("cell", _cell_of(F.get("pd", 0), bounds))
-    # Both sides of the cell joins are hash-partitioned with an explicit count:
-    # the join output is far larger than its inputs, and AQE would otherwise
-    # coalesce the (small) inputs into a few tasks that then do all the work.
-    n_part = max(int(qv.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_cells)
-    t = tg.select("gid", "ids", F.col("vec").alias("tvec"), F.col("pd").alias("tpd"), F.col("cell").alias("tcell"))
-
-    # pass A: own and adjacent cells → radius holding kk points
-    near = qv.withColumn("jc", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1)))
-    a = _cell_join(near, t, n_part, query_block, train_block).select(
-        "qgid", F.size("ids").alias("m"), sq_dist("vec", "tvec").alias("d2"), "gid")
-    # the kk-th point lies within the first kk candidates (each carries >= 1 id):
-    # a per-query top-kk (partial limit before the shuffle) bounds the window
-    first = Window.partitionBy("qgid").orderBy("d2", "gid")
-    a = a.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= kk).drop("__rn")
-    wa = Window.partitionBy("qgid").orderBy("d2", "gid").rowsBetween(Window.unboundedPreceding, 0)
-    a = a.withColumn("cum", F.sum("m").over(wa))
-    radius = a.filter(F.col("cum") >= kk).groupBy("qgid").agg(F.min("d2").alias("r2"))
-
-    # pass B: every cell that can hold a point within the radius
-    qb = qv.join(radius, "qgid", "left").withColumn("r", F.sqrt("r2"))
-    lo = _cell_of(F.get("pd", 0) - F.col("r"), bounds)
-    hi = _cell_of(F.get("pd", 0) + F.col("r"), bounds)
-    qb = qb.withColumn("jc", F.explode(F.when(F.col("r").isNull(), F.sequence(F.lit(0), F.lit(len(bounds))))
-                                       .otherwise(F.sequence(lo, hi))))
-    b = _cell_join(qb, t, n_part, query_block, train_block)
-    bound_ok = F.aggregate(F.zip_with("pd", "tpd", lambda x, y: F.abs(x - y)), F.lit(0.0),
-                           lambda acc, x: F.greatest(acc, x)) <= F.col("r") + F.lit(1e-9)
-    b = b.filter(F.col("r").isNull() | bound_ok).withColumn("d2", sq_dist("vec", "tvec"))
-    b = b.filter(F.col("r2").isNull() | (F.col("d2") <= F.col("r2")))
-    cand = b.select("qgid", "d2", F.explode("ids").alias("nid"))
-    wq = Window.partitionBy("qgid").orderBy("d2", "nid")
-    top = cand.withColumn("__rn", F.row_number().over(wq)).filter(F.col("__rn") <= kk)
+    qv = cut_lineage(qg.groupBy("vec").agg(F.min("qid").alias("qgid")).withColumn("r2", F.lit(float("inf"))))
+    n = tg.count()
+    cells = min(max_cells, max(1, n // cell_rows if cell_rows else 2 * math.isqrt(n)))
+    # the sample is bounded by the number of cells: at most 4 * max_cells vectors
+    seeded = F.md5(F.concat(F.lit(str(SEED)), F.col("gid").cast("string")))
+    sample = [r["vec"] for r in tg.orderBy(seeded, "gid").limit(4 * cells).select("vec").collect()]
+    if not sample:
+        kinds = (queries.schema[id_col].dataType.simpleString(), train.schema[id_col].dataType.simpleString())
+        return queries.sparkSession.createDataFrame([], f"query_id {kinds[0]}, neighbour_id {kinds[1]}, sq_distance DOUBLE, rank INT")
+    rings = Rings(spread_pivots(_matrix(pd.Series(sample)), cells))
+    tg = cut_lineage(_placed(tg, rings, "gid"))
+    quantiles = [i / max_rings for i in range(1, max_rings)]
+    stats = tg.groupBy("cell").agg(F.count(F.lit(1)), F.min("radius"), F.max("radius"), F.percentile_approx("radius", quantiles, 1000))
+    rings.cut([tuple(r) for r in stats.collect()], train_block, max_rings)   # a row per cell
+    ring_of = F.pandas_udf(lambda c, r: pd.Series(rings.ring(c, r)), "int")
+    tg = tg.withColumn("ring", ring_of("cell", "radius"))
+    rings.fill({r[0]: r[1] for r in tg.groupBy("ring").count().collect()}, train_block)   # a row per ring
+    block_of, parts = rings.block, rings.parts
+    tg = tg.withColumn("block", F.pandas_udf(lambda g: pd.Series(block_of[g.to_numpy()]), "int")("ring"))
+    part_of = F.pandas_udf(lambda b, h: pd.Series(h.to_numpy() % parts[b.to_numpy()]), "int")
+    tg = tg.withColumn("part", part_of("block", F.pmod(F.xxhash64("gid"), F.lit(1 << 30))))
+    tg = cut_lineage(tg.select("gid", "ids", "vec", "ring", "block", "part"))
+
+    # pass A: the ring a query falls into → radius holding kk points
+    a = _compared(qv, tg, rings, kk, False, query_block, report)
+    bound = a.groupBy("qgid").agg(F.max("__rn").alias("__n"), F.max("d2").alias("r2"))
+    bound = bound.select("qgid", F.when(F.col("__n") >= kk, F.col("r2")).otherwise(F.lit(float("inf"))).alias("r2"))
+    # pass B: every ring that can hold a point within the radius
+    qb = cut_lineage(qv.drop("r2").join(bound, "qgid", "left").withColumn("r2", F.coalesce("r2", F.lit(float("inf")))))
+    top = _compared(qb, tg, rings, kk, True, query_block, report)
+    if report is not None:
+        report["train"], report["queries"] = n, qv.count()
 
     # back to query ids (a vector shared by many queries is joined once per query)
     res = qg.join(qv.select("vec", "qgid"), "vec").drop("vec").join(top, "qgid")

@@ -68,7 +68,6 @@ def test_smote_chooses_the_smaller_class_and_refuses_what_it_cannot_do(spark):
 
 def test_binary_vectors_do_not_fill_one_task(spark):
     """Few distinct pivot distances: cells hold hundreds of rows, and are still exact."""
-    import labelloop.operators.neighbours as N
     rng = np.random.default_rng(1)
     pts = np.unique(rng.integers(0, 2, size=(400, 12)), axis=0).astype(float)
     df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id long, vec array<double>")
@@ -79,12 +78,60 @@ def test_binary_vectors_do_not_fill_one_task(spark):
     for q in range(len(pts)):
         d = ((pts - pts[q]) ** 2).sum(axis=1)
         assert [n for _, n in sorted(by_q[q])] == sorted(range(len(pts)), key=lambda i: (d[i], i))[:4]
-    queries = df.select(F.col("id").alias("qgid"), F.lit(0).alias("jc"))
-    train = df.select(F.col("id").alias("gid"), F.lit(0).alias("tcell"))
-    joined = N._cell_join(queries, train, 64, 16, 32)
-    assert joined.count() == len(pts) ** 2
-    largest = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert largest < len(pts) ** 2 / 4
+def test_one_cell_is_many_tasks(spark):
+    """All points at one distance from the pivot: the ring is dealt to parts of a bounded size, and so are its queries."""
+    import labelloop.operators.neighbours as N
+    rng = np.random.default_rng(2)
+    pts = rng.normal(size=(900, 6))
+    pts = np.concatenate([np.zeros((1, 6)), pts / np.linalg.norm(pts, axis=1, keepdims=True)])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id long, vec array<double>")
+    rings = N.Rings(pts[:1])
+    rings.cut([(0, 901, 0.0, 1.0, [1.0] * 63)], 100, 64)
+    rings.fill({0: 1, 1: 900}, 100)
+    assert rings.parts.max() == 9
+    got = nearest_neighbours(df, df, 3, cell_rows=2000, query_block=50, train_block=100).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r["query_id"], []).append((r["rank"], r["neighbour_id"]))
+    for q in range(len(pts)):
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        assert [n for _, n in sorted(by_q[q])] == sorted(range(len(pts)), key=lambda i: (d[i], i))[:3]
+
+
+def _one_hot_rows(n, seed=4):
+    """Rows like the observations': a station, three wind directions and some numbers, each divided by its deviation."""
+    rng = np.random.default_rng(seed)
+    cats = [rng.integers(0, m, n) for m in (49, 16, 16, 16)]
+    hot = np.concatenate([np.eye(c.max() + 1)[c] for c in cats], axis=1)
+    x = np.concatenate([hot, rng.normal(size=(n, 12)) + rng.normal(size=(49, 12))[cats[0]]], axis=1)
+    return x / x.std(0)
+
+
+def test_few_pairs_are_compared_on_clustered_rows(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 10)) * 12
+    pts = centres[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 10))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id long, vec array<double>")
+    report = {}
+    got = nearest_neighbours(df, df, 5, exclude_self=True, report=report).collect()
+    assert report["compared"] < 0.1 * report["train"] * report["queries"], report
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r["query_id"], []).append((r["rank"], r["neighbour_id"]))
+    for q in range(0, 6000, 97):
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        assert [n for _, n in sorted(by_q[q])] == [i for i in sorted(range(6000), key=lambda i: (d[i], i)) if i != q][:5]
+
+
+def test_neighbours_of_one_hot_rows(spark):
+    x = _one_hot_rows(3000)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, vec array<double>")
+    report = {}
+    got = {(r["query_id"], r["rank"]): r["sq_distance"] for r in nearest_neighbours(df, df, 5, exclude_self=True, report=report).collect()}
+    for q in range(0, 3000, 61):
+        d = np.sort(((x - x[q]) ** 2).sum(axis=1))[1:6]
+        assert np.allclose([got[(q, r)] for r in range(1, 6)], d, rtol=1e-9)
+    assert len(got) == 15_000
 
 
 def test_approximate_neighbours_find_most(spark, points):
