@@ -10,14 +10,15 @@ rows that are scored for evaluation.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
@@ -26,17 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloop.functions.values import DEFAULT_THRESHOLD
+from labelloop.operators.boosting import BoostedTreesModel, fit_many, margins
 from labelloop.operators.features import CYCLIC_PERIODS, fit_modes, preprocessing_pipeline
 from labelloop.operators.metrics import evaluate
 from labelloop.operators.neighbours import smote
 from labelloop.session import cut_lineage
 
 # ---- fixed values ----------------------------------------------------------
-# Boosted-tree settings of the reference's production model, mapped onto
-# GBTClassifier (L1/L2 penalties have no counterpart; column sampling is per
-# node in Spark, per tree in the reference).
-BOOSTED_DEFAULTS = {"maxIter": 796, "maxDepth": 10, "stepSize": 0.118, "subsamplingRate": 0.77,
-                    "featureSubsetStrategy": "0.7", "minInstancesPerNode": 6}
 FOREST_DEFAULTS = {"numTrees": 300}
 TREE_DEFAULTS = {"maxDepth": 10, "minInstancesPerNode": 10}   # ≈ min_samples_split = 20
 LOGISTIC_DEFAULTS = {"maxIter": 1000}
@@ -47,11 +44,8 @@ MODEL_KINDS = ("lr", "dt", "rf", "gbt", "svc")
 
 def make_classifier(kind: str, label: str = "label", features: str = "features", weight: str | None = None,
                     seed: int = 42, **params):
-    """One Spark ML classifier by short name."""
+    """One Spark ML classifier by short name (boosted trees are :mod:`labelloop.operators.boosting`)."""
     common = {"labelCol": label, "featuresCol": features}
-    if kind == "gbt":
-        p = {**BOOSTED_DEFAULTS, **params}
-        return GBTClassifier(**common, seed=seed, **p)
     if kind == "rf":
         p = {**FOREST_DEFAULTS, **params}
         w = {"weightCol": weight} if weight else {}
@@ -138,10 +132,20 @@ def prepare(train: DataFrame, spec: ModelSpec) -> Prepared:
 
 def fit_prepared(prepared: Prepared, spec: ModelSpec) -> PipelineModel:
     """Fit the classifier of ``spec`` on prepared rows; the model includes the preprocessing."""
+    if spec.kind == "gbt":
+        trees = fit_many(boosting_rows(prepared, spec, 0), [(0, spec.params)])[0]
+        return PipelineModel(stages=[*prepared.stages, BoostedTreesModel.of(trees, prepared.vector)])
     clf = make_classifier(spec.kind, label=spec.label, features=prepared.vector, weight=spec.weight, **spec.params)
     return PipelineModel(stages=[*prepared.stages, clf.fit(prepared.rows)])
 
 
+def boosting_rows(prepared: Prepared, spec: ModelSpec, group: int) -> DataFrame:
+    """Prepared rows as (g, y, w, x)."""
+    weight = F.col(spec.weight).cast("double") if spec.weight else F.lit(1.0)
+    return prepared.rows.select(F.lit(group).alias("g"), F.col(spec.label).cast("double").alias("y"), weight.alias("w"),
+                                vector_to_array(prepared.vector).alias("x"))
+
+
 def fit_model(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     """Fit preprocessing (+ scaler) on ``train``, optionally oversample the
     assembled training vectors, fit the classifier; return one PipelineModel."""
@@ -183,6 +187,7 @@ class Fold:
     name: object
     train: Prepared
     held: DataFrame
+    kind: str = "int"     # type of the name
 
 
 def prepare_folds(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4) -> list[Fold]:
@@ -193,7 +198,8 @@ def prepare_folds(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parall
     def one(f):
         train = prepare(df.filter(F.col(fold_col) != f), spec)
         held = PipelineModel(stages=train.stages).transform(df.filter(F.col(fold_col) == f))
-        return Fold(f, train, cut_lineage(held.select(train.vector, F.col(spec.label).cast("int").alias("y"))))
+        return Fold(f, train, cut_lineage(held.select(train.vector, F.col(spec.label).cast("int").alias("y"))),
+                    df.schema[fold_col].dataType.simpleString())
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
         return list(pool.map(one, names))
@@ -202,6 +208,9 @@ def prepare_folds(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parall
 def evaluate_folds(folds: Sequence[Fold], spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4,
                    threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """H10 on prepared folds: one classifier per fold; out-of-fold scores evaluated per fold (D13 + D14)."""
+    if spec.kind == "gbt":
+        return evaluate_settings(folds, spec, [spec.params], fold_col, threshold).drop("setting")
+
     def one(fold: Fold) -> DataFrame:
         clf = make_classifier(spec.kind, label=spec.label, features=fold.train.vector, weight=spec.weight, **spec.params)
         held = score(clf.fit(fold.train.rows), fold.held, threshold)
@@ -212,6 +221,32 @@ def evaluate_folds(folds: Sequence[Fold], spec: ModelSpec, fold_col: str = "fold
     return evaluate(reduce(DataFrame.unionByName, parts), y="y", pred="predicted", score="score", groups=[fold_col])
 
 
+def evaluate_settings(folds: Sequence[Fold], spec: ModelSpec, params: Sequence[dict], fold_col: str = "fold",
+                      threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """H10 / H20 for boosted trees: (setting, fold, metrics); every setting on every fold is fitted in one pass,
+    and all out-of-fold scores are evaluated in another."""
+    rows = reduce(DataFrame.unionByName, [boosting_rows(f.train, spec, i) for i, f in enumerate(folds)])
+    found = fit_many(rows, [(i, p) for p in params for i in range(len(folds))])
+    trees = {(s, i): found[s * len(folds) + i] for s in range(len(params)) for i in range(len(folds))}
+    held = reduce(DataFrame.unionByName, [
+        f.held.select(F.lit(i).alias("g"), F.col("y").cast("int").alias("y"), vector_to_array(f.train.vector).alias("x")) for i, f in enumerate(folds)])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for g, part in batch.groupby("g"):
+                x = np.stack(part["x"].to_numpy())
+                for s in range(len(params)):
+                    p = 1 / (1 + np.exp(-margins(trees[s, int(g)], x)))
+                    yield pd.DataFrame({"setting": s, "g": g, "y": part["y"], "predicted": (p >= threshold).astype(int), "score": p})
+
+    names = rows.sparkSession.createDataFrame([(i, f.name) for i, f in enumerate(folds)], ["g", fold_col]).withColumn("g", F.col("g").cast("int"))
+    scored = held.mapInPandas(run, "setting int, g int, y int, predicted int, score double")
+    per = evaluate(cut_lineage(scored), y="y", pred="predicted", score="score", groups=["setting", "g"])
+    kind = folds[0].kind if folds else "int"
+    return per.join(F.broadcast(names), "g").drop("g").withColumn(fold_col, F.col(fold_col).cast(kind)).select(
+        "setting", fold_col, *[c for c in per.columns if c not in ("setting", "g")])   # a row per fold
+
+
 def cross_validate(df: DataFrame, spec: ModelSpec, fold_col: str = "fold", parallelism: int = 4,
                    threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """One fit per fold on the other folds; out-of-fold scores unioned and

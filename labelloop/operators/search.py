@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloop.operators.metrics import evaluate, fold_means
-from labelloop.operators.models import ModelSpec, evaluate_folds, fit_prepared, prepare, prepare_folds, save_model, score
+from labelloop.operators.models import ModelSpec, evaluate_folds, evaluate_settings, fit_prepared, prepare, prepare_folds, save_model, score
 from labelloop.operators.trials import MIN_DELTA, PATIENCE, best_trial, patience_stop
 from labelloop.session import cut_lineage
 
@@ -52,14 +52,6 @@ N_TRIALS = 30
 # ---------------------------------------------------------------------------
 
 
-def to_gbt_params(p: dict) -> dict:
-    """Reference parameter names → GBTClassifier parameters."""
-    return {"maxIter": int(p["n_estimators"]), "maxDepth": int(p["max_depth"]),
-            "stepSize": float(p["learning_rate"]), "subsamplingRate": float(p["subsample"]),
-            "featureSubsetStrategy": str(round(float(p["colsample_bytree"]), 4)),
-            "minInstancesPerNode": int(p["min_child_weight"])}
-
-
 def trial_table(spark: SparkSession, n_trials: int = N_TRIALS, space: dict = SEARCH_SPACE,
                 known_best: dict | None = KNOWN_BEST, seed: int = 42) -> DataFrame:
     """One row per trial n with its parameters (trial 0 = known best if given)."""
@@ -83,11 +75,11 @@ def trial_table(spark: SparkSession, n_trials: int = N_TRIALS, space: dict = SEA
 def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: str = "gbt_recall",
                objective: str = "recall", wave: int = 4, fold_col: str = "fold",
                min_delta: float = MIN_DELTA, patience: int = PATIENCE, budget_s: float | None = None,
-               to_params=to_gbt_params, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+               to_params=dict, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Evaluate trials wave by wave; stop when E7 says so, or before a wave once
-    ``budget_s`` seconds are over.  The folds are prepared once for all trials; a
-    wave runs at most ``parallelism`` fits at a time.
-    Returns (trials with objective values, best trial row)."""
+    ``budget_s`` seconds are over.  The folds are prepared once for all trials; boosted
+    trees of a wave (every trial on every fold) grow in one pass, other classifiers are
+    fitted at most ``parallelism`` at a time.  Returns (trials with objective values, best trial row)."""
     spark = data.sparkSession
     folds, began = prepare_folds(data, spec, fold_col, parallelism), time.monotonic()
     params = [r.asDict() for r in trials.orderBy("n").collect()]   # the trial plan: tens of rows
@@ -100,12 +92,21 @@ def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: st
         value = m.agg(F.avg(objective)).first()[0]
         return study, n, None if value is None else float(value), p
 
+    def evaluate_wave(trials: list[dict]) -> list[tuple]:
+        settings = [{k: v for k, v in t.items() if k != "n"} for t in trials]
+        means = evaluate_settings(folds, spec, [to_params(p) for p in settings], fold_col).groupBy("setting").agg(F.avg(objective).alias("v"))
+        values = {r["setting"]: r["v"] for r in means.collect()}   # a row per trial of the wave
+        return [(study, int(t["n"]), values.get(i), p) for i, (t, p) in enumerate(zip(trials, settings, strict=True))]
+
     for start in range(0, len(params), wave):
         if done and budget_s is not None and time.monotonic() - began > budget_s:
             break
-        # the trials of one wave are independent: their CV jobs run concurrently
-        with ThreadPoolExecutor(max_workers=wave) as pool:
-            done += list(pool.map(evaluate_trial, params[start:start + wave]))
+        some = params[start:start + wave]
+        if spec.kind == "gbt":
+            done += evaluate_wave(some)
+        else:   # the trials of one wave are independent: their CV jobs run concurrently
+            with ThreadPoolExecutor(max_workers=wave) as pool:
+                done += list(pool.map(evaluate_trial, some))
         table = spark.createDataFrame([(s, n, v) for s, n, v, _ in done], "study STRING, n BIGINT, value DOUBLE")
         stop = patience_stop(table, min_delta=min_delta, patience=patience).first()["stopped_at"]
         if stop is not None:  # later trials of the wave do not count: the result must not depend on its size
@@ -118,7 +119,7 @@ def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: st
     return table, best
 
 
-def retrain_with_best(data: DataFrame, spec: ModelSpec, best: DataFrame, to_params=to_gbt_params,
+def retrain_with_best(data: DataFrame, spec: ModelSpec, best: DataFrame, to_params=dict,
                       model_path: str | None = None, fold_col: str = "fold"):
     """With the best parameters, cross-validate over the folds of ``data``, fit on
     all rows, save (H24).  Returns the model and a one-row description of the run:

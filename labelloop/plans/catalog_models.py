@@ -36,10 +36,10 @@ from labelloop.sources.stations import lookup_dimension
 # All feature columns of the target schema; those without any value are left out by the fit.
 CATS = tuple(f.name for f in TARGET_SCHEMA.fields if isinstance(f.dataType, T.StringType) and f.name != "RainTomorrow")
 NUMS = tuple(f.name for f in TARGET_SCHEMA.fields if isinstance(f.dataType, T.DoubleType))
-SPEC = M.ModelSpec(categorical=CATS, numeric=NUMS, kind="gbt", params={"maxIter": 5, "maxDepth": 3},
+SPEC = M.ModelSpec(categorical=CATS, numeric=NUMS, kind="gbt", params={"n_estimators": 5, "max_depth": 3},
                    id_col="event_id")
 SMOTED = replace(SPEC, oversample=True)     # the production pipeline
-TINY = {"gbt": {"maxIter": 5, "maxDepth": 3}, "rf": {"numTrees": 5, "maxDepth": 4},
+TINY = {"gbt": {"n_estimators": 5, "max_depth": 3}, "rf": {"numTrees": 5, "maxDepth": 4},
         "dt": {"maxDepth": 4}, "lr": {"maxIter": 100}, "svc": {"maxIter": 10}}
 # search space and known best scaled to fixture size (the cluster's are in the search module)
 FIXTURE_SPACE = {"n_estimators": (2, 4, "int"), "max_depth": (2, 3, "int"), "learning_rate": (0.05, 0.3, "log"),

@@ -102,6 +102,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"labelloop-{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete what was written under a path of :func:`scratch_path`; other paths are refused."""
+    if not os.path.basename(path).startswith("labelloop-"):
+        raise ValueError(f"{path} is not a scratch path")
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable lineage cut (survives executor loss), written to the checkpoint dir."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -192,7 +192,7 @@ def test_minimal_payload_is_scorable(spark):
                                         "WindDir9am string, RainToday string, RainTomorrow string")
     data = prepare_dataset(train.withColumn("row_id", F.monotonically_increasing_id()))
     spec = M.ModelSpec(categorical=["Location", "WindDir9am", "RainToday"], numeric=["Rainfall", "WindSpeed9am"],
-                       kind="gbt", params={"maxIter": 3, "maxDepth": 2})
+                       kind="gbt", params={"n_estimators": 3, "max_depth": 2})
     model = M.fit_model(data, spec)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("Date", "Location", "WindDir9am", "RainToday")]
                           + [T.StructField(c, T.DoubleType()) for c in ("Rainfall", "WindSpeed9am")])
