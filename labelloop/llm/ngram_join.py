@@ -6,22 +6,25 @@ similarity.  A run starts by splitting all sets on one coordinate.  A bucket of
 few sets is compared pair by pair; a larger one is split again on coordinates
 drawn by the hash of its path (five quarters of a coordinate on average, so a
 pair at the threshold keeps one path in expectation), and its sets are compared
-with the bucket's leader.  Runs with other first coordinates are repeated until
+with the bucket's leader, the first by one order of all sets, so that the buckets
+of a large group share few leaders.  Runs with other first coordinates are repeated until
 a pair at the threshold is missed with less than ``1 - recall``.  Whatever
 meets is checked on its min-hashes and then on the exact shingle sets.
 
 Equal texts are one set from the start.  Large groups of near copies never
-produce all pairs: their buckets stay large, give one pair per set with each of
-many leaders, and connect through them.  Sets of a bucket that is still large at
-the last level and that its leaders did not connect are compared with all sets
-of the bucket outside their class.
-
-Classes are the connected components of the verified links.  The links of
-``similarity_classes`` are those that made the classes: inside groups larger than
-``small`` a document's leaders, not the whole group.  ``similarity_links`` counts
-all of them: every pair of different texts of a class is compared exactly, tile
-by tile (a block of sets with a block of sets), and a tile returns one count per
-set, never pairs.
+produce all pairs as rows: their buckets stay large, give one pair per set with
+each of a few leaders, and connect through them.  Where a bucket is still large at
+the last level, its sets that the leaders did not connect are compared with all
+others by their min-hashes, block by block, and a block returns at most one pair
+for each two groups that it connects.
+
+What may be similar by its min-hashes is connected to families, and inside a
+family every pair of different texts is compared exactly, once: a family is dealt
+to blocks of sets, and one task compares a block with a block (a tile).  A tile
+returns how many documents each of its sets is linked with, and a spanning forest
+of the links, never all pairs.  Classes are the connected components of these
+links; ``n_links`` counts all documents that a document is linked with or equals.
+The comparisons (not the rows) grow with the square of a family.
 
 Defined cases: a text of fewer than five words is one shingle; texts without
 words join only equal texts; null texts are empty texts; a null id is carried
@@ -142,49 +145,84 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def promising(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    """Distinct (a, b), a < b, whose min-hashes agree in a share of ``least``."""
+    """Distinct (a, b) whose min-hashes agree in a share of ``least``."""
     narrow = sigs.select("m", "narrow")
-    return (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return (pairs.distinct()
             .join(narrow.select(F.col("m").alias("a"), F.col("narrow").alias("na")), "a")
             .join(narrow.select(F.col("m").alias("b"), F.col("narrow").alias("nb")), "b")
             .where(_agreement("na", "nb") >= F.lit(least)).select("a", "b"))
 
 
-def verified(pairs: DataFrame, rows: DataFrame, threshold: float, block: int = 256) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of ``threshold``.
+def apart(deep: DataFrame, sigs: DataFrame, families: DataFrame, least: float, block: int = 512) -> DataFrame:
+    """(a, b): pairs that connect sets of different families in the buckets ``deep`` (path, m).
 
-    A set is compared with up to ``block`` partners in a task, so its text travels
-    once for each block and not for each pair.
+    The sets outside a bucket's largest family are compared with all sets of the
+    bucket, a block with a block in a task, by the share of equal min-hashes.
     """
-    pairs = stored(pairs, "join-pairs")
-    blocks = (pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / block).alias("n")), "a")
-              .select("a", "b", F.pmod(F.xxhash64("b"), F.col("n")).alias("part")))
-    wanted = stored(blocks.select("a", "part", F.col("b").alias("m")).unionByName(
-        blocks.select("a", "part", F.col("a").alias("m")).distinct()), "join-blocks")
-    needed = wanted.select("m").distinct()
-    # What is needed grows with the table, so it is never broadcast: the texts are shuffled once, at every size.
-    texts = rows.join(needed.hint("merge"), "m", "left_semi").groupBy("m").agg(F.first("text").alias("text"))
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        lead, keys, texts = group["a"].iloc[0], group["m"].tolist(), group["text"].tolist()
-        sets = []
-        for _, part in text_groups(texts, 1 << 20):
-            found, counts = shingles(part)
-            sets += [np.unique(x) for x in np.split(found, np.cumsum(counts)[:-1])]
-        own = sets[keys.index(lead)]
-        good = [k for k, s in zip(keys, sets, strict=True) if k != lead and
-                (c := len(np.intersect1d(own, s, assume_unique=True))) >= threshold * (len(own) + len(s) - c) - 1e-9]
-        return pd.DataFrame({"a": [lead] * len(good), "b": good}, columns=["a", "b"])
-
-    return wanted.join(texts, "m").groupBy("a", "part").applyInPandas(compare, "a binary, b binary")
+    placed = stored(deep.join(families, "m", "left").select("path", "m", F.coalesce("label", "m").alias("label")), "deep")
+    per = placed.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per.groupBy("path").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")).where("n > main.n").select(
+        "path", F.col("main.label").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("odd"),
+        F.ceil(F.col("n") / block).cast("int").alias("every"))
+    found = placed.join(stored(sizes, "deep-sizes"), "path").join(sigs.select("m", "narrow"), "m")
+    part = lambda c: F.pmod(F.xxhash64("m", F.lit("deep")), F.col(c)).cast("int")
+    all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = ["path", "m", "label", "narrow"]
+    tiles = found.where("label != main").select(*own, F.lit(True).alias("odd_one"), part("odd").alias("i"), all_of("every").alias("j")).unionByName(
+        found.select(*own, F.lit(False).alias("odd_one"), part("every").alias("j"), all_of("odd").alias("i")))
+
+    def compare(tile: pd.DataFrame) -> pd.DataFrame:
+        x, y = tile[tile["odd_one"]], tile[~tile["odd_one"]]
+        out = []
+        if len(x) and len(y):
+            one, two = (np.frombuffer(b"".join(t["narrow"]), np.uint8).reshape(-1, HASHES) for t in (x, y))
+            names, label = np.unique(np.concatenate([x["label"].to_numpy(), y["label"].to_numpy()]), return_inverse=True)
+            left, right = label[:len(x)], label[len(x):]
+            row, col = [], []
+            for first in range(0, len(x), 64):
+                alike = (one[first:first + 64, None, :] == two[None]).mean(2) >= least
+                i, j = np.nonzero(alike & (left[first:first + 64, None] != right[None]))
+                row.append(i + first)
+                col.append(j)
+            row, col = np.concatenate(row), np.concatenate(col)
+            _, at = np.unique(np.minimum(left[row], right[col]) * len(names) + np.maximum(left[row], right[col]), return_index=True)
+            keys_x, keys_y = x["m"].to_numpy(), y["m"].to_numpy()
+            out = [(keys_x[row[k]], keys_y[col[k]]) for k in joining([(int(left[row[k]]), int(right[col[k]])) for k in at], at)]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return tiles.groupBy("path", "i", "j").applyInPandas(compare, "a binary, b binary")
+
+
+def joining(edges: list[tuple[int, int]], names) -> list:
+    """The names of those edges that join what was apart, in order."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.get(x, x) != x:
+            up[x] = up.get(up[x], up[x])
+            x = up[x]
+        return x
+
+    kept = []
+    for (a, b), name in zip(edges, names, strict=True):
+        a, b = top(a), top(b)
+        if a != b:
+            up[a] = b
+            kept.append(name)
+    return kept
 
 
 def components(links: DataFrame) -> DataFrame:
     """(m, label): the smallest member of each connected component, for every linked set.
 
-    Each step takes the smallest label around and then the label of the label, so
+    First the links of each ``b`` are drawn to the smallest ``a`` that it has: (b, smallest) and
+    (a, smallest) connect the same, and the many sets that share leaders leave one link each.
+    Then each step takes the smallest label around and then the label of the label, so
     the number of steps grows with the logarithm of a component's extent.
     """
+    drawn = stored(links.withColumn("low", F.min("a").over(Window.partitionBy("b"))), "links")
+    links = drawn.select(F.col("low").alias("a"), "b").unionByName(drawn.where("a != low").select(F.col("low").alias("a"), F.col("a").alias("b")))
+    links = links.distinct()
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = both.groupBy(F.col("a").alias("m")).agg(F.least(F.col("m"), F.min("b")).alias("label"))
     labels = stored(labels, "labels")
@@ -218,9 +256,10 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     pairs, deep = None, None
     for level in range(1, levels + 1):
         counts = nodes.groupBy("path").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("path", "m"), F.col("m").alias("lead"))).alias("first")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("m"), F.col("m").alias("lead"))).alias("first")
         ).where("n > 1").select("path", "n", F.col("first.lead").alias("lead"))
-        found = stored(nodes.join(counts, "path"), "buckets")
+        # Stored, both sides of the join are shuffled for it alone, so that a hot path can be split.
+        found = stored(nodes.join(stored(counts, "bucket-sizes"), "path"), "buckets")
         few, many = found.where(F.col("n") <= small), found.where(F.col("n") > small)
         got = few.select("path", F.col("m").alias("a")).join(few.select("path", F.col("m").alias("b")), "path").where("a < b") \
             .select("a", "b").unionByName(many.where("m != lead").select(F.col("lead").alias("a"), F.col("m").alias("b")))
@@ -230,30 +269,26 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
         if level < levels:
             nodes = stored(longer_paths(deep, sigs, level), "paths")
             if nodes.isEmpty():
+                deep = deep.limit(0)
                 break
-    links = stored(verified(promising(pairs, sigs, threshold - slack), rows, threshold), "verified")
-    labels = components(links)
-    # Buckets that stayed large: what is not in the class of most is compared with the other classes.
-    placed = deep.join(labels, "m", "left").select("path", "m", F.coalesce("label", "m").alias("label"))
-    main = placed.groupBy("path", "label").count().groupBy("path").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    odd = placed.join(main, "path").where("label != main").select("path", F.col("m").alias("a"), F.col("label").alias("la"))
-    across = odd.join(placed.select("path", F.col("m").alias("b"), F.col("label").alias("lb")), "path").where("la != lb")
-    across = promising(across.select("a", "b"), sigs, threshold - slack).join(
-        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    across = stored(across, "across")
-    if not across.isEmpty():
-        links = stored(links.unionByName(verified(across, rows, threshold)).distinct(), "verified")
-        labels = components(links)
-    copies = members.groupBy("m").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"))
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = (ends.join(copies.select(F.col("m").alias("b"), "copies"), "b").groupBy(F.col("a").alias("m"))
-              .agg(F.sum("copies").alias("others")))
+    near = stored(promising(pairs, sigs, threshold - slack), "near")
+    families = components(near)
+    more = stored(apart(deep, sigs, families, threshold - slack), "apart")
+    if not more.isEmpty():
+        families = components(near.unionByName(more))
+    copies = stored(members.groupBy("m").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")), "copies")
+    needed = families.select("m")
+    texts = stored(rows.join(needed.hint("merge"), "m", "left_semi").groupBy("m").agg(F.first("text").alias("text")), "texts")
+    compared = stored(family_links(families.join(copies, "m").select("m", "label", "copies"), texts, threshold), "compared")
+    labels = components(compared.where("b is not null").select(F.col("m").alias("a"), "b"))
+    linked = compared.groupBy("m").agg(F.sum("others").alias("others"))
     classes = copies.join(labels, "m", "left").join(linked, "m", "left").select(
         "m", F.coalesce("label", "m").alias("label"), "least_id",
         (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"))
     classes = stored(classes, "classes")
-    heads = classes.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    return members.join(classes.join(heads, "label"), "m").select("doc_id", "m", "label", "class_id", "n_links")
+    heads = stored(classes.groupBy("label").agg(F.min("least_id").alias("class_id")), "class-heads")
+    named = stored(classes.join(heads, "label"), "classes")
+    return members.join(named, "m").select("doc_id", "m", "label", "class_id", "n_links")
 
 
 def shared_shingles(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -279,63 +314,77 @@ def shared_shingles(left: list[np.ndarray], right: list[np.ndarray], columns: in
     return out
 
 
-def links_in_classes(classes: DataFrame, rows: DataFrame, threshold: float, block: int = 256, block_bytes: int = 16 << 20) -> DataFrame:
-    """(m, others): how many documents of other texts each set is linked with, from (m, label, copies, size) and (m, text).
+def forest(link: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric boolean matrix."""
+    left, out = np.ones(len(link), bool), []
+    for start in range(len(link)):
+        if not left[start]:
+            continue
+        left[start], ahead = False, [start]
+        while ahead:
+            at = ahead.pop()
+            new = np.flatnonzero(link[at] & left)
+            left[new] = False
+            out += [(at, int(k)) for k in new]
+            ahead += new.tolist()
+    return out
+
+
+def family_links(families: DataFrame, texts: DataFrame, threshold: float, block: int = 256, block_bytes: int = 16 << 20) -> DataFrame:
+    """(m, others, b) from (m, label, copies) and (m, text): rows without ``b`` say with how many documents of other texts
+    set ``m`` is linked in a tile; rows with ``b`` are links that span what a tile connects.
 
-    A class of k sets is dealt to blocks of about ``block`` sets or ``block_bytes`` of
-    text, and each pair of blocks is one task; classes of one block share tasks.
+    A family of k sets is dealt to blocks of about ``block`` sets or ``block_bytes`` of
+    text, and each pair of blocks is one task; families of one block share tasks.
     """
-    of = classes.groupBy("label").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("bytes")).where("k > 1").select(
-        "label", "k", F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("n"))
-    of = stored(of, "class-sizes")
-    alone = of.where("n = 1").agg(F.sum("k")).first()[0] or 0
-    packs = max(1, math.ceil(alone / block))
+    families = stored(families.join(texts.select("m", F.octet_length("text").cast("long").alias("size")), "m"), "family-sets")
+    of = families.groupBy("label").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("bytes")).where("k > 1").select(
+        "label", "k", "bytes", F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("n"))
+    of = stored(of, "family-sizes")
+    alone = of.where("n = 1").agg(F.sum("k").alias("k"), F.sum("bytes").alias("bytes")).first()
+    packs = max(1, math.ceil((alone.k or 0) / block), math.ceil((alone.bytes or 0) / block_bytes))
     part = F.when(F.col("n") == 1, F.pmod(F.xxhash64("label", F.lit("pack")), F.lit(packs))).otherwise(F.xxhash64("label"))
-    dealt = classes.join(of, "label").select(
+    dealt = families.join(of, "label").select(
         "m", "label", "copies", part.alias("part"), F.pmod(F.xxhash64("m", F.lit("block")), F.col("n")).cast("int").alias("i"), "n")
     tiles = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
         "m", "label", "copies", "part", "i", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
     tiles = stored(tiles, "tiles")
-    needed = tiles.select("m").distinct()
-    texts = rows.join(needed.hint("merge"), "m", "left_semi").groupBy("m").agg(F.first("text").alias("text"))
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
-        lo, hi, out = int(group["lo"].iloc[0]), int(group["hi"].iloc[0]), []
-        for _, own in group.groupby("label"):
-            sets, at = [], own["i"].to_numpy()
-            for _, some in text_groups(own["text"].tolist(), 1 << 20):
-                found, counts = shingles(some)
-                sets += [np.unique(x) for x in np.split(found, np.cumsum(counts)[:-1])]
-            keys, copies, sizes = own["m"].to_numpy(), own["copies"].to_numpy(), np.array([len(s) for s in sets])
+        lo, hi, m, others, b = int(group["lo"].iloc[0]), int(group["hi"].iloc[0]), [], [], []
+        sets = []
+        for _, some in text_groups(group["text"].tolist(), 1 << 20):
+            found, counts = shingles(some)
+            sets += [np.unique(x) for x in np.split(found, np.cumsum(counts)[:-1])]
+        place = np.arange(len(group))
+        for _, rows in pd.Series(place).groupby(group["label"].to_numpy()):
+            own = rows.to_numpy()
+            at, keys, copies = (group[c].to_numpy()[own] for c in ("i", "m", "copies"))
+            size = np.array([len(sets[x]) for x in own])
             left, right = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
             if not len(left) or not len(right):
                 continue
-            c = shared_shingles([sets[x] for x in left], [sets[x] for x in right])
-            link = c >= threshold * (sizes[left][:, None] + sizes[right][None, :] - c) - 1e-9
+            c = shared_shingles([sets[own[x]] for x in left], [sets[own[x]] for x in right])
+            link = c >= threshold * (size[left][:, None] + size[right][None, :] - c) - 1e-9
             if lo == hi:
                 np.fill_diagonal(link, False)
+                whole = link
             else:
-                out.append(pd.DataFrame({"m": keys[right], "others": link.T @ copies[left]}))
-            out.append(pd.DataFrame({"m": keys[left], "others": link @ copies[right]}))
-        return pd.concat(out) if out else pd.DataFrame({"m": [], "others": []})
+                whole = np.zeros((len(left) + len(right),) * 2, bool)
+                whole[:len(left), len(left):], whole[len(left):, :len(left)] = link, link.T
+                m, others, b = [*m, *keys[right]], [*others, *(link.T @ copies[left])], [*b, *[None] * len(right)]
+            m, others, b = [*m, *keys[left]], [*others, *(link @ copies[right])], [*b, *[None] * len(left)]
+            names = keys[left] if lo == hi else np.concatenate([keys[left], keys[right]])
+            edges = forest(whole)
+            m, others, b = [*m, *(names[x] for x, _ in edges)], [*others, *[None] * len(edges)], [*b, *(names[y] for _, y in edges)]
+        return pd.DataFrame({"m": pd.Series(m, dtype=object), "others": pd.array(others, "Int64"), "b": pd.Series(b, dtype=object)})
 
-    counted = tiles.join(texts, "m").groupBy("part", "lo", "hi").applyInPandas(count, "m binary, others long")
-    return counted.groupBy("m").agg(F.sum("others").alias("others"))
+    return tiles.join(texts, "m").groupBy("part", "lo", "hi").applyInPandas(count, "m binary, others long, b binary")
 
 
-def similarity_links(df: DataFrame, threshold: float = 0.8, block: int = 256, id_col: str = "doc_id", text_col: str = "text",
-                     **options) -> DataFrame:
+def similarity_links(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(doc_id, class_id, n_links) of every row; ``n_links`` counts all documents of its class it is linked with or equals."""
-    found = similarity_classes(df, threshold, id_col=id_col, text_col=text_col, **options).select("doc_id", "m", "label", "class_id")
-    found = stored(found, "joined")
-    rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_key(F.col(text_col)).alias("m"))
-    sets = found.groupBy("m", "label").agg(F.count(F.lit(1)).alias("copies")).join(
-        rows.groupBy("m").agg(F.max(F.octet_length("text")).cast("long").alias("size")), "m")
-    sets = stored(sets, "class-sets")
-    others = links_in_classes(sets, rows, threshold, block)
-    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links")
-    counted = sets.select("m", "copies").join(others, "m", "left").select("m", n_links)
-    return found.join(counted, "m").select("doc_id", "class_id", "n_links")
+    return similarity_classes(df, threshold, id_col=id_col, text_col=text_col, **options).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(df: DataFrame, threshold: float = 0.8, **options) -> DataFrame:
