@@ -13,45 +13,11 @@ from labelloop.operators.cleaning import drop_unlabelled, labelled_rows
 from labelloop.operators.metrics import evaluate
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
-from labelloop.plans.fixtures import HISTORY_HORIZON as H, with_fixtures as W
+from labelloop.plans.fixtures import _I4_CTES, _LASTOBS, _feature_sql, _newl, HISTORY_HORIZON as H, with_fixtures as W
 from labelloop.plans.jobs import (advance_watermark, build_retrain_set, count_new_rows, new_labelled_rows,
                                   read_watermark, retrain_decision, write_watermark)
 from labelloop.session import cut_lineage, scratch_path
 
-_NULL_D = ("MinTemp", "MaxTemp", "Evaporation", "Sunshine", "WindGustSpeed", "WindSpeed3pm", "Humidity9am",
-           "Humidity3pm", "Pressure9am", "Pressure3pm", "Cloud9am", "Cloud3pm", "Temp9am", "Temp3pm")
-_NULL_S = ("WindGustDir", "WindDir3pm")
-
-
-def _feature_sql(src: str, label: str = "rain_tomorrow") -> str:
-    nulls = ", ".join([f"CAST(NULL AS DOUBLE) AS {c}" for c in _NULL_D] +
-                      [f"CAST(NULL AS VARCHAR) AS {c}" for c in _NULL_S])
-    return (f"SELECT obs_date AS Date, location AS Location, ROUND(TRY_CAST(rainfall_txt AS DOUBLE), 6) AS Rainfall, "
-            f"wind_dir AS WindDir9am, ROUND(wind_speed9am, 6) AS WindSpeed9am, "
-            f"CASE WHEN TRY_CAST(rainfall_txt AS DOUBLE) > 0 THEN 'Yes' ELSE 'No' END AS RainToday, "
-            f"{label} AS RainTomorrow, {nulls} FROM {src}")
-
-
-_LASTOBS = ("SELECT * FROM (SELECT o.*, ROW_NUMBER() OVER (PARTITION BY location, obs_date ORDER BY ts DESC, "
-            "event_id DESC) AS rn FROM obs o) t WHERE rn = 1")
-
-
-def _newl(cut: str, snapshot: str = "TRUE") -> str:
-    return (f"SELECT * FROM (SELECT s.*, ROW_NUMBER() OVER (PARTITION BY location, feature_date ORDER BY logged_at "
-            f"DESC, event_id DESC) AS rn FROM scored s WHERE truth_available AND y_true IS NOT NULL AND location IS NOT "
-            f"NULL AND feature_date IS NOT NULL AND feature_date > ({cut}) AND {snapshot}) t WHERE rn = 1")
-
-
-_I4_CTES = dict(
-    hist=_feature_sql(f"(SELECT * FROM obs WHERE obs_date <= DATE '{H}') h0"),
-    newl=_newl("SELECT max(Date) FROM hist"),
-    newk="SELECT * FROM newl n WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.Date = n.feature_date "
-         "AND h.Location = n.location)",
-    lastobs=_LASTOBS,
-    added=_feature_sql("(SELECT o.*, CASE WHEN n.y_true = 1 THEN 'Yes' ELSE 'No' END AS lab FROM lastobs o "
-                       "JOIN newk n ON o.location = n.location AND o.obs_date = n.feature_date) a", label="lab"),
-)
-
 
 def _retrain(spark, sf_dir):
     return build_retrain_set(fx.history(spark, sf_dir), fx.scored(spark, sf_dir), fx.observations(spark, sf_dir))

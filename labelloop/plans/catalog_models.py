@@ -26,8 +26,7 @@ from labelloop.operators.split import stratified_folds, stratified_split
 from labelloop.operators.trials import patience_stop
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import register
-from labelloop.plans.catalog_jobs import _I4_CTES, _newl
-from labelloop.plans.fixtures import with_fixtures as W
+from labelloop.plans.fixtures import _I4_CTES, with_fixtures as W
 from labelloop.plans.jobs import prepare_dataset, retrain_quality, tune_retrain_advance
 from labelloop.session import cut_lineage, scratch_path
 from labelloop.sources.schemas import TARGET_SCHEMA

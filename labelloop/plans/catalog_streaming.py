@@ -28,12 +28,17 @@ def _land_log(spark, sf_dir, files: int) -> tuple[str, object]:
 
 
 def j1(spark, sf_dir):
-    """Ingest the log in micro-batches, run again (consumes nothing), read last-wins."""
-    landing, schema = _land_log(spark, sf_dir, 6)
-    table, ckpt = scratch_path(spark, "j1-table"), scratch_path(spark, "j1-ckpt")
-    S.ingest_log(spark, landing, schema, table, ckpt, max_files_per_trigger=2)
-    S.ingest_log(spark, landing, schema, table, ckpt, max_files_per_trigger=2)   # second run: no new files
-    out = S.current_predictions(spark, table, schema)
+    """Ingest half of the log in micro-batches, run again (consumes nothing), then go on with the whole log
+    under a new checkpoint, so that the table meets rows anew and batch numbers again; read last-wins."""
+    landing = scratch_path(spark, "log-landing")
+    p = fx.pred_log(spark, sf_dir)
+    half = F.xxhash64("event_id") % 2 == 0
+    table = scratch_path(spark, "j1-table")
+    for part, ckpt in ((half, scratch_path(spark, "j1-ckpt")), (~half, scratch_path(spark, "j1-ckpt"))):
+        p.filter(part).repartitionByRange(3, "event_id").write.mode("append").parquet(landing)
+        for _ in range(2):   # the second run has no new files
+            S.ingest_log(spark, landing, p.schema, table, ckpt, max_files_per_trigger=2)
+    out = S.current_predictions(spark, table, p.schema)
     return out.withColumn("rain_probability", r6("rain_probability"))
 
 
@@ -41,7 +46,9 @@ def _join_in_two_runs(spark, sf_dir):
     """Two runs of several micro-batches.  Before the first run: the predictions of one half
     of the dates, and a preliminary truth (one millimetre too much) of every second date.
     Before the second: all other predictions, the truth that was late, and corrections of
-    the preliminary one."""
+    the preliminary one.  Where the final truth has no measurement, it takes back a match
+    of the preliminary one, or leaves a prediction open that never had any.  The state
+    lasts two days, so most of the second run is late for it."""
     preds = last_per_key(fx.pred_log(spark, sf_dir), ["location", "target_date"], ["logged_at", "event_id"])
     truth = cut_lineage(fx.truth(spark, sf_dir))
     pl, tl, out, ckpt = (scratch_path(spark, n) for n in ("j2-preds", "j2-truth", "j2-out", "j2-ckpt"))
@@ -51,7 +58,7 @@ def _join_in_two_runs(spark, sf_dir):
     def land(p, t):
         p.coalesce(2).write.mode("append").parquet(pl)
         t.coalesce(2).write.mode("append").parquet(tl)
-        S.delayed_label_join(spark, pl, preds.schema, tl, truth.schema, out, ckpt, max_files_per_trigger=1)
+        S.delayed_label_join(spark, pl, preds.schema, tl, truth.schema, out, ckpt, max_files_per_trigger=1, state_days=2)
 
     land(preds.filter(early), truth.filter(seen).withColumn("rainfall", F.coalesce(F.col("rainfall"), F.lit(0.0)) + 1))
     land(preds.filter(~early), truth)
@@ -63,7 +70,7 @@ def _join_in_two_runs(spark, sf_dir):
 SELECT p.event_id, p.location, p.target_date, ROUND(t.rainfall, 6) AS observed_rainfall_mm
 FROM (SELECT q.*, ROW_NUMBER() OVER (PARTITION BY location, target_date ORDER BY logged_at DESC, event_id DESC) AS rn
       FROM pred_log q) p JOIN truth t ON p.location = t.location AND p.target_date = t.obs_date
-WHERE p.rn = 1"""))
+WHERE p.rn = 1 AND t.rainfall IS NOT NULL"""))
 def j2(spark, sf_dir):
     _, matched = _join_in_two_runs(spark, sf_dir)
     return matched.select("event_id", "location", "target_date", r6("observed_rainfall_mm").alias("observed_rainfall_mm"))
@@ -72,7 +79,8 @@ def j2(spark, sf_dir):
 @register("j2_open_predictions", W("""
 SELECT p.event_id, p.location, p.target_date FROM (SELECT q.*, ROW_NUMBER() OVER (PARTITION BY location, target_date
   ORDER BY logged_at DESC, event_id DESC) AS rn FROM pred_log q) p
-WHERE p.rn = 1 AND NOT EXISTS (SELECT 1 FROM truth t WHERE t.location = p.location AND t.obs_date = p.target_date)"""))
+WHERE p.rn = 1 AND NOT EXISTS (SELECT 1 FROM truth t WHERE t.location = p.location AND t.obs_date = p.target_date
+  AND t.rainfall IS NOT NULL)"""))
 def j2_open(spark, sf_dir):
     """J2 read side: predictions whose truth has not arrived."""
     preds, matched = _join_in_two_runs(spark, sf_dir)

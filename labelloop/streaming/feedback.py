@@ -2,12 +2,15 @@
 
 * J1 — the prediction log is a file-stream source; every micro-batch is merged
   into a keyed table (:mod:`labelloop.streaming.upsert`), where the last row per
-  key stays; the checkpoint makes a second run consume nothing.
-* J2 — predictions and truth are two file streams, each merged into a keyed
-  table of its own.  Every micro-batch joins the keys it touched with the other
-  side and replaces their matched rows, so late truth is joined whenever it
-  comes, and a corrected truth or prediction replaces the earlier match.  There
-  is no time limit unless the caller sets one.
+  key stays; the checkpoint makes a second run consume nothing, and a table can be
+  continued with a new checkpoint.
+* J2 — predictions and truth are two file streams joined by Spark's stream-stream
+  join: each side's rows wait in the state store until the event-time watermark
+  passes their date by ``state_days``.  What comes later than that is joined from
+  the keyed tables of both sides (only the keys concerned), so truth is joined
+  whenever it comes, and a corrected truth or prediction replaces the earlier
+  match.  A truth without a measurement is no truth: its prediction is open, also
+  if an earlier truth had a value.
 * J3 — ``foreachBatch`` appends the batch and refreshes the live metrics (I3),
   one document per batch; an exact lower bound on log time keeps each
   refresh to the recent part of the log.
@@ -23,14 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloop.operators.dedup import last_per_key
-from labelloop.streaming.upsert import live, next_version, upsert
+from labelloop.streaming.upsert import live, upsert
 
 
-def _run(writer) -> None:
+def _run(writer):
     q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:  # surface task failures instead of a silent partial run
         raise RuntimeError(str(q.exception()))
+    return q
 
 
 def _stream(spark: SparkSession, landing: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
@@ -47,7 +51,7 @@ def ingest_log(spark: SparkSession, landing: str, schema: T.StructType, table: s
     present = [c for c in order if c in schema.fieldNames()]   # e.g. logs without an event id
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert(last_per_key(batch, list(keys), present), table, schema, keys, batch_id, present)
+        upsert(last_per_key(batch, list(keys), present), table, schema, keys, present)
 
     _run(_stream(spark, landing, schema, max_files_per_trigger).writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
@@ -68,6 +72,16 @@ def current_predictions(spark: SparkSession, table: str, schema: T.StructType) -
     return live(spark, table, schema)
 
 
+#: Which of two truths came later, after the caller's own order: the file's time and name, and the place in it.
+ARRIVED = (T.StructField("file_modification_time", T.TimestampType()), T.StructField("file_path", T.StringType()),
+           T.StructField("row_index", T.LongType()))
+
+
+def _with_order(schema: T.StructType, truth_schema: T.StructType, truth_order) -> T.StructType:
+    """``schema`` with ``truth_at``, by which truths are ordered."""
+    return T.StructType([*schema.fields, T.StructField("truth_at", T.StructType([*(truth_schema[c] for c in truth_order), *ARRIVED]))])
+
+
 def _matched_schema(pred_schema: T.StructType, truth_schema: T.StructType) -> T.StructType:
     return T.StructType([*pred_schema.fields, T.StructField("observed_rainfall_mm", truth_schema["rainfall"].dataType)])
 
@@ -75,45 +89,69 @@ def _matched_schema(pred_schema: T.StructType, truth_schema: T.StructType) -> T.
 def delayed_label_join(spark: SparkSession, preds_landing: str, pred_schema: T.StructType,
                        truth_landing: str, truth_schema: T.StructType, out: str, checkpoint: str,
                        max_files_per_trigger: int | None = None, pred_order=("logged_at", "event_id"),
-                       truth_order=(), max_delay_days: int | None = None) -> None:
+                       truth_order=(), state_days: int = 7) -> list[dict]:
     """Join predictions with truth on (location, date) as either of them arrives.
 
     ``out`` holds the keyed tables ``predictions``, ``truth`` and ``matched``.  Of
-    several truths for a key the one that arrived last counts (inside one batch:
-    the last by ``truth_order``).  With ``max_delay_days`` only dates at most that
-    far before the newest prediction are joined."""
+    several truths for a key the last counts: by ``truth_order`` and then by arrival
+    (file time, file, place in the file).  Returns the progress of the stream-stream
+    join, batch by batch (watermark, rows in its state)."""
     keys, truth_keys = ["location", "target_date"], ["location", "obs_date"]
     p_table, t_table, m_table = (os.path.join(out, n) for n in ("predictions", "truth", "matched"))
-    matched_schema = _matched_schema(pred_schema, truth_schema)
+    t_schema = _with_order(truth_schema, truth_schema, truth_order)
+    m_schema = _with_order(_matched_schema(pred_schema, truth_schema), truth_schema, truth_order)
     p_order = [c for c in pred_order if c in pred_schema.fieldNames()]
 
-    def match(touched: DataFrame) -> None:
-        p, t = live(spark, p_table, pred_schema), live(spark, t_table, truth_schema)
-        if max_delay_days is not None:
-            p = p.filter(F.col("target_date") >= F.date_sub(F.lit(p.agg(F.max("target_date")).first()[0]), max_delay_days))
-        t = t.select(F.col("location").alias("t_location"), F.col("obs_date").alias("t_date"),
-                     F.col("rainfall").alias("observed_rainfall_mm"))
-        new = (p.join(touched.distinct(), keys, "left_semi")
-               .join(t, (F.col("location") == F.col("t_location")) & (F.col("target_date") == F.col("t_date"))))
-        upsert(new, m_table, matched_schema, keys, next_version(spark, m_table, matched_schema))
+    def preds() -> DataFrame:
+        return _stream(spark, preds_landing, pred_schema, max_files_per_trigger)
+
+    def truth() -> DataFrame:
+        at = F.struct(*truth_order, *[F.col(f"_metadata.{f.name}").cast(f.dataType).alias(f.name) for f in ARRIVED])
+        return _stream(spark, truth_landing, truth_schema, max_files_per_trigger).select("*", at.alias("truth_at"))
+
+    def store(pairs: DataFrame) -> None:
+        """Keep the pair of the last prediction and the last truth of each key."""
+        order = [*p_order, "truth_at"]
+        upsert(last_per_key(pairs.select(*m_schema.fieldNames()), keys, order), m_table, m_schema, keys, order)
+
+    # On-time rows: both sides wait in the join's state until the watermark passes their date.
+    day = lambda c: F.col(c).cast("timestamp")
+    left = preds().withColumn("p_day", day("target_date")).withWatermark("p_day", f"{state_days} days")
+    right = truth().select(F.col("location").alias("t_location"), day("obs_date").alias("t_day"),
+                           F.col("rainfall").alias("observed_rainfall_mm"), "truth_at").withWatermark("t_day", f"{state_days} days")
+    pairs = left.join(right, (F.col("location") == F.col("t_location")) & (F.col("p_day") == F.col("t_day")))
+    joined = _run(pairs.writeStream.foreachBatch(lambda batch, _: store(batch))
+                  .option("checkpointLocation", os.path.join(checkpoint, "join")))
+
+    def repair(touched: DataFrame) -> None:
+        """Join the late ones of the ``touched`` keys from the tables: dates that the watermark may have passed by now."""
+        newest = [live(spark, t, s).agg(F.max(c)).first()[0] for t, s, c in ((p_table, pred_schema, "target_date"), (t_table, t_schema, "obs_date"))]
+        if None in newest:
+            return
+        late = touched.where(F.col("target_date") <= F.date_sub(F.lit(min(newest)), state_days)).distinct()
+        t = live(spark, t_table, t_schema).select(F.col("location").alias("t_location"), F.col("obs_date").alias("t_date"),
+                                                  F.col("rainfall").alias("observed_rainfall_mm"), "truth_at")
+        store(live(spark, p_table, pred_schema).join(late, keys, "left_semi")
+              .join(t, (F.col("location") == F.col("t_location")) & (F.col("target_date") == F.col("t_date"))))
 
     def on_predictions(batch: DataFrame, batch_id: int) -> None:
-        upsert(last_per_key(batch, keys, p_order), p_table, pred_schema, keys, batch_id, p_order)
-        match(batch.select(*keys))
+        upsert(last_per_key(batch, keys, p_order), p_table, pred_schema, keys, p_order)
+        repair(batch.select(*keys))
 
     def on_truth(batch: DataFrame, batch_id: int) -> None:
-        one = last_per_key(batch, truth_keys, list(truth_order)) if truth_order else batch.dropDuplicates(truth_keys)
-        upsert(one, t_table, truth_schema, truth_keys, batch_id)
-        match(batch.select("location", F.col("obs_date").alias("target_date")))
+        upsert(last_per_key(batch, truth_keys, ["truth_at"]), t_table, t_schema, truth_keys, ["truth_at"])
+        repair(batch.select("location", F.col("obs_date").alias("target_date")))
 
-    for landing, schema, sink in ((preds_landing, pred_schema, on_predictions), (truth_landing, truth_schema, on_truth)):
-        _run(_stream(spark, landing, schema, max_files_per_trigger).writeStream.foreachBatch(sink)
-             .option("checkpointLocation", os.path.join(checkpoint, sink.__name__)))
+    for stream, sink in ((preds(), on_predictions), (truth(), on_truth)):
+        _run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(checkpoint, sink.__name__)))
+    return [{"batch": p["batchId"], "watermark": p["eventTime"].get("watermark"),
+             "state_rows": sum(s["numRowsTotal"] for s in p["stateOperators"])} for p in joined.recentProgress]
 
 
 def matched_predictions(spark: SparkSession, out: str, pred_schema: T.StructType, truth_schema: T.StructType) -> DataFrame:
-    """J2 read side: predictions with their truth, one row per key."""
-    return live(spark, os.path.join(out, "matched"), _matched_schema(pred_schema, truth_schema))
+    """J2 read side: predictions with their truth, one row per key; a truth without a measurement is none."""
+    found = live(spark, os.path.join(out, "matched"), _matched_schema(pred_schema, truth_schema))
+    return found.where("observed_rainfall_mm is not null")
 
 
 def open_predictions(preds: DataFrame, matched: DataFrame, keys=("location", "target_date")) -> DataFrame:

@@ -1,78 +1,77 @@
 """Keyed tables for micro-batches: Parquet folders with one live row per key.
 
-A table is split into hash buckets of its key.  A batch rewrites only the
-buckets its keys fall into, as a new version beside the old one
-(``bucket=b/version=n``), so readers never meet a folder that is being written
-and a batch that is replayed after a failure overwrites its own version.
-Reading takes the newest version of every bucket; work per batch and per read
-depends on the live rows, not on the history.
+A table is split by the month of its key's date and, inside a month, into hash
+buckets of the key.  A batch rewrites only the parts its keys fall into, each as
+a new version beside the old one (``month=…/bucket=…/version=n``), so readers
+never meet a folder that is being written.  The version follows from what lies in
+the table, not from the batch's number, so a table can be continued by any query;
+merging a batch again after a failure gives the same rows.  Readers list the
+folders and read the newest version of each part; of the older ones all but the
+last are deleted, so work depends on the parts a batch touches and not on the history.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelloop.functions.dates import month_key
 from labelloop.operators.dedup import last_per_key
 
-BUCKETS = 16
+BUCKETS = 4     # of a month
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def part_of(keys: Sequence[str], schema: T.StructType, buckets: int) -> list[Column]:
+    """``month`` (of the first date among the keys) and ``bucket`` of a row."""
+    dates = [k for k in keys if isinstance(schema[k].dataType, T.DateType)]
+    month = F.coalesce(month_key(F.col(dates[0])), F.lit("none")) if dates else F.lit("all")
+    return [month.alias("month"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")]
 
 
-def _versions(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame | None:
-    parts = [T.StructField("bucket", T.IntegerType()), T.StructField("version", T.LongType())]
-    try:
-        return spark.read.schema(T.StructType(schema.fields + parts)).parquet(table)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):  # only a table that was never written is empty
-            raise
-        return None
+def versions(spark: SparkSession, table: str) -> dict[tuple[str, int], list[tuple[int, str]]]:
+    """(version, folder) of each (month, bucket), the oldest first; empty for a table that was never written."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/month=*/bucket=*/version=*")
+    found: dict[tuple[str, int], list[tuple[int, str]]] = {}
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or ():
+        path = status.getPath().toString()
+        month, bucket, version = re.search(r"month=([^/]*)/bucket=(\d+)/version=(\d+)$", path).groups()
+        found.setdefault((month, int(bucket)), []).append((int(version), path))
+    return {part: sorted(v) for part, v in found.items()}
 
 
-def live(spark: SparkSession, table: str, schema: T.StructType, before: int | None = None,
-         only: Sequence[int] | None = None) -> DataFrame:
-    """The live rows (of the buckets ``only``, as of the versions ``before``)."""
-    t = _versions(spark, table, schema)
-    if t is not None:
-        if before is not None:
-            t = t.filter(F.col("version") < before)
-        if only is not None:
-            t = t.filter(F.col("bucket").isin(*only))
-        newest = t.groupBy("bucket").agg(F.max("version").alias("version")).collect()  # partition values; a row per bucket
-        if newest:
-            pick = reduce(Column.__or__, [(F.col("bucket") == r["bucket"]) & (F.col("version") == r["version"]) for r in newest])
-            return t.filter(pick).select(*schema.fieldNames())
-    return spark.createDataFrame([], schema)
+def live(spark: SparkSession, table: str, schema: T.StructType, only: set[tuple[str, int]] | None = None) -> DataFrame:
+    """The live rows (of the parts ``only``)."""
+    newest = [v[-1][1] for part, v in sorted(versions(spark, table).items()) if only is None or part in only]
+    return spark.read.schema(schema).parquet(*newest) if newest else spark.createDataFrame([], schema)
 
 
-def next_version(spark: SparkSession, table: str, schema: T.StructType) -> int:
-    t = _versions(spark, table, schema)
-    newest = t.agg(F.max("version")).first()[0] if t is not None else None
-    return 0 if newest is None else newest + 1
-
-
-def upsert(batch: DataFrame, table: str, schema: T.StructType, keys: Sequence[str], version: int,
-           order: Sequence[str] = (), buckets: int = BUCKETS) -> None:
+def upsert(batch: DataFrame, table: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str] = (),
+           buckets: int = BUCKETS) -> set[tuple[str, int]]:
     """Merge ``batch`` into the table: per key the last row by ``order`` stays, or the
-    batch's own row where no order is given."""
+    batch's own row where no order is given.  Returns the parts that were rewritten."""
     spark = batch.sparkSession
     rows = batch.select(*schema.fieldNames())
-    touched = [r[0] for r in rows.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]  # at most ``buckets``
+    touched = {(r["month"], r["bucket"]) for r in rows.select(*part_of(keys, schema, buckets)).distinct().collect()}  # months x buckets
     if not touched:
-        return
-    old = live(spark, table, schema, before=version, only=touched)
+        return touched
+    before = versions(spark, table)
+    version = 1 + max([v[-1][0] for v in before.values()], default=-1)
+    old = live(spark, table, schema, touched)
     if order:
         merged = last_per_key(old.unionByName(rows), list(keys), list(order))
     else:
         same = reduce(Column.__and__, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
         merged = old.alias("o").join(rows.alias("n"), same, "left_anti").unionByName(rows)
-    (merged.withColumn("bucket", bucket_of(keys, buckets)).withColumn("version", F.lit(version).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(table))
+    month, bucket = part_of(keys, schema, buckets)
+    merged = merged.select("*", month, bucket, F.lit(version).alias("version"))
+    merged.repartition("month", "bucket").write.mode("append").partitionBy("month", "bucket", "version").parquet(table)
+    for part in touched:
+        for _, path in before.get(part, [])[:-1]:   # the last one before this may still be read
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return touched

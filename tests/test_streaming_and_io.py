@@ -38,8 +38,75 @@ def test_late_and_corrected_truth_and_predictions(spark):
     # a correction, and truth that is older than any bound on lateness would allow
     old = dt.date(2020, 2, 2)
     assert land([(9, "A", dt.date(2024, 6, 1), dt.datetime(2024, 6, 1))], [("A", d[0], 2.5), ("A", old, 4.0)]) == {(d[0], 0): 2.5}
+    # a truth without a measurement is no truth
     assert land([(7, "A", old, dt.datetime(2024, 6, 2)), (8, "A", d[0], dt.datetime(2024, 6, 2))], [("A", d[1], None)]) == {
-        (d[0], 8): 2.5, (d[1], 1): None, (old, 7): 4.0}
+        (d[0], 8): 2.5, (old, 7): 4.0}
+    assert land([], [("A", d[1], 3.0), ("A", old, None)]) == {(d[0], 8): 2.5, (d[1], 1): 3.0}     # one comes late, one is taken back
+    assert land([], [("A", old, 0.0)]) == {(d[0], 8): 2.5, (d[1], 1): 3.0, (old, 7): 0.0}
+
+
+def test_truths_of_one_batch_are_taken_in_order(spark):
+    pl, tl, ol = (scratch_path(spark, n) for n in ("sp", "st", "so"))
+    day = dt.date(2024, 1, 1)
+    spark.createDataFrame([(0, "A", day, dt.datetime(2024, 1, 1))], PRED).write.parquet(pl)
+    spark.createDataFrame([("A", day, float(x)) for x in (5, 9, 7)], TRUTH).coalesce(1).write.parquet(tl)
+    for order, want in (((), 7.0), (("rainfall",), 9.0)):      # by the place in the file, or as the caller says
+        out = f"{ol}-{want}"
+        S.delayed_label_join(spark, pl, PRED, tl, TRUTH, out, f"{out}-ckpt", truth_order=order)
+        assert [r["observed_rainfall_mm"] for r in S.matched_predictions(spark, out, PRED, TRUTH).collect()] == [want]
+
+
+def test_state_is_dropped_behind_the_watermark(spark):
+    """On-time truth is joined by the state; the state then shrinks, and truth that comes after it is joined from the tables."""
+    pl, tl, out, ck = (scratch_path(spark, n) for n in ("sp", "st", "so", "sc"))
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+
+    def land(preds, truth):
+        spark.createDataFrame(preds, PRED).coalesce(1).write.mode("append").parquet(pl)
+        spark.createDataFrame(truth, TRUTH).coalesce(1).write.mode("append").parquet(tl)
+        return S.delayed_label_join(spark, pl, PRED, tl, TRUTH, out, ck, state_days=3)
+
+    first = land([(i, "A", d, dt.datetime(2024, 1, 1)) for i, d in enumerate(days[:20])], [("A", d, 1.0) for d in days[5:20]])
+    second = land([(i, "A", d, dt.datetime(2024, 1, 1)) for i, d in enumerate(days) if i >= 20], [("A", d, 1.0) for d in days[20:]])
+    held = [p["state_rows"] for p in (*first, *second)]
+    assert max(held) >= 35 and held[-1] <= 2 * 4, held          # both sides, of the days that the watermark has not passed
+    assert len(S.matched_predictions(spark, out, PRED, TRUTH).collect()) == 35
+    land([(99, "A", days[-1], dt.datetime(2024, 1, 1))], [("A", d, 2.0) for d in days[:5]])
+    found = {r["target_date"]: r["observed_rainfall_mm"] for r in S.matched_predictions(spark, out, PRED, TRUTH).collect()}
+    assert found == {d: 2.0 if i < 5 else 1.0 for i, d in enumerate(days)}
+    after = days[-1] + dt.timedelta(days=1)
+    last = land([(100, "A", after, dt.datetime(2024, 1, 1))], [("A", after, 3.0)])
+    assert last[-1]["state_rows"] <= 2 * 5, last                # what came late does not stay
+
+
+def test_a_table_is_continued_with_a_new_checkpoint(spark):
+    landing, table = scratch_path(spark, "il"), scratch_path(spark, "it")
+    day = dt.datetime(2024, 1, 1)
+
+    def land(ids, ck):
+        spark.createDataFrame([(i, f"S{i}", day.date(), day) for i in ids], PRED).write.mode("append").parquet(landing)
+        S.ingest_log(spark, landing, PRED, table, ck, max_files_per_trigger=1)
+        return sorted(r["event_id"] for r in S.current_predictions(spark, table, PRED).collect())
+
+    assert land(range(9), scratch_path(spark, "c1")) == list(range(9))
+    assert land(range(9, 12), scratch_path(spark, "c2")) == list(range(12))
+
+
+def test_a_batch_rewrites_only_the_parts_it_touches(spark):
+    from labelloop.streaming import upsert as U
+    table, day = scratch_path(spark, "ut"), dt.datetime(2024, 1, 1)
+    rows = [(i, f"S{i % 50}", day.date() + dt.timedelta(days=i // 50), day) for i in range(50 * 90)]
+    keys = ["location", "target_date"]
+    assert len(U.upsert(spark.createDataFrame(rows, PRED), table, PRED, keys, ["logged_at", "event_id"])) == 3 * U.BUCKETS
+    before = U.versions(spark, table)
+    later = [(10_000 + k, "S1", day.date(), day + dt.timedelta(hours=k)) for k in range(3)]
+    for row in later:
+        assert len(U.upsert(spark.createDataFrame([row], PRED), table, PRED, keys, ["logged_at", "event_id"])) == 1
+    after = U.versions(spark, table)
+    changed = [part for part in after if after[part] != before[part]]
+    assert len(changed) == 1 and [v for v, _ in after[changed[0]]] == [2, 3]      # older versions are gone
+    live = {(r["location"], r["target_date"]): r["event_id"] for r in U.live(spark, table, PRED).collect()}
+    assert len(live) == 50 * 90 and live["S1", day.date()] == 10_002
 
 
 def test_ingest_consumes_each_file_once_and_keeps_the_last_row(spark):
