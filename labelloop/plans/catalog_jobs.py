@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from labelloop.functions.dates import add_calendar_features
 from labelloop.functions.values import binary_label, null_outliers
-from labelloop.operators.cleaning import drop_unlabelled, labelled_rows
-from labelloop.operators.metrics import evaluate
+from labelloop.operators.cleaning import drop_unlabelled
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import _I4_CTES, _LASTOBS, _feature_sql, _newl, HISTORY_HORIZON as H, with_fixtures as W
-from labelloop.plans.jobs import (advance_watermark, build_retrain_set, count_new_rows, new_labelled_rows,
-                                  read_watermark, retrain_decision, write_watermark)
-from labelloop.session import cut_lineage, scratch_path
+from labelloop.plans.jobs import (_date_lit, _latest_date, advance_watermark, build_retrain_set, count_new_rows, read_watermark,
+                                  retrain_decision, station_quality, write_watermark)
+from labelloop.session import scratch_path
 
 
 def _retrain(spark, sf_dir):
@@ -131,22 +130,10 @@ FROM (SELECT q.scope, CASE WHEN q.pos > 0 AND q.pos < q.n THEN 'ok' ELSE 'not_en
                                    c="""SELECT location AS scope, COUNT(*) AS cnt FROM newl GROUP BY location
   UNION ALL SELECT 'ALL', COUNT(*) FROM newl"""))
 def i8(spark, sf_dir):
-    """I8 over per-station quality rows plus one overall row."""
-    from labelloop.operators.metrics import rollup_counts
-    from labelloop.plans.jobs import _date_lit, _latest_date
-    scored = cut_lineage(fx.scored(spark, sf_dir))   # read by the quality and by the new-row branch
-    lab = labelled_rows(scored)
-    per = evaluate(lab, y="y_true", pred="predicted_rain", groups=["location"]).withColumnRenamed("location", "scope")
-    overall = rollup_counts(per).withColumn("scope", F.lit("ALL"))     # summed counters, no second pass
-    q = per.unionByName(overall).select(
-        "scope", F.when((F.col("positives") > 0) & (F.col("positives") < F.col("n")), "ok")
-        .otherwise("not_enough_classes").alias("status"), F.col("recall").alias("recall_combined_cv"))
+    """I8 over per-station quality rows plus one overall row, from one pass over the scored log."""
+    scored = fx.scored(spark, sf_dir)
     horizon = _date_lit(_latest_date(fx.history(spark, sf_dir), "Date"))
-    new = new_labelled_rows(scored, horizon)
-    c = new.groupBy(F.col("location").alias("scope")).agg(F.count(F.lit(1)).alias("cnt")) \
-        .unionByName(new.agg(F.count(F.lit(1)).alias("cnt")).withColumn("scope", F.lit("ALL")))
-    quality = q.join(c, "scope", "left").withColumn("new_rows_for_retrain",
-                                                    F.coalesce("cnt", F.lit(0)).cast("bigint")).drop("cnt")
-    out = retrain_decision(quality)
-    return out.select("scope", "status", r6("recall_combined_cv").alias("recall_combined_cv"),
-                      "new_rows_for_retrain", "decision")
+    quality = station_quality(scored, horizon).select(
+        F.coalesce("location", F.lit("ALL")).alias("scope"), "status", "recall_combined_cv", "new_rows_for_retrain")
+    return retrain_decision(quality).select("scope", "status", r6("recall_combined_cv").alias("recall_combined_cv"),
+                                            "new_rows_for_retrain", "decision")

@@ -16,6 +16,8 @@ from labelloop.operators.trials import best_trial, patience_stop
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import HISTORY_HORIZON, with_fixtures as W
+from labelloop.session import scratch_path
+from labelloop.sources.keyed import KeyedTable
 from labelloop.sources.stations import lookup_dimension
 
 H = HISTORY_HORIZON
@@ -292,6 +294,34 @@ def c1(spark, sf_dir):
     return _scored_out(score_log(fx.pred_log(spark, sf_dir), fx.truth(spark, sf_dir)))
 
 
+def _keyed(spark, rows: DataFrame, keys: list[str], date_col: str, name: str) -> KeyedTable:
+    table = KeyedTable(spark, scratch_path(spark, name), rows.schema, keys, date_col)
+    table.append(rows)
+    return table
+
+
+@register("c1_keyed_truth", W(f"SELECT {SCORED_COLS} FROM scored WHERE target_date > DATE '{H}'"))
+def c1_keyed(spark, sf_dir):
+    """C1 for new predictions against truth stored by month and key: only their months are read, and truth is not shuffled."""
+    from labelloop.plans.jobs import score_log
+    truth = _keyed(spark, fx.truth(spark, sf_dir), ["location", "obs_date"], "obs_date", "keyed-truth")
+    new = fx.pred_log(spark, sf_dir).filter(F.col("target_date") > F.lit(H).cast("date"))
+    return _scored_out(score_log(new, truth.for_dates(new, "target_date")))
+
+
+@register("c2_keyed_history", W(f"""
+SELECT s.event_id, s.feature_date, s.location FROM scored s
+WHERE s.truth_available AND s.y_true IS NOT NULL AND s.feature_date > DATE '2024-01-15' AND NOT EXISTS (
+  SELECT 1 FROM obs h WHERE h.obs_date <= DATE '{H}' AND h.obs_date = s.feature_date AND h.location = s.location)"""))
+def c2_keyed(spark, sf_dir):
+    """C2 against the stored history, for the rows of its last days and after."""
+    s = C.labelled_rows(fx.scored(spark, sf_dir)).filter(F.col("feature_date") > F.lit("2024-01-15").cast("date"))
+    known = fx.obs(spark, sf_dir, until=H).select("location", "obs_date").distinct()
+    hist = _keyed(spark, known, ["location", "obs_date"], "obs_date", "keyed-history")
+    return J.exclude_known(s, hist.for_dates(s, "feature_date"), ["feature_date", "location"], ["obs_date", "location"]) \
+        .select("event_id", "feature_date", "location")
+
+
 @register("c2_anti_known_keys", W(f"""
 SELECT s.event_id, s.feature_date, s.location FROM scored s
 WHERE s.truth_available AND s.y_true IS NOT NULL AND NOT EXISTS (

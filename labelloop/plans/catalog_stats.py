@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloop.operators import profile as P
+from labelloop.operators import sketches as SK
 from labelloop.operators.metrics import confusion_matrix, evaluate, fold_means, live_metrics, metrics_report
 from labelloop.operators.split import stratified_folds, stratified_split
 from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register, sql_metrics
 from labelloop.plans.fixtures import HISTORY_HORIZON as H, with_fixtures as W
+from labelloop.session import scratch_path
 
 OBS_COLS = ("event_id", "ts", "obs_date", "location", "rainfall_txt", "wind_dir", "wind_speed9am",
             "rain_tomorrow")
@@ -81,6 +83,68 @@ def d6(spark, sf_dir):
     return out.select("location", "count", *[r6(s).alias(s) for s in P.STATS[1:]])
 
 
+def _sketches(spark, sf_dir):
+    """Sketches per day and station of the observations, stored once."""
+    path = scratch_path(spark, "sketches")
+    from labelloop.functions.values import safe_double
+    o = fx.obs(spark, sf_dir).select("event_id", "obs_date", "location", "wind_dir", "wind_speed9am", safe_double("rainfall_txt").alias("rainfall"))
+    SK.daily_sketches(o, ["obs_date", "location"], ["wind_speed9am", "rainfall"], ["event_id", "location", "wind_dir"]).write.parquet(path)
+    return o, spark.read.parquet(path)
+
+
+def _near_ranks(exact: DataFrame, found: DataFrame, on: list[str]) -> DataFrame:
+    """``found`` with ``ranks_ok``: each quartile has a share of the values at or around it within the error bound."""
+    ok = F.lit(True)
+    for q, name in zip(P.QUARTILES, ("p25", "p50", "p75")):
+        below = F.count_if(F.col("value") < F.col(name)) / F.count(F.lit(1))
+        upto = F.count_if(F.col("value") <= F.col(name)) / F.count(F.lit(1))
+        ok = ok & (below <= q + SK.RANK_ERROR) & (upto >= q - SK.RANK_ERROR)
+    return exact.join(found, on).groupBy(*on).agg(ok.alias("ranks_ok"))
+
+
+def _merged_sql(column: str) -> str:
+    return (f"SELECT '{column}' AS column_name, CAST(COUNT({column}) AS BIGINT) AS count, ROUND(AVG({column}), 6) AS mean, "
+            f"ROUND(STDDEV_SAMP({column}), 6) AS std, ROUND(MIN({column}), 6) AS min, ROUND(MAX({column}), 6) AS max, TRUE AS ranks_ok "
+            f"FROM daynum WHERE obs_date > DATE '{H}'")
+
+
+@register("d5_merged_sketches", W(_union([_merged_sql("wind_speed9am"), _merged_sql("rainfall")]),
+                                  daynum="SELECT obs_date, wind_speed9am, TRY_CAST(rainfall_txt AS DOUBLE) AS rainfall FROM obs"))
+def d5_merged(spark, sf_dir):
+    """D5 of the days after the horizon, merged from stored day sketches; quartiles are checked against the rows."""
+    rows, sketches = _sketches(spark, sf_dir)
+    after = F.col("obs_date") > F.lit(H).cast("date")
+    found = SK.merged_describe(sketches.filter(after))
+    values = rows.filter(after).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+                                                          for c in ("wind_speed9am", "rainfall")]))).where("value is not null")
+    out = found.join(_near_ranks(values, found, ["column_name"]), "column_name")
+    return out.select("column_name", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "max")], "ranks_ok")
+
+
+@register("d6_merged_sketches", W("""
+SELECT num.location, CAST(COUNT(num.wind_speed9am) AS BIGINT) AS count, ROUND(AVG(num.wind_speed9am), 6) AS mean,
+       ROUND(MIN(num.wind_speed9am), 6) AS min, ROUND(MAX(num.wind_speed9am), 6) AS max, TRUE AS ranks_ok
+FROM num GROUP BY num.location""", num=_NUM_CTE))
+def d6_merged(spark, sf_dir):
+    """D6 per station over all days, merged from the same sketches."""
+    rows, sketches = _sketches(spark, sf_dir)
+    found = SK.merged_describe(sketches.filter(F.col("column_name") == "wind_speed9am"), ["location"])
+    values = rows.select("location", F.col("wind_speed9am").alias("value")).where("value is not null")
+    out = found.join(_near_ranks(values, found, ["location"]), "location")
+    return out.select("location", "count", *[r6(c).alias(c) for c in ("mean", "min", "max")], "ranks_ok")
+
+
+@register("d7_merged_sketches", W(_union([
+    f"SELECT '{c}' AS column_name, TRUE AS near FROM (SELECT COUNT(*) FROM obs) x" for c in ("event_id", "location", "wind_dir", "wind_speed9am", "rainfall")])))
+def d7_merged(spark, sf_dir):
+    """D7 over all days from merged sketches, within the error bound of the exact counts."""
+    rows, sketches = _sketches(spark, sf_dir)
+    found = SK.merged_distinct(sketches)
+    exact = P.distinct_counts(rows, ["event_id", "location", "wind_dir", "wind_speed9am", "rainfall"]).withColumnRenamed("n_unique", "exact")
+    near = F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * SK.DISTINCT_ERROR)
+    return found.join(exact, "column_name").select("column_name", near.alias("near"))
+
+
 @register("d7_distinct_counts", W(_union([
     f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_unique FROM obs" for c in OBS_COLS])))
 def d7(spark, sf_dir):

@@ -223,6 +223,29 @@ def retrain_decision(quality: DataFrame, recall_threshold: float = RECALL_THRESH
     return quality.withColumn("decision", decision)
 
 
+def station_quality(scored: DataFrame, cutoff: Column, id_col: str = "event_id") -> DataFrame:
+    """I8's input: (location, status, recall_combined_cv, new_rows_for_retrain), one row per station and one
+    overall (location NULL), by grouping sets over one pass of the scored log.
+
+    New rows are the (location, feature_date) pairs that :func:`new_labelled_rows`
+    keeps beyond ``cutoff``: counted as distinct dates, per station first, so that a
+    date held by many rows is one before the shuffle.  Rows without a location are in
+    no station and not among the new rows."""
+    s = labelled_rows(scored)
+    if "target_date" in s.columns:
+        s = s.withColumn("feature_date", backfill_feature_date("feature_date", "target_date"))
+    y, p = F.col("y_true").cast("int"), F.col("predicted_rain").cast("int")
+    daily = s.groupBy("location", F.when((F.col("feature_date") > cutoff) & F.col("location").isNotNull(), F.col("feature_date")).alias("new")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos"), F.count(F.when((y == 1) & (p == 1), 1)).alias("tp"))
+    sets = daily.groupingSets([["location"], []], "location").agg(
+        F.grouping_id().alias("whole"), F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum("tp").alias("tp"),
+        F.count("new").alias("new_rows_for_retrain"))
+    recall = F.coalesce(F.try_divide(F.col("tp"), F.col("pos")), F.lit(0.0))
+    return sets.where("whole = 1 or location is not null").select(
+        "location", F.when((F.col("pos") > 0) & (F.col("pos") < F.col("n")), "ok").otherwise("not_enough_classes").alias("status"),
+        recall.alias("recall_combined_cv"), "new_rows_for_retrain")
+
+
 def prepare_dataset(raw: DataFrame, label_col: str = "RainTomorrow", date_col: str = "Date") -> DataFrame:
     """Drop unlabelled rows (B1), numeric coercion and outliers (B2, B3),
     calendar features with the date dropped (B5), binary ``label`` (B6)."""

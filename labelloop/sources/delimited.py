@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloop.functions.values import na_to_null
+from labelloop.session import cut_lineage
 from labelloop.sources.schemas import PREDICTION_LOG_V1, PREDICTION_LOG_V2
 
 # Whitespace is data (' Yes ' must survive a round trip), so trimming is off.
@@ -67,24 +68,57 @@ def parse_log_fields(rows: DataFrame, fields_col: str = "fields", keep: Sequence
 LOG_POSITION = ("source_file", "source_row")
 
 
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record, source_file, source_row): the records of text files whose quoted fields may hold line breaks.
+
+    Files are read line by line in blocks, by as many tasks as there are blocks.  A
+    line starts a record where an even number of quotes stands before it in its
+    file: quotes are counted per block, summed over the blocks of a file, and counted
+    on inside the blocks.  Blocks in which no quote stays open (nearly all) need no
+    more than that; the lines of the others are put together by record.
+    ``source_row`` is the line of the file that the record starts in, from 1.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value"), F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), (F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("odd"))
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    blocks = lines.groupBy("source_file", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("odd").alias("odds"), F.min("id").alias("first"))
+    # one row a block
+    blocks = cut_lineage(blocks.select("source_file", "block", "n", "odds", "first", (before("odds") % 2).alias("open"), before("n").alias("lines")))
+    row = (F.col("lines") + F.col("id") - F.col("first") + 1).alias("source_row")
+    whole = lines.join(blocks.where("odds = 0 and open = 0").drop("n", "odds", "open"), ["source_file", "block"]).select(
+        F.col("value").alias("record"), "source_file", row)
+    inside = Window.partitionBy("source_file", "block").orderBy("source_row").rowsBetween(Window.unboundedPreceding, -1)
+    torn = lines.join(blocks.where("odds > 0 or open = 1"), ["source_file", "block"]).select("value", "source_file", "block", "odd", "open", row)
+    torn = torn.withColumn("starts", ((F.col("open") + F.coalesce(F.sum("odd").over(inside), F.lit(0))) % 2 == 0).cast("long"))
+    torn = cut_lineage(torn)   # read for the counts and for the lines
+    counts = blocks.join(torn.groupBy("source_file", "block").agg(F.sum("starts").alias("s")), ["source_file", "block"], "left")
+    counts = counts.select("source_file", "block", before(F.coalesce("s", "n")).alias("records"))
+    upto = Window.partitionBy("source_file", "block").orderBy("source_row")
+    numbered = torn.withColumn("record_no", F.sum("starts").over(upto)).join(counts, ["source_file", "block"])
+    joined = numbered.groupBy("source_file", (F.col("records") + F.col("record_no")).alias("r")).agg(
+        F.sort_array(F.collect_list(F.struct("source_row", "value"))).alias("parts"))
+    return whole.unionByName(joined.select(F.array_join("parts.value", "\n").alias("record"), "source_file",
+                                           F.get("parts.source_row", 0).alias("source_row")))
+
+
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
     """A3 on files: records → fields (strings), with ``LOG_POSITION``.
 
-    The CSV source finds the records (quoted fields may hold commas and line
-    breaks; header and blank lines are skipped).  It hands over records of other
-    than eight fields whole, and those are split here.  A record may span lines, so
-    a file is read by one task: land a growing log as many files.
+    Quoted fields may hold commas and line breaks (:func:`quoted_records`); each
+    file's first record, the header, and blank lines are skipped.  The CSV parser takes
+    records of eight fields; those of another number are split here.
     """
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in PREDICTION_LOG_V2), T.StructField("_raw", T.StringType())])
-    read = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").option("enforceSchema", True)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_raw",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "lineSep": "\u0001"}
+    records = quoted_records(spark, path).where("source_row > 1 and record != ''")
+    read = records.select(F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), options).alias("v"), *LOG_POSITION).select("v.*", *LOG_POSITION)
     split = F.transform(F.split("_raw", _FIELD_SPLIT, -1), lambda x: F.regexp_replace(
         F.regexp_replace(x, '(?s)^"(.*)"$', "$1"), '""', '"'))
     fields = F.when(F.col("_raw").isNull(), F.array(*[F.coalesce(c, F.lit("")) for c in PREDICTION_LOG_V2])).otherwise(split)
-    rows = read.select(fields.alias("fields"), F.col("_metadata.file_path").alias("source_file"),
-                       F.monotonically_increasing_id().alias("source_row"))
-    return parse_log_fields(rows, "fields", LOG_POSITION)
+    return parse_log_fields(read.select(fields.alias("fields"), *LOG_POSITION), "fields", LOG_POSITION)
 
 
 def type_log(raw: DataFrame) -> DataFrame:

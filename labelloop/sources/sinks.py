@@ -44,18 +44,19 @@ def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     row, a corrupt file gives NULL fields instead of failing."""
     try:
         return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):   # anything else is an error of the caller's
+            raise
         return spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
 
 
-def write_ranked_csv(df: DataFrame, path: str, order: Sequence, header: bool = True, one_file_rows: int = 100_000) -> str:
+def write_ranked_csv(df: DataFrame, path: str, order: Sequence, header: bool = True, one_file: bool = False) -> str:
     """Ranked report as header CSV, ranking first.
 
-    A report of up to ``one_file_rows`` rows is one file.  A larger one is written by
-    all tasks as files whose names sort in rank order, never through one task."""
+    The rows are sorted by ranges and written by all tasks, as files whose names sort in
+    rank order.  A caller that knows the report to be small can ask for ``one_file``."""
     ranked = df.orderBy(*order)
-    small = df.limit(one_file_rows + 1).count() <= one_file_rows
-    (ranked.coalesce(1) if small else ranked).write.mode("overwrite").option("header", header).csv(path)
+    (ranked.coalesce(1) if one_file else ranked).write.mode("overwrite").option("header", header).csv(path)
     return path
 
 

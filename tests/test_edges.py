@@ -487,9 +487,11 @@ def test_search_result_does_not_depend_on_the_wave(spark, monkeypatch):
     monkeypatch.setattr(S, "evaluate_folds", lambda folds, spec, *a: spark.createDataFrame(
         [(values[spec.params["i"]],)], "recall double"))
     trials = spark.createDataFrame([(i, float(i)) for i in range(6)], "n long, i double")
+    monkeypatch.setattr(S, "evaluate_settings", lambda folds, spec, params, *a: spark.createDataFrame(
+        [(s, values[p["i"]]) for s, p in enumerate(params)], "setting int, recall double"))
     from labelloop.operators.models import ModelSpec
-    for wave in (1, 2, 5, 6):
-        table, best = S.run_search(spark.range(1), ModelSpec([], []), trials, wave=wave, patience=2, to_params=lambda p: {"i": int(p["i"])})
+    for wave, kind in ((1, "lr"), (2, "lr"), (5, "lr"), (6, "lr"), (1, "gbt"), (2, "gbt"), (5, "gbt")):
+        table, best = S.run_search(spark.range(1), ModelSpec([], [], kind=kind), trials, wave=wave, patience=2, to_params=lambda p: {"i": int(p["i"])})
         assert table.count() == 4 and best.first()["best_trial"] == 1
 
 
