@@ -43,7 +43,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"),
+                        F.round("second_position", 9).alias("second_position"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,15 @@ QUERIES = {
 
 _HOST = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _moment(s: str) -> str:
+    """Where the integral of a source's schedule (by its weight 5, 2 or 1) reaches the share ``s``."""
+    return (f"CASE w WHEN 5 THEN CASE WHEN {s} < 1 THEN (sqrt(greatest(0, 2.25e0 + {s} * -2e0)) - 1.5e0) / -1e0 ELSE 1 END "
+            f"WHEN 2 THEN CASE WHEN {s} < 1 THEN {s} ELSE 1 END "
+            f"ELSE CASE WHEN {s} < 0.3125e0 THEN (sqrt(greatest(0, 0.25e0 + {s} * 1e0)) - 0.5e0) / 0.5e0 "
+            f"WHEN {s} < 1 THEN 0.5e0 + (sqrt(greatest(0, 0.5625e0 + ({s} - 0.3125e0) * 5e0)) - 0.75e0) / 2.5e0 ELSE 1 END END")
+
+
 ORACLE = {
     # The SQL sums words with the same order of documents and shares the excess in order of each source's ratio of cap to weight.
     "op7_curriculum_mix": r"""
@@ -102,16 +112,22 @@ g AS (
   SELECT source, source_size,
          CASE WHEN full_ THEN CAST(most AS DOUBLE)
               ELSE CAST((3 * every - 2 * capped) * w AS DOUBLE) / CAST(2 * free AS DOUBLE) END AS target,
-         CAST(CASE WHEN full_ THEN most ELSE ((3 * every - 2 * capped) * w) // (2 * free) END AS BIGINT) AS words
+         CAST(CASE WHEN full_ THEN most ELSE ((3 * every - 2 * capped) * w) // (2 * free) END AS BIGINT) AS words, w
   FROM f, t, c),
 p AS (
   SELECT d.doc_id, d.size, d.source,
          sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM d)
-SELECT p.doc_id, p.size, g.source_size, g.target,
-       CAST(greatest(0, least(p.size, g.words - p.start)) + greatest(0, least(p.size, g.words - p.start - g.source_size)) AS BIGINT) AS taken
-FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
-""",
+  FROM d),
+m AS (
+  SELECT p.doc_id, p.size, g.source_size, g.target, g.w,
+         CAST(greatest(0, least(p.size, g.words - p.start)) AS BIGINT) AS once,
+         CAST(greatest(0, least(p.size, g.words - p.start - g.source_size)) AS BIGINT) AS twice,
+         p.start / CAST(g.words AS DOUBLE) AS s1, (p.start + g.source_size) / CAST(g.words AS DOUBLE) AS s2
+  FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, once + twice AS taken,
+       round(CASE WHEN once > 0 THEN {first} END, 9) AS position, round(CASE WHEN twice > 0 THEN {second} END, 9) AS second_position
+FROM m
+""".format(first=_moment("s1"), second=_moment("s2")),
     "op11_block_search": r"""
 WITH w AS (
   SELECT row_number() OVER () AS place, doc_id,

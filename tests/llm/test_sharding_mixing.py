@@ -1,7 +1,7 @@
 """Sampled splitters and the curriculum against plain Python."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
@@ -120,13 +120,31 @@ def test_mix_of_an_empty_table(no_docs):
 def test_training_order_follows_the_schedules(make_docs):
     docs = make_docs([(i, "w " * (5 + i % 7), f"s{i % 3}") for i in range(300)])
     mixed = curriculum.mix(docs, bucket_rows=10)
-    ordered = [r.doc_id for r in curriculum.training_order(docs, mixed).collect()]
+    ordered = [r.doc_id for r in curriculum.training_order(docs, bucket_rows=10).collect()]
     reads = sorted((p, r.doc_id) for r in mixed.collect() for p in (r.position, r.second_position) if p is not None)
     assert ordered == [d for _, d in reads]
     where = [p for p, d in reads if d % 3 == 0]  # weight 5 fades: more of it is read early
     assert sum(p < 0.5 for p in where) > len(where) * 0.55
 
 
+def test_training_order_of_repeated_and_null_ids(make_docs):
+    """Every row is read as often as the mix takes it, whatever ids it shares."""
+    rows = [(7, "w " * (3 + i % 5), "s0") for i in range(40)] + [(None, f"v{i % 3} " * 4, "s1") for i in range(40)]
+    rows += [(100 + i, "x " * 6, f"s{i % 3}") for i in range(20)] + [(5, None, "s0"), (5, "", None)]
+    docs = make_docs(rows)
+    mixed = curriculum.mix(docs).collect()
+    ordered = curriculum.training_order(docs)
+    assert ordered.columns == docs.columns
+    read = ordered.collect()
+    reads = sum(p is not None for r in mixed for p in (r.position, r.second_position))
+    assert len(read) == reads < 2 * len(rows)
+    words = sum(len((r.text or "").split()) for r in read)
+    taken = sum(r.taken for r in mixed)
+    assert taken <= words <= taken + 6 * 6      # at most one document of each source is cut off in each pass
+    assert Counter((r.doc_id, len((r.text or "").split())) for r in read) == Counter(
+        (r.doc_id, r.size) for r in mixed for p in (r.position, r.second_position) if p is not None)
+
+
 def test_moment_inverts_the_integral(spark):
     from pyspark.sql import functions as F
     knots = ((0.0, 0.5), (0.5, 0.75), (1.0, 2.0))
