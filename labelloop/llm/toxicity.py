@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,24 +188,26 @@ def fit(texts: list[str], y: np.ndarray, buckets: int = 1 << 18, dim: int = 8, s
     return Subwords((scale * (e @ (w[:, 1] - w[:, 0]))).astype(np.float32), float(c[1] - c[0]), span)
 
 
-def training_sample(df: DataFrame, labels: DataFrame, label_col: str, per_class: int, words: int) -> DataFrame:
-    """(y, text) of at most ``per_class`` documents of each class that are not held out.
+def training_sample(df: DataFrame, labels: DataFrame, label_col: str, per_class: int, class_words: int) -> DataFrame:
+    """(doc_id, y, text) of about ``per_class`` documents of each class that are not held out, in the order of a hash of
+    the id, as long as they have ``class_words`` words together.
 
-    Chosen by a hash of the id; of a longer document ``words`` words in a row, from
-    a hash-chosen place, are learnt from (scoring reads all of every document).
+    The texts are whole; of the rows of one id that with the smallest text is learnt from.
     """
     known = stored(one_label(labels, label_col).where(~held_out(F.col("doc_id"))), "toxic-labels")
     n = {int(r[0]): r[1] for r in known.select((F.col("y") > 0).cast("int").alias("y")).groupBy("y").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     most = F.when(F.col("y") > 0, F.lit(per_class / max(n.get(1, 1), 1))).otherwise(F.lit(per_class / max(n.get(0, 1), 1)))
     picked = known.where(draw < most).limit(4 * per_class)
-    parts = F.split(F.coalesce(F.col("text"), F.lit("")), r"\s+")
-    first = (F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.lit(1), F.size("parts") - words)) + 1).cast("int")
-    return (df.join(F.broadcast(picked), "doc_id").select("doc_id", "y", parts.alias("parts"))  # at most 4 * per_class ids
-            .select("doc_id", "y", F.array_join(F.slice("parts", first, F.lit(words)), " ").alias("text")))
+    rows = (df.join(F.broadcast(picked), "doc_id")  # at most 4 * per_class ids
+            .groupBy("doc_id", "y").agg(F.min(F.coalesce(F.col("text"), F.lit(""))).alias("text")))
+    order = Window.partitionBy(F.col("y") > 0).orderBy(draw, "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.size(F.split("text", r"\s+"))).over(order), F.lit(0))
+    return rows.withColumn("before", before).where(F.col("before") < class_words).drop("before")
 
 
-def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 3000, words: int = 1000) -> Subwords:
+def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 3000,
+          class_words: int = 600_000) -> Subwords:
     """The model, fitted in one task on the bounded sample; only its numbers come to the driver."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -213,7 +215,7 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
         model = fit(rows["text"].tolist(), (rows["y"].to_numpy() > 0).astype(float))
         return pd.DataFrame({"gain": [model.gain.tobytes()], "bias": [model.bias], "span": [model.span]})
 
-    sample = training_sample(df.select("doc_id", "text"), labels, label_col, per_class, words)
+    sample = training_sample(df.select("doc_id", "text"), labels, label_col, per_class, class_words)
     row = sample.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(run, "gain binary, bias double, span int").first()
     return Subwords(np.frombuffer(row["gain"], np.float32), row["bias"], row["span"]) if row else fit([], np.zeros(0))
 
