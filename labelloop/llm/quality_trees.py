@@ -150,8 +150,8 @@ def train(stats: DataFrame, labels: DataFrame, label_col: str = "quality", max_r
     known = stats.where(~held_out(F.col("doc_id"))).join(one_label(labels, label_col), "doc_id")
     n = known.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rows = known.where(draw < min(1.0, max_rows / max(n, 1))).select("doc_id", "y", "stats").limit(2 * max_rows).toPandas()
-    rows = rows.sort_values("doc_id").head(max_rows)
+    drawn = known.withColumn("draw", draw).where(F.col("draw") < min(1.0, max_rows / max(n, 1)))
+    rows = drawn.orderBy("draw", "doc_id").limit(max_rows).select("doc_id", "y", "stats").toPandas()
     x = np.stack(rows["stats"].to_numpy()) if len(rows) else np.zeros((0, len(STATISTICS)))
     return fit_trees(x.astype(float), (rows["y"].to_numpy() > 0).astype(float))
 
