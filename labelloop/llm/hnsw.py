@@ -2,7 +2,7 @@
 
 Equal vectors become one node that remembers its smallest ids, so a vector
 occurring any number of times costs one node and loses no neighbour.  Nodes are
-dealt to shards by hash; each shard builds a hierarchical navigable small-world
+dealt to bands of nearly equal length and, inside a band, to shards by hash; each shard builds a hierarchical navigable small-world
 graph, kept as flat arrays (vectors, ids, one neighbour table per layer), and
 the graphs are stored.  Queries visit all shards in blocks, a whole block
 walking a graph in step: every round expands the best unexpanded candidate of
@@ -10,7 +10,9 @@ every query with a few array operations.  The nearest of each shard are merged,
 scored exactly in double precision.
 
 Largest inner product is made a nearest-neighbour problem for the graph by one
-more coordinate that brings all vectors to the same length.
+more coordinate that brings all vectors of a shard to the same length.  It stays
+small beside the others because lengths differ by at most ``ratio`` in a band; with
+one length for the whole table a few long vectors would hide all directions.
 
 Defined cases: vectors that are null, empty, zero or hold null, NaN or infinite
 components take no part, neither do vectors of another length than the most
@@ -213,27 +215,35 @@ def nodes_of(rows: DataFrame, kept: int) -> DataFrame:
 
 
 def nearest(df: DataFrame, count: int = 20, every: int = 20, shards: int = 8, shard_rows: int = 8192, block_rows: int = 4096,
-            links: int = 16, width: int = 64, search_width: int = 128, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+            links: int = 16, width: int = 64, search_width: int = 128, ratio: float = 1.05, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``count`` largest inner products of every row whose id is divisible by ``every``.
 
-    There are ``shards`` graphs, or as many as keep them at ``shard_rows`` nodes: a
-    walk of ``search_width`` finds less in a larger graph.  ``block_rows`` queries
-    walk a graph together.
+    The nodes of a band of lengths make their share of ``shards`` graphs, at least one,
+    and as many as keep them at ``shard_rows`` nodes: a walk of ``search_width`` finds
+    less in a larger graph.  ``block_rows`` queries walk a graph together.
     """
     rows = stored(usable(df, id_col, vector_col), "vectors")
     nodes = stored(nodes_of(rows, count + 1), "vector-nodes")
-    n, longest = nodes.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
-    n_shards = max(shards, math.ceil((n or 0) / shard_rows))
-    longest = float(longest or 1.0)
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    banded = nodes.withColumn("h", F.xxhash64("v")).withColumn("band", F.floor(F.log(length) / F.lit(math.log(ratio)) + F.lit(0.5)).cast("int"))
+    per = banded.groupBy("band").count().orderBy("band").collect()  # a row per band: at most some ten thousand
+    n = sum(r["count"] for r in per)
+    sizes = {r["band"]: max(1, round(shards * r["count"] / n), math.ceil(r["count"] / shard_rows)) for r in per}
+    heads = dict(zip(sizes, np.cumsum([0, *sizes.values()]).tolist(), strict=False))
+    n_shards = max(1, sum(sizes.values()))
+    spread_over = nodes.sparkSession.createDataFrame([(b, heads[b], sizes[b]) for b in sizes], "band int, first int, shards int")
 
     def make(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("h")
         original = np.stack(group["v"].to_numpy())
-        rest = np.sqrt(np.maximum(longest - (original ** 2).sum(1), 0))
+        square = (original ** 2).sum(1)
+        longest = float(square.max())
+        rest = np.sqrt(np.maximum(longest - square, 0))
         graph = build(np.concatenate([original, rest[:, None]], 1).astype(np.float32) / math.sqrt(longest), links, width)
         return pd.DataFrame({"shard": group["shard"].iloc[:1], "graph": [pickle.dumps((graph, original, list(group["ids"])), 5)]})
 
-    dealt = nodes.withColumn("h", F.xxhash64("v")).withColumn("shard", F.pmod("h", F.lit(n_shards)).cast("int"))
+    dealt = banded.join(spread_over, "band").withColumn("shard", (F.col("first") + F.pmod("h", F.col("shards"))).cast("int")).drop(
+        "band", "first", "shards")
     graphs = stored(dealt.groupBy("shard").applyInPandas(make, "shard int, graph binary"), "graphs")
     asked = rows.where(F.col("vec_id") % every == 0).distinct()
     n_blocks = max(1, math.ceil(asked.count() / block_rows))
