@@ -1,13 +1,17 @@
 """URL filter by link-graph propagation of trust and distrust.
 
 Rules judge the urls they fit; for all others the host decides.  Links between
-hosts are counted from the pages.  Trust starts at hosts in proportion to the
-share of their pages that a rule allows (of the links to them, where a host has
-no page in the table) and flows along links (personalised
-PageRank: a host hands its trust on in proportion to its links); distrust
-starts in proportion to the share that a rule blocks and flows against them (a
-host takes over the mean distrust of what it links to).  A host whose distrust
-exceeds its trust by the threshold is blocked.
+hosts are counted from the pages.  Both walks start at seeds with the share
+1 - damping and both scores are shares from 0 to 1.  Trust starts at hosts in
+proportion to the share of their pages that a rule allows (of the links to them,
+where a host has no page in the table) and flows along links (personalised
+PageRank: a host hands its rank on in proportion to its links); a host's trust is
+the part of its whole rank, with every host a seed, that comes from trusted seeds.
+Distrust starts in proportion to the share that a rule blocks and flows against the
+links (a host takes over the mean distrust of what it links to) and never falls below
+the share of a host's own pages that is blocked.  A host is blocked
+if its distrust reaches the threshold, which full trust raises by half and no
+number of links to it raises further.
 
 Everything is DataFrame operations: links are aggregated to host pairs before
 any join, so a host with a third of all pages is one node with at most as many
@@ -15,7 +19,8 @@ edges as there are hosts, and each step is one join and one aggregate over the
 edges, cut by a stored table.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits
-no rule and is allowed; hosts without links keep what their own pages earned;
+no rule and is allowed; hosts without links keep what their own pages earned; hosts that differ in the port only are one
+node of the graph; links in comments, scripts, styles, templates and text fields are none;
 links to the own host are ignored; null html has no links; repeated pages are
 judged each; an empty table gives an empty result.  Only id, url and html are
 read.
@@ -32,7 +37,9 @@ from pyspark.sql import functions as F
 from labelloop.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+[^?#"'\s>]*)"""
+LINK = r"""(?i)<a\b[^>]*?\shref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+[^?#"'\s>]*)"""
+#: What is no markup of the page: comments, and what scripts, styles and text fields hold.
+UNSEEN = r"""(?is)<!--.*?(?:-->|$)|<(script|style|textarea|template)\b.*?(?:</\1\s*>|$)"""
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -59,13 +66,18 @@ def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str, str
     return rule, verdict
 
 
+def node_name(host: Column) -> Column:
+    """A host as the graph knows it: without its port and what stands before an @."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", "")
+
+
 def host_links(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = (), html_col: str = "html") -> DataFrame:
     """(src, dst, w, allowed, blocked): w links from pages of src to dst, and how many of their targets the rules
     allow and block; ``pages`` has a column host."""
-    found = F.explode(F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(LINK), F.lit(1)))
-    links = pages.where("host != ''").select(F.col("host").alias("src"), found.alias("to"))
-    # The port and what stands before an @ are no part of the host's name.
-    name = lower_host(F.regexp_replace(F.regexp_replace(F.regexp_extract("to", r"^[^/]*", 0), r"^.*@", ""), r":\d*$", ""))
+    seen = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), UNSEEN, " ")
+    found = F.explode(F.regexp_extract_all(seen, F.lit(LINK), F.lit(1)))
+    links = pages.where("host != ''").select(node_name(F.col("host")).alias("src"), found.alias("to"))
+    name = node_name(lower_host(F.regexp_extract("to", r"^[^/]*", 0)))
     links = links.select("src", name.alias("dst"), F.regexp_extract("to", r"/.*$", 0).alias("path")).where("src != dst and dst != ''")
     _, verdict = rule_columns(F.col("dst"), F.col("path"), rules)
     return (links.select("src", "dst", verdict.alias("ruled")).groupBy("src", "dst").agg(
@@ -90,24 +102,29 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps:
         seeds.select("host", "allowed", "blocked"),
         *(shares.select(F.col(c).alias("host"), F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked")) for c in ("src", "dst"))])
     base = stored(named.groupBy("host").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked")), "host-seeds")
-    now = base.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
-    if shares.isEmpty():
-        return now
-    for _ in range(steps):
-        given = (shares.join(now.select(F.col("host").alias("src"), "trust"), "src")
-                 .groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("share") * F.col("trust")).alias("t")))
-        taken = (shares.join(now.select(F.col("host").alias("dst"), "distrust"), "dst")
-                 .groupBy(F.col("src").alias("host")).agg(F.sum(F.col("share") * F.col("distrust")).alias("d")))
+    start = lambda what: F.col(what) * (1 - damping)
+    base = stored(base.select("host", "blocked", start("allowed").alias("t"), F.lit(1.0 - damping).alias("r"), start("blocked").alias("d")), "host-starts")
+    now = base.select("host", "t", "r", F.col("blocked").alias("d"))
+    moved, done = None, shares.isEmpty()
+    for _ in range(0 if done else steps):
+        given = (shares.join(now.select(F.col("host").alias("src"), "t", "r"), "src").groupBy(F.col("dst").alias("host"))
+                 .agg(F.sum(F.col("share") * F.col("t")).alias("dt"), F.sum(F.col("share") * F.col("r")).alias("dr")))
+        taken = (shares.join(now.select(F.col("host").alias("dst"), "d"), "dst")
+                 .groupBy(F.col("src").alias("host")).agg(F.sum(F.col("share") * F.col("d")).alias("dd")))
+        more = lambda c: (F.col(c) + damping * F.coalesce(f"d{c}", F.lit(0.0))).alias(c)
         step = (base.join(given, "host", "left").join(taken, "host", "left")
-                .join(now.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0")), "host")
-                .select("host", (F.col("allowed") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
-                        (F.col("blocked") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"), "t0", "d0"))
+                .join(now.select("host", F.col("t").alias("t0"), F.col("r").alias("r0"), F.col("d").alias("d0")), "host")
+                .select("host", more("t"), more("r"), F.greatest("blocked", more("d")).alias("d"), "t0", "r0", "d0"))
         step = stored(step, "host-scores")
-        moved = step.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("t0")), F.abs(F.col("distrust") - F.col("d0"))))).first()[0]
-        now = step.select("host", "trust", "distrust")
-        if (moved or 0.0) <= tolerance:
-            return now
-    raise RuntimeError(f"trust still moves by {moved} after {steps} steps")
+        # Ranks move in proportion to themselves.
+        moved = step.agg(F.max(F.greatest(F.abs(F.col("r") - F.col("r0")) / F.col("r"), F.abs(F.col("t") - F.col("t0")) / F.col("r"),
+                                          F.abs(F.col("d") - F.col("d0"))))).first()[0]
+        now, done = step.select("host", "t", "r", "d"), (moved or 0.0) <= tolerance
+        if done:
+            break
+    if not done:
+        raise RuntimeError(f"trust still moves by {moved} after {steps} steps")
+    return now.select("host", (F.col("t") / F.col("r")).alias("trust"), F.col("d").alias("distrust"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = 0.5, damping: float = 0.85,
@@ -118,14 +135,14 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     ruled = seen.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"))
     share = lambda what: F.avg(F.when(F.col("ruled") == what, 1.0).otherwise(0.0))
-    own = ruled.where("host != ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked"))
+    own = ruled.where("host != ''").groupBy(node_name(F.col("host")).alias("host")).agg(share("allow").alias("allowed"), share("block").alias("blocked"))
     links = stored(host_links(seen, rules), "host-links")
     # A host without pages in the table is judged by the urls that links to it name.
     named = links.groupBy(F.col("dst").alias("host")).agg(
         (F.sum("allowed") / F.sum("w")).alias("allowed"), (F.sum("blocked") / F.sum("w")).alias("blocked"))
     seeds = own.unionByName(named.join(own.select("host"), "host", "left_anti"))
     scores = propagate(seeds, links.select("src", "dst", "w"), damping, steps)
-    bad = F.coalesce(F.col("distrust") - F.col("trust") >= threshold, F.lit(False))
-    return ruled.join(scores, "host", "left").select(
+    bad = F.coalesce(F.col("distrust") >= threshold * (1 + F.col("trust") / 2), F.lit(False))
+    return ruled.join(scores.withColumnRenamed("host", "node"), node_name(F.col("host")) == F.col("node"), "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "trust", "distrust")

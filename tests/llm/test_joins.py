@@ -5,6 +5,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -180,14 +181,16 @@ def test_trust_and_distrust_flow(spark):
     for (s, _), w in edges.items():
         out[s] += w
     hosts = {h for e in edges for h in e} | set(seeds)
-    t, d = ({h: seeds.get(h, (0, 0))[k] for h in hosts} for k in (0, 1))
-    t0, d0 = dict(t), dict(d)
+    t, r, d = ({h: seeds.get(h, (0, 0))[0] * 0.15 for h in hosts}, dict.fromkeys(hosts, 0.15),
+               {h: seeds.get(h, (0, 0))[1] for h in hosts})
+    t0, r0, d0 = dict(t), dict(r), dict(d)
     for _ in range(60):
-        t = {h: t0[h] + 0.85 * sum(w / out[s] * t[s] for (s, x), w in edges.items() if x == h) for h in hosts}
-        d = {h: d0[h] + 0.85 * sum(w / out[h] * d[x] for (s, x), w in edges.items() if s == h) for h in hosts}
+        t, r = ({h: start[h] + 0.85 * sum(w / out[s] * now[s] for (s, x), w in edges.items() if x == h) for h in hosts} for now, start in ((t, t0), (r, r0)))
+        d = {h: max(d0[h], 0.15 * d0[h] + 0.85 * sum(w / out[h] * d[x] for (s, x), w in edges.items() if s == h)) for h in hosts}
     assert set(got) == hosts
     for h in hosts:
-        assert got[h] == pytest.approx((t[h], d[h]), abs=1e-6)
+        assert got[h] == pytest.approx((t[h] / r[h], d[h]), abs=1e-6)
+        assert 0 <= got[h][0] <= 1 and 0 <= got[h][1] <= 1
 
 
 def test_distrust_runs_to_its_end_in_rings_and_chains(spark):
@@ -196,7 +199,7 @@ def test_distrust_runs_to_its_end_in_rings_and_chains(spark):
     args = spark.createDataFrame(seeds, "host string, allowed double, blocked double"), spark.createDataFrame(
         edges, "src string, dst string, w long")
     got = {r.host: r.distrust for r in link_trust.propagate(*args).collect()}
-    assert [got[f"r{i}"] for i in range(3)] == pytest.approx([0.08 / 0.15] * 3, abs=1e-3)
+    assert [got[f"r{i}"] for i in range(3)] == pytest.approx([0.08] * 3, abs=1e-3)   # a ring has what its pages have, not more
     assert [got[f"c{i}"] for i in range(21)] == pytest.approx([0.85 ** (20 - i) for i in range(21)], abs=1e-3)
     with pytest.raises(RuntimeError):
         link_trust.propagate(*args, steps=2)
@@ -223,6 +226,60 @@ def test_hosts_without_pages_are_judged_by_the_links_to_them(spark):
     assert got[3][0] == got[4][0] == "allow" and got[3][2] == got[4][2] == 0.0
 
 
+def test_bought_links_ports_and_unseen_links(spark):
+    link = "<a href='{}'>s</a>".format
+    unseen = "<!-- " + link("//spam.net/") + " --><script>'" + link("//spam.net/") + "'</script><textarea>" + link("//spam.net/") + \
+        "</textarea><a data-href='//spam.net/'>x</a>"
+    rows = [(1, "http://buyer.io/", link("//spam.net/")), (2, "http://hidden.io/", unseen), (3, "http://hub.io/", link("http://shop.io:8080/")),
+            (4, "http://shop.io:8080/", link("//spam.net/")), (5, "http://shop.io/x", "")]
+    rows += [(10 + i, f"http://a{i}.b.org/fr/1", link("http://buyer.io/")) for i in range(29)]       # allowed pages that link to the buyer
+    rows += [(100 + i, f"http://ring{i // 50}.io/", link(f"http://ring{1 - i // 50}.io/") + (link("//spam.net/") if i % 50 < 4 else "")) for i in range(100)]
+    got = {r.page_id: r for r in link_trust.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].verdict == "block" and got[1].trust > 0.9
+    assert got[2].verdict == "allow" and got[2].distrust == 0
+    assert got[3].distrust == pytest.approx(0.85 ** 2) and got[3].verdict == "block"     # what it links to is known by its host, without the port
+    assert got[4].host == "shop.io:8080" and got[4].verdict == got[5].verdict == "block" and got[5].distrust == pytest.approx(0.85)
+    assert all(got[100 + i].verdict == "allow" for i in range(100))                       # 8 % of links to blocked hosts do not add up
+
+
+def test_linked_pages_are_judged_as_by_hand(spark):
+    """Verdicts of a random web of pages against the same walks over dictionaries."""
+    rng = random.Random(4)
+    hosts = [f"h{i}.io" for i in range(30)] + ["b.org", "x.net", "y.net"]
+    pages = []
+    for i in range(400):
+        h = rng.choice(hosts)
+        to = [rng.choice(hosts[-2:] if h.startswith("h1") else hosts[20:-2] if rng.random() < 0.9 else hosts) for _ in range(rng.randrange(1, 4))]
+        path = rng.choice(["/fr/1", "/en/2", "/x"])
+        pages.append((i, f"http://{h}{path}", " ".join(f"<a href='//{x}{rng.choice(['/fr/', '/en/', ''])}'>l</a>" for x in to), h, path, to))
+    rows = link_trust.judge_urls(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")).collect()
+    own, edges = defaultdict(list), defaultdict(int)
+    for _, _, _, h, path, to in pages:
+        fits = [(len(n + p), v) for v, n, p in link_trust.RULES if (h == n or h.endswith("." + n)) and path.startswith(p)]
+        own[h].append(max(fits, default=(0, None))[1])
+        for x in to:
+            edges[h, x] += x != h
+    out = defaultdict(int)
+    for (s, _), w in edges.items():
+        out[s] += w
+    share = {h: [v.count(k) / len(v) for k in ("allow", "block")] for h, v in own.items()}
+    t0 = {h: 0.15 * share[h][0] for h in own}
+    r0, d0 = dict.fromkeys(own, 0.15), {h: share[h][1] for h in own}
+    t, r, d = dict(t0), dict(r0), dict(d0)
+    for _ in range(200):
+        t, r = ({h: z[h] + 0.85 * sum(w / out[s] * v[s] for (s, x), w in edges.items() if x == h and w) for h in own} for v, z in ((t, t0), (r, r0)))
+        d = {h: max(d0[h], 0.15 * d0[h] + 0.85 * sum(w / out[h] * d[x] for (s, x), w in edges.items() if s == h and w)) for h in own}
+    assert set(own) == set(hosts)
+    verdicts = set()
+    for row in rows:
+        h = row.host
+        assert (row.trust, row.distrust) == pytest.approx((t[h] / r[h], d[h]), abs=2e-3)
+        if row.rule is None and abs(d[h] - 0.5 * (1 + t[h] / r[h] / 2)) > 0.01:
+            assert row.verdict == ("block" if d[h] >= 0.5 * (1 + t[h] / r[h] / 2) else "allow")
+            verdicts.add(row.verdict)
+    assert verdicts == {"block", "allow"}
+
+
 def test_urls_of_the_table(spark, sf_dir, read):
     rows = queries.QUERIES["op1_link_trust"](spark, sf_dir).collect()
     assert sorted(r.page_id for r in rows) == sorted(r.page_id for r in read("pages").collect())
@@ -282,6 +339,17 @@ def test_recall_holds_in_shards_filled_to_the_limit(spark):
     assert sum(len({i for _, i in w} & got[q]) for q, w in want.items()) >= 0.92 * 20 * len(want)
 
 
+@pytest.mark.parametrize(("n", "sigma", "outliers"), [(8192, 0.3, 0), (8192, 1.0, 0), (16384, 0.3, 0), (8192, 0.0, 3)])
+def test_recall_holds_for_vectors_of_uneven_length(spark, n, sigma, outliers):
+    rng = np.random.default_rng(int(sigma * 10) + outliers)
+    v = rng.normal(size=(n, 64))
+    v *= (rng.lognormal(0, sigma, n) / np.linalg.norm(v, axis=1))[:, None]
+    v[:outliers] *= 1e4
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": v.astype(np.float32).tolist()}),
+                               "vec_id long, embedding array<float>")
+    check_nearest(hnsw.nearest(df).collect(), df)
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in hnsw.nearest(df).orderBy("query_id", "rank").collect()] == [
