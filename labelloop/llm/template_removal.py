@@ -36,7 +36,8 @@ from labelloop.llm.common import stored
 from labelloop.llm.link_trust import host_of
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?)/?>""", re.S)
-MARK = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
+MARKS = frozenset("class id role hidden aria-hidden".split())
 
 # How html's own elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,8 +64,13 @@ WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion promoted cookie "
     "cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall nav "
     "navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toolbar topbar sidebar widget widgets related "
-    "recommended recommendations trending popular share sharing social comment comments commentlist disqus respond reply replies "
+    "recommended recommendations trending popular share sharing social comment comments commentlist cmt cmts disqus respond reply replies "
     "footer masthead skip disclaimer".split())
+#: Parts that say where or what kind of box an element is; beside them a word of ``WORDS`` is still about the box.
+NEUTRAL = frozenset(
+    "site page main top bottom left right center inner outer upper lower box list item items bar block section wrapper wrap "
+    "container area panel link links text title heading unit slot small large primary secondary global mobile desktop col row "
+    "js el c u module component group holder content".split())
 KEEPS = frozenset("article main body html".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li td th tr tbody thead dd dt b i em strong a span blockquote pre figcaption code".split())
 
@@ -129,9 +135,17 @@ def _close(here: Element, names, scope) -> Element:
 
 
 def _marks(attributes: str) -> str:
+    """The attributes of ``MARKS``, as name=value parted by line breaks."""
     if not attributes or attributes.isspace():
         return ""
-    return " ".join(f"{k.lower()}={v.strip('\"').strip(chr(39)).lower()}" for k, v in MARK.findall(attributes))
+    found = ((k.lower(), v) for k, v in ATTRIBUTE.findall(attributes))
+    return "\n".join(f"{k}={' '.join(v.strip('\"').strip(chr(39)).lower().split())}" for k, v in found if k in MARKS)
+
+
+def _says_chrome(token: str) -> bool:
+    """Whether a class or id names no main text: every part of it is a word of ``WORDS`` or neutral, and one is of ``WORDS``."""
+    parts = [p for p in re.split(r"[^a-z]+", token) if p]
+    return any(p in WORDS for p in parts) and all(p in WORDS or p in NEUTRAL for p in parts)
 
 
 def is_chrome(node: Element) -> bool:
@@ -143,12 +157,14 @@ def is_chrome(node: Element) -> bool:
         return not (node.name == "header" and _inside(node, ("article", "main")))
     if not node.marks:
         return False
-    for mark in node.marks.split(" "):
-        key, _, value = mark.partition("=")
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
-            return True
-    words = set(re.split(r"[^a-z]+", re.sub(r"\b(role|aria-hidden|hidden|class|id)=", " ", node.marks)))
-    return bool(words & WORDS)
+    return any(_marked(mark) for mark in node.marks.split("\n"))
+
+
+def _marked(mark: str) -> bool:
+    key, _, value = mark.partition("=")
+    if key in ("class", "id"):
+        return any(map(_says_chrome, value.split(" ")))
+    return key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES
 
 
 def _inside(node: Element, names) -> bool:
@@ -204,7 +220,9 @@ def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]
     and all (subtree, surroundings) of the page that may be template."""
     root = parse(html)
     _digests(root)
-    wanted = [n for n in _walk(root) if n.name in ("article", "main") and not is_chrome(n) and not _in_chrome(n)]
+    articles = [n for n in _walk(root) if n.name in ("article", "main") and not is_chrome(n)]
+    # An article in a box that only its class or id says is no main text is better than none.
+    wanted = [n for n in articles if not _in_chrome(n)] or [n for n in articles if not _inside(n, CHROME)]
     tops = [n for n in wanted if not _inside(n, ("article", "main"))] or \
         [n for n in _walk(root) if n.name == "body"][:1] or [root]
     found, out = [], []

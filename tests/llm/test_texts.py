@@ -99,6 +99,20 @@ def test_main_text_of_a_page(html, want):
     assert text_of(html) == want
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ('<body><div style="overflow:hidden">text</div>', "text"), ('<body><p title="hidden gems">text</p>', "text"),
+    ('<body><div data-hidden="false">text</div>', "text"), ('<body><div data-class="ad">text</div>', "text"),
+    ('<div class="site has-sidebar"><article><p>text</p></article></div>', "text"), ('<body><div class="no-sidebar">text</div>', "text"),
+    ('<article class="post comments-open"><p>text</p></article>', "text"), ('<body><section id="related-work">text</section>', "text"),
+    ('<article><h2 id="share-prices">prices</h2><p>text</p></article>', "prices\n\ntext"), ('<body><p hidden>no</p>text', "text"),
+    ('<body><div class="top ad-box">no</div><div class="site-nav">no</div><div class=cmt>no</div>text', "text"),
+    ('<body><div class="x  related-links">no</div><p id=cookie-notice>no</p>text', "text"), ('<body><p aria-hidden="false">text</p>', "text"),
+    ('<div class="modal"><article><p>text</p></article></div>', "text"), ('<nav><article>no</article></nav><body><p>text</p>', "text"),
+    ('<body><a title="a > b" class="menu">no</a>text', "text")])
+def test_words_delete_only_what_they_name(html, want):
+    assert "\n\n".join(text_of(html)) == want
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 3000 + "deep") == ["deep"]
     assert text_of("<article>" + "<p>x y</p>" * 20_000)[-1] == "x y"
