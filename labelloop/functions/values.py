@@ -65,9 +65,14 @@ def null_outliers(df: DataFrame, ceilings: Mapping[str, float] = OUTLIER_CEILING
     }) if present else df
 
 
+def label_text(c) -> Column:
+    """G1: a label as it is compared, without case and the blanks around it."""
+    return F.lower(F.trim(_c(c).cast("string")))
+
+
 def binary_label(c, positives: Iterable[str] = POSITIVE_LABELS) -> Column:
     """Trim + lower in the positive set → 1, any other text → 0, NULL stays NULL."""
-    norm = F.lower(F.trim(_c(c).cast("string")))
+    norm = label_text(c)
     return F.when(norm.isNull(), F.lit(None).cast("int")) \
         .otherwise(norm.isin(*positives).cast("int"))
 

@@ -30,30 +30,24 @@ def _ratio(num: Column, den: Column) -> Column:
 
 
 def _score_table(df: DataFrame, y: str, pred: str | None, score: str | None,
-                 groups: Sequence[str]) -> DataFrame:
+                 groups: Sequence[str], weight: str | None = None) -> DataFrame:
     yv = F.col(y).cast("int")
     s = F.lit(None).cast("double")
     if score:  # a NaN score is no score: it would rank above all others
         s = F.nanvl(F.col(score).cast("double"), s)
     base = df.select(*groups, yv.alias("__y"),
                      (F.col(pred).cast("int") if pred else F.lit(None).cast("int")).alias("__p"),
-                     s.alias("__s"))
-    has_s = F.col("__s").isNotNull()
-    return base.groupBy(*groups, "__s").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.count(F.when(F.col("__y") == 1, 1)).alias("__pos_all"),
-        F.count(F.when((F.col("__y") == 1) & has_s, 1)).alias("__pos"),
-        F.count(F.when((F.col("__y") == 0) & has_s, 1)).alias("__neg"),
-        F.count(F.when((F.col("__y") == 1) & (F.col("__p") == 1), 1)).alias("__tp"),
-        F.count(F.when((F.col("__y") == 0) & (F.col("__p") == 1), 1)).alias("__fp"),
-        F.count(F.when((F.col("__y") == 1) & (F.col("__p") == 0), 1)).alias("__fn"),
-        F.count(F.when((F.col("__y") == 0) & (F.col("__p") == 0), 1)).alias("__tn"),
-    )
+                     s.alias("__s"), (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("__w"))
+    has_s, is_y = F.col("__s").isNotNull(), lambda v: F.col("__y") == v
+    both = lambda v, p: is_y(v) & (F.col("__p") == p)
+    of = {"__n": F.lit(True), "__pos_all": is_y(1), "__pos": is_y(1) & has_s, "__neg": is_y(0) & has_s,
+          "__tp": both(1, 1), "__fp": both(0, 1), "__fn": both(1, 0), "__tn": both(0, 0)}
+    return base.groupBy(*groups, "__s").agg(*[F.sum(F.when(c, F.col("__w")).otherwise(0)).alias(name) for name, c in of.items()])
 
 
 def evaluate(df: DataFrame, y: str = "y_true", pred: str | None = "prediction",
              score: str | None = None, groups: Sequence[str] = (), suffix: str = "",
-             bounded: bool = False) -> DataFrame:
+             bounded: bool = False, weight: str | None = None) -> DataFrame:
     """D13 + D14 in one pass: counts, accuracy/precision/recall/F1, exact ROC AUC.
 
     Rows need a non-NULL label; a NULL or NaN score only leaves the row out
@@ -62,9 +56,10 @@ def evaluate(df: DataFrame, y: str = "y_true", pred: str | None = "prediction",
     ``bounded=True`` is for inputs with a small row bound known by
     construction (the live window): the running sum over its few distinct
     scores is a plain window, skipping the distributed prefix sums.
+    ``weight`` says for how many rows a row stands.
     """
     groups = list(groups)
-    table = _score_table(df, y, pred, score, groups)
+    table = _score_table(df, y, pred, score, groups, weight)
     if score and bounded:
         below = Window.partitionBy(*groups).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
         table = table.withColumn("__neg_below", F.coalesce(F.sum("__neg").over(below), F.lit(0)))

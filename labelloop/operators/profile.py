@@ -173,10 +173,14 @@ def max_value(df: DataFrame, column: str, alias: str | None = None) -> DataFrame
     return df.agg(F.max(column).alias(alias or f"max_{column}"))
 
 
+def accounting_columns(tag: str = "source", history: str = "history", added: str = "added") -> list[Column]:
+    """The counts of D11, for an aggregate or an ``Observation`` of a job that passes over the rows anyway."""
+    return [F.count(F.when(F.col(tag) == history, 1)).cast("bigint").alias("historical_rows"),
+            F.count(F.when(F.col(tag) == added, 1)).cast("bigint").alias("added_rows"),
+            F.count(F.lit(1)).cast("bigint").alias("total_rows")]
+
+
 def row_accounting(tagged: DataFrame, tag: str = "source", history: str = "history",
                    added: str = "added") -> DataFrame:
     """Historical / added / total rows from one pass over the tagged union."""
-    return tagged.agg(
-        F.count(F.when(F.col(tag) == history, 1)).cast("bigint").alias("historical_rows"),
-        F.count(F.when(F.col(tag) == added, 1)).cast("bigint").alias("added_rows"),
-        F.count(F.lit(1)).cast("bigint").alias("total_rows"))
+    return tagged.agg(*accounting_columns(tag, history, added))

@@ -15,13 +15,13 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from labelloop.operators.metrics import evaluate, fold_means
 from labelloop.operators.models import ModelSpec, evaluate_folds, evaluate_settings, fit_prepared, prepare, prepare_folds, save_model, score
 from labelloop.operators.trials import MIN_DELTA, PATIENCE, best_trial, patience_stop
-from labelloop.session import cut_lineage
+from labelloop.session import scratch_path
 
 # ---- fixed values ----------------------------------------------------------
 # Search space (narrow, around the known best), as (low, high, kind) with
@@ -120,22 +120,26 @@ def run_search(data: DataFrame, spec: ModelSpec, trials: DataFrame, *, study: st
 
 
 def retrain_with_best(data: DataFrame, spec: ModelSpec, best: DataFrame, to_params=dict,
-                      model_path: str | None = None, fold_col: str = "fold"):
+                      model_path: str | None = None, fold_col: str = "fold", raw_path: str | None = None):
     """With the best parameters, cross-validate over the folds of ``data``, fit on
     all rows, save (H24).  Returns the model and a one-row description of the run:
-    the fold means (``…_cv``), the metrics on the fit set (``…_fit``), rows and parameters."""
+    the fold means (``…_cv``), the metrics on the fit set (``…_fit``), rows and parameters.
+    The rows are stored once (at ``raw_path``, which the description names) and counted while they are."""
     row = best.first()
     params = to_params(dict(row["params"])) if row is not None else {}
     spec = replace(spec, params=params)
-    data = cut_lineage(data)
+    spark, path, seen = data.sparkSession, raw_path or scratch_path(data.sparkSession, "retrain-rows"), Observation("retrain-rows")
+    data.observe(seen, F.count(F.lit(1)).alias("rows_used")).write.mode("overwrite").parquet(path)
+    data = spark.read.schema(data.schema).parquet(path)
     cv = fold_means(evaluate_folds(prepare_folds(data, spec, fold_col), spec, fold_col)) if fold_col in data.columns else None
     ready = prepare(data, spec)
     model = fit_prepared(ready, spec)
     if model_path:
         save_model(model, model_path)
     fit = evaluate(score(model, data), y=spec.label, pred="predicted", score="score").first()
-    meta = data.agg(F.count(F.lit(1)).cast("bigint").alias("rows_used")).select(
-        F.current_timestamp().alias("trained_at_utc"), F.lit(model_path).cast("string").alias("model_path"), "rows_used",
+    meta = spark.createDataFrame([(seen.get["rows_used"],)], "rows_used bigint").select(
+        F.current_timestamp().alias("trained_at_utc"), F.lit(model_path).cast("string").alias("model_path"),
+        F.lit(path).alias("retrain_raw_path"), "rows_used",
         F.lit(row["study_name"] if row else None).alias("best_study_name"),
         F.lit(row["best_value"] if row else None).cast("double").alias("best_value"),
         (F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]) if params

@@ -14,7 +14,7 @@ from labelloop.plans import fixtures as fx
 from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import _I4_CTES, _LASTOBS, _feature_sql, _newl, HISTORY_HORIZON as H, with_fixtures as W
 from labelloop.plans.jobs import (_date_lit, _latest_date, advance_watermark, build_retrain_set, count_new_rows, read_watermark,
-                                  retrain_decision, station_quality, write_watermark)
+                                  retrain_decision, station_quality, write_retrain_set, write_watermark)
 from labelloop.session import scratch_path
 
 
@@ -33,8 +33,8 @@ SELECT CAST((SELECT COUNT(*) FROM hist) AS BIGINT) AS historical_rows,
        CAST((SELECT COUNT(*) FROM added) AS BIGINT) AS added_rows,
        CAST((SELECT COUNT(*) FROM hist) + (SELECT COUNT(*) FROM added) AS BIGINT) AS total_rows""", **_I4_CTES))
 def d11(spark, sf_dir):
-    _, meta = _retrain(spark, sf_dir)
-    return meta
+    """D11, counted while the retrain set is written."""
+    return write_retrain_set(fx.history(spark, sf_dir), fx.scored(spark, sf_dir), fx.observations(spark, sf_dir), scratch_path(spark, "retrain-set"))
 
 
 @register("i1_prepare_dataset", W("""

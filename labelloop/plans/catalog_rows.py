@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from labelloop.functions import dates as D
 from labelloop.functions import values as V
-from labelloop.functions.headers import normalise_header
+from labelloop.functions.headers import normalise_header, pick
 from labelloop.operators import cleaning as C
 from labelloop.operators import dedup as E
 from labelloop.operators import joins as J
@@ -18,6 +18,7 @@ from labelloop.plans.catalog import r6, register
 from labelloop.plans.fixtures import HISTORY_HORIZON, with_fixtures as W
 from labelloop.session import scratch_path
 from labelloop.sources.keyed import KeyedTable
+from labelloop.sources.sinks import read_document
 from labelloop.sources.stations import lookup_dimension
 
 H = HISTORY_HORIZON
@@ -470,7 +471,7 @@ SELECT event_id, lower(trim(rain_tomorrow)) AS label_norm, replace(wind_dir, 'i'
        concat_ws('|', location, wind_dir) AS joined FROM obs"""))
 def g1(spark, sf_dir):
     o = fx.obs(spark, sf_dir)
-    return o.select("event_id", F.lower(F.trim("rain_tomorrow")).alias("label_norm"),
+    return o.select("event_id", V.label_text("rain_tomorrow").alias("label_norm"),
                     F.replace("wind_dir", F.lit("i"), F.lit("")).alias("no_i"),
                     F.get(F.split("location", "S"), 1).alias("station_no"),
                     F.contains(F.coalesce("wind_dir", F.lit("")), F.lit("c")).alias("has_c"),
@@ -511,26 +512,27 @@ def g4(spark, sf_dir):
     p = fx.pred_log(spark, sf_dir)
     return p.select("event_id", F.isnull("feature_date").alias("was_missing"),
                     F.col("feature_date").isNotNull().alias("present"),
-                    F.coalesce("feature_date", F.date_sub("target_date", 1)).alias("filled"))
+                    D.backfill_feature_date("feature_date", "target_date").alias("filled"))
 
 
 @register("g5_map_lookup", """
 SELECT p_partkey, p_brand AS brand, p_type AS type, CAST(NULL AS VARCHAR) AS colour FROM part""")
 def g5(spark, sf_dir):
     p = fx.table(spark, sf_dir, "part")
-    m = F.map_from_arrays(F.array(F.lit("brand"), F.lit("type")), F.array("p_brand", "p_type"))
-    return p.select("p_partkey", F.try_element_at(m, F.lit("brand")).alias("brand"),
-                    F.try_element_at(m, F.lit("type")).alias("type"),
-                    F.try_element_at(m, F.lit("colour")).alias("colour"))
+    headers = F.transform(F.array(F.lit("Brand "), F.lit("TYPE")), normalise_header)
+    m = F.map_from_arrays(headers, F.array("p_brand", "p_type"))
+    return p.select("p_partkey", pick(m, ["maker", "Brand"]).alias("brand"), pick(m, ["Type"]).alias("type"), pick(m, ["Colour"]).alias("colour"))
 
 
-_G6_SCHEMA = "event_id BIGINT, location STRING, target_date DATE, y_true INT, truth_available BOOLEAN"
+_G6_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("location", T.StringType()),
+                           T.StructField("target_date", T.DateType()), T.StructField("y_true", T.IntegerType()),
+                           T.StructField("truth_available", T.BooleanType())])
 
 
 @register("g6_json_round_trip", W("""
 SELECT event_id, location, target_date, y_true, truth_available FROM scored"""))
 def g6(spark, sf_dir):
     s = fx.scored(spark, sf_dir)
-    js = s.select(F.to_json(F.struct("event_id", "location", "target_date", "y_true", "truth_available"))
-                  .alias("doc"))
-    return js.select(F.from_json("doc", _G6_SCHEMA).alias("d")).select("d.*")
+    path = scratch_path(spark, "json")
+    s.select(*_G6_SCHEMA.fieldNames()).write.json(path)
+    return read_document(spark, path, _G6_SCHEMA)

@@ -12,9 +12,10 @@ import os
 from pyspark.sql import functions as F
 
 from labelloop.operators.dedup import last_per_key
+from labelloop.operators.metrics import METRIC_NAMES
 from labelloop.plans import catalog_io, catalog_rows  # noqa: F401  (oracles reused below)
 from labelloop.plans import fixtures as fx
-from labelloop.plans.catalog import ORACLE, r6, register
+from labelloop.plans.catalog import ORACLE, r6, register, sql_metrics
 from labelloop.plans.fixtures import with_fixtures as W
 from labelloop.session import cut_lineage, scratch_path
 from labelloop.streaming import feedback as S
@@ -63,7 +64,7 @@ def _join_in_two_runs(spark, sf_dir):
     land(preds.filter(early), truth.filter(seen).withColumn("rainfall", F.coalesce(F.col("rainfall"), F.lit(0.0)) + 1))
     land(preds.filter(~early), truth)
     return (S.live(spark, os.path.join(out, "predictions"), preds.schema),
-            S.matched_predictions(spark, out, preds.schema, truth.schema))
+            S.matched_predictions(spark, out, preds.schema, truth.schema), S.matched_metrics(spark, out, preds.schema))
 
 
 @register("j2_delayed_label_join", W("""
@@ -72,7 +73,7 @@ FROM (SELECT q.*, ROW_NUMBER() OVER (PARTITION BY location, target_date ORDER BY
       FROM pred_log q) p JOIN truth t ON p.location = t.location AND p.target_date = t.obs_date
 WHERE p.rn = 1 AND t.rainfall IS NOT NULL"""))
 def j2(spark, sf_dir):
-    _, matched = _join_in_two_runs(spark, sf_dir)
+    _, matched, _ = _join_in_two_runs(spark, sf_dir)
     return matched.select("event_id", "location", "target_date", r6("observed_rainfall_mm").alias("observed_rainfall_mm"))
 
 
@@ -83,10 +84,23 @@ WHERE p.rn = 1 AND NOT EXISTS (SELECT 1 FROM truth t WHERE t.location = p.locati
   AND t.rainfall IS NOT NULL)"""))
 def j2_open(spark, sf_dir):
     """J2 read side: predictions whose truth has not arrived."""
-    preds, matched = _join_in_two_runs(spark, sf_dir)
+    preds, matched, _ = _join_in_two_runs(spark, sf_dir)
     return S.open_predictions(preds, matched).select("event_id", "location", "target_date")
 
 
+_all_ctes, _all_metrics = sql_metrics("ev", "y_true", "predicted_rain", "rain_probability")
+
+
+@register("j3_matched_metrics", W("SELECT CAST(n AS BIGINT) AS n, CAST(pos AS BIGINT) AS positives, "
+                                  + ", ".join(f"ROUND({e}, 6) AS {c}" for e, c in zip(_all_metrics, METRIC_NAMES, strict=True))
+                                  + " FROM m_cnt, m_auc",
+                                  ev="SELECT * FROM scored WHERE truth_available AND y_true IS NOT NULL", **_all_ctes))
+def j3_matched(spark, sf_dir):
+    """J3 over all matched predictions, from counts that late, corrected and withdrawn truth was taken back from."""
+    _, _, metrics = _join_in_two_runs(spark, sf_dir)
+    return metrics.select("n", "positives", *[r6(c).alias(c) for c in METRIC_NAMES])
+
+
 def j3(spark, sf_dir):
     """Live metrics refreshed per micro-batch; the last document equals I3."""
     landing, schema = _land_log(spark, sf_dir, 4)

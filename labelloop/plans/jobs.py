@@ -113,9 +113,16 @@ def build_retrain_set(history: DataFrame, scored: DataFrame | None, observations
     holds the feature row of every (Location, Date) that was observed, one per
     key).  A missing or non-conforming scored log (B10) leaves the history as is.
     """
+    from labelloop.operators.profile import row_accounting
+    merged = _tagged_retrain_rows(history, scored, observations, date_col=date_col, key_col=key_col, label_col=label_col)
+    return merged.drop("__src"), row_accounting(merged, tag="__src")
+
+
+def _tagged_retrain_rows(history: DataFrame, scored: DataFrame | None, observations: DataFrame, *, date_col: str = "Date",
+                         key_col: str = "Location", label_col: str = "RainTomorrow") -> DataFrame:
+    """The rows of I4 with ``__src``: history or added."""
     from labelloop.operators.cleaning import conform
     from labelloop.operators.joins import exclude_known
-    from labelloop.operators.profile import row_accounting
 
     tagged_hist = history.withColumn("__src", F.lit("history"))
     if scored is None or not require_columns(scored, RETRAIN_REQUIRED, on_missing="empty"):
@@ -131,8 +138,7 @@ def build_retrain_set(history: DataFrame, scored: DataFrame | None, observations
             .join(feats, on=[F.col("__loc") == F.col(key_col), F.col("__d") == F.col(date_col)], how="inner")
         added = conform(joined, history.schema).withColumn("__src", F.lit("added"))
         merged = tagged_hist.unionByName(added)
-    meta = row_accounting(merged, tag="__src")
-    return merged.drop("__src"), meta
+    return merged
 
 
 COUNT_REQUIRED = ("truth_available", "feature_date", "y_true")
@@ -277,11 +283,29 @@ def with_row_key(rows: DataFrame, key: str) -> DataFrame:
         .withColumn(key, F.xxhash64(*rows.columns, "__i")).drop("__n", "__i")
 
 
+def write_retrain_set(history: DataFrame, scored: DataFrame | None, observations: DataFrame, path: str,
+                      **columns) -> DataFrame:
+    """I4 + A8 + D11 in one job: write the retrain set to ``path``; its row accounting is counted while it is written."""
+    from pyspark.sql import Observation
+
+    from labelloop.operators.profile import accounting_columns
+    merged = _tagged_retrain_rows(history, scored, observations, **columns)
+    seen = Observation("retrain-set")
+    merged.observe(seen, *accounting_columns("__src")).drop("__src").write.mode("overwrite").parquet(path)
+    found = seen.get
+    return history.sparkSession.createDataFrame([tuple(found[c] for c in ACCOUNTING)], ", ".join(f"{c} bigint" for c in ACCOUNTING))
+
+
+ACCOUNTING = ("historical_rows", "added_rows", "total_rows")
+
+
 def _retrain_rows(history: DataFrame, scored: DataFrame | None, observations: DataFrame):
     """The retrain set ready for models, with a unique key, stored once (it is passed over many times); and its meta."""
-    from labelloop.session import cut_lineage
-    rows, meta = build_retrain_set(history, scored, observations)
-    return cut_lineage(prepare_dataset(with_row_key(rows, "event_id"))), meta
+    from labelloop.session import cut_lineage, scratch_path
+    spark = history.sparkSession
+    path = scratch_path(spark, "retrain-set")
+    meta = write_retrain_set(history, scored, observations, path)
+    return cut_lineage(prepare_dataset(with_row_key(spark.read.schema(history.schema).parquet(path), "event_id"))), meta
 
 
 def retrain_quality(history: DataFrame, scored: DataFrame | None, observations: DataFrame, spec,

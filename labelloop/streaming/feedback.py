@@ -10,7 +10,9 @@
   the keyed tables of both sides (only the keys concerned), so truth is joined
   whenever it comes, and a corrected truth or prediction replaces the earlier
   match.  A truth without a measurement is no truth: its prediction is open, also
-  if an earlier truth had a value.
+  if an earlier truth had a value.  Confusion counts per score go along: a batch
+  adds what it matched and takes back what it replaced, so the metrics of all
+  matched predictions cost the batch and not the log.
 * J3 — ``foreachBatch`` appends the batch and refreshes the live metrics (I3),
   one document per batch; an exact lower bound on log time keeps each
   refresh to the recent part of the log.
@@ -18,6 +20,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.errors import AnalysisException
@@ -25,8 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelloop.functions.values import label_from_measure
 from labelloop.operators.dedup import last_per_key
-from labelloop.streaming.upsert import live, upsert
+from labelloop.operators.metrics import evaluate
+from labelloop.session import cut_lineage
+from labelloop.streaming.upsert import BUCKETS, live, part_of, upsert
 
 
 def _run(writer):
@@ -109,10 +115,21 @@ def delayed_label_join(spark: SparkSession, preds_landing: str, pred_schema: T.S
         at = F.struct(*truth_order, *[F.col(f"_metadata.{f.name}").cast(f.dataType).alias(f.name) for f in ARRIVED])
         return _stream(spark, truth_landing, truth_schema, max_files_per_trigger).select("*", at.alias("truth_at"))
 
-    def store(pairs: DataFrame) -> None:
-        """Keep the pair of the last prediction and the last truth of each key."""
+    scored = {"predicted_rain", "rain_probability"} <= set(pred_schema.fieldNames())
+
+    def store(pairs: DataFrame, batch: str) -> None:
+        """Keep the pair of the last prediction and the last truth of each key; what that changes in the counts is
+        written first, once for each batch of a checkpoint, so a batch that is run again changes them once."""
         order = [*p_order, "truth_at"]
-        upsert(last_per_key(pairs.select(*m_schema.fieldNames()), keys, order), m_table, m_schema, keys, order)
+        rows = cut_lineage(last_per_key(pairs.select(*m_schema.fieldNames()), keys, order))
+        if scored:
+            parts = {(r["month"], r["bucket"]) for r in rows.select(*part_of(keys, m_schema, BUCKETS)).distinct().collect()}  # months x buckets
+            old = live(spark, m_table, m_schema, parts).join(rows.select(*keys), keys, "left_semi")
+            after = last_per_key(old.unionByName(rows), keys, order)
+            change = _counts(after, 1).unionByName(_counts(old, -1)).groupBy(*COUNTED).agg(F.sum("n").alias("n")).where("n != 0")
+            run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+            change.coalesce(1).write.mode("ignore").parquet(os.path.join(out, "counts", f"change={run}-{batch}"))
+        upsert(rows, m_table, m_schema, keys, order)
 
     # On-time rows: both sides wait in the join's state until the watermark passes their date.
     day = lambda c: F.col(c).cast("timestamp")
@@ -120,10 +137,10 @@ def delayed_label_join(spark: SparkSession, preds_landing: str, pred_schema: T.S
     right = truth().select(F.col("location").alias("t_location"), day("obs_date").alias("t_day"),
                            F.col("rainfall").alias("observed_rainfall_mm"), "truth_at").withWatermark("t_day", f"{state_days} days")
     pairs = left.join(right, (F.col("location") == F.col("t_location")) & (F.col("p_day") == F.col("t_day")))
-    joined = _run(pairs.writeStream.foreachBatch(lambda batch, _: store(batch))
+    joined = _run(pairs.writeStream.foreachBatch(lambda batch, i: store(batch, f"join-{i}"))
                   .option("checkpointLocation", os.path.join(checkpoint, "join")))
 
-    def repair(touched: DataFrame) -> None:
+    def repair(touched: DataFrame, batch: str) -> None:
         """Join the late ones of the ``touched`` keys from the tables: dates that the watermark may have passed by now."""
         newest = [live(spark, t, s).agg(F.max(c)).first()[0] for t, s, c in ((p_table, pred_schema, "target_date"), (t_table, t_schema, "obs_date"))]
         if None in newest:
@@ -132,15 +149,15 @@ def delayed_label_join(spark: SparkSession, preds_landing: str, pred_schema: T.S
         t = live(spark, t_table, t_schema).select(F.col("location").alias("t_location"), F.col("obs_date").alias("t_date"),
                                                   F.col("rainfall").alias("observed_rainfall_mm"), "truth_at")
         store(live(spark, p_table, pred_schema).join(late, keys, "left_semi")
-              .join(t, (F.col("location") == F.col("t_location")) & (F.col("target_date") == F.col("t_date"))))
+              .join(t, (F.col("location") == F.col("t_location")) & (F.col("target_date") == F.col("t_date"))), batch)
 
     def on_predictions(batch: DataFrame, batch_id: int) -> None:
         upsert(last_per_key(batch, keys, p_order), p_table, pred_schema, keys, p_order)
-        repair(batch.select(*keys))
+        repair(batch.select(*keys), f"predictions-{batch_id}")
 
     def on_truth(batch: DataFrame, batch_id: int) -> None:
         upsert(last_per_key(batch, truth_keys, ["truth_at"]), t_table, t_schema, truth_keys, ["truth_at"])
-        repair(batch.select("location", F.col("obs_date").alias("target_date")))
+        repair(batch.select("location", F.col("obs_date").alias("target_date")), f"truth-{batch_id}")
 
     for stream, sink in ((preds(), on_predictions), (truth(), on_truth)):
         _run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(checkpoint, sink.__name__)))
@@ -154,6 +171,25 @@ def matched_predictions(spark: SparkSession, out: str, pred_schema: T.StructType
     return found.where("observed_rainfall_mm is not null")
 
 
+#: What a matched prediction counts as.
+COUNTED = ("rain_probability", "predicted_rain", "y_true")
+
+
+def _counts(matched: DataFrame, sign: int) -> DataFrame:
+    """(``COUNTED``, n): matched rows with a label, added or taken back."""
+    rows = matched.where("observed_rainfall_mm is not null").withColumn("y_true", label_from_measure("observed_rainfall_mm"))
+    return rows.groupBy(*COUNTED).agg((F.count(F.lit(1)) * sign).alias("n"))
+
+
+def matched_metrics(spark: SparkSession, out: str, pred_schema: T.StructType) -> DataFrame:
+    """J3 over all matched predictions: accuracy, precision, recall, F1 and exact AUC from the counts that the
+    batches of :func:`delayed_label_join` changed; neither the log nor the matched rows are read."""
+    fields = [pred_schema["rain_probability"], pred_schema["predicted_rain"], T.StructField("y_true", T.IntegerType()), T.StructField("n", T.LongType())]
+    counts = read_log_table(spark, os.path.join(out, "counts"), T.StructType(fields))
+    now = counts.groupBy(*COUNTED).agg(F.sum("n").alias("n")).where("n != 0")
+    return evaluate(now, y="y_true", pred="predicted_rain", score="rain_probability", weight="n")
+
+
 def open_predictions(preds: DataFrame, matched: DataFrame, keys=("location", "target_date")) -> DataFrame:
     """J2 read side: predictions still waiting for their truth."""
     return preds.join(matched.select(*keys).distinct(), list(keys), "left_anti")

@@ -1,6 +1,7 @@
 """Incremental behaviour of the streaming forms and tolerant I/O."""
 
 import datetime as dt
+import random
 import os
 import time
 
@@ -79,6 +80,26 @@ def test_state_is_dropped_behind_the_watermark(spark):
     assert last[-1]["state_rows"] <= 2 * 5, last                # what came late does not stay
 
 
+def test_metrics_of_all_matches_are_kept_by_what_batches_change(spark):
+    """After every run, with corrections, withdrawn and late truth and new predictions, the counts give what the rows give."""
+    from labelloop.functions.values import label_from_measure
+    from labelloop.operators.metrics import evaluate
+    schema = T.StructType([*PRED.fields, T.StructField("rain_probability", T.DoubleType()), T.StructField("predicted_rain", T.IntegerType())])
+    rng, pl, tl, out, ck = random.Random(3), *(scratch_path(spark, n) for n in ("sp", "st", "so", "sc"))
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(25)]
+    for run in range(4):
+        preds = [(100 * run + i, f"S{i % 3}", rng.choice(days[:8 * (run + 1)]), dt.datetime(2024, 1, 1, run, i), rng.randrange(5) / 4, rng.randrange(2))
+                 for i in range(40)]
+        truth = [(f"S{i % 3}", rng.choice(days[:8 * (run + 1)]), rng.choice([None, 0.0, 2.5])) for i in range(30)]
+        spark.createDataFrame(preds, schema).coalesce(1).write.mode("append").parquet(pl)
+        spark.createDataFrame(truth, TRUTH).coalesce(1).write.mode("append").parquet(tl)
+        S.delayed_label_join(spark, pl, schema, tl, TRUTH, out, ck, state_days=3)
+        rows = S.matched_predictions(spark, out, schema, TRUTH).withColumn("y", label_from_measure("observed_rainfall_mm"))
+        want = evaluate(rows, y="y", pred="predicted_rain", score="rain_probability").first().asDict()
+        got = S.matched_metrics(spark, out, schema).first().asDict()
+        assert got == pytest.approx(want) and got["n"] > 5
+
+
 def test_a_table_is_continued_with_a_new_checkpoint(spark):
     landing, table = scratch_path(spark, "il"), scratch_path(spark, "it")
     day = dt.datetime(2024, 1, 1)
