@@ -136,7 +136,16 @@ def fit_prepared(prepared: Prepared, spec: ModelSpec) -> PipelineModel:
         trees = fit_many(boosting_rows(prepared, spec, 0), [(0, spec.params)])[0]
         return PipelineModel(stages=[*prepared.stages, BoostedTreesModel.of(trees, prepared.vector)])
     clf = make_classifier(spec.kind, label=spec.label, features=prepared.vector, weight=spec.weight, **spec.params)
-    return PipelineModel(stages=[*prepared.stages, clf.fit(prepared.rows)])
+    return PipelineModel(stages=[*prepared.stages, fit_classifier(clf, prepared.rows)])
+
+
+def fit_classifier(clf, rows: DataFrame):
+    """The fitted classifier without its training summary, which nothing here reads: it holds the session, and in a
+    session in which something was observed (``Observation``) a model that holds it cannot be sent to tasks."""
+    model = clf.fit(rows)
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def boosting_rows(prepared: Prepared, spec: ModelSpec, group: int) -> DataFrame:
@@ -213,7 +222,7 @@ def evaluate_folds(folds: Sequence[Fold], spec: ModelSpec, fold_col: str = "fold
 
     def one(fold: Fold) -> DataFrame:
         clf = make_classifier(spec.kind, label=spec.label, features=fold.train.vector, weight=spec.weight, **spec.params)
-        held = score(clf.fit(fold.train.rows), fold.held, threshold)
+        held = score(fit_classifier(clf, fold.train.rows), fold.held, threshold)
         return held.select(F.lit(fold.name).alias(fold_col), "y", "predicted", "score")
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from labelloop.operators import boosting as B
 from labelloop.session import scratch_path
@@ -155,3 +156,18 @@ def test_model_is_a_stage_that_is_saved_and_read(spark):
     b = [r.probability[1] for r in again.transform(df).select("probability").collect()]
     assert a == b and np.allclose(sorted(a), sorted(1 / (1 + np.exp(-B.margins(trees, x)))))
     assert again.transform(df.limit(0)).count() == 0
+
+
+def test_classifiers_score_in_a_session_that_observed_something(spark):
+    """Spark's training summaries hold the session, which cannot be sent to tasks once it has observed anything."""
+    from pyspark.sql import Observation
+
+    from labelloop.operators import models as M
+    seen = Observation("rows")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    rows = [(i, float(i % 7), "ab"[i % 2], int(i % 3 == 0), 1 + i % 12, 1 + i % 365) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, x double, c string, label int, Month int, Dayofyear int")
+    for kind, params in (("lr", {"maxIter": 3}), ("rf", {"numTrees": 2}), ("svc", {"maxIter": 2}), ("dt", {"maxDepth": 2}), ("gbt", {"n_estimators": 1})):
+        model = M.fit_model(df, M.ModelSpec(["c"], ["x"], kind=kind, params=params))
+        assert M.score(model, df).select("score").where("score is not null").count() == 60
