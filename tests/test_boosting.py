@@ -122,6 +122,21 @@ def test_margins_kept_between_rounds_change_nothing(spark, monkeypatch):
     assert ((B.margins(kept, x) > 0) == y).mean() > 0.7
 
 
+def test_edges_come_from_a_bounded_sample_in_which_copies_weigh_by_their_number(spark):
+    x = np.random.default_rng(3).normal(size=(4000, 2))
+    rows = table(spark, {0: (x, (x[:, 0] > 0).astype(float), np.ones(4000)), 1: (x[:50], np.ones(50), np.ones(50))})
+    first = rows.where("g = 0").orderBy(F.xxhash64("x")).first()   # a value that any order by hash meets before all others
+    copied = rows.unionByName(spark.range(4000).select(*[F.lit(first[c]).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]))
+    tree = B.fit_many(copied, [(0, {"n_estimators": 1, "max_depth": 1, "min_child_weight": 1, "subsample": 1, "colsample_bytree": 1})], edge_rows=1000)[0][0]
+    assert len(tree.left) == 3 and tree.feature[0] == 0 and abs(tree.edge[0]) < 0.3
+    sample = B.edge_sample(copied, 1000)
+    found = {(r.g, tuple(r.x)): r.n for r in sample.collect()}
+    assert 400 < found[0, tuple(first.x)] < 600 and 900 < sum(n for (g, _), n in found.items() if g == 0) < 1100
+    assert sum(n for (g, _), n in found.items() if g == 1) == 50
+    assert "Window" not in sample._jdf.queryExecution().toString()   # no task takes a whole group
+    assert {(r.g, tuple(r.x)): r.n for r in B.edge_sample(copied.repartition(5), 1000).collect()} == found
+
+
 def test_rows_and_columns_are_drawn(spark):
     p = B.settings({"subsample": 0.5, "colsample_bytree": 0.3})
     keys = np.arange(10_000, dtype=np.uint64)
