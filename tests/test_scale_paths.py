@@ -151,3 +151,23 @@ def test_document_reader_only_forgives_a_missing_path(spark, tmp_path):
     (tmp_path / "doc.json").write_text('{"a": 1}\n')
     with pytest.raises(AnalysisException):
         read_document(spark, str(tmp_path / "doc.json"), T.StructType([*schema.fields, *schema.fields])).collect()
+
+
+def test_weights_and_vectors_leave_no_task_with_a_class(spark, monkeypatch):
+    from labelloop.operators import models as M
+    from labelloop.operators.features import balanced_weights
+    days = {"Dayofyear": F.col("id") % 365 + 1, "Month": F.col("id") % 12 + 1}
+    df = spark.range(0, 4000, 1, 8).withColumns({"n": F.col("id").cast("double"), "label": (F.col("id") % 10 == 0).cast("int"), **days})
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighed = balanced_weights(df, "label")
+        per = [r["count"] for r in weighed.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per) == 8 and max(per) == 500
+        assert {(r.label, r.w) for r in weighed.groupBy("label").agg(F.max("weight").alias("w")).collect()} == {(0, 4000 / 7200), (1, 5.0)}
+        monkeypatch.setattr(M, "PART_ROWS", 100)
+        ready = M.prepare(weighed, M.ModelSpec(categorical=(), numeric=("n",), kind="rf", weight="weight"))
+        per = [r["count"] for r in ready.rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per) == 40 and max(per) <= 150 and sum(per) == 4000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
