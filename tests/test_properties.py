@@ -123,6 +123,23 @@ def test_few_pairs_are_compared_on_clustered_rows(spark):
         assert [n for _, n in sorted(by_q[q])] == [i for i in sorted(range(6000), key=lambda i: (d[i], i)) if i != q][:5]
 
 
+def test_rings_within_reach_are_those_of_the_bounds(spark, monkeypatch):
+    """Cells are ruled out first, and queries of full rings need no bounds at all."""
+    import labelloop.operators.neighbours as N
+    x = _one_hot_rows(400)
+    rings = N.Rings(N.spread_pivots(x, 30))
+    cell, radius = rings.place(x)
+    rings.cut([(c, int((cell == c).sum()), radius[cell == c].min(), radius[cell == c].max(),
+                np.quantile(radius[cell == c], np.arange(1, 8) / 8, method="lower").tolist()) for c in np.unique(cell)], 5, 8)
+    at, counts = np.unique(rings.ring(cell, radius), return_counts=True)
+    rings.fill(dict(zip(at.tolist(), counts.tolist(), strict=True)), 5)
+    for limit in (np.full(400, 1e-9), np.linspace(0.1, 30, 400), np.full(400, np.inf)):
+        row, ring = rings.within(x, limit)
+        want = np.nonzero((rings.bounds(x) <= limit[:, None]) & (rings.rows > 0))
+        assert set(zip(row.tolist(), ring.tolist(), strict=True)) == set(zip(want[0].tolist(), want[1].tolist(), strict=True))
+        assert len(row) == len(want[0])
+
+
 def test_neighbours_of_one_hot_rows(spark):
     x = _one_hot_rows(3000)
     df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, vec array<double>")
