@@ -171,3 +171,15 @@ def test_weights_and_vectors_leave_no_task_with_a_class(spark, monkeypatch):
         assert len(per) == 40 and max(per) <= 150 and sum(per) == 4000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_split_leaves_no_task_with_a_class(spark):
+    from labelloop.operators.split import stratified_split
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = stratified_split(spark.range(4000).withColumn("label", (F.col("id") % 10 == 0).cast("int")), "label", "id")
+        assert out.where("split = 'test'").groupBy("label").count().orderBy("label").collect() == [(0, 720), (1, 80)]
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()   # by class: sizes are broadcast, rows are not shuffled
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
