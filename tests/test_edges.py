@@ -502,3 +502,19 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf={}))
+
+
+def test_search_and_retrain_take_prepared_folds(spark, monkeypatch):
+    """I9 prepares its folds (and their SMOTE rows) once for both."""
+    from labelloop.operators import models, search
+    from labelloop.plans import jobs
+    made, used = [], []
+    monkeypatch.setattr(models, "prepare_folds", lambda data, spec, *a: made.append(data.count()) or ["folds"])
+    monkeypatch.setattr(search, "run_search", lambda data, spec, trials, folds=None, **k: used.append(folds) or (None, None))
+    monkeypatch.setattr(search, "retrain_with_best", lambda data, spec, best, folds=None, **k: used.append(folds) or (
+        None, spark.sql("select current_timestamp() trained_at_utc, 'm' model_path, 1 rows_used")))
+    rows = spark.createDataFrame([(i, i % 2) for i in range(40)], "event_id long, label int")
+    monkeypatch.setattr(jobs, "_retrain_rows", lambda *a: (rows, None))
+    monkeypatch.setattr(jobs, "advance_watermark", lambda *a, **k: spark.sql("select 1 consumed_rows"))
+    assert jobs.tune_retrain_advance(rows, rows, rows, None, None).count() == 1
+    assert made == [40] and used == [["folds"], ["folds"]]
