@@ -141,7 +141,8 @@ def mix(df: DataFrame, weights: Sequence[int] = (5, 2, 1), schedules=(FADE, LEVE
         cap: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         bucket_rows: int = 50_000) -> DataFrame:
     """One row per document: its size, its source's size and target, the words taken
-    and the moments of its first and second reading (null: not read).
+    and the moments of its first and second reading (null: not read), range-sorted by
+    the moment of the first reading (unread documents last).
 
     ``share`` is a fraction of all sizes, ``cap`` (1 or 2) how often a source may be
     read.  ``bucket_rows`` is the mean number of rows of one window group; the
@@ -150,7 +151,9 @@ def mix(df: DataFrame, weights: Sequence[int] = (5, 2, 1), schedules=(FADE, LEVE
     narrow = ["__id", "__size", "__h", "__skey"]
     rows = stored(keyed(df, id_col, text_col, source_col).select(*narrow), "mix-rows")
     bucket, sums, targets = prepared(rows, weights, share, cap, bucket_rows)
-    return streams(rows.withColumn("__b", bucket), sums, targets, schedules, cap).select(
+    order = F.col("__position").asc_nulls_last(), F.col("__id").asc_nulls_last()
+    placed = streams(rows.withColumn("__b", bucket), sums, targets, schedules, cap).repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed.select(
         F.col("__id").alias("doc_id"), F.when(F.col("__skey") != "1", F.expr("substring(__skey, 2)")).alias("source"),
         F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         F.col("__taken").alias("taken"), F.col("__position").alias("position"), F.col("__second").alias("second_position"))

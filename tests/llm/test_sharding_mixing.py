@@ -113,6 +113,12 @@ def test_mix_equals_its_sql(spark, sf_dir):
     assert sorted(map(tuple, rows)) == sorted(con.execute(queries.ORACLE[name]).fetchall())
 
 
+def test_mix_is_in_training_order(spark, sf_dir, odd_docs):
+    for found in (curriculum.mix(odd_docs).collect(), queries.QUERIES["op7_curriculum_mix"](spark, sf_dir).collect()):
+        at = [(r.position is None, r.position or 0) for r in found]
+        assert at == sorted(at) and len({p for _, p in at}) > 2
+
+
 def test_mix_of_an_empty_table(no_docs):
     assert curriculum.mix(no_docs).collect() == []
 
