@@ -7,6 +7,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from labelloop.operators import boosting as B
+from labelloop.operators import models as M
+from labelloop.plans import catalog
 from labelloop.session import scratch_path
 
 WHOLE = {"subsample": 1.0, "colsample_bytree": 1.0}
@@ -186,3 +188,26 @@ def test_classifiers_score_in_a_session_that_observed_something(spark):
     for kind, params in (("lr", {"maxIter": 3}), ("rf", {"numTrees": 2}), ("svc", {"maxIter": 2}), ("dt", {"maxDepth": 2}), ("gbt", {"n_estimators": 1})):
         model = M.fit_model(df, M.ModelSpec(["c"], ["x"], kind=kind, params=params))
         assert M.score(model, df).select("score").where("score is not null").count() == 60
+
+
+# Queries that fit boosted trees.
+FITS = {
+    "d18_fit_set_metrics": catalog.QUERIES["d18_fit_set_metrics"],
+}
+
+
+@pytest.mark.parametrize("query", FITS)
+def test_queries_read_their_edges_from_a_bounded_sample_of_each_group(spark, sf_dir, monkeypatch, query):
+    seen, whole = [], B.edge_sample
+
+    def sample(rows, edge_rows):
+        seen.append((rows, whole(rows, 100)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(B, "edge_sample", sample)
+    assert FITS[query](spark, sf_dir).collect()
+    rows, drawn = seen[0]
+    of = {r.g: r.n for r in drawn.groupBy("g").agg(F.sum("n").alias("n")).collect()}
+    assert {r.g for r in rows.groupBy("g").count().where("count > 500").collect()} == set(of)
+    assert all(50 < n < 150 for n in of.values())
+    assert "Window" not in drawn._jdf.queryExecution().toString()   # no task takes a whole group
