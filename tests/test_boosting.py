@@ -193,6 +193,7 @@ def test_classifiers_score_in_a_session_that_observed_something(spark):
 # Queries that fit boosted trees.
 FITS = {
     "d18_fit_set_metrics": catalog.QUERIES["d18_fit_set_metrics"],
+    "h22_batch_scoring": catalog.QUERIES["h22_batch_scoring"],
 }
 
 
