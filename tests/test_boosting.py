@@ -194,6 +194,7 @@ def test_classifiers_score_in_a_session_that_observed_something(spark):
 FITS = {
     "d18_fit_set_metrics": catalog.QUERIES["d18_fit_set_metrics"],
     "h22_batch_scoring": catalog.QUERIES["h22_batch_scoring"],
+    "h23_score_every_station": catalog.QUERIES["h23_score_every_station"],
 }
 
 
