@@ -195,6 +195,7 @@ FITS = {
     "d18_fit_set_metrics": catalog.QUERIES["d18_fit_set_metrics"],
     "h22_batch_scoring": catalog.QUERIES["h22_batch_scoring"],
     "h23_score_every_station": catalog.QUERIES["h23_score_every_station"],
+    "h12_boosted_trees": catalog.QUERIES["h12_boosted_trees"],
     "h24_model_round_trip": catalog.QUERIES["h24_model_round_trip"],
 }
 
