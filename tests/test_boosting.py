@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from labelloop.operators import boosting as B
 from labelloop.operators import models as M
+from labelloop.operators.search import run_search
 from labelloop.plans import catalog
+from labelloop.plans import catalog_models as CM
 from labelloop.session import scratch_path
 
 WHOLE = {"subsample": 1.0, "colsample_bytree": 1.0}
@@ -190,13 +192,14 @@ def test_classifiers_score_in_a_session_that_observed_something(spark):
         assert M.score(model, df).select("score").where("score is not null").count() == 60
 
 
-# Queries that fit boosted trees.
+# Queries that fit boosted trees, and the boosted part of those that fit more.
 FITS = {
     "d18_fit_set_metrics": catalog.QUERIES["d18_fit_set_metrics"],
     "h22_batch_scoring": catalog.QUERIES["h22_batch_scoring"],
     "h23_score_every_station": catalog.QUERIES["h23_score_every_station"],
     "h12_boosted_trees": catalog.QUERIES["h12_boosted_trees"],
     "h24_model_round_trip": catalog.QUERIES["h24_model_round_trip"],
+    "h20_search_trials": lambda spark, d: run_search(CM._with_folds(spark, d), CM.SPEC, CM._trials(spark).where("n < 2"), wave=2)[0],
 }
 
 
