@@ -200,6 +200,7 @@ FITS = {
     "h12_boosted_trees": catalog.QUERIES["h12_boosted_trees"],
     "h24_model_round_trip": catalog.QUERIES["h24_model_round_trip"],
     "h20_search_trials": lambda spark, d: run_search(CM._with_folds(spark, d), CM.SPEC, CM._trials(spark).where("n < 2"), wave=2)[0],
+    "h19_model_benchmark": lambda spark, d: M.benchmark(CM._with_folds(spark, d), CM.SPEC, kinds=("gbt",), params=CM.TINY),
 }
 
 
