@@ -183,3 +183,17 @@ def test_split_leaves_no_task_with_a_class(spark):
         assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()   # by class: sizes are broadcast, rows are not shuffled
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_folds_deal_classes_evenly_to_tasks(spark):
+    from labelloop.operators.split import stratified_folds
+    was = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # partitions stay as they are dealt
+    try:
+        df = spark.range(48_000).withColumn("label", (F.col("id") % 3 == 0).cast("int"))
+        per = [r["count"] for r in stratified_folds(df, "label", "id").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per) == 48_000 and max(per) < 2 * 48_000 / 24
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
