@@ -239,3 +239,20 @@ def test_smote_chunked_copy_generation(spark, points):
     plain = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in smote(df, "y", k=5).collect()}
     chunked = {(r["base_id"], r["copy"]): r["neighbour_id"] for r in N.smote(df, "y", k=5, copy_chunk=1).collect()}  # spread path
     assert chunked == plain and len(plain) == df.filter("y = 0").count() - df.filter("y = 1").count()
+
+
+def test_rings_are_sent_once_and_without_the_square_of_their_pivots(spark, monkeypatch):
+    import pickle
+
+    from labelloop.operators import neighbours as N
+    x = np.random.default_rng(4).normal(size=(600, 5))
+    rings = N.Rings(x)
+    before = rings.between.copy()
+    sent = pickle.dumps(rings)
+    assert len(sent) < rings.between.nbytes / 10
+    assert np.array_equal(pickle.loads(sent).between, before)
+    values, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: values.append(v) or send(self, v))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
+    assert N.nearest_neighbours(df, df, 3, exclude_self=True).count() == 1800
+    assert sum(isinstance(v, N.Rings) for v in values) == 3     # before and after the cut and the count: not for each step that uses them
