@@ -256,3 +256,24 @@ def test_rings_are_sent_once_and_without_the_square_of_their_pivots(spark, monke
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
     assert N.nearest_neighbours(df, df, 3, exclude_self=True).count() == 1800
     assert sum(isinstance(v, N.Rings) for v in values) == 3     # before and after the cut and the count: not for each step that uses them
+
+
+def test_smote_leaves_its_balanced_rows_only_and_drops_them(spark, sf_dir):
+    import os
+
+    from labelloop.operators import models as M
+    from labelloop.plans import catalog_models as CM
+    from labelloop.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir
+    top = ensure_checkpoint_dir(spark).removeprefix("file:")
+    rows = CM._with_folds(spark, sf_dir).checkpoint()
+    there = lambda: {(d, f) for d, _, fs in os.walk(top) for f in fs if f.startswith("part-")}
+    before = there()
+    folds = M.prepare_folds(rows, CM.SMOTED)
+    counts = [{r["label"]: r["count"] for r in f.train.rows.groupBy("label").count().collect()} for f in folds]
+    assert len(folds) == 5 and all(c[0.0] == c[1.0] for c in counts)
+    new = there() - before
+    kept = {p for f in folds for p in f.train.own.paths}
+    assert len(kept) == 10 and all(any(os.path.basename(p) in d for p in kept) for d, _ in new)     # balanced and held-out rows of five folds
+    M.drop_folds(folds)
+    assert not there() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
