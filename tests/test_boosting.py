@@ -219,3 +219,30 @@ def test_queries_read_their_edges_from_a_bounded_sample_of_each_group(spark, sf_
     assert {r.g for r in rows.groupBy("g").count().where("count > 500").collect()} == set(of)
     assert all(50 < n < 150 for n in of.values())
     assert "Window" not in drawn._jdf.queryExecution().toString()   # no task takes a whole group
+
+
+def test_sums_touch_only_what_is_not_in_the_usual_bin():
+    rng = np.random.default_rng(3)
+    n, nodes = 2000, 3
+    x = np.zeros((n, 21))
+    x[np.arange(n), rng.integers(0, 20, n)] = 1     # a one-hot column of 20 levels
+    x[:, 20] = rng.normal(size=n)
+    x[::7, 20] = np.nan
+    edges = B.edges_of(x, 16)
+    bins, sizes = B.binned(x, edges), np.array([len(e) + 1 for e in edges])
+    assert (bins[::7, 20] == len(edges[20])).all()
+    usual = np.array([np.bincount(c).argmax() for c in bins.T])
+    row, feature = np.nonzero(bins != usual)
+    assert len(row) < 2.1 * n                       # of 21 features
+    node, grad, curve, use = rng.integers(0, nodes, n), rng.normal(size=n), rng.uniform(0.1, 1, n), rng.random(n) < 0.8
+    use &= ~((node == 1) & (bins[:, 0] == usual[0]))    # nobody of node 1 is in the usual bin of feature 0
+    sums, heads = B.Sums(nodes, sizes, usual), np.cumsum(sizes) - sizes
+    sums.add(np.where(use, node, -1), row, heads[feature] + bins[row, feature], grad, curve, use)
+    g, h, some = sums.found()
+    assert some.all() and h[1, usual[0]] == 0       # exactly
+    for f in range(21):
+        for k in range(nodes):
+            at = use & (node == k)
+            for got, v in ((g, grad), (h, curve)):
+                want = np.bincount(bins[at, f], v[at], sizes[f])
+                assert np.allclose(got[k, heads[f]:heads[f] + sizes[f]], want, atol=1e-9)
