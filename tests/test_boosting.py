@@ -246,3 +246,17 @@ def test_sums_touch_only_what_is_not_in_the_usual_bin():
             for got, v in ((g, grad), (h, curve)):
                 want = np.bincount(bins[at, f], v[at], sizes[f])
                 assert np.allclose(got[k, heads[f]:heads[f] + sizes[f]], want, atol=1e-9)
+
+
+def test_stored_blocks_are_small_and_hold_every_row(spark):
+    """Spark reads thousands of stored rows at once: a block stays small, whatever the width."""
+    x, y, w = data(9, 3000)
+    wide = np.repeat(x, 25, axis=1)     # 100 features
+    edges = {0: B.edges_of(wide, 16)}
+    path = B._stored_rows(table(spark, {0: (wide, y, w)}), edges, {0: 2})
+    blocks = spark.read.parquet(path).collect()
+    assert len(blocks) < 3000 / 50
+    assert max(sum(len(r[c]) for c in ("y", "w", "key", "bins", "margins")) for r in blocks) <= B.BLOCK_BYTES
+    assert sorted(np.concatenate([np.frombuffer(r.w) for r in blocks])) == sorted(w)
+    bins = np.concatenate([np.frombuffer(r.bins, np.uint8) for r in blocks]).reshape(-1, 100)
+    assert sorted(map(bytes, bins)) == sorted(map(bytes, B.binned(wide, edges[0])))
