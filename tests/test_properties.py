@@ -277,3 +277,33 @@ def test_smote_leaves_its_balanced_rows_only_and_drops_them(spark, sf_dir):
     M.drop_folds(folds)
     assert not there() - before
     assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_folds_side_by_side_are_bounded_by_smote_and_by_rows(spark, sf_dir, monkeypatch):
+    import threading
+    import time
+
+    from labelloop.operators import models as M
+    from labelloop.plans import catalog_models as CM
+    rows = CM._with_folds(spark, sf_dir).checkpoint()
+    now, most, lock = [0], [0], threading.Lock()
+
+    def prepare(*args, **named):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.3)
+        with lock:
+            now[0] -= 1
+        return M.Prepared([], rows, "Rainfall")
+
+    monkeypatch.setattr(M, "prepare", prepare)
+
+    def side_by_side(spec):
+        most[0] = 0
+        assert len(M.prepare_folds(rows, spec)) == 5
+        return most[0]
+
+    assert side_by_side(CM.SMOTED) <= 2 < side_by_side(CM.SPEC)
+    monkeypatch.setattr(M, "FOLD_ROWS", rows.count() - 1)
+    assert side_by_side(CM.SPEC) == 1
